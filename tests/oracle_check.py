@@ -85,6 +85,14 @@ def main(argv):
             print(f"FAIL {name}: columns {sorted(s_cols)} vs {sorted(d_cols)}")
             bad += 1
             continue
+        dmap = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP",
+                "ShortType()": "SMALLINT", "BooleanType()": "BOOLEAN"}
+        s_types = {f.name: dmap.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+        d_types = {d[0]: str(d[1]) for d in res.description}
+        diff = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+        if diff:
+            print(f"WARN {name}: dtypes differ {diff}")
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
         if a != b:
             bad += 1

@@ -14,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import districts
-from tidemark.sources import driver
+from tidemark.operators import highwater, quality
+from tidemark.plans import districts, effectiveness, forecasts, outcomes, posts, quotes, stocks, weblog
+from tidemark.sources import driver, feeds
+from tidemark.sources.files import periods_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,4 +68,318 @@ def q_district_monthly(spark, sf_dir):
     return districts.district_monthly(inc).select(
         F.col("DISTRICT").alias("district"), F.col("YEAR").alias("year"), F.col("MONTH").alias("month"),
         "month_crime_count", r6("Lat"), r6("Long"))
-FLAGSHIP = "district_mart"
+
+
+# --- forecast chain ----------------------------------------------------------
+
+# Fixed run parameters of the registered queries (explicit, never "today").
+AS_OF = _dt.date(2024, 2, 15)            # all spans over: every forecast can close
+NOW = _dt.datetime(2024, 2, 15, 0, 0, 0)
+LIVE_AS_OF = _dt.date(2024, 1, 20)       # mid-month: some forecasts still open
+LIVE_NOW = _dt.datetime(2024, 1, 20, 0, 0, 0)
+STORED_UNTIL = _dt.datetime(2024, 1, 20, 0, 0, 0)   # quotes stored before the live run
+LOADED_AT = _dt.datetime(2024, 1, 20, 0, 0, 0)
+REPLAY_FROM = _dt.datetime(2024, 1, 20, 0, 0, 0)    # posts re-ingested by a second run
+PERIODS = [
+    (0, "all time", None, None, True),
+    (1, "week 1", _dt.date(2024, 1, 1), _dt.date(2024, 1, 7), True),
+    (2, "week 2", _dt.date(2024, 1, 8), _dt.date(2024, 1, 14), True),
+    (3, "after week 2", _dt.date(2024, 1, 14), _dt.date(2024, 1, 31), False),
+    (4, "q4 (empty)", _dt.date(2024, 10, 1), _dt.date(2024, 12, 31), True),
+]
+FLAGSHIP = "effectiveness_report"
+
+
+class Chain:
+    """Lazily built stages of the forecast chain over one set of tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        ev = _t(spark, sf_dir, "events")
+        self.items = feeds.post_items(driver.post_pages(ev))
+        self.ticks = driver.ticks(ev)
+        self.quotes = driver.hourly_quotes(self.ticks)
+        self.stocks = stocks.stock_dimension(feeds.instruments(driver.instrument_lines(_t(spark, sf_dir, "customer"))))
+        self.parsed_all = posts.parse_forecasts(self.items)
+        self.parsed = posts.latest_forecasts(self.parsed_all)
+        self.known = posts.known_tickers(self.parsed, self.stocks)
+        self.indicators = posts.new_indicators(self.parsed)
+
+    def priced(self, as_of=AS_OF, now=NOW, strategy="rollup"):
+        return forecasts.price_forecasts(self.known, self.quotes, as_of, now, strategy)
+
+    def closed(self, strategy="rollup"):
+        return forecasts.close_forecasts(self.priced(strategy=strategy), self.quotes, AS_OF, strategy)
+
+    def scored(self):
+        return outcomes.score(outcomes.evaluated(self.closed()))
+
+    def report_input(self):
+        """JON-2 / PRJ-5: evaluated forecasts with stock and indicator columns."""
+        st = self.stocks.select("ticker", "stock_name", "country_id", "sector")
+        return self.scored().join(st, "ticker", "inner").join(self.indicators, "indicator_name", "inner")
+
+
+KEYS = ["analyst_company_id", "ticker", "start_date"]
+
+
+def _dbl(*cols):
+    return [F.col(c).cast("double").alias(c) for c in cols]
+
+
+@register("stock_dimension")
+def q_stock_dimension(spark, sf_dir):
+    return Chain(spark, sf_dir).stocks
+
+
+@register("asset_shares")
+def q_asset_shares(spark, sf_dir):
+    return feeds.asset_shares(driver.asset_lines(_t(spark, sf_dir, "part")))
+
+
+@register("parsed_forecasts")
+def q_parsed_forecasts(spark, sf_dir):
+    return Chain(spark, sf_dir).parsed.select(
+        *KEYS, "end_date", "forecast_direction", "price_delta_forecast", "success_procent", "term",
+        "indicator_name", "company", "external_id", "date_inserted", "block_pos")
+
+
+@register("rejected_blocks")
+def q_rejected_blocks(spark, sf_dir):
+    return posts.rejected_blocks(Chain(spark, sf_dir).items)
+
+
+@register("new_indicators")
+def q_new_indicators(spark, sf_dir):
+    return Chain(spark, sf_dir).indicators
+
+
+@register("unknown_tickers")
+def q_unknown_tickers(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return posts.unknown_tickers(c.parsed, c.stocks).select(*KEYS, "external_id")
+
+
+@register("priced_forecasts")
+def q_priced_forecasts(spark, sf_dir):
+    p = Chain(spark, sf_dir).priced()
+    return p.select(*KEYS, "end_date", "forecast_direction", "external_id", "indicator_name",
+                    *_dbl("price_delta_forecast", "price_start", "price_forecast", "price_end"))
+
+
+@register("span_extrema")
+def q_span_extrema(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    due = forecasts.due_forecasts(c.priced(), AS_OF)
+    ex = forecasts.span_extrema(due, c.quotes)
+    return ex.select(*KEYS, *_dbl("price_max_real", "price_min_real"), "price_max_date", "price_min_date")
+
+
+@register("closed_forecasts")
+def q_closed_forecasts(spark, sf_dir):
+    cl = Chain(spark, sf_dir).closed()
+    return cl.select(*KEYS, "forecast_direction", F.col("forecast_result").cast("int").alias("forecast_result"),
+                     *_dbl("end_real_price_delta", "price_max_delta", "price_min_delta",
+                           "price_max_real", "price_min_real"), "price_max_date", "price_min_date")
+
+
+def _outcomes(spark, sf_dir, direction):
+    s = Chain(spark, sf_dir).scored().filter(F.col("forecast_direction") == direction)
+    return s.select(*KEYS, "res50", "proc50", "res90", "proc90", "res100", "proc100")
+
+
+@register("rise_outcomes")
+def q_rise_outcomes(spark, sf_dir):
+    return _outcomes(spark, sf_dir, 1)
+
+
+@register("fall_outcomes")
+def q_fall_outcomes(spark, sf_dir):
+    return _outcomes(spark, sf_dir, 2)
+
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf_dir):
+    m = effectiveness.forecast_metrics(Chain(spark, sf_dir).scored(), periods_frame(spark, PERIODS))
+    return m.select("period_id", "period", "direction", "forecasts", "success50", "success90", "success100",
+                    "min_start_date", "max_start_date", r6("yield50"), r6("yield90"), r6("yield100"))
+
+
+@register("effectiveness_report")
+def q_effectiveness_report(spark, sf_dir):
+    r = effectiveness.effectiveness_report(Chain(spark, sf_dir).report_input(), periods_frame(spark, PERIODS))
+    return r.select("line", "period", "metric", r6("value"), "value_date")
+
+
+def _live(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return c, c.priced(LIVE_AS_OF, LIVE_NOW)
+
+
+@register("active_forecasts")
+def q_active_forecasts(spark, sf_dir):
+    _, p = _live(spark, sf_dir)
+    return forecasts.active_forecasts(p, LIVE_AS_OF).select(
+        *KEYS, "end_date", *_dbl("price_start", "price_end"))
+
+
+@register("due_forecasts")
+def q_due_forecasts(spark, sf_dir):
+    _, p = _live(spark, sf_dir)
+    return forecasts.due_forecasts(p, LIVE_AS_OF, analyst_company_id=2).select(
+        *KEYS, "end_date", *_dbl("price_start", "price_end"))
+
+
+def _stored_quotes(c):
+    from tidemark.functions.dates import lit_ts
+    return (c.quotes.filter(F.col("datetime_start") < lit_ts(STORED_UNTIL))
+            .withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT)))
+
+
+@register("quote_high_water")
+def q_quote_high_water(spark, sf_dir):
+    c, p = _live(spark, sf_dir)
+    return quotes.quote_high_water(_stored_quotes(c), forecasts.active_forecasts(p, LIVE_AS_OF))
+
+
+def _increment(c, p):
+    starts = quotes.fetch_starts(_stored_quotes(c), forecasts.active_forecasts(p, LIVE_AS_OF))
+    return quotes.incremental_quotes(driver.ten_minute_quotes(c.ticks), starts)
+
+
+@register("incremental_quotes")
+def q_incremental_quotes(spark, sf_dir):
+    c, p = _live(spark, sf_dir)
+    return _increment(c, p).select("ticker", "datetime_start", "datetime_end",
+                                   *_dbl("open_price", "close_price", "high_price", "low_price"), "volume")
+
+
+@register("upsert_quotes")
+def q_upsert_quotes(spark, sf_dir):
+    c, p = _live(spark, sf_dir)
+    u = quotes.upsert_quotes(_stored_quotes(c), _increment(c, p), LIVE_NOW)
+    return u.select("ticker", "datetime_start", "datetime_end",
+                    *_dbl("open_price", "close_price", "high_price", "low_price"), "volume",
+                    "created_at", "updated_at")
+
+
+@register("quotes_from_candles")
+def q_quotes_from_candles(spark, sf_dir):
+    tk = driver.ticks(_t(spark, sf_dir, "events"))
+    q = feeds.quotes_from_candles(driver.candle_responses(driver.hourly_quotes(tk)))
+    return q.select("ticker", "datetime_start", "datetime_end",
+                    *_dbl("open_price", "close_price", "high_price", "low_price"), "volume")
+
+
+@register("upsert_forecasts")
+def q_upsert_forecasts(spark, sf_dir):
+    """SNK-5 + Q20: re-ingested posts update parsed columns of stored,
+    already evaluated forecasts but never their evaluation columns."""
+    from tidemark.functions.dates import lit_ts
+    from tidemark.operators.upsert import upsert
+    c = Chain(spark, sf_dir)
+    stored = c.closed().withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT))
+    replay_items = c.items.filter(F.col("inserted") >= REPLAY_FROM.strftime("%Y-%m-%dT%H:%M:%S"))
+    replay = posts.known_tickers(posts.latest_forecasts(posts.parse_forecasts(replay_items)), c.stocks)
+    batch = forecasts.price_forecasts(replay, c.quotes, AS_OF, NOW)
+    cols = [x for x in stored.columns if x in batch.columns or x in ("created_at", "updated_at")]
+    u = upsert(stored.select(*cols), batch.select(*[x for x in cols if x in batch.columns]), KEYS, NOW,
+               keep=forecasts.EVALUATION)
+    return u.select(*KEYS, "end_date", "external_id",
+                    F.col("forecast_result").cast("int").alias("forecast_result"),
+                    *_dbl("price_start", "price_end", "end_real_price_delta"), "created_at", "updated_at")
+
+
+def _runs(c):
+    first = c.items.filter(F.col("inserted") < REPLAY_FROM.strftime("%Y-%m-%dT%H:%M:%S"))
+    second = c.items.filter(F.col("inserted") >= REPLAY_FROM.strftime("%Y-%m-%dT%H:%M:%S"))
+    def rec(items, run_id, start):
+        b = items.select("analyst_company_id", "external_id",
+                         F.to_timestamp_ntz(F.split("inserted", "[.]").getItem(0),
+                                            F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("date_inserted"))
+        return highwater.run_record(b, run_id, start, start + _dt.timedelta(minutes=5))
+    return rec(first, 1, REPLAY_FROM).unionByName(rec(second, 2, NOW))
+
+
+@register("last_run")
+def q_last_run(spark, sf_dir):
+    c = Chain(spark, sf_dir)
+    return highwater.last_run(_runs(c))
+
+
+@register("company_external_ids")
+def q_company_external_ids(spark, sf_dir):
+    p = Chain(spark, sf_dir).parsed
+    return p.filter(F.col("analyst_company_id") == 2).select("external_id").distinct()
+
+
+# --- weblog --------------------------------------------------------------------
+
+INGEST_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+@register("page_views")
+def q_page_views(spark, sf_dir):
+    from tidemark.functions.dates import lit_ts
+    v = weblog.page_views(driver.weblog_lines(_t(spark, sf_dir, "events")), lit_ts(INGEST_TIME))
+    c = weblog.page_view_counts(v)
+    return c.select("page_visited", "page_params", F.col("Status").alias("status"), "views", "first_seen", "last_seen")
+
+
+@register("page_view_tags")
+def q_page_view_tags(spark, sf_dir):
+    from tidemark.functions.dates import lit_ts
+    v = weblog.page_views(driver.weblog_lines(_t(spark, sf_dir, "events")), lit_ts(INGEST_TIME))
+    return v.groupBy(F.concat_ws(",", "tags").alias("tags")).agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("keyword_fields")
+def q_keyword_fields(spark, sf_dir):
+    d = weblog.keyword_fields(_t(spark, sf_dir, "documents"))
+    return d.select("doc_id", "text_keyword", "lang_keyword", "source_keyword",
+                    F.length("text").cast("long").alias("text_chars"))
+
+
+# --- data quality --------------------------------------------------------------
+
+@register("key_violations")
+def q_key_violations(spark, sf_dir):
+    return quality.key_violations(Chain(spark, sf_dir).parsed_all, KEYS)
+
+
+@register("null_violations")
+def q_null_violations(spark, sf_dir):
+    p = Chain(spark, sf_dir).priced()
+    return quality.null_violations(p, ["ticker", "start_date", "end_date", "forecast_direction",
+                                       "price_delta_forecast", "price_start", "price_end"])
+
+
+@register("orphans")
+def q_orphans(spark, sf_dir):
+    """DQ-3: line items whose part is missing, and forecasts whose ticker is."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    pa = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
+    a = quality.orphans(li, pa, ["l_partkey"]).select(
+        F.lit("lineitem.l_partkey").alias("reference"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("row_key"))
+    c = Chain(spark, sf_dir)
+    b = quality.orphans(c.parsed, c.stocks, ["ticker"]).select(
+        F.lit("forecast.ticker").alias("reference"),
+        F.concat_ws("|", F.col("analyst_company_id").cast("string"), "ticker",
+                    F.col("start_date").cast("string")).alias("row_key"))
+    return a.unionByName(b)
+
+
+@register("overflow_violations")
+def q_overflow_violations(spark, sf_dir):
+    p = Chain(spark, sf_dir).priced()
+    v = quality.overflow_violations(p, decimals={"price_delta_forecast": "decimal(7,3)"},
+                                    lengths={"ticker": 20, "external_id": 40})
+    return v.select(*KEYS, F.concat_ws(",", "violations").alias("violations"))
+
+
+@register("code_violations")
+def q_code_violations(spark, sf_dir):
+    cl = Chain(spark, sf_dir).closed()
+    return quality.code_violations(cl, {"forecast_direction": [1, 2], "forecast_result": [0, 1, 2, 3]}).select(
+        *KEYS, "forecast_direction", F.col("forecast_result").cast("int").alias("forecast_result"))

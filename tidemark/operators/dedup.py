@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column]) -> DataFrame:
-    """One row per key: the row whose ``struct(*prefer)`` is largest.
+def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column], largest: bool = True) -> DataFrame:
+    """One row per key: the row whose ``struct(*prefer)`` is largest
+    (smallest with ``largest=False``).
 
     Expressed as ``groupBy(keys).agg(max_by(struct(row), struct(prefer)))``
     rather than ``row_number()`` over a window: the hash aggregate combines
@@ -19,7 +20,8 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column]) -> D
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*prefer)).alias("_best")
+    pick = F.max_by if largest else F.min_by
+    best = pick(F.struct(*[F.col(c) for c in rest]), F.struct(*prefer)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best." + c).alias(c) for c in rest])
 
 

@@ -133,20 +133,34 @@ NL = "\n"
 def post_pages(events: DataFrame) -> DataFrame:
     """Landed post pages as JSON text, one page per purchase event.
 
-    The text holds one forecast block of five lines after an intro line;
-    the analyst company is ``1 + event_id % 3``.
+    The text holds an intro line and one forecast block of five lines; the
+    analyst company is ``1 + event_id % 3``. Seeded variations: every 11th
+    post writes its potential with a decimal comma (the block is rejected
+    and its five lines are skipped); every 7th post carries a second block
+    on the next ticker with another indicator family.
     """
     ev = events.filter(F.col("event_type") == "purchase").select(
         "event_id", "ts", "user_id", _k().alias("k"))
     uid = _s("user_id")
-    text = F.concat(
-        F.lit("intro" + NL + "Бумага Co "), uid, F.lit(" {$T"), uid, F.lit("}" + NL),
+    uid2 = _s(F.col("user_id") + 1)
+    delta = _s((F.lit(1) + F.col("k")) / 2)
+    delta = F.when(F.col("event_id") % 11 == 0, F.regexp_replace(delta, "[.]", ",")).otherwise(delta)
+    block1 = F.concat(
+        F.lit("Бумага Co "), uid, F.lit(" {$T"), uid, F.lit("}" + NL),
         F.when(F.col("event_id") % 2 == 0, F.lit("Потенциал роста ")).otherwise(F.lit("Потенциал падения ")),
-        _s((F.lit(1) + F.col("k")) / 2), F.lit("%" + NL + "Срок "),
+        delta, F.lit("%" + NL + "Срок "),
         _s(F.lit(1) + F.col("event_id") % 10), F.lit(" дней" + NL + "В "),
         _s(F.lit(50) + F.col("k") % 50), F.lit("% случаев" + NL + "по сигналу индикатора RSI"),
         _s(F.col("k") % 5),
     )
+    block2 = F.concat(
+        F.lit(NL + "Бумага Co "), uid2, F.lit(" {$T"), uid2, F.lit("}" + NL + "Потенциал роста "),
+        _s(F.col("k") / 4), F.lit("%" + NL + "Срок "), _s(F.lit(2) + F.col("event_id") % 5),
+        F.lit(" дней" + NL + "В "), _s(F.lit(40) + F.col("k") % 40),
+        F.lit("% случаев" + NL + "по сигналу индикатора MACD"), _s(F.col("k") % 3),
+    )
+    text = F.concat(F.lit("intro" + NL), block1,
+                    F.when(F.col("event_id") % 7 == 0, block2).otherwise(F.lit("")))
     item = F.struct(
         _s("event_id").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("inserted"),
@@ -159,6 +173,24 @@ def post_pages(events: DataFrame) -> DataFrame:
     return ev.select(F.to_json(page).alias("value"))
 
 
+def ten_minute_quotes(tk: DataFrame) -> DataFrame:
+    """10-minute OHLCV candles per ticker (the incremental quote feed)."""
+    p = F.col("price").cast(schemas.PRICE)
+    order = F.struct("ts", "event_id")
+    start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 600) * 600)
+    return (
+        tk.groupBy("ticker", start.cast("timestamp_ntz").alias("datetime_start"))
+        .agg(F.min_by(p, order).alias("open_price"),
+             F.max_by(p, order).alias("close_price"),
+             F.max(p).alias("high_price"),
+             F.min(p).alias("low_price"),
+             F.count(F.lit(1)).alias("volume"))
+        .withColumn("datetime_end", F.col("datetime_start") + F.expr("INTERVAL 10 MINUTES"))
+        .select("ticker", "datetime_start", "datetime_end", "open_price",
+                "close_price", "high_price", "low_price", "volume")
+    )
+
+
 # --- instruments -----------------------------------------------------------
 
 def instrument_lines(customer: DataFrame) -> DataFrame:
