@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import highwater, quality
+from tidemark.operators.materialize import materialize, spread
 from tidemark.plans import districts, effectiveness, forecasts, outcomes, posts, quotes, stocks, weblog
 from tidemark.sources import driver, feeds
 from tidemark.sources.files import periods_frame
@@ -91,26 +92,75 @@ FLAGSHIP = "effectiveness_report"
 
 
 class Chain:
-    """Lazily built stages of the forecast chain over one set of tables."""
+    """Stages of the forecast chain over one set of driver tables.
+
+    Stage tables that later stages read more than once (quotes, stocks,
+    parsed forecasts, priced and closed forecasts) are materialised once per
+    chain, as the original pipeline keeps them in tables between its jobs;
+    a query that returns a stage itself gets the lazy plan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         ev = _t(spark, sf_dir, "events")
-        self.items = feeds.post_items(driver.post_pages(ev))
+        self.items = feeds.post_items(spread(driver.post_pages(ev)))
         self.ticks = driver.ticks(ev)
-        self.quotes = driver.hourly_quotes(self.ticks)
-        self.stocks = stocks.stock_dimension(feeds.instruments(driver.instrument_lines(_t(spark, sf_dir, "customer"))))
-        self.parsed_all = posts.parse_forecasts(self.items)
-        self.parsed = posts.latest_forecasts(self.parsed_all)
-        self.known = posts.known_tickers(self.parsed, self.stocks)
-        self.indicators = posts.new_indicators(self.parsed)
+        self._memo: dict = {}
 
-    def priced(self, as_of=AS_OF, now=NOW, strategy="rollup"):
+    def _stage(self, name, build, store=True):
+        key = (name, store)
+        if key not in self._memo:
+            df = build()
+            label = name if isinstance(name, str) else name[0]
+            self._memo[key] = materialize(df, label) if store else df
+        return self._memo[key]
+
+    # lazy definitions -------------------------------------------------------
+    def quotes_plan(self):
+        return driver.hourly_quotes(self.ticks)
+
+    def stocks_plan(self):
+        return stocks.stock_dimension(feeds.instruments(driver.instrument_lines(_t(self.spark, self.sf_dir, "customer"))))
+
+    def parsed_all(self):
+        return posts.parse_forecasts(self.items)
+
+    def parsed_plan(self):
+        return posts.latest_forecasts(self.parsed_all())
+
+    # stored stages ------------------------------------------------------------
+    @property
+    def quotes(self):
+        return self._stage("quotes", self.quotes_plan)
+
+    @property
+    def stocks(self):
+        return self._stage("stocks", self.stocks_plan)
+
+    @property
+    def parsed(self):
+        return self._stage("parsed", self.parsed_plan)
+
+    @property
+    def known(self):
+        return posts.known_tickers(self.parsed, self.stocks)
+
+    @property
+    def indicators(self):
+        return posts.new_indicators(self.parsed)
+
+    def priced_plan(self, as_of=AS_OF, now=NOW, strategy="rollup"):
         return forecasts.price_forecasts(self.known, self.quotes, as_of, now, strategy)
 
-    def closed(self, strategy="rollup"):
+    def priced(self, as_of=AS_OF, now=NOW, strategy="rollup"):
+        return self._stage(("priced", as_of, now, strategy), lambda: self.priced_plan(as_of, now, strategy))
+
+    def closed_plan(self, strategy="rollup"):
         return forecasts.close_forecasts(self.priced(strategy=strategy), self.quotes, AS_OF, strategy)
 
+    def closed(self, strategy="rollup"):
+        return self._stage(("closed", strategy), lambda: self.closed_plan(strategy))
+
     def scored(self):
         return outcomes.score(outcomes.evaluated(self.closed()))
 
@@ -129,7 +179,7 @@ def _dbl(*cols):
 
 @register("stock_dimension")
 def q_stock_dimension(spark, sf_dir):
-    return Chain(spark, sf_dir).stocks
+    return Chain(spark, sf_dir).stocks_plan()
 
 
 @register("asset_shares")
@@ -139,7 +189,7 @@ def q_asset_shares(spark, sf_dir):
 
 @register("parsed_forecasts")
 def q_parsed_forecasts(spark, sf_dir):
-    return Chain(spark, sf_dir).parsed.select(
+    return Chain(spark, sf_dir).parsed_plan().select(
         *KEYS, "end_date", "forecast_direction", "price_delta_forecast", "success_procent", "term",
         "indicator_name", "company", "external_id", "date_inserted", "block_pos")
 
@@ -162,7 +212,7 @@ def q_unknown_tickers(spark, sf_dir):
 
 @register("priced_forecasts")
 def q_priced_forecasts(spark, sf_dir):
-    p = Chain(spark, sf_dir).priced()
+    p = Chain(spark, sf_dir).priced_plan()
     return p.select(*KEYS, "end_date", "forecast_direction", "external_id", "indicator_name",
                     *_dbl("price_delta_forecast", "price_start", "price_forecast", "price_end"))
 
@@ -177,7 +227,7 @@ def q_span_extrema(spark, sf_dir):
 
 @register("closed_forecasts")
 def q_closed_forecasts(spark, sf_dir):
-    cl = Chain(spark, sf_dir).closed()
+    cl = Chain(spark, sf_dir).closed_plan()
     return cl.select(*KEYS, "forecast_direction", F.col("forecast_result").cast("int").alias("forecast_result"),
                      *_dbl("end_real_price_delta", "price_max_delta", "price_min_delta",
                            "price_max_real", "price_min_real"), "price_max_date", "price_min_date")
@@ -344,7 +394,7 @@ def q_keyword_fields(spark, sf_dir):
 
 @register("key_violations")
 def q_key_violations(spark, sf_dir):
-    return quality.key_violations(Chain(spark, sf_dir).parsed_all, KEYS)
+    return quality.key_violations(Chain(spark, sf_dir).parsed_all(), KEYS)
 
 
 @register("null_violations")

@@ -11,24 +11,40 @@ last candle). Three physical strategies give identical rows:
     (key, day); each span meets only the rows of its own days.
 ``rollup`` (default)
     rows are first reduced to one row per (key, day) holding mergeable
-    partial results (max/min of ordered structs); days fully inside a span
-    come from that roll-up and only the two edge days touch raw rows. The
-    join input shrinks from rows to key-days, and a hot key-day is a single
-    roll-up row.
-
-Measures must be mergeable with max or min (arg-max via ordered structs),
-which makes the three strategies agree exactly.
+    partial results; days lying wholly inside a span take that roll-up row,
+    only the edge days of a span meet raw rows. Both kinds of right-hand
+    rows go through one join on (key, day, tier), so the span side is read
+    and shuffled once. A hot key-day costs one roll-up row per span-day.
+
+Measures are mergeable (max, min, and max_by/min_by over another measure),
+so partial results combine exactly and the strategies agree row for row.
+Every measure keeps a primitive or decimal aggregation buffer, which lets
+Spark use hash aggregation with map-side combining throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import explode_rows
+
 STRATEGIES = ("plain", "binned", "rollup")
-_AGG = {"max": F.max, "min": F.min}
+# Order keys pack (major, minor) into one decimal(38,0): minor lies in
+# [0, MINOR_SPAN) after adding MINOR_OFFSET, so comparing the packed value
+# compares major first and minor second.
+MINOR_SPAN = 10 ** 20
+MINOR_OFFSET = 5 * 10 ** 19
+
+
+class Measure(NamedTuple):
+    expr: Column
+    agg: str            # "max" | "min" | "max_by" | "min_by"
+    by: str | None = None   # for *_by: name of the measure that orders
 
 
 def micros(ts: Column | str) -> Column:
@@ -37,6 +53,31 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def order_key(major: Column, minor: Column) -> Column:
+    """A decimal(38,0) ordered like ``struct(major, minor)``.
+
+    ``major`` must be integral with |major| < 1e17, ``minor`` a long. Unlike
+    a struct, a decimal is a mutable aggregation buffer type, so
+    ``max``/``max_by`` over it stay hash aggregates.
+    """
+    d = "decimal(38,0)"
+    return (major.cast(d) * F.lit(Decimal(MINOR_SPAN)).cast(d)
+            + (minor.cast(d) + F.lit(Decimal(MINOR_OFFSET)).cast(d))).cast(d)
+
+
+def _merge(name: str, m: Measure) -> Column:
+    c = F.col(name)
+    if m.agg == "max":
+        return F.max(c).alias(name)
+    if m.agg == "min":
+        return F.min(c).alias(name)
+    if m.agg == "max_by":
+        return F.max_by(c, F.col(m.by)).alias(name)
+    if m.agg == "min_by":
+        return F.min_by(c, F.col(m.by)).alias(name)
+    raise ValueError(m.agg)
+
+
 def _span_days(lo: Column, hi: Column) -> Column:
     lo_d, hi_d = F.to_date(lo), F.to_date(hi)
     return F.when(hi_d >= lo_d, F.sequence(lo_d, hi_d)).otherwise(F.array().cast("array<date>"))
@@ -51,27 +92,26 @@ def span_aggregate(
     lo: Column,
     hi: Column,
     time_col: str,
-    measures: Mapping[str, tuple[Column, str]],
+    measures: Mapping[str, Measure],
     strategy: str = "rollup",
 ) -> DataFrame:
     """Per span, merge ``measures`` over the rows with ``lo <= time <= hi``.
 
-    ``measures`` maps an output name to ``(expression over rows, "max"|"min")``.
     Returns ``span_id`` plus one column per measure; spans without rows are
     absent (inner semantics).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     names = list(measures)
+    merged = [_merge(n, m) for n, m in measures.items()]
     sp = spans.select(F.col(span_id).alias("_id"), F.col(key), lo.alias("_lo"), hi.alias("_hi"))
-    ev = rows.select(F.col(key), F.col(time_col).alias("_t"),
-                     *[e.alias(n) for n, (e, _) in measures.items()])
+    ev = rows.select(F.col(key), F.col(time_col).alias("_t"), *[m.expr.alias(n) for n, m in measures.items()])
     in_span = F.col("_t").between(F.col("_lo"), F.col("_hi"))
 
     if strategy == "plain":
         parts = sp.join(ev, [key]).filter(in_span).select("_id", *names)
     else:
-        days = sp.select("*", F.explode(_span_days(F.col("_lo"), F.col("_hi"))).alias("_day"))
+        days = explode_rows(sp, _span_days(F.col("_lo"), F.col("_hi")), "_day")
         ev_d = ev.withColumn("_day", F.to_date("_t"))
         if strategy == "binned":
             parts = days.join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
@@ -80,33 +120,45 @@ def span_aggregate(
             whole = (((F.col("_day") > lo_day)
                       | ((F.col("_day") == lo_day) & (F.col("_lo") == F.to_timestamp_ntz(lo_day))))
                      & (F.col("_day") < F.to_date("_hi")))
-            roll = ev_d.groupBy(key, "_day").agg(
-                *[_AGG[m](F.col(n)).alias(n) for n, (_, m) in measures.items()])
-            inner = days.filter(whole).join(roll, [key, "_day"]).select("_id", *names)
-            edge = days.filter(~whole).join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
-            parts = inner.unionByName(edge)
+            days = days.withColumn("_tier", whole.cast("int"))
+            roll = ev_d.groupBy(key, "_day").agg(*merged).select(
+                key, "_day", F.lit(1).alias("_tier"), F.lit(None).cast(ev.schema["_t"].dataType).alias("_t"), *names)
+            raw = ev_d.select(key, "_day", F.lit(0).alias("_tier"), "_t", *names)
+            right = roll.unionByName(raw)
+            parts = (days.join(right, [key, "_day", "_tier"])
+                     .filter((F.col("_tier") == 1) | in_span).select("_id", *names))
 
-    return parts.groupBy("_id").agg(
-        *[_AGG[m](F.col(n)).alias(n) for n, (_, m) in measures.items()]
-    ).withColumnRenamed("_id", span_id)
+    return parts.groupBy("_id").agg(*merged).withColumnRenamed("_id", span_id)
 
 
-def extrema_measures(high: str = "high_price", low: str = "low_price",
-                     time_col: str = "datetime_end") -> dict[str, tuple[Column, str]]:
-    """AGG-8: highest high (earliest on ties) and lowest low (earliest on ties).
+def extrema_measures(high: str = "high_price", low: str = "low_price", time_col: str = "datetime_end",
+                     price_scale: int = 6) -> dict[str, Measure]:
+    """AGG-8: highest high and lowest low with the time of each.
 
-    NULL prices never win (Q7).
+    Ties go to the earliest row; NULL prices never win (Q7). Outputs
+    ``max_p, max_t, min_p, min_t`` (``*_k`` are the packed order keys).
     """
     t = F.col(time_col)
+    scale = F.lit(10 ** price_scale)
+    hi_units = (F.col(high) * scale).cast("decimal(38,0)")
+    lo_units = (F.col(low) * scale).cast("decimal(38,0)")
     return {
-        "_max": (F.when(F.col(high).isNotNull(), F.struct(F.col(high).alias("p"), (-micros(t)).alias("o"),
-                                                          t.alias("t"))), "max"),
-        "_min": (F.when(F.col(low).isNotNull(), F.struct(F.col(low).alias("p"), micros(t).alias("o"),
-                                                         t.alias("t"))), "min"),
+        "max_p": Measure(F.col(high), "max"),
+        "max_k": Measure(order_key(hi_units, -micros(t)), "max"),
+        "max_t": Measure(t, "max_by", "max_k"),
+        "min_p": Measure(F.col(low), "min"),
+        "min_k": Measure(order_key(lo_units, micros(t)), "min"),
+        "min_t": Measure(t, "min_by", "min_k"),
     }
 
 
-def first_last_measures(value: str = "open_price", time_col: str = "datetime_start"):
-    """SRT-4 / JON-6: value of the earliest and of the latest row."""
-    s = F.struct(F.col(time_col).alias("t"), F.col(value).alias("v"))
-    return {"_first": (s, "min"), "_last": (s, "max")}
+def first_last_measures(value: str = "open_price", time_col: str = "datetime_start") -> dict[str, Measure]:
+    """SRT-4 / JON-6: value of the earliest and of the latest row
+    (``first_v``, ``last_v``); times are unique per key in a keyed table."""
+    t, v = F.col(time_col), F.col(value)
+    return {
+        "first_t": Measure(t, "min"),
+        "first_v": Measure(v, "min_by", "first_t"),
+        "last_t": Measure(t, "max"),
+        "last_v": Measure(v, "max_by", "last_t"),
+    }

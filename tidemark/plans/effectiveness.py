@@ -48,21 +48,7 @@ def forecast_metrics(scored: DataFrame, periods: DataFrame) -> DataFrame:
                       *["yield" + e for e in EXIT_NAMES])
 
 
-def _period_wide(scored: DataFrame, periods: DataFrame) -> DataFrame:
-    p = assign_periods(scored, periods, "start_date")
-    rise, fall = F.col("forecast_direction") == 1, F.col("forecast_direction") == 2
-    n_rise, n_fall = F.count_if(rise), F.count_if(fall)
-    aggs = [F.min(F.when(rise, F.col("start_date"))).alias("min_date"),
-            F.max(F.when(rise, F.col("start_date"))).alias("max_date"),
-            n_rise.cast("double").alias("rise_forecasts"),
-            n_fall.cast("double").alias("fall_forecasts")]
-    for cond, total, d in ((rise, n_rise, "rise"), (fall, n_fall, "fall")):
-        for e in EXIT_NAMES:
-            ok = F.count_if(cond & (F.col("res" + e) >= 1))
-            aggs.append(F.try_divide(F.lit(100.0) * ok, total).alias(f"{d}_success_pct_{e}"))
-            aggs.append(F.avg(F.when(cond, F.col("proc" + e))).alias(f"{d}_yield_{e}"))
-    wide = p.groupBy("period_id").agg(*aggs)
-    return F.broadcast(periods.select("period_id", "period")).join(wide, "period_id", "left")
+TOTAL_PERIOD_ID = -1
 
 
 def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
@@ -72,32 +58,44 @@ def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
     contributes sixteen metric lines. Percentages are unrounded doubles
     (``render_report`` rounds for display, Q12); an empty period yields
     NULL values instead of an error (Q4).
+
+    One pass: the totals ride along as an extra unbounded period in the same
+    grouped aggregate, and a single ``stack`` unpivots the wide row of each
+    period, so the scored input is read once.
     """
-    totals = scored.agg(
-        F.count(F.lit(1)).cast("double").alias("all_forecasts"),
-        F.count_if(F.col("country_id") == HOME_COUNTRY).cast("double").alias("ru_forecasts"),
-        F.count_if(F.col("country_id") != HOME_COUNTRY).cast("double").alias("other_forecasts"),
-    )
-    stack_t = ", ".join(f"{i + 1}, '{m}', `{m}`" for i, m in enumerate(TOTAL_METRICS))
-    t = totals.selectExpr(f"stack({len(TOTAL_METRICS)}, {stack_t}) as (line, metric, value)").select(
-        F.col("line").cast("int"), F.lit("total").alias("period"), "metric", "value",
-        F.lit(None).cast("date").alias("value_date"))
-
-    wide = _period_wide(scored, periods)
-    value_metrics = PERIOD_METRICS[2:]
-    stack_v = ", ".join(f"{i + 3}, '{m}', `{m}`" for i, m in enumerate(value_metrics))
-    v = wide.selectExpr("period_id", "period",
-                        f"stack({len(value_metrics)}, {stack_v}) as (pos, metric, value)").select(
-        "period_id", "period", "pos", "metric", F.col("value").cast("double"),
-        F.lit(None).cast("date").alias("value_date"))
-    d = wide.selectExpr("period_id", "period",
-                        "stack(2, 1, 'min_date', min_date, 2, 'max_date', max_date) as (pos, metric, value_date)"
-                        ).select("period_id", "period", "pos", "metric", F.lit(None).cast("double").alias("value"),
-                                 "value_date")
-    per = v.unionByName(d).select(
-        (F.lit(10) + F.col("period_id") * 20 + F.col("pos")).cast("int").alias("line"),
-        "period", "metric", "value", "value_date")
-    return t.unionByName(per)
+    total = periods.sparkSession.createDataFrame(
+        [(TOTAL_PERIOD_ID, "total", None, None, True)], periods.schema)
+    per = periods.unionByName(total)
+    p = assign_periods(scored, per, "start_date")
+    rise, fall = F.col("forecast_direction") == 1, F.col("forecast_direction") == 2
+    n_rise, n_fall = F.count_if(rise), F.count_if(fall)
+    aggs = [F.count(F.lit(1)).cast("double").alias("all_forecasts"),
+            F.count_if(F.col("country_id") == HOME_COUNTRY).cast("double").alias("ru_forecasts"),
+            F.count_if(F.col("country_id") != HOME_COUNTRY).cast("double").alias("other_forecasts"),
+            F.min(F.when(rise, F.col("start_date"))).alias("min_date"),
+            F.max(F.when(rise, F.col("start_date"))).alias("max_date"),
+            n_rise.cast("double").alias("rise_forecasts"),
+            n_fall.cast("double").alias("fall_forecasts")]
+    for cond, total_n, d in ((rise, n_rise, "rise"), (fall, n_fall, "fall")):
+        for e in EXIT_NAMES:
+            ok = F.count_if(cond & (F.col("res" + e) >= 1))
+            aggs.append(F.try_divide(F.lit(100.0) * ok, total_n).alias(f"{d}_success_pct_{e}"))
+            aggs.append(F.avg(F.when(cond, F.col("proc" + e))).alias(f"{d}_yield_{e}"))
+    wide = p.groupBy("period_id").agg(*aggs)
+    wide = F.broadcast(per.select("period_id", "period")).join(wide, "period_id", "left")
+
+    entries = [(i + 1, m, f"`{m}`", "NULL") for i, m in enumerate(TOTAL_METRICS)]
+    entries += [(10 + i + 1, m, "NULL", f"`{m}`") for i, m in enumerate(PERIOD_METRICS[:2])]
+    entries += [(10 + i + 3, m, f"CAST(`{m}` AS DOUBLE)", "NULL") for i, m in enumerate(PERIOD_METRICS[2:])]
+    body = ", ".join(f"{pos}, '{m}', {v}, CAST({d} AS DATE)" for pos, m, v, d in entries)
+    long = wide.selectExpr("period_id", "period",
+                           f"stack({len(entries)}, {body}) as (pos, metric, value, value_date)")
+    is_total_metric = F.col("metric").isin(*TOTAL_METRICS)
+    long = long.filter((F.col("period_id") == TOTAL_PERIOD_ID) == is_total_metric)
+    line = F.when(F.col("period_id") == TOTAL_PERIOD_ID, F.col("pos")).otherwise(
+        F.col("period_id") * 20 + F.col("pos"))
+    return long.select(line.cast("int").alias("line"), "period", "metric",
+                       F.col("value").cast("double").alias("value"), "value_date")
 
 
 def render_report(report: DataFrame) -> DataFrame:

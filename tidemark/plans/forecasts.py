@@ -40,12 +40,12 @@ def price_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date, no
     hi = clamp_span_end(F.col("end_date"), as_of, now)
     fl = span_aggregate(f, quotes, key="ticker", span_id="_fkey", lo=lo, hi=hi,
                         time_col="datetime_start", measures=first_last_measures(), strategy=strategy)
-    ps = F.col("_first.v")
+    ps = F.col("first_v")
     out = f.join(fl, "_fkey", "left").select(
         *[c for c in forecasts.columns if c not in ("price_delta_forecast",)],
         F.col("price_delta_forecast").try_cast(schemas.DELTA).alias("price_delta_forecast"),
         ps.alias("price_start"),
-        F.when(F.col("end_date") <= lit_date(as_of), F.col("_last.v")).cast(schemas.PRICE_END).alias("price_end"),
+        F.when(F.col("end_date") <= lit_date(as_of), F.col("last_v")).cast(schemas.PRICE_END).alias("price_end"),
     )
     out = out.withColumn("price_forecast", target_price("price_start", "price_delta_forecast"))
     for c, t in (("price_max_real", schemas.PRICE), ("price_max_date", schemas.TS),
@@ -91,8 +91,8 @@ def span_extrema(forecasts: DataFrame, quotes: DataFrame, strategy: str = "rollu
                         time_col="datetime_end", measures=extrema_measures(), strategy=strategy)
     return ex.select(
         *[F.col("_fkey." + k).alias(k) for k in KEY],
-        F.col("_max.p").alias("price_max_real"), F.col("_max.t").alias("price_max_date"),
-        F.col("_min.p").alias("price_min_real"), F.col("_min.t").alias("price_min_date"),
+        F.col("max_p").alias("price_max_real"), F.col("max_t").alias("price_max_date"),
+        F.col("min_p").alias("price_min_real"), F.col("min_t").alias("price_min_date"),
     )
 
 
@@ -140,6 +140,6 @@ def backfill_end_prices(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date
                         lo=F.date_trunc("hour", F.col("date_inserted")).cast("timestamp_ntz"),
                         hi=span_end_ts(F.col("end_date")), time_col="datetime_start",
                         measures=first_last_measures(), strategy=strategy)
-    out = f.join(fl.select("_fkey", F.col("_last.v").alias("_pe")), "_fkey", "left")
+    out = f.join(fl.select("_fkey", F.col("last_v").alias("_pe")), "_fkey", "left")
     return out.withColumn("price_end", F.coalesce(F.col("price_end"), F.col("_pe").cast(schemas.PRICE_END))
                           ).drop("_fkey", "_pe")

@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import explode_rows
 from tidemark.functions.dates import iso_seconds, lit_ts
 from tidemark.functions.text import regex_group, trim_ws
 from tidemark.operators.dedup import keep_best
@@ -104,8 +105,8 @@ def blocks(items: DataFrame, hwm: _dt.datetime | DataFrame | None = None) -> Dat
     else:
         p = p.filter(F.col("date_inserted") > lit_ts(hwm or EPOCH))
     p = p.withColumn("lines", F.split(F.col("text"), "\n"))
-    kept = p.select("analyst_company_id", "external_id", "date_inserted", "lines",
-                    F.explode(_kept_starts(F.col("lines"))).alias("block_pos"))
+    kept = explode_rows(p, _kept_starts(F.col("lines")), "block_pos",
+                        "analyst_company_id", "external_id", "date_inserted", "lines")
     fields = block_fields(F.col("lines"), F.col("block_pos"))
     return kept.select("analyst_company_id", "external_id", "date_inserted", "block_pos",
                        *[c.alias(n) for n, c in fields.items()])

@@ -18,6 +18,8 @@ _BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of a finished stage are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -52,15 +54,18 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and materialised steps.
+    """The shared folder for checkpoints and materialised stages.
 
     A cluster names it in ``spark.checkpoint.dir`` (a shared filesystem such
     as HDFS or an object store); that value always wins. Only when it is
-    unset (local tests) a fresh temporary folder is created and used.
+    unset (local tests) a fresh temporary folder is created and used. The
+    folder is registered once; an already registered folder is returned
+    unchanged.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return sc.getCheckpointDir()

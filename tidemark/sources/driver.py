@@ -79,10 +79,16 @@ def ticks(events: DataFrame) -> DataFrame:
     )
 
 
+def _tick_order() -> Column:
+    # (ts, event_id) packed into one decimal so open/close stay hash aggregates.
+    from tidemark.operators.spans import micros, order_key
+    return order_key(micros("ts"), F.col("event_id"))
+
+
 def hourly_quotes(tk: DataFrame) -> DataFrame:
     """Hourly OHLCV candles per ticker (the stored quotes table)."""
     p = F.col("price").cast(schemas.PRICE)
-    order = F.struct("ts", "event_id")
+    order = _tick_order()
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     return (
         tk.groupBy("ticker", hour.alias("datetime_start"))
@@ -176,7 +182,7 @@ def post_pages(events: DataFrame) -> DataFrame:
 def ten_minute_quotes(tk: DataFrame) -> DataFrame:
     """10-minute OHLCV candles per ticker (the incremental quote feed)."""
     p = F.col("price").cast(schemas.PRICE)
-    order = F.struct("ts", "event_id")
+    order = _tick_order()
     start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 600) * 600)
     return (
         tk.groupBy("ticker", start.cast("timestamp_ntz").alias("datetime_start"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import dates, numbers, text
+from tidemark.functions.arrays import explode_rows
 from tidemark.sources.files import parse_json
 
 POST_PAGE = T.StructType(
@@ -28,7 +29,7 @@ def post_items(pages: DataFrame) -> DataFrame:
     rows (FLT-15): ``explode`` drops NULL and empty arrays.
     """
     doc = parse_json(pages, POST_PAGE)
-    return doc.select("analyst_company_id", F.explode("payload.items").alias("item")).select(
+    return explode_rows(doc, F.col("payload.items"), "item", "analyst_company_id").select(
         "analyst_company_id",
         F.col("item.id").alias("external_id"),
         F.col("item.inserted").alias("inserted"),
@@ -43,7 +44,7 @@ def quotes_from_candles(responses: DataFrame) -> DataFrame:
     (SCL-9); prices from ``{units, nano}`` (SCL-10).
     """
     doc = parse_json(responses, schemas.CANDLES_RESPONSE)
-    c = doc.select("ticker", "interval", F.explode("candles").alias("c"))
+    c = explode_rows(doc, F.col("candles"), "c", "ticker", "interval")
     start = F.try_to_timestamp(F.col("c.time"), F.lit(CANDLE_TIME_FORMAT)).cast("timestamp_ntz")
     return c.select(
         "ticker",
@@ -76,9 +77,9 @@ def asset_shares(lines: DataFrame) -> DataFrame:
     """
     doc = parse_json(lines, schemas.ASSET)
     shares = F.filter("instruments", lambda i: i.getField("instrument_kind") == SHARE_KIND)
+    sec = doc.filter(F.col("type") == SECURITY_ASSET).withColumnRenamed("name", "stock_name")
     return (
-        doc.filter(F.col("type") == SECURITY_ASSET)
-        .select(F.col("name").alias("stock_name"), F.explode(shares).alias("i"))
+        explode_rows(sec, shares, "i", "stock_name")
         .select(F.col("i.ticker").alias("ticker"), F.col("i.figi").alias("figi"),
                 "stock_name", F.col("i.class_code").alias("class_code"))
     )
