@@ -1,0 +1,65 @@
+"""SRC-6 candles, SRC-7 instruments, SRC-8 assets (landed JSON)."""
+
+import json
+from decimal import Decimal
+
+from conftest import ts
+from tidemark.plans import stocks
+from tidemark.sources import feeds
+
+
+def p(units, nano):
+    return {"units": units, "nano": nano}
+
+
+def test_candles(spark):
+    docs = [
+        {"ticker": "A", "interval": "CANDLE_INTERVAL_HOUR", "candles": [
+            {"time": "2024-01-01T10:00:00Z", "open": p("100", 500000000), "close": p("-1", -500000000),
+             "high": p("101", 0), "low": p("99", 999999999), "volume": "42"}]},
+        {"ticker": "B", "interval": "CANDLE_INTERVAL_10_MIN", "candles": [
+            {"time": "2024-01-01T10:00:00Z", "open": p("1", 1), "close": p("1", 0), "high": p("1", 0),
+             "low": p("1", 0), "volume": "1"}]},
+        {"ticker": "C", "interval": "CANDLE_INTERVAL_HOUR"},
+        {"ticker": "D", "interval": "CANDLE_INTERVAL_WEEK", "candles": [
+            {"time": "2024-01-01T10:00:00Z", "open": p("1", 0), "close": p("1", 0), "high": p("1", 0),
+             "low": p("1", 0), "volume": "1"}]},
+    ]
+    df = spark.createDataFrame([(json.dumps(x),) for x in docs], "value string")
+    out = {r["ticker"]: r for r in feeds.quotes_from_candles(df).collect()}
+    assert sorted(out) == ["A", "B", "D"]
+    a = out["A"]
+    assert a["datetime_start"] == ts("2024-01-01 10:00:00") and a["datetime_end"] == ts("2024-01-01 11:00:00")
+    assert a["open_price"] == Decimal("100.5") and a["close_price"] == Decimal("-1.5")
+    assert a["low_price"] == Decimal("100.000000")  # 99.999999999 rounds half-up at 6 places
+    assert a["volume"] == 42
+    assert out["B"]["datetime_end"] == ts("2024-01-01 10:10:00")
+    assert out["D"]["datetime_end"] is None
+
+
+def test_instruments_dedup_and_currency_default(spark):
+    rows = [
+        {"ticker": "X", "figi": "F2", "name": "x2", "country_of_risk": "RU", "nominal": {"currency": "rub"},
+         "lot": 1, "class_code": "TQBR", "sector": "it"},
+        {"ticker": "X", "figi": "F1", "name": "x1", "country_of_risk": "RU", "nominal": {"currency": ""},
+         "lot": 10, "class_code": "TQBR", "sector": "it"},
+        {"ticker": "Y", "figi": "F3", "name": "y", "country_of_risk": "US", "nominal": {},
+         "lot": 1, "class_code": "SPB", "sector": "energy"},
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+    out = {r["ticker"]: r for r in stocks.stock_dimension(feeds.instruments(df)).collect()}
+    assert out["X"]["figi"] == "F1" and out["X"]["currency"] == "usd" and out["X"]["lot"] == 10
+    assert out["Y"]["currency"] == "usd"
+
+
+def test_asset_shares(spark):
+    rows = [
+        {"type": "ASSET_TYPE_SECURITY", "name": "Co", "instruments": [
+            {"ticker": "S1", "figi": "f1", "class_code": "c", "instrument_kind": "INSTRUMENT_TYPE_SHARE"},
+            {"ticker": "B1", "figi": "f2", "class_code": "c", "instrument_kind": "INSTRUMENT_TYPE_BOND"}]},
+        {"type": "ASSET_TYPE_CURRENCY", "name": "Cur", "instruments": [
+            {"ticker": "S2", "figi": "f3", "class_code": "c", "instrument_kind": "INSTRUMENT_TYPE_SHARE"}]},
+        {"type": "ASSET_TYPE_SECURITY", "name": "Empty", "instruments": []},
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+    assert [tuple(r) for r in feeds.asset_shares(df).collect()] == [("S1", "f1", "Co", "c")]

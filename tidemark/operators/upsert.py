@@ -33,7 +33,8 @@ def assert_unique(batch: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.datetime,
-           update: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+           update: Sequence[str] | None = None, keep: Sequence[str] = (),
+           only_if_newer: str | None = None) -> DataFrame:
     """Insert new keys, update matched ones.
 
     * ``update``: columns the batch overwrites on a match (default: all
@@ -44,6 +45,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
     * ``created_at`` survives a match; ``updated_at`` becomes ``now``; new
       rows get ``now`` for both.
 
+    * ``only_if_newer``: a column (e.g. the post time); a matched row is
+      changed only when the batch value is not older than the stored one,
+      so a late, older record never overwrites a newer one (Q11).
+
     Target columns missing from the batch stay as they are on a match and
     are NULL for new rows. The batch must be unique on ``keys``.
     """
@@ -61,6 +66,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
     # target row; unmatched target rows come from the anti join.
     merged = t.join(b, cond, "right")
     matched = F.col("t." + keys[0]).isNotNull() if keys else F.lit(False)
+    stale = F.lit(False)
+    if only_if_newer:
+        stale = matched & (F.col("b." + only_if_newer) < F.col("t." + only_if_newer))
     now_c = lit_ts(now)
     out = []
     for c in cols:
@@ -69,9 +77,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
         elif c == "created_at":
             out.append(F.when(matched, F.col("t.created_at")).otherwise(now_c).alias(c))
         elif c == "updated_at":
-            out.append(now_c.alias(c))
+            out.append(F.when(stale, F.col("t.updated_at")).otherwise(now_c).alias(c))
         elif c in update and c in batch_cols:
-            out.append(F.col("b." + c).cast(target.schema[c].dataType).alias(c))
+            out.append(F.when(stale, F.col("t." + c))
+                       .otherwise(F.col("b." + c).cast(target.schema[c].dataType)).alias(c))
         elif c in batch_cols:
             out.append(F.when(matched, F.col("t." + c)).otherwise(F.col("b." + c))
                        .cast(target.schema[c].dataType).alias(c))

@@ -40,15 +40,17 @@ INDICATORS = _struct(
     ("indicator_name", S), ("success_proc", I), ("created_at", TS), ("updated_at", TS),
 )
 
+# Stored forecasts: natural key (analyst_company_id, ticker, start_date)
+# instead of a serial id (Q17); the indicator is referenced by name.
 FORECASTS = _struct(
-    ("id", L), ("analyst_company_id", I), ("ticker", S), ("start_date", DT),
+    ("analyst_company_id", I), ("ticker", S), ("start_date", DT),
     ("end_date", DT), ("forecast_direction", I), ("price_start", PRICE),
     ("price_forecast", PRICE), ("price_delta_forecast", DELTA),
     ("price_end", PRICE_END), ("price_max_real", PRICE), ("price_max_date", TS),
     ("price_min_real", PRICE), ("price_min_date", TS),
     ("end_real_price_delta", DELTA), ("price_max_delta", DELTA),
     ("price_min_delta", DELTA), ("forecast_result", T.ShortType()),
-    ("external_id", S), ("indicator_id", I), ("indicator_name", S),
+    ("external_id", S), ("indicator_name", S), ("date_inserted", TS),
     ("created_at", TS), ("updated_at", TS),
 )
 

@@ -1,0 +1,120 @@
+"""Structured Streaming twins of the incremental steps (STM-1..7).
+
+Each stream reads landed files with a declared schema; the file source's
+checkpoint is the high-water mark (processed files are never read again).
+Triggers are ``availableNow`` by default: one invocation drains what has
+landed and stops, which is how a scheduler (STM-7) runs it every few
+minutes; pass ``processing_time="10 minutes"`` for a long-running query.
+Keyed outputs go through ``foreachBatch`` into versioned tables whose
+version is the batch id, so a replayed batch is a no-op (STM-6).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark import schemas
+from tidemark.plans import posts as posts_plan
+from tidemark.plans import quotes as quotes_plan
+from tidemark.plans import weblog as weblog_plan
+from tidemark.sinks.tables import PartitionedKeyedTable, VersionedTable
+from tidemark.sources import feeds
+
+
+def _trigger(writer, processing_time: str | None):
+    return writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+
+
+# --- weblog (STM-1, STM-2, STM-3, SNK-8) -------------------------------------------
+
+def weblog_events(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """SRC-4: tail the weblog folder from the beginning, headerless CSV."""
+    r = spark.readStream.schema(schemas.WEBLOG).option("header", False)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = r.csv(source_dir)
+    # STM-2: the ingest time of a micro-batch is its processing time.
+    return weblog_plan.page_views(lines, F.current_timestamp().cast("timestamp_ntz"))
+
+
+def start_weblog(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """STM-1: parse, type, timestamp and append page views as parquet
+    documents partitioned by event date (with exact-match copies, SNK-8)."""
+    docs = weblog_plan.index_documents(weblog_events(spark, source_dir, max_files_per_trigger))
+    w = (docs.withColumn("event_date", F.to_date("event_time"))
+         .writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).option("path", out_dir)
+         .partitionBy("event_date"))
+    return _trigger(w, processing_time).start()
+
+
+# --- posts (STM-4, SNK-3, SNK-5, SNK-7) ----------------------------------------------
+
+def post_items_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    r = spark.readStream.schema("value string")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return feeds.post_items(r.text(source_dir))
+
+
+def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable, indicators: VersionedTable,
+                rejected_dir: str, checkpoint: str, now: _dt.datetime,
+                processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """STM-4: parse newly landed post pages, upsert forecasts and new
+    indicators per micro-batch, append rejected blocks to a quarantine.
+
+    The parsed columns of a stored forecast are updated by a newer post only
+    (Q11), its evaluation columns never (Q20); only unknown indicator names
+    are inserted (Q26).
+    """
+    items = post_items_stream(spark, source_dir, max_files_per_trigger)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        blocks = posts_plan.blocks(df)
+        blocks.filter(F.col("reason").isNotNull()).write.mode("append").parquet(f"{rejected_dir}/batch={batch_id}")
+        good = blocks.filter(F.col("reason").isNull()).drop("reason")
+        start = F.to_date("date_inserted")
+        parsed = good.withColumn("start_date", start).withColumn("end_date", F.date_add(start, F.col("term")))
+        latest = posts_plan.latest_forecasts(parsed)
+        new_ind = posts_plan.new_indicators(latest, indicators.read())
+        indicators.upsert(new_ind, batch_id, now)
+        fc_cols = [f.name for f in forecasts.schema.fields]
+        b = latest.select(*[F.col(c).cast(forecasts.schema[c].dataType) if c in latest.columns
+                            else F.lit(None).cast(forecasts.schema[c].dataType).alias(c)
+                            for c in fc_cols if c not in ("created_at", "updated_at")])
+        upd = [c for c in latest.columns if c in fc_cols and c not in forecasts.keys]
+        forecasts.upsert(b, batch_id, now, update=upd, only_if_newer="date_inserted")
+
+    w = items.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, processing_time).start()
+
+
+# --- quotes (STM-5, STM-6, SNK-6) ------------------------------------------------------
+
+def start_quotes(spark: SparkSession, source_dir: str, quotes: VersionedTable | PartitionedKeyedTable,
+                 checkpoint: str, now: _dt.datetime, processing_time: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """STM-5/6: landed candle responses to typed quotes, de-duplicated and
+    upserted on (ticker, datetime_start) once per micro-batch.
+
+    With a ``PartitionedKeyedTable`` (partitioned by candle day) a batch
+    rewrites only the days it brings candles for."""
+    r = spark.readStream.schema("value string")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    candles = feeds.quotes_from_candles(r.text(source_dir))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        b = quotes_plan.dedup_quote_batch(df)
+        if isinstance(quotes, PartitionedKeyedTable):
+            quotes.upsert(b, batch_id, now, F.to_date("datetime_start"), update=quotes_plan.QUOTE_VALUES)
+        else:
+            quotes.upsert(b, batch_id, now, update=quotes_plan.QUOTE_VALUES)
+
+    w = candles.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, processing_time).start()
