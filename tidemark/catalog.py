@@ -363,6 +363,45 @@ def q_company_external_ids(spark, sf_dir):
     return p.filter(F.col("analyst_company_id") == 2).select("external_id").distinct()
 
 
+@register("backfilled_end_prices")
+def q_backfilled_end_prices(spark, sf_dir):
+    """Q2: forecasts priced while still open get their end price later."""
+    c = Chain(spark, sf_dir)
+    live = c.priced(LIVE_AS_OF, LIVE_NOW)
+    filled = forecasts.backfill_end_prices(live, c.quotes, AS_OF)
+    return filled.select(*KEYS, "end_date", *_dbl("price_start", "price_end"))
+
+
+@register("mixed_candle_lengths")
+def q_mixed_candle_lengths(spark, sf_dir):
+    """Q18: after the 10-minute upsert, tickers holding both candle lengths."""
+    c, p = _live(spark, sf_dir)
+    u = quotes.upsert_quotes(_stored_quotes(c), _increment(c, p), LIVE_NOW)
+    return quality.mixed_candle_lengths(u)
+
+
+@register("closed_from_post_time")
+def q_closed_from_post_time(spark, sf_dir):
+    """Q3 option: extrema window from the post time instead of midnight."""
+    c = Chain(spark, sf_dir)
+    cl = forecasts.close_forecasts(c.priced(), c.quotes, AS_OF, from_post_time=True)
+    return cl.select(*KEYS, F.col("forecast_result").cast("int").alias("forecast_result"),
+                     *_dbl("price_max_delta", "price_min_delta"), "price_max_date", "price_min_date")
+
+
+@register("upsert_stocks")
+def q_upsert_stocks(spark, sf_dir):
+    """SNK-4: a stored dimension (customers of the first half, loaded earlier)
+    refreshed from the full instrument list."""
+    from tidemark.functions.dates import lit_ts
+    inst = feeds.instruments(driver.instrument_lines(_t(spark, sf_dir, "customer")))
+    half = stocks.stock_dimension(inst).filter(F.col("ticker") < "T5")
+    stored = (half.withColumn("stock_name", F.upper("stock_name"))
+              .withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT)))
+    u = stocks.upsert_stocks(stored, inst, NOW)
+    return u.select("ticker", "figi", "stock_name", "currency", "lot", "created_at", "updated_at")
+
+
 # --- weblog --------------------------------------------------------------------
 
 INGEST_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)

@@ -62,3 +62,18 @@ def code_violations(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame
     for c, vals in allowed.items():
         cond = cond | (F.col(c).isNotNull() & ~F.col(c).isin(*vals))
     return df.filter(cond)
+
+
+def mixed_candle_lengths(quotes: DataFrame, key: str = "ticker") -> DataFrame:
+    """Q18: keys whose stored candles have more than one length
+    (``datetime_end - datetime_start``), e.g. hourly and 10-minute candles
+    written under the same (ticker, datetime_start) key space."""
+    length = (F.unix_seconds(F.col("datetime_end").cast("timestamp"))
+              - F.unix_seconds(F.col("datetime_start").cast("timestamp")))
+    per = quotes.groupBy(key, length.alias("candle_seconds")).agg(F.count(F.lit(1)).alias("candles"))
+    return per.groupBy(key).agg(
+        F.count(F.lit(1)).alias("lengths"),
+        F.sum("candles").alias("candles"),
+        F.min("candle_seconds").alias("min_seconds"),
+        F.max("candle_seconds").alias("max_seconds"),
+    ).filter(F.col("lengths") > 1)

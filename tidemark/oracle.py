@@ -229,7 +229,7 @@ def priced_cte(as_of: str, now: str, src: str = "known", name: str = "priced") -
 DUE = f"""due AS (SELECT * FROM priced WHERE forecast_result IS NULL AND end_date < {AS_OF} AND price_start IS NOT NULL)"""
 
 
-def extrema_cte(src: str = "due", name: str = "ext") -> str:
+def extrema_cte(src: str = "due", name: str = "ext", lo: str = "CAST(d.start_date AS TIMESTAMP)") -> str:
     return f"""{name} AS (
   SELECT d.analyst_company_id, d.ticker, d.start_date,
          max(q.high_price) AS price_max_real,
@@ -237,7 +237,7 @@ def extrema_cte(src: str = "due", name: str = "ext") -> str:
          min(q.low_price) AS price_min_real,
          arg_min(q.datetime_end, {{'p': q.low_price, 'o': epoch_us(q.datetime_end)}}) FILTER (WHERE q.low_price IS NOT NULL) AS price_min_date
   FROM {src} d JOIN quotes q ON q.ticker = d.ticker
-       AND q.datetime_end >= CAST(d.start_date AS TIMESTAMP)
+       AND q.datetime_end >= {lo}
        AND q.datetime_end <= CAST(d.end_date AS TIMESTAMP) + INTERVAL 12 HOUR
   GROUP BY d.analyst_company_id, d.ticker, d.start_date)"""
 
@@ -593,3 +593,35 @@ ORACLE["code_violations"] = _with(*CHAIN[:11]) + f"""
 SELECT {KEYS}, CAST(forecast_direction AS INTEGER) AS forecast_direction,
        CAST(forecast_result AS INTEGER) AS forecast_result
 FROM closed WHERE forecast_direction NOT IN (1, 2) OR forecast_result NOT IN (0, 1, 2, 3)"""
+
+
+ORACLE["backfilled_end_prices"] = _with(*LIVE, f"""bf AS (
+  SELECT l.analyst_company_id, l.ticker, l.start_date, arg_max(q.open_price, q.datetime_start) AS pe
+  FROM live l JOIN quotes q ON q.ticker = l.ticker AND q.datetime_start >= date_trunc('hour', l.date_inserted)
+       AND q.datetime_start <= CAST(l.end_date AS TIMESTAMP) + INTERVAL 12 HOUR
+  WHERE l.price_end IS NULL AND l.end_date <= {AS_OF} AND l.price_start IS NOT NULL AND l.forecast_result IS NULL
+  GROUP BY l.analyst_company_id, l.ticker, l.start_date)""") + f"""
+SELECT {KEYS}, end_date, CAST(price_start AS DOUBLE) AS price_start,
+       CAST(coalesce(price_end, CAST(bf.pe AS DECIMAL(16,10))) AS DOUBLE) AS price_end
+FROM live LEFT JOIN bf USING ({KEYS})"""
+
+ORACLE["mixed_candle_lengths"] = _with(*LIVE, QUOTES10, HW, """u AS (
+  SELECT ticker, datetime_start, datetime_end FROM stored
+  WHERE (ticker, datetime_start) NOT IN (SELECT (ticker, datetime_start) FROM inc)
+  UNION ALL SELECT ticker, datetime_start, datetime_end FROM inc)""") + """
+SELECT ticker, count(*) AS lengths, CAST(sum(candles) AS BIGINT) AS candles, min(candle_seconds) AS min_seconds,
+       max(candle_seconds) AS max_seconds
+FROM (SELECT ticker, date_diff('second', datetime_start, datetime_end) AS candle_seconds, count(*) AS candles
+      FROM u GROUP BY ticker, date_diff('second', datetime_start, datetime_end))
+GROUP BY ticker HAVING count(*) > 1"""
+
+ORACLE["closed_from_post_time"] = _with(*CHAIN[:9], extrema_cte(lo="d.date_inserted"), CLOSED) + f"""
+SELECT {KEYS}, CAST(forecast_result AS INTEGER) AS forecast_result,
+       CAST(price_max_delta AS DOUBLE) AS price_max_delta, CAST(price_min_delta AS DOUBLE) AS price_min_delta,
+       price_max_date, price_min_date
+FROM closed"""
+
+ORACLE["upsert_stocks"] = _with(STOCKS) + f"""
+SELECT s.ticker, s.figi, s.stock_name, s.currency, s.lot,
+       CASE WHEN old.ticker IS NULL THEN {NOW} ELSE {LOADED_AT} END AS created_at, {NOW} AS updated_at
+FROM stocks s LEFT JOIN (SELECT ticker FROM stocks WHERE ticker < 'T5') old ON s.ticker = old.ticker"""

@@ -81,13 +81,19 @@ def due_forecasts(forecasts: DataFrame, as_of: _dt.date, analyst_company_id: int
     return _company(f, analyst_company_id)
 
 
-def span_extrema(forecasts: DataFrame, quotes: DataFrame, strategy: str = "rollup") -> DataFrame:
+def span_extrema(forecasts: DataFrame, quotes: DataFrame, strategy: str = "rollup",
+                 from_post_time: bool = False) -> DataFrame:
     """JON-4 + AGG-8: per forecast key the highest high and lowest low of the
     candles with ``datetime_end`` in [start_date 00:00, end_date 12:00],
-    with the candle end time of each (earliest on ties, NULL prices ignored)."""
-    f = forecasts.select(*KEY, "end_date").withColumn("_fkey", _fkey())
+    with the candle end time of each (earliest on ties, NULL prices ignored).
+
+    ``from_post_time`` starts the window at the post time instead of
+    midnight (Q3: the default window also sees the hours before the post).
+    """
+    lo = F.col("date_inserted") if from_post_time else F.to_timestamp_ntz(F.col("start_date"))
+    f = forecasts.select(*KEY, "end_date", lo.alias("_lo")).withColumn("_fkey", _fkey())
     ex = span_aggregate(f, quotes, key="ticker", span_id="_fkey",
-                        lo=F.to_timestamp_ntz(F.col("start_date")), hi=span_end_ts(F.col("end_date")),
+                        lo=F.col("_lo"), hi=span_end_ts(F.col("end_date")),
                         time_col="datetime_end", measures=extrema_measures(), strategy=strategy)
     return ex.select(
         *[F.col("_fkey." + k).alias(k) for k in KEY],
@@ -107,7 +113,8 @@ def result_code(delta: F.Column, direction: F.Column) -> F.Column:
 
 
 def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
-                    strategy: str = "rollup", analyst_company_id: int = 0) -> DataFrame:
+                    strategy: str = "rollup", analyst_company_id: int = 0,
+                    from_post_time: bool = False) -> DataFrame:
     """DOM-3: due forecasts with an end price, closed against their span.
 
     FLT-13 skips a NULL or zero ``price_end``; forecasts without candles in
@@ -117,7 +124,7 @@ def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
     due = due_forecasts(forecasts, as_of, analyst_company_id).filter(
         F.col("price_end").isNotNull() & (F.col("price_end") != 0))
     due = keep_best(due, KEY, [-F.col("id")]) if "id" in due.columns else due
-    ex = span_extrema(due, quotes, strategy)
+    ex = span_extrema(due, quotes, strategy, from_post_time)
     base = due.drop(*[c for c in EVALUATION if c in due.columns])
     closed = base.join(ex, KEY, "inner")
     closed = (closed
