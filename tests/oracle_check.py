@@ -51,7 +51,8 @@ def rows_of(cols, rows):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = build_session("local[8]")
+    spark = build_session(os.environ.get("ORACLE_MASTER", "local[8]"),
+                          shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE", "0")) or None)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

@@ -37,11 +37,25 @@ inc AS (
   FROM crime c JOIN types t ON TRY_CAST(c.OFFENSE_CODE AS INTEGER) = t.CODE
   WHERE c.DISTRICT IS NOT NULL)"""
 
+def mean6(col: str) -> str:
+    """Exact mean of ``col`` (summed as decimal(20,10)) rounded half-up to 6 places."""
+    n = f"CAST(sum(CAST({col} AS DECIMAL(20,10))) * 10000000000 AS HUGEINT)"
+    c = f"CAST(count({col}) AS HUGEINT)"
+    q = f"((2 * abs({n}) * 1000000 + {c} * 10000000000) // (2 * {c} * 10000000000))"
+    return (f"CASE WHEN count({col}) = 0 THEN NULL ELSE "
+            f"CAST(CAST(sign({n}) * {q} AS DECIMAL(38,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DOUBLE) END")
+
+
 MONTHLY = r"""monthly AS (
   SELECT DISTRICT, YEAR, MONTH, count(INCIDENT_NUMBER) AS month_crime_count,
          avg(Lat) AS Lat, avg(Long) AS Long
   FROM inc GROUP BY DISTRICT, YEAR, MONTH)"""
 
+MONTHLY6 = f"""monthly AS (
+  SELECT DISTRICT, YEAR, MONTH, count(INCIDENT_NUMBER) AS month_crime_count,
+         {mean6('Lat')} AS Lat, {mean6('Long')} AS Long
+  FROM inc GROUP BY DISTRICT, YEAR, MONTH)"""
+
 TOP = r"""tc AS (SELECT DISTRICT, crime_type, count(*) AS district_crime_type_count FROM inc GROUP BY 1, 2),
 top AS (
   SELECT * FROM (SELECT *, rank() OVER (PARTITION BY DISTRICT ORDER BY district_crime_type_count DESC) AS rank
@@ -62,9 +76,9 @@ FROM topc JOIN stats s ON topc.DISTRICT = s.DISTRICT"""
 ORACLE["district_top_types"] = _with(CRIME, CODES, INC, TOP) + r"""
 SELECT DISTRICT AS district, crime_type, district_crime_type_count, CAST(rank AS INTEGER) AS rank FROM top"""
 
-ORACLE["district_monthly"] = _with(CRIME, CODES, INC, MONTHLY) + r"""
+ORACLE["district_monthly"] = _with(CRIME, CODES, INC, MONTHLY6) + r"""
 SELECT DISTRICT AS district, CAST(YEAR AS INTEGER) AS year, CAST(MONTH AS INTEGER) AS month,
-       month_crime_count, round(Lat, 6) AS Lat, round(Long, 6) AS Long FROM monthly"""
+       month_crime_count, Lat, Long FROM monthly"""
 
 
 # --- forecast chain ----------------------------------------------------------

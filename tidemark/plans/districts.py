@@ -33,16 +33,40 @@ def incidents(crime: DataFrame, codes: DataFrame) -> DataFrame:
     return c.join(offense_types(codes), "CODE", "inner")
 
 
-def district_monthly(inc: DataFrame) -> DataFrame:
-    """AGG-1 first level: per (district, year, month) count of incident numbers
-    (AGG-2: non-null only) and mean position."""
-    return inc.groupBy("DISTRICT", "YEAR", "MONTH").agg(
-        F.count("INCIDENT_NUMBER").alias("month_crime_count"),
-        F.avg("Lat").alias("Lat"),
-        F.avg("Long").alias("Long"),
+def district_cells(inc: DataFrame) -> DataFrame:
+    """One partial row per (district, year, month, type).
+
+    Both branches of the mart are sums over these cells, so the incident
+    facts are scanned and shuffled once; map-side combining shrinks the
+    shuffle to the number of cells, and a hot district is pre-aggregated in
+    every task before it moves. Positions are summed as ``decimal(20,10)``
+    (exact, sub-millimetre), so the monthly means do not depend on how the
+    rows were partitioned.
+    """
+    pos = "decimal(20,10)"
+    return inc.groupBy("DISTRICT", "YEAR", "MONTH", "crime_type").agg(
+        F.count("INCIDENT_NUMBER").alias("n_numbered"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("Lat").cast(pos)).alias("lat_sum"), F.count("Lat").alias("lat_n"),
+        F.sum(F.col("Long").cast(pos)).alias("long_sum"), F.count("Long").alias("long_n"),
+    )
+
+
+def monthly_from_cells(cells: DataFrame) -> DataFrame:
+    """AGG-1 first level: per (district, year, month) the count of incident
+    numbers (AGG-2: non-null only) and the mean position."""
+    return cells.groupBy("DISTRICT", "YEAR", "MONTH").agg(
+        F.sum("n_numbered").alias("month_crime_count"),
+        F.try_divide(F.sum("lat_sum"), F.sum("lat_n")).cast("double").alias("Lat"),
+        F.try_divide(F.sum("long_sum"), F.sum("long_n")).cast("double").alias("Long"),
     )
 
 
+def district_monthly(inc: DataFrame) -> DataFrame:
+    """AGG-1 first level from incidents."""
+    return monthly_from_cells(district_cells(inc))
+
+
 def district_stats(monthly: DataFrame) -> DataFrame:
     """AGG-1 second level: median month (AGG-3), total (AGG-4), mean of means (AGG-5).
 
@@ -57,24 +81,27 @@ def district_stats(monthly: DataFrame) -> DataFrame:
     )
 
 
-def district_top_types(inc: DataFrame, k: int = TOP_TYPES) -> DataFrame:
+def top_types_from_cells(cells: DataFrame, k: int = TOP_TYPES) -> DataFrame:
     """WIN-1 / SRT-1 / PRJ-9: per district the types ranked <= k by row count
     (``count()`` counts rows, including NULL incident numbers, AGG-2)."""
-    counts = inc.groupBy("DISTRICT", "crime_type").agg(
-        F.count(F.lit(1)).alias("district_crime_type_count"))
+    counts = cells.groupBy("DISTRICT", "crime_type").agg(
+        F.sum("n_rows").alias("district_crime_type_count"))
     return top_k_ranked(counts, ["DISTRICT"], [F.col("district_crime_type_count").desc()], k)
 
 
+def district_top_types(inc: DataFrame, k: int = TOP_TYPES) -> DataFrame:
+    return top_types_from_cells(district_cells(inc), k)
+
+
 def district_mart(crime: DataFrame, codes: DataFrame, k: int = TOP_TYPES) -> DataFrame:
     """DOM-10: one row per district.
 
-    The joined incidents feed two branches; both start with a hash
-    aggregation, so the shared scan+join is cheap to recompute and no
-    ``persist`` is needed (AQE reuses the exchange when plans match).
+    Both branches start from the same cell aggregate, so Spark reuses its
+    exchange and the facts are read once; no ``persist`` is needed.
     """
-    inc = incidents(crime, codes)
-    stats = district_stats(district_monthly(inc))
-    top = district_top_types(inc, k).groupBy("DISTRICT").agg(
+    cells = district_cells(incidents(crime, codes))
+    stats = district_stats(monthly_from_cells(cells))
+    top = top_types_from_cells(cells, k).groupBy("DISTRICT").agg(
         ordered_concat("crime_type", [-F.col("district_crime_type_count"), F.col("crime_type")])
         .alias("frequent_crime_types"))
     return (top.join(stats, "DISTRICT", "inner")
