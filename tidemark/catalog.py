@@ -100,20 +100,24 @@ class Chain:
     a query that returns a stage itself gets the lazy plan.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    # Stages written out by default: the tables the original pipeline keeps
+    # between its jobs and that several later steps read.
+    STORED = ("quotes", "closed")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored=None):
         self.spark, self.sf_dir = spark, sf_dir
+        self.stored = set(self.STORED if stored is None else stored)
         ev = _t(spark, sf_dir, "events")
         self.items = feeds.post_items(spread(driver.post_pages(ev)))
         self.ticks = driver.ticks(ev)
         self._memo: dict = {}
 
-    def _stage(self, name, build, store=True):
-        key = (name, store)
-        if key not in self._memo:
-            df = build()
+    def _stage(self, name, build):
+        if name not in self._memo:
             label = name if isinstance(name, str) else name[0]
-            self._memo[key] = materialize(df, label) if store else df
-        return self._memo[key]
+            df = build()
+            self._memo[name] = materialize(df, label) if label in self.stored else df
+        return self._memo[name]
 
     # lazy definitions -------------------------------------------------------
     def quotes_plan(self):
