@@ -107,8 +107,8 @@ class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str, stored=None):
         self.spark, self.sf_dir = spark, sf_dir
         self.stored = set(self.STORED if stored is None else stored)
-        ev = _t(spark, sf_dir, "events")
-        self.items = feeds.post_items(spread(driver.post_pages(ev)))
+        ev = spread(_t(spark, sf_dir, "events"))
+        self.items = feeds.post_items(driver.post_pages(ev))
         self.ticks = driver.ticks(ev)
         self._memo: dict = {}
 
