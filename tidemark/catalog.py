@@ -317,6 +317,13 @@ def q_upsert_quotes(spark, sf_dir):
                     "created_at", "updated_at")
 
 
+@register("fetch_requests")
+def q_fetch_requests(spark, sf_dir):
+    c, p = _live(spark, sf_dir)
+    starts = quotes.fetch_starts(_stored_quotes(c), forecasts.active_forecasts(p, LIVE_AS_OF))
+    return quotes.fetch_requests(starts, c.stocks, LIVE_NOW)
+
+
 @register("quotes_from_candles")
 def q_quotes_from_candles(spark, sf_dir):
     tk = driver.ticks(_t(spark, sf_dir, "events"))

@@ -639,3 +639,8 @@ ORACLE["upsert_stocks"] = _with(STOCKS) + f"""
 SELECT s.ticker, s.figi, s.stock_name, s.currency, s.lot,
        CASE WHEN old.ticker IS NULL THEN {NOW} ELSE {LOADED_AT} END AS created_at, {NOW} AS updated_at
 FROM stocks s LEFT JOIN (SELECT ticker FROM stocks WHERE ticker < 'T5') old ON s.ticker = old.ticker"""
+
+
+ORACLE["fetch_requests"] = _with(*LIVE, QUOTES10, HW) + f"""
+SELECT s.ticker, st.figi, s.fetch_from AS from_ts, {LIVE_NOW} AS to_ts, 'CANDLE_INTERVAL_10_MIN' AS interval
+FROM starts s JOIN stocks st ON s.ticker = st.ticker"""

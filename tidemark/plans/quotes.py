@@ -56,3 +56,18 @@ def upsert_quotes(stored: DataFrame, batch: DataFrame, now: _dt.datetime) -> Dat
     visible as ``datetime_end - datetime_start``.
     """
     return upsert(stored, dedup_quote_batch(batch), QUOTE_KEY, now, update=QUOTE_VALUES)
+
+
+def fetch_requests(starts: DataFrame, stocks: DataFrame, now: _dt.datetime,
+                   interval: str = "CANDLE_INTERVAL_10_MIN") -> DataFrame:
+    """JON-11 + SCL-28: one candle request per ticker of an active forecast.
+
+    The instrument code comes from the stock dimension (an equi join, left
+    to AQE's size-checked broadcast); the window runs from the ticker's
+    fetch start to ``now`` (open span). Tickers missing from the dimension
+    cannot be requested and are left out.
+    """
+    from tidemark.functions.dates import lit_ts
+    return starts.join(stocks.select("ticker", "figi"), "ticker", "inner").select(
+        "ticker", "figi", F.col("fetch_from").alias("from_ts"), lit_ts(now).alias("to_ts"),
+        F.lit(interval).alias("interval"))
