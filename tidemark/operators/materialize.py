@@ -39,7 +39,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scale this adds no shuffle.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the input as is
+        return df
+    if have >= target:
         return df
     return df.repartition(target)

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def assign_periods(df: DataFrame, periods: DataFrame, date_col: str) -> DataFrame:
+MAX_PERIODS = 10_000
+
+
+class TooManyPeriods(ValueError):
+    """The period list is too large to be broadcast."""
+
+
+def assign_periods(df: DataFrame, periods: DataFrame, date_col: str, max_periods: int = MAX_PERIODS) -> DataFrame:
     """Every row once per period containing ``date_col`` (periods may overlap).
 
     ``periods`` has ``period_id, period, lo, hi, lo_inclusive``; ``lo`` NULL
@@ -14,6 +21,9 @@ def assign_periods(df: DataFrame, periods: DataFrame, date_col: str) -> DataFram
     caller, so it is broadcast and the join runs as a broadcast nested loop
     without shuffling the fact rows.
     """
+    n = periods.count()  # a handful of local rows; proves the broadcast bound
+    if n > max_periods:
+        raise TooManyPeriods(f"{n} periods exceed the broadcast bound of {max_periods}")
     p = F.broadcast(periods)
     d = F.col(date_col)
     lower = (F.col("lo").isNull()

@@ -62,7 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder is registered once; an already registered folder is returned
     unchanged.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
     current = sc.getCheckpointDir()
     if current:
         return current
