@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # These patterns must stay as they are for results to match.
 # Separator between an offense type and its detail ("TYPE - detail").
 NAME_SEPARATOR = r"\s+\-\s+"
-# URI path and URI parameter classes of the weblog parser (standard grok
+# URI path and URI parameter classes of the weblog parser (the common public
 # URIPATH / URIPARAM definitions). The parameter part keeps its leading "?".
 URI_PATH = r"((?:/[A-Za-z0-9$.+!*'(){},~:;=@#%&_\-]*)+)"
 URI_PARAM = r"(\?[A-Za-z0-9$.+!*'|(){},~@#%&/=:;_?\-\[\]<>]*)?"

@@ -14,8 +14,8 @@ from tidemark.functions.text import keyword, strip_prefix, strip_whitespace, uri
 
 # Event type and failure tags.
 EVENT_TYPE = "weblog"
-TAG_GROK = "_grokparsefailure"
-TAG_DISSECT = "_dissectfailure"
+TAG_PATTERN = "_grokparsefailure"
+TAG_PREFIX = "_dissectfailure"
 TAG_DATE = "_dateparsefailure"
 TAG_CONVERT = "_convertfailure"
 TIME_PREFIX = "["
@@ -39,8 +39,8 @@ def page_views(lines: DataFrame, ingest_time: Column | None = None) -> DataFrame
     time_val = F.coalesce(time_txt, F.col("Time"))
     parsed = weblog_time(time_val)
     tags = F.array_compact(F.array(
-        F.when(page.isNull(), F.lit(TAG_GROK)),
-        F.when(time_txt.isNull(), F.lit(TAG_DISSECT)),
+        F.when(page.isNull(), F.lit(TAG_PATTERN)),
+        F.when(time_txt.isNull(), F.lit(TAG_PREFIX)),
         F.when(status.isNull() & (status_txt != ""), F.lit(TAG_CONVERT)),
         F.when(parsed.isNull(), F.lit(TAG_DATE)),
     ))
