@@ -73,8 +73,9 @@ def test_posts_stream_equals_batch(spark, tmp_dir):
     _land_text(driver.post_pages(ev), src, 3)
     fc = VersionedTable(spark, f"{tmp_dir}/forecasts", schemas.FORECASTS, ["analyst_company_id", "ticker", "start_date"])
     ind = VersionedTable(spark, f"{tmp_dir}/indicators", schemas.INDICATORS, ["indicator_name"])
+    log = VersionedTable(spark, f"{tmp_dir}/parser_log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
     pipelines.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck", NOW,
-                          max_files_per_trigger=1).awaitTermination()
+                          max_files_per_trigger=1, parser_log=log).awaitTermination()
     items = feeds.post_items(spark.read.text(src))
     batch = posts.latest_forecasts(posts.parse_forecasts(items))
     key = ["analyst_company_id", "ticker", "start_date"]
@@ -84,6 +85,13 @@ def test_posts_stream_equals_batch(spark, tmp_dir):
     assert sorted(r[0] for r in ind.read().select("indicator_name").collect()) == \
         sorted(r[0] for r in posts.new_indicators(batch).select("indicator_name").collect())
     assert spark.read.parquet(f"{tmp_dir}/rejected").count() == posts.rejected_blocks(items).count()
+    # the last run per company carries the newest post time: the next run's high-water mark
+    from tidemark.operators.highwater import last_run
+    hw = {r["analyst_company_id"]: r["hwm"] for r in last_run(log.read()).collect()}
+    newest = {r[0]: r[1] for r in items.selectExpr("analyst_company_id", "substring_index(inserted, '.', 1) AS t")
+              .groupBy("analyst_company_id").agg(F.max("t")).collect()}
+    assert sorted(hw) == sorted(newest) and len(log.versions()) == 3
+    assert all(hw[k] == dt.datetime.fromisoformat(v) for k, v in newest.items())
 
 
 def test_quotes_stream_into_partitioned_table(spark, tmp_dir):

@@ -62,7 +62,7 @@ QUOTES = _struct(
 
 PARSER_LOG = _struct(
     ("run_id", L), ("analyst_company_id", I), ("start_time", TS), ("end_time", TS),
-    ("forecast_datetime", TS), ("external_id", S),
+    ("forecast_datetime", TS), ("external_id", S), ("created_at", TS), ("updated_at", TS),
 )
 
 # Landed JSON shapes of the two feeds.

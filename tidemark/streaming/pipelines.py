@@ -64,13 +64,16 @@ def post_items_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
 
 def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable, indicators: VersionedTable,
                 rejected_dir: str, checkpoint: str, now: _dt.datetime,
-                processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                parser_log: VersionedTable | None = None) -> StreamingQuery:
     """STM-4: parse newly landed post pages, upsert forecasts and new
     indicators per micro-batch, append rejected blocks to a quarantine.
 
     The parsed columns of a stored forecast are updated by a newer post only
     (Q11), its evaluation columns never (Q20); only unknown indicator names
-    are inserted (Q26).
+    are inserted (Q26). With ``parser_log`` each micro-batch also records a
+    run (SNK-7): per company the newest post time and its id, keyed by the
+    batch id, which ``operators.highwater.last_run`` reads back.
     """
     items = post_items_stream(spark, source_dir, max_files_per_trigger)
 
@@ -89,6 +92,11 @@ def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable,
                             for c in fc_cols if c not in ("created_at", "updated_at")])
         upd = [c for c in latest.columns if c in fc_cols and c not in forecasts.keys]
         forecasts.upsert(b, batch_id, now, update=upd, only_if_newer="date_inserted")
+        if parser_log is not None:
+            from tidemark.operators.highwater import run_record
+            rec = run_record(blocks.select("analyst_company_id", "external_id", "date_inserted"),
+                             batch_id, now, now)
+            parser_log.upsert(rec, batch_id, now, check_unique=False)
 
     w = items.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(w, processing_time).start()
