@@ -644,3 +644,14 @@ FROM stocks s LEFT JOIN (SELECT ticker FROM stocks WHERE ticker < 'T5') old ON s
 ORACLE["fetch_requests"] = _with(*LIVE, QUOTES10, HW) + f"""
 SELECT s.ticker, st.figi, s.fetch_from AS from_ts, {LIVE_NOW} AS to_ts, 'CANDLE_INTERVAL_10_MIN' AS interval
 FROM starts s JOIN stocks st ON s.ticker = st.ticker"""
+
+
+# --- streaming twins: the final tables equal their batch twins ---------------------
+
+ORACLE["page_views_stream"] = ORACLE["page_views"]
+ORACLE["quotes_stream"] = ORACLE["quotes_from_candles"]
+ORACLE["posts_stream"] = _with(POSTS, blocks_cte(), parsed_cte()) + f"""
+SELECT {KEYS}, end_date, CAST(forecast_direction AS INTEGER) AS forecast_direction,
+       CAST(CAST(price_delta_forecast AS DECIMAL(7,3)) AS DOUBLE) AS price_delta_forecast,
+       external_id, indicator_name, date_inserted
+FROM parsed"""

@@ -31,21 +31,27 @@ def _trigger(writer, processing_time: str | None):
 
 # --- weblog (STM-1, STM-2, STM-3, SNK-8) -------------------------------------------
 
-def weblog_events(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """SRC-4: tail the weblog folder from the beginning, headerless CSV."""
+def weblog_events(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
+                  ingest_time=None) -> DataFrame:
+    """SRC-4: tail the weblog folder from the beginning, headerless CSV.
+
+    ``ingest_time`` defaults to the micro-batch's processing time (STM-2).
+    """
     r = spark.readStream.schema(schemas.WEBLOG).option("header", False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = r.csv(source_dir)
-    # STM-2: the ingest time of a micro-batch is its processing time.
-    return weblog_plan.page_views(lines, F.current_timestamp().cast("timestamp_ntz"))
+    if ingest_time is None:
+        ingest_time = F.current_timestamp().cast("timestamp_ntz")
+    return weblog_plan.page_views(lines, ingest_time)
 
 
 def start_weblog(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
-                 processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                 ingest_time=None) -> StreamingQuery:
     """STM-1: parse, type, timestamp and append page views as parquet
     documents partitioned by event date (with exact-match copies, SNK-8)."""
-    docs = weblog_plan.index_documents(weblog_events(spark, source_dir, max_files_per_trigger))
+    docs = weblog_plan.index_documents(weblog_events(spark, source_dir, max_files_per_trigger, ingest_time))
     w = (docs.withColumn("event_date", F.to_date("event_time"))
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_dir)
@@ -126,3 +132,9 @@ def start_quotes(spark: SparkSession, source_dir: str, quotes: VersionedTable |
 
     w = candles.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(w, processing_time).start()
+
+
+def land(df: DataFrame, folder: str, files: int, fmt: str = "text") -> str:
+    """Write ``df`` as ``files`` landed files (a feed drop), for replays and tests."""
+    df.repartition(files).write.mode("errorifexists").format(fmt).save(folder)
+    return folder
