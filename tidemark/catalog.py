@@ -94,10 +94,11 @@ FLAGSHIP = "effectiveness_report"
 class Chain:
     """Stages of the forecast chain over one set of driver tables.
 
-    Stage tables that later stages read more than once (quotes, stocks,
-    parsed forecasts, priced and closed forecasts) are materialised once per
-    chain, as the original pipeline keeps them in tables between its jobs;
-    a query that returns a stage itself gets the lazy plan.
+    The stored quotes and the closed (evaluated) forecasts, which the
+    original pipeline keeps in tables between its jobs and several later
+    steps read, are written once per chain (``STORED``); the other stages
+    stay lazy and Spark reuses their identical exchanges within a plan. A
+    query that returns a stage itself gets the lazy plan.
     """
 
     # Stages written out by default: the tables the original pipeline keeps
