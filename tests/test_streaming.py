@@ -106,3 +106,13 @@ def test_quotes_stream_into_partitioned_table(spark, tmp_dir):
     pipelines.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
     cols = ["ticker", "datetime_start", "datetime_end", "open_price", "high_price", "low_price", "volume"]
     assert sorted(map(tuple, table.read().select(*cols).collect())) == sorted(map(tuple, q.select(*cols).collect()))
+
+
+def test_console_sink_runs(spark, tmp_dir):
+    src = f"{tmp_dir}/w"
+    os.makedirs(src)
+    with open(f"{src}/a.csv", "w") as fh:
+        fh.write("10.0.0.1,[01/Jan/2024:00:00:01,GET /x.php HTTP/1.1,200\n")
+    q = pipelines.start_console(pipelines.weblog_events(spark, src), rows=5)
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 1

@@ -138,3 +138,9 @@ def land(df: DataFrame, folder: str, files: int, fmt: str = "text") -> str:
     """Write ``df`` as ``files`` landed files (a feed drop), for replays and tests."""
     df.repartition(files).write.mode("errorifexists").format(fmt).save(folder)
     return folder
+
+
+def start_console(stream: DataFrame, rows: int = 20, processing_time: str | None = None) -> StreamingQuery:
+    """SNK-2 (streaming): print each micro-batch for debugging."""
+    w = stream.writeStream.format("console").option("numRows", rows).option("truncate", False)
+    return _trigger(w, processing_time).start()
