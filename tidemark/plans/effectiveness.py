@@ -102,6 +102,7 @@ def render_report(report: DataFrame) -> DataFrame:
     """SCL-30 / AGG-13: the two-column text rendering (rounded for display)."""
     pct = F.col("metric").contains("success_pct")
     text = (F.when(F.col("value_date").isNotNull(), F.date_format("value_date", "yyyy-MM-dd"))
+            .when(F.col("value").isNull(), F.lit(None).cast("string"))
             .when(pct, F.format_string("%.1f", F.round("value", 1)))
             .when(F.col("metric").contains("yield"), F.format_string("%.3f", F.round("value", 3)))
             .otherwise(F.col("value").cast("long").cast("string")))
