@@ -33,7 +33,7 @@ def main(argv):
     spark = build_session("local[8]")
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE final plans)\n")
     print("Counts of plan nodes in the final executed plan; `reused` exchanges are computed once.")
-    print("Queries over the forecast chain read the stored quotes / closed-forecast stages")
+    print("Queries over the forecast chain read the stored quotes / parsed / closed-forecast stages")
     print("(`operators/materialize.py`); those stages ran as their own jobs before the query.\n")
     print("| query | " + " | ".join(n for n, _ in NODES) + " |")
     print("| --- | " + " | ".join("---" for _ in NODES) + " |")
