@@ -16,6 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from tidemark import schemas
 from tidemark.plans import posts as posts_plan
@@ -84,7 +85,15 @@ def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable,
     items = post_items_stream(spark, source_dir, max_files_per_trigger)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        blocks = posts_plan.blocks(df)
+        # One micro-batch feeds several writes: parse it once and keep the
+        # (bounded) result for the batch; it is recomputable if an executor is lost.
+        blocks = posts_plan.blocks(df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _post_batch(blocks, batch_id)
+        finally:
+            blocks.unpersist()
+
+    def _post_batch(blocks: DataFrame, batch_id: int) -> None:
         blocks.filter(F.col("reason").isNotNull()).write.mode("append").parquet(f"{rejected_dir}/batch={batch_id}")
         good = blocks.filter(F.col("reason").isNull()).drop("reason")
         start = F.to_date("date_inserted")
@@ -124,11 +133,14 @@ def start_quotes(spark: SparkSession, source_dir: str, quotes: VersionedTable |
     candles = feeds.quotes_from_candles(r.text(source_dir))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        b = quotes_plan.dedup_quote_batch(df)
-        if isinstance(quotes, PartitionedKeyedTable):
-            quotes.upsert(b, batch_id, now, F.to_date("datetime_start"), update=quotes_plan.QUOTE_VALUES)
-        else:
-            quotes.upsert(b, batch_id, now, update=quotes_plan.QUOTE_VALUES)
+        b = quotes_plan.dedup_quote_batch(df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if isinstance(quotes, PartitionedKeyedTable):
+                quotes.upsert(b, batch_id, now, F.to_date("datetime_start"), update=quotes_plan.QUOTE_VALUES)
+            else:
+                quotes.upsert(b, batch_id, now, update=quotes_plan.QUOTE_VALUES)
+        finally:
+            b.unpersist()
 
     w = candles.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(w, processing_time).start()
