@@ -129,3 +129,27 @@ def test_priced_forecast_prices(spark):
     # while the forecast is open (as_of before end date) no end price, span runs to now
     r2 = forecasts.price_forecasts(f, quotes, d("2024-01-02"), ts("2024-01-02 00:00:00")).first()
     assert r2["price_start"] == Decimal("51") and r2["price_end"] is None
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    from tidemark.sources import driver
+    from conftest import SF_SMALL
+    tk = driver.ticks(driver.table(spark, SF_SMALL, "events"))
+    f = fc_frame(spark, [(1, "T8", d("2024-01-01"), d("2024-01-20"), 1, Decimal("100"), Decimal("101"), None,
+                          ts("2024-01-01 00:30:00"))])
+
+    def snapshot():
+        q10 = sorted(map(tuple, driver.ten_minute_quotes(tk).collect()))
+        q = driver.hourly_quotes(tk)
+        ex = sorted(map(tuple, forecasts.span_extrema(f, q).collect()))
+        return q10, ex
+
+    base = snapshot()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")   # +05:45
+        other = snapshot()
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        third = snapshot()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other == third and len(base[1]) == 1

@@ -68,8 +68,7 @@ def mixed_candle_lengths(quotes: DataFrame, key: str = "ticker") -> DataFrame:
     """Q18: keys whose stored candles have more than one length
     (``datetime_end - datetime_start``), e.g. hourly and 10-minute candles
     written under the same (ticker, datetime_start) key space."""
-    length = (F.unix_seconds(F.col("datetime_end").cast("timestamp"))
-              - F.unix_seconds(F.col("datetime_start").cast("timestamp")))
+    length = F.timestamp_diff("SECOND", F.col("datetime_start"), F.col("datetime_end"))
     per = quotes.groupBy(key, length.alias("candle_seconds")).agg(F.count(F.lit(1)).alias("candles"))
     return per.groupBy(key).agg(
         F.count(F.lit(1)).alias("lengths"),

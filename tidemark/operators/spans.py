@@ -24,6 +24,7 @@ Spark use hash aggregation with map-side combining throughout.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping
 from decimal import Decimal
 from typing import NamedTuple
@@ -48,9 +49,14 @@ class Measure(NamedTuple):
 
 
 def micros(ts: Column | str) -> Column:
-    """Microseconds since the epoch of a zone-less timestamp (session zone UTC)."""
+    """Microseconds since 1970-01-01 00:00 of a zone-less timestamp.
+
+    Computed as a plain difference of zone-less values, so the order and the
+    numbers do not depend on the session time zone (no DST folds).
+    """
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
 def order_key(major: Column, minor: Column) -> Column:

@@ -183,9 +183,10 @@ def ten_minute_quotes(tk: DataFrame) -> DataFrame:
     """10-minute OHLCV candles per ticker (the incremental quote feed)."""
     p = F.col("price").cast(schemas.PRICE)
     order = _tick_order()
-    start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 600) * 600)
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    start = hour + F.make_dt_interval(mins=(F.floor(F.minute("ts") / 10) * 10).cast("int"))
     return (
-        tk.groupBy("ticker", start.cast("timestamp_ntz").alias("datetime_start"))
+        tk.groupBy("ticker", start.alias("datetime_start"))
         .agg(F.min_by(p, order).alias("open_price"),
              F.max_by(p, order).alias("close_price"),
              F.max(p).alias("high_price"),
