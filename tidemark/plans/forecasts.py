@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.dates import clamp_span_end, lit_date, span_end_ts
 from tidemark.functions.numbers import pct_delta, target_price
-from tidemark.operators.dedup import keep_best
 from tidemark.operators.spans import extrema_measures, first_last_measures, span_aggregate
 
 KEY = ["analyst_company_id", "ticker", "start_date"]
@@ -118,12 +117,13 @@ def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
     """DOM-3: due forecasts with an end price, closed against their span.
 
     FLT-13 skips a NULL or zero ``price_end``; forecasts without candles in
-    the span are left out (they stay untouched in the table). DUP-2 keeps
-    one row per full key (Q10). Deltas are half-even decimals (SCL-16).
+    the span are left out (they stay untouched in the table). DUP-2 is the
+    table key itself (Q10: company, ticker, start date): stored forecasts are
+    unique on it, and a batch that is not is refused by the upsert. Deltas
+    are half-even decimals (SCL-16).
     """
     due = due_forecasts(forecasts, as_of, analyst_company_id).filter(
         F.col("price_end").isNotNull() & (F.col("price_end") != 0))
-    due = keep_best(due, KEY, [-F.col("id")]) if "id" in due.columns else due
     ex = span_extrema(due, quotes, strategy, from_post_time)
     base = due.drop(*[c for c in EVALUATION if c in due.columns])
     closed = base.join(ex, KEY, "inner")
