@@ -34,6 +34,9 @@ HEADLINE = [
     "upsert_quotes",
     "parsed_forecasts",
     "priced_forecasts",
+    "dense_span_rollup",
+    "dense_span_binned",
+    "dense_span_plain",
 ]
 
 
@@ -45,9 +48,33 @@ def _span_variant(strategy):
     return run
 
 
+def _dense_spans(strategy):
+    """Range join on dense candles: the same events folded onto ten tickers,
+    so every ticker has a candle in almost every hour (about 24 per day),
+    and one forecast span per purchase event (1 to 10 days)."""
+    def run(spark, sf_dir):
+        from pyspark.sql import functions as F
+        from tidemark.operators.materialize import spread
+        from tidemark.sources import driver
+        ev = spread(driver.table(spark, sf_dir, "events"))
+        tk = driver.ticks(ev.withColumn("user_id", F.col("user_id") % 10))
+        q = driver.hourly_quotes(tk)
+        start = F.to_date("ts")
+        f = ev.filter(F.col("event_type") == "purchase").select(
+            F.col("event_id").cast("int").alias("analyst_company_id"),
+            F.concat(F.lit("T"), (F.col("user_id") % 10).cast("string")).alias("ticker"),
+            start.alias("start_date"),
+            F.date_add(start, (F.lit(1) + F.col("event_id") % 10).cast("int")).alias("end_date"))
+        return forecasts.span_extrema(f, q, strategy)
+    return run
+
+
 EXTRA = {
     "span_extrema_binned": _span_variant("binned"),
     "span_extrema_plain": _span_variant("plain"),
+    "dense_span_rollup": _dense_spans("rollup"),
+    "dense_span_binned": _dense_spans("binned"),
+    "dense_span_plain": _dense_spans("plain"),
 }
 
 
