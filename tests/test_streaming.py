@@ -11,7 +11,7 @@ from tidemark.functions.dates import lit_ts
 from tidemark.plans import posts, quotes as quotes_plan, weblog
 from tidemark.sinks.tables import VersionedTable
 from tidemark.sources import driver, feeds
-from tidemark.streaming import pipelines
+from tidemark.streaming import streams
 
 NOW = ts("2024-02-01 00:00:00")
 
@@ -35,7 +35,7 @@ def test_weblog_stream_equals_batch(spark, tmp_dir):
         with open(f"{src}/log-{i}.csv", "w") as fh:
             fh.write("\n".join(r[0] for r in csv_rows[i::3]) + "\n")
     out, ck = f"{tmp_dir}/out", f"{tmp_dir}/ck"
-    pipelines.start_weblog(spark, src, out, ck, max_files_per_trigger=1).awaitTermination()
+    streams.start_weblog(spark, src, out, ck, max_files_per_trigger=1).awaitTermination()
     cols = ["IP", "Time", "URL", "page_visited", "page_params", "Status", "event_time", "tags"]
     streamed = spark.read.parquet(out).select(*cols)
     batch = weblog.page_views(spark.read.schema(schemas.WEBLOG).csv(src), lit_ts(NOW)).select(*cols)
@@ -46,7 +46,7 @@ def test_weblog_stream_equals_batch(spark, tmp_dir):
     assert s_rows == b_rows and len(s_rows) > 0
     assert streamed.count() == batch.count() == len(csv_rows)
     # restart from the checkpoint: nothing new is read
-    pipelines.start_weblog(spark, src, out, ck).awaitTermination()
+    streams.start_weblog(spark, src, out, ck).awaitTermination()
     assert spark.read.parquet(out).count() == len(csv_rows)
 
 
@@ -56,14 +56,14 @@ def test_quotes_stream_upserts_and_replays_idempotently(spark, tmp_dir):
     src = f"{tmp_dir}/candles"
     _land_text(driver.candle_responses(q), src, 4)
     table = VersionedTable(spark, f"{tmp_dir}/quotes", schemas.QUOTES, quotes_plan.QUOTE_KEY)
-    pipelines.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
+    streams.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
     stored = table.read()
     assert len(table.versions()) == 4
     cols = ["ticker", "datetime_start", "datetime_end", "open_price", "close_price", "high_price", "low_price", "volume"]
     assert sorted(map(tuple, stored.select(*cols).collect())) == sorted(map(tuple, q.select(*cols).collect()))
     # replaying the same files (a second landing of identical responses) updates, never duplicates
     _land_text(driver.candle_responses(q), f"{src}/again", 1)
-    pipelines.start_quotes(spark, src + "/again", table, f"{tmp_dir}/ck2", NOW + dt.timedelta(hours=1)).awaitTermination()
+    streams.start_quotes(spark, src + "/again", table, f"{tmp_dir}/ck2", NOW + dt.timedelta(hours=1)).awaitTermination()
     assert table.read().count() == q.count()
 
 
@@ -74,7 +74,7 @@ def test_posts_stream_equals_batch(spark, tmp_dir):
     fc = VersionedTable(spark, f"{tmp_dir}/forecasts", schemas.FORECASTS, ["analyst_company_id", "ticker", "start_date"])
     ind = VersionedTable(spark, f"{tmp_dir}/indicators", schemas.INDICATORS, ["indicator_name"])
     log = VersionedTable(spark, f"{tmp_dir}/parser_log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
-    pipelines.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck", NOW,
+    streams.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck", NOW,
                           max_files_per_trigger=1, parser_log=log).awaitTermination()
     items = feeds.post_items(spark.read.text(src))
     batch = posts.latest_forecasts(posts.parse_forecasts(items))
@@ -103,7 +103,7 @@ def test_quotes_stream_into_partitioned_table(spark, tmp_dir):
     _land_text(driver.candle_responses(q), src, 3)
     schema = StructType(list(schemas.QUOTES.fields) + [StructField("day", DateType())])
     table = PartitionedKeyedTable(spark, f"{tmp_dir}/quotes", schema, quotes_plan.QUOTE_KEY, "day")
-    pipelines.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
+    streams.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
     cols = ["ticker", "datetime_start", "datetime_end", "open_price", "high_price", "low_price", "volume"]
     assert sorted(map(tuple, table.read().select(*cols).collect())) == sorted(map(tuple, q.select(*cols).collect()))
 
@@ -113,6 +113,6 @@ def test_console_sink_runs(spark, tmp_dir):
     os.makedirs(src)
     with open(f"{src}/a.csv", "w") as fh:
         fh.write("10.0.0.1,[01/Jan/2024:00:00:01,GET /x.php HTTP/1.1,200\n")
-    q = pipelines.start_console(pipelines.weblog_events(spark, src), rows=5)
+    q = streams.start_console(streams.weblog_events(spark, src), rows=5)
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 1

@@ -456,11 +456,11 @@ LANDED_FILES = 4
 @register("page_views_stream")
 def q_page_views_stream(spark, sf_dir):
     from tidemark.functions.dates import lit_ts
-    from tidemark.streaming import pipelines
+    from tidemark.streaming import streams
     root = _scratch(spark, "weblog")
     lines = driver.weblog_lines(_t(spark, sf_dir, "events"))
-    pipelines.land(lines, f"{root}/in", LANDED_FILES, "csv")
-    pipelines.start_weblog(spark, f"{root}/in", f"{root}/out", f"{root}/ck", max_files_per_trigger=1,
+    streams.land(lines, f"{root}/in", LANDED_FILES, "csv")
+    streams.start_weblog(spark, f"{root}/in", f"{root}/out", f"{root}/ck", max_files_per_trigger=1,
                            ingest_time=lit_ts(INGEST_TIME)).awaitTermination()
     c = weblog.page_view_counts(spark.read.parquet(f"{root}/out"))
     return c.select("page_visited", "page_params", F.col("Status").alias("status"), "views", "first_seen", "last_seen")
@@ -470,12 +470,12 @@ def q_page_views_stream(spark, sf_dir):
 def q_quotes_stream(spark, sf_dir):
     from tidemark import schemas
     from tidemark.sinks.tables import VersionedTable
-    from tidemark.streaming import pipelines
+    from tidemark.streaming import streams
     root = _scratch(spark, "quotes")
     tk = driver.ticks(_t(spark, sf_dir, "events"))
-    pipelines.land(driver.candle_responses(driver.hourly_quotes(tk)), f"{root}/in", LANDED_FILES)
+    streams.land(driver.candle_responses(driver.hourly_quotes(tk)), f"{root}/in", LANDED_FILES)
     table = VersionedTable(spark, f"{root}/table", schemas.QUOTES, quotes.QUOTE_KEY)
-    pipelines.start_quotes(spark, f"{root}/in", table, f"{root}/ck", NOW, max_files_per_trigger=1).awaitTermination()
+    streams.start_quotes(spark, f"{root}/in", table, f"{root}/ck", NOW, max_files_per_trigger=1).awaitTermination()
     return table.read().select("ticker", "datetime_start", "datetime_end",
                                *_dbl("open_price", "close_price", "high_price", "low_price"), "volume")
 
@@ -484,12 +484,12 @@ def q_quotes_stream(spark, sf_dir):
 def q_posts_stream(spark, sf_dir):
     from tidemark import schemas
     from tidemark.sinks.tables import VersionedTable
-    from tidemark.streaming import pipelines
+    from tidemark.streaming import streams
     root = _scratch(spark, "posts")
-    pipelines.land(driver.post_pages(_t(spark, sf_dir, "events")), f"{root}/in", LANDED_FILES)
+    streams.land(driver.post_pages(_t(spark, sf_dir, "events")), f"{root}/in", LANDED_FILES)
     fc = VersionedTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS)
     ind = VersionedTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
-    pipelines.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW,
+    streams.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW,
                           max_files_per_trigger=1).awaitTermination()
     return fc.read().select(*KEYS, "end_date", "forecast_direction",
                             F.col("price_delta_forecast").cast("double").alias("price_delta_forecast"),
