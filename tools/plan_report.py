@@ -28,6 +28,9 @@ NODES = [
 ]
 
 
+DETAIL = ["district_mart", "span_extrema", "effectiveness_report"]
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
@@ -50,6 +53,11 @@ def main(argv):
     for name, filters in pushed.items():
         if filters:
             print(f"* `{name}`: " + "; ".join(f"`{f}`" for f in filters))
+    for name in DETAIL:
+        df = catalog.QUERIES[name](spark, sf_dir)
+        df.collect()
+        tree = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        print(f"\n## Final plan: `{name}`\n\n```\n{tree.strip()}\n```")
     spark.stop()
 
 
