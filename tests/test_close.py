@@ -153,3 +153,10 @@ def test_results_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert base == other == third and len(base[1]) == 1
+
+
+def test_as_of_defaults_to_today(spark, quotes):
+    # every span is long over today, so with the default the forecast is due and closes
+    f = fc_frame(spark, [(1, "B", d("2024-01-01"), d("2024-01-03"), 1, Decimal("100"), Decimal("99"), None, None)])
+    assert forecasts.close_forecasts(f, quotes).count() == 1
+    assert forecasts.active_forecasts(f.withColumn("end_date", F.date_add(F.current_date(), 3))).count() == 1

@@ -24,13 +24,20 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lit_date(d: _dt.date | str) -> Column:
+def lit_date(d: _dt.date | str | None) -> Column:
+    """A date literal; ``None`` means today (SCL-25: the clock is read only
+    at the edge, by Spark, once per query)."""
+    if d is None:
+        return F.current_date()
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d)
     return F.lit(d)
 
 
-def lit_ts(t: _dt.datetime | str) -> Column:
+def lit_ts(t: _dt.datetime | str | None) -> Column:
+    """A zone-less timestamp literal; ``None`` means now (SCL-25)."""
+    if t is None:
+        return F.localtimestamp()
     if isinstance(t, str):
         t = _dt.datetime.fromisoformat(t)
     return F.lit(t).cast("timestamp_ntz")
@@ -58,7 +65,7 @@ def span_end_ts(end_date: Column | str) -> Column:
     return F.to_timestamp_ntz(_c(end_date)) + F.expr(f"INTERVAL {SPAN_END_TIME}")
 
 
-def clamp_span_end(end_date: Column | str, as_of: _dt.date, now: _dt.datetime) -> Column:
+def clamp_span_end(end_date: Column | str, as_of: _dt.date | None, now: _dt.datetime | None) -> Column:
     """SCL-28: ``now`` when the span is open (NULL end or end >= as_of), else end 12:00."""
     e = _c(end_date)
     return F.when(e.isNull() | (e >= lit_date(as_of)), lit_ts(now)).otherwise(span_end_ts(e))

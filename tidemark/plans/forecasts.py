@@ -1,5 +1,9 @@
 """Forecast life cycle: enrich with prices (DOM-6), select active and due
-forecasts (FLT-7, FLT-8), close against the span's extrema (DOM-3)."""
+forecasts (FLT-7, FLT-8), close against the span's extrema (DOM-3).
+
+``as_of`` / ``now`` are explicit; left out they mean today / now as read by
+Spark when the query runs (SCL-25), never a driver-side clock.
+"""
 
 from __future__ import annotations
 
@@ -24,8 +28,8 @@ def _fkey() -> F.Column:
     return F.struct(*[F.col(k) for k in KEY])
 
 
-def price_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date, now: _dt.datetime,
-                    strategy: str = "rollup") -> DataFrame:
+def price_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date | None = None,
+                    now: _dt.datetime | None = None, strategy: str = "rollup") -> DataFrame:
     """DOM-6: add price_start, price_forecast, price_end; evaluation columns NULL.
 
     Candle span: from the hour of the post to ``end_date`` 12:00, or to
@@ -66,14 +70,14 @@ def _company(df: DataFrame, analyst_company_id: int) -> DataFrame:
     return df.filter(F.col("analyst_company_id") == analyst_company_id) if analyst_company_id > 0 else df
 
 
-def active_forecasts(forecasts: DataFrame, as_of: _dt.date, analyst_company_id: int = 0) -> DataFrame:
+def active_forecasts(forecasts: DataFrame, as_of: _dt.date | None = None, analyst_company_id: int = 0) -> DataFrame:
     """FLT-7: not computed, ``end_date >= as_of``, priced."""
     f = forecasts.filter(_not_computed() & (F.col("end_date") >= lit_date(as_of))
                          & F.col("price_start").isNotNull())
     return _company(f, analyst_company_id)
 
 
-def due_forecasts(forecasts: DataFrame, as_of: _dt.date, analyst_company_id: int = 0) -> DataFrame:
+def due_forecasts(forecasts: DataFrame, as_of: _dt.date | None = None, analyst_company_id: int = 0) -> DataFrame:
     """FLT-8: not computed, ``end_date < as_of``, priced."""
     f = forecasts.filter(_not_computed() & (F.col("end_date") < lit_date(as_of))
                          & F.col("price_start").isNotNull())
@@ -111,7 +115,7 @@ def result_code(delta: F.Column, direction: F.Column) -> F.Column:
             .cast("smallint"))
 
 
-def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
+def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date | None = None,
                     strategy: str = "rollup", analyst_company_id: int = 0,
                     from_post_time: bool = False) -> DataFrame:
     """DOM-3: due forecasts with an end price, closed against their span.
@@ -135,7 +139,7 @@ def close_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
                              result_code(F.col("end_real_price_delta"), F.col("forecast_direction")))
 
 
-def backfill_end_prices(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date,
+def backfill_end_prices(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date | None = None,
                         strategy: str = "rollup") -> DataFrame:
     """Q2: due forecasts that still lack ``price_end`` get the open of the last
     candle up to ``end_date`` 12:00; other rows pass through unchanged."""
