@@ -1,4 +1,5 @@
-"""Scoring of closed forecasts under three exit rules (DOM-1, DOM-2).
+"""Scoring of closed forecasts under three exit rules (DOM-1, DOM-2; the
+rise and fall scoring functions UDF-1 and UDF-2 of the original).
 
 Native ``CASE WHEN`` chains instead of a Python UDF: the arithmetic keeps
 the order of the original formulas (``(c * d) / days``) so doubles agree
