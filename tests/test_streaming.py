@@ -76,7 +76,8 @@ def test_posts_stream_equals_batch(spark, tmp_dir):
     log = VersionedTable(spark, f"{tmp_dir}/parser_log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
     streams.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck", NOW,
                           max_files_per_trigger=1, parser_log=log).awaitTermination()
-    items = feeds.post_items(spark.read.text(src))
+    from tidemark.sources.files import read_json_lines
+    items = feeds.post_items(read_json_lines(spark, src))
     batch = posts.latest_forecasts(posts.parse_forecasts(items))
     key = ["analyst_company_id", "ticker", "start_date"]
     got = sorted(map(tuple, fc.read().select(*key, "end_date", "external_id").collect()))

@@ -2,9 +2,9 @@
 
 ``upsert`` is a pure DataFrame function: target rows whose key is not in
 the batch, plus batch rows merged with the target's bookkeeping columns.
-``write_versioned`` materialises a result into a new directory and only
-then points the table at it, so a job never reads and overwrites one path.
-A catalog with row-level operations (MERGE) can replace both.
+Storage lives in ``tidemark.sinks.tables`` (versioned or partition-scoped
+tables, so a job never reads and overwrites one path); a catalog with
+row-level operations (MERGE) can replace both.
 """
 
 from __future__ import annotations
@@ -88,18 +88,3 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
             out.append(F.col("t." + c).alias(c))
     untouched = target.join(batch.select(*keys), keys, "left_anti") if keys else target
     return untouched.select(*cols).unionByName(merged.select(*out))
-
-
-def write_versioned(df: DataFrame, table_dir: str, version: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` to ``<table_dir>/v=<version>`` and return that path.
-
-    Readers pick the newest complete version; a failed write leaves the
-    previous version intact (the directory only gets its ``_SUCCESS`` marker
-    when every task has committed).
-    """
-    path = f"{table_dir.rstrip('/')}/v={version}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.dates import day_count
+from tidemark.functions.numbers import to_double
 
 # The three exit rules (share of the forecast move that
 # closes the position) and the stop-loss share of the first rule.
@@ -23,11 +24,9 @@ INPUTS = ["start_date", "end_date", "price_start", "price_delta_forecast", "pric
 
 
 def _inputs():
-    d = F.col("price_delta_forecast").cast("double")
-    ps = F.col("price_start").cast("double")
-    pe = F.col("price_end").cast("double")
-    mx = F.col("price_max_real").cast("double")
-    mn = F.col("price_min_real").cast("double")
+    d = to_double("price_delta_forecast")
+    ps, pe = to_double("price_start"), to_double("price_end")
+    mx, mn = to_double("price_max_real"), to_double("price_min_real")
     mxd, mnd = F.col("price_max_date"), F.col("price_min_date")
     sd, ed = F.col("start_date"), F.col("end_date")
     end_pct = F.try_divide(F.lit(100) * (pe - ps), ps) / day_count(ed, sd)  # Q25: zero ps -> NULL
