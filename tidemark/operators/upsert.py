@@ -56,15 +56,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
     cols = target.columns
     batch_cols = set(batch.columns)
     update = [c for c in (update or [c for c in batch.columns if c not in keys]) if c not in keep]
-    t = target.alias("t")
+    # The batch is small next to the target. Both target passes are joins
+    # against the batch keys only (semi and anti), which AQE can broadcast
+    # while the target streams through without a shuffle; the batch is then
+    # left-joined to just the matched target rows.
+    bk = batch.select(*keys)
+    hit = target.join(bk, keys, "left_semi").alias("t")
     b = batch.alias("b")
     on = [F.col("t." + k).eqNullSafe(F.col("b." + k)) for k in keys]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    # Right-outer join keeps every batch row and brings along the matched
-    # target row; unmatched target rows come from the anti join.
-    merged = t.join(b, cond, "right")
+    merged = b.join(hit, cond, "left")
     matched = F.col("t." + keys[0]).isNotNull() if keys else F.lit(False)
     stale = F.lit(False)
     if only_if_newer:
@@ -86,5 +89,5 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
                        .cast(target.schema[c].dataType).alias(c))
         else:
             out.append(F.col("t." + c).alias(c))
-    untouched = target.join(batch.select(*keys), keys, "left_anti") if keys else target
+    untouched = target.join(bk, keys, "left_anti")
     return untouched.select(*cols).unionByName(merged.select(*out))
