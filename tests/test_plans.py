@@ -1,10 +1,13 @@
 """T5 plan guards and the driver contract (entry / queries / oracle_sql)."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as se
 from conftest import SF_SMALL
+from oracle_check import rows_of
 from tidemark import catalog
+from tidemark.sources.driver import TABLES
 
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -20,9 +23,22 @@ def test_entry_runs_on_smallest_tables(spark):
     assert len(rows) == 83 and df.columns == ["line", "period", "metric", "value", "value_date"]
 
 
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_plans_stay_in_jvm_and_never_cross_join(spark, name):
-    df = catalog.QUERIES[name](spark, SF_SMALL)
+def test_query_matches_oracle_and_plan_guards(spark, duck, name):
+    df = se.queries()[name](spark, SF_SMALL)
+    got = [tuple(r) for r in df.collect()]
+    res = duck.execute(se.oracle_sql()[name])
+    want_cols = [x[0] for x in res.description]
+    assert sorted(df.columns) == sorted(want_cols), name
+    assert rows_of(df.columns, got) == rows_of(want_cols, res.fetchall()), name
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in PYTHON_NODES:
         assert node not in plan, (name, node)
