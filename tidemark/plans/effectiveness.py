@@ -40,7 +40,8 @@ def forecast_metrics(scored: DataFrame, periods: DataFrame) -> DataFrame:
     m = p.groupBy("period_id", F.col("forecast_direction").alias("direction")).agg(*aggs)
     grid = periods.select("period_id", "period",
                           F.explode(F.array(*[F.lit(d) for d, _ in DIRECTIONS])).alias("direction"))
-    out = F.broadcast(grid).join(m, ["period_id", "direction"], "left")
+    # m has at most (periods x directions) rows, a bound set by the period list
+    out = grid.join(F.broadcast(m), ["period_id", "direction"], "left")
     counts = ["forecasts"] + ["success" + e for e in EXIT_NAMES]
     return out.select("period_id", "period", "direction",
                       *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
@@ -82,7 +83,8 @@ def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
             aggs.append(F.try_divide(F.lit(100.0) * ok, total_n).alias(f"{d}_success_pct_{e}"))
             aggs.append(F.avg(F.when(cond, F.col("proc" + e))).alias(f"{d}_yield_{e}"))
     wide = p.groupBy("period_id").agg(*aggs)
-    wide = F.broadcast(per.select("period_id", "period")).join(wide, "period_id", "left")
+    # one aggregated row per period: bounded by the period list
+    wide = per.select("period_id", "period").join(F.broadcast(wide), "period_id", "left")
 
     entries = [(i + 1, m, f"`{m}`", "NULL") for i, m in enumerate(TOTAL_METRICS)]
     entries += [(10 + i + 1, m, "NULL", f"`{m}`") for i, m in enumerate(PERIOD_METRICS[:2])]
