@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import chat, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,9 +17,45 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle_words=4, max_distance=4)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as chat texts, with what is read back from those texts.
+
+    Conversation -1 holds control strings as ordinary text.
+    """
+    said = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(said))
+    out = chat.format_paths(chat.chain(rows.union(extra)), branches=1).select(
+        F.col("tree").alias("conv_id"), "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("segments")).alias("loss"))
+    said_turns = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said_turns, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_chat": op3_chat,
 }
 
 #: DuckDB SQL by query, where SQL can express the result.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # Text lengths follow the template: 8 + 8 marks and 8 at the end of a turn,
+    # and one more character for each escaped control string.
+    "op3_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        u AS (
+            SELECT *, 24 + length(role) + length(text)
+                + len(regexp_extract_all(role || chr(0) || text, '[<\[]\\*(\||s>|/s>|INST\]|/INST\])')) AS chars FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM u GROUP BY conv_id""",
+}
