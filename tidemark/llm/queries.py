@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, simhash
+from tidemark.llm import chat, forest, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +35,21 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings found for every hundredth one."""
+    return forest.search(_table(spark, sf_dir, "embeddings"), k=10, query_every=100)
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest whole-number inner products for every fiftieth embedding."""
+    return topk.search(_table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op4_forest": op4_forest,
+    "op7_topk": op7_topk,
 }
 
 #: DuckDB SQL by query, where SQL can express the result.
@@ -58,4 +70,14 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
             sum(chars)::BIGINT AS formatted_chars
         FROM u GROUP BY conv_id""",
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS z FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.z, v.z)::BIGINT AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p)
+        SELECT * FROM r WHERE rank <= 5""",
 }
