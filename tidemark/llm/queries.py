@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, simhash, topk
+from tidemark.llm import chat, forest, packing, simhash, topk
+
+
+def _vocabulary(name: str) -> str:
+    """The place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +47,11 @@ def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(_table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), capacity=2048)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest whole-number inner products for every fiftieth embedding."""
     return topk.search(_table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
@@ -49,6 +61,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op4_forest": op4_forest,
+    "op6_packing": op6_packing,
     "op7_topk": op7_topk,
 }
 
