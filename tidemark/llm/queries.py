@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, packing, simhash, topk
+from tidemark.llm import chat, forest, langid, packing, simhash, topk, unigram
 
 
 def _vocabulary(name: str) -> str:
@@ -47,6 +47,11 @@ def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(_table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside the held-out fifth."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), capacity=2048)
@@ -57,12 +62,28 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
 
 
+def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: what the pieces are and whether they give the text back."""
+    pieces = unigram.load_pieces(_vocabulary("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = unigram.decode(unigram.encode(docs, pieces), pieces)
+    low, high = min(pieces.byte_ids), max(pieces.byte_ids)
+    return out.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"),
+        F.size(F.filter("ids", lambda i: i.between(low, high))).cast("bigint").alias("n_bytes"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), unigram.MARK, " ")).alias("round_trip"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op4_forest": op4_forest,
+    "op5_langid": op5_langid,
     "op6_packing": op6_packing,
     "op7_topk": op7_topk,
+    "op10_unigram": op10_unigram,
 }
 
 #: DuckDB SQL by query, where SQL can express the result.
