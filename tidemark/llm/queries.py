@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, langid, packing, simhash, topk, unigram
+from tidemark.llm import chat, forest, langid, packing, quality, simhash, topk, toxicity, unigram
 
 
 def _vocabulary(name: str) -> str:
@@ -19,6 +19,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: The chain: junk first, then toxic. The labels table marks these two.
+CATEGORIES = {"junk": "1 - quality", "toxic": "toxic"}
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junk and toxicity probabilities of every document, learned outside the held-out fifth."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), CATEGORIES, decide="toxic")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy groups of all documents: 4-word shingles, at most 4 differing bits."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle_words=4, max_distance=4)
@@ -62,6 +71,11 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned outside the held-out fifth."""
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: what the pieces are and whether they give the text back."""
     pieces = unigram.load_pieces(_vocabulary("piece_bpe_32k.model"))
@@ -77,12 +91,14 @@ def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op4_forest": op4_forest,
     "op5_langid": op5_langid,
     "op6_packing": op6_packing,
     "op7_topk": op7_topk,
+    "op8_quality": op8_quality,
     "op10_unigram": op10_unigram,
 }
 
