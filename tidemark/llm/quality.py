@@ -49,16 +49,16 @@ def statistics(text: str | None) -> list[float]:
         sum(x.rstrip()[-1:] in ".!?" for x in lines) / len(lines), np.log1p(len(zlib.compress(data, 1))) - np.log1p(len(data))]
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, x array<float>): the statistics of every whole text."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def document_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns and x array<float>: the statistics of every whole text."""
+    src = docs.select(F.col(text_col).cast("string").alias("_text"), *keep)
 
     def each(batches):
         for b in batches:
-            x = [statistics(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(x, pa.list_(pa.float32()))], ["id", "x"])
+            x = [statistics(t) for t in b.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(x, pa.list_(pa.float32()))], [*b.schema.names[1:], "x"])
 
-    return src.mapInArrow(each, f"id {src.schema['id'].dataType.simpleString()}, x array<float>")
+    return src.mapInArrow(each, src.drop("_text").select("*", F.lit(None).cast("array<float>").alias("x")).schema)
 
 
 class Features:
@@ -118,8 +118,9 @@ def _ridge(sums: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          threshold: float = 0.3, n_features: int = 256, width: float = 4.0, penalty: float = 0.3, seed: int = 11) -> DataFrame:
-    """(id_col, held_out, score, predicted): the calibrated probability of label 1 for every row of ``docs``.
+          threshold: float = 0.3, keep: tuple[str, ...] = (), n_features: int = 256, width: float = 4.0, penalty: float = 0.3,
+          seed: int = 11) -> DataFrame:
+    """(id_col, ``keep`` columns, held_out, score, predicted): the calibrated probability of label 1 for every row of ``docs``.
 
     Learned from all labelled rows outside the held-out fold; a score sees the
     text alone.
@@ -130,14 +131,15 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``docs`` are scored alike. With nothing to learn from every score is 0.5.
     Only the named columns are read.
     """
-    x = stored(document_statistics(docs, id_col, text_col), "quality-statistics")
-    known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
-    train = x.join(known, "id").where(~folds.held_out("id")).select(folds.fold("id").alias("fold"), "y", "x")
+    columns = tuple(dict.fromkeys((id_col, *keep)))
+    x = stored(document_statistics(docs, text_col, columns), "quality-statistics")
+    known = labels.where(F.col(label_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("y"))
+    train = x.select(id_col, "x").join(known, id_col).where(~folds.held_out(id_col)).select(folds.fold(id_col).alias("fold"), "y", "x")
     train = stored(train, "quality-train")
     d = len(STATISTICS)
     spread = train.agg(F.count("*").alias("n"), *[f(F.col("x")[i]).alias(f"{f.__name__}{i}") for f in (F.avg, F.stddev_pop) for i in range(d)]).first()
     out = lambda p: p.select(
-        F.col("id").alias(id_col), folds.held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        *columns, folds.held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     if not spread["n"]:
         return out(x.withColumn("score", F.lit(0.5)))
     features = Features([spread[f"avg{i}"] for i in range(d)], [spread[f"stddev_pop{i}"] or 1.0 for i in range(d)], n_features, width, seed)
@@ -146,7 +148,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     final = _ridge(whole, penalty)
     unseen = {k: _ridge(whole - a, penalty) if len(sums) > 1 else final for k, a in sums.items()}
 
-    def raw(rows: DataFrame, weights: dict, own: np.ndarray, keep: str, kind: str) -> DataFrame:
+    def raw(rows: DataFrame, weights: dict, own: np.ndarray, kept: tuple[str, ...]) -> DataFrame:
         shared = rows.sparkSession.sparkContext.broadcast((features, weights, own))
 
         def each(batches):
@@ -156,21 +158,21 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 w = np.array([by_fold.get(k, one) for k in b.column("fold").to_pylist()]) if "fold" in b.schema.names else one
                 value = (z * w).sum(axis=1)
                 # on a grid, so that the calibration has a bounded number of steps
-                yield pa.RecordBatch.from_arrays([b.column(keep), pa.array(np.round(np.clip(value, -1, 2), 3))], [keep, "raw"])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(np.round(np.clip(value, -1, 2), 3))], [*kept, "raw"])
 
-        return rows.mapInArrow(each, f"{keep} {kind}, raw double")
+        return rows.mapInArrow(each, rows.select(*kept, F.lit(0.0).alias("raw")).schema)
 
-    seen = raw(train, unseen, final, "y", "double").groupBy("raw").agg(F.avg("y").alias("label"), F.count("*").cast("double").alias("weight"))
+    seen = raw(train, unseen, final, ("y",)).groupBy("raw").agg(F.avg("y").alias("label"), F.count("*").cast("double").alias("weight"))
     vector = VectorAssembler(inputCols=["raw"], outputCol="features")
     fitted = IsotonicRegression(weightCol="weight").fit(vector.transform(seen))
     steps = fitted.boundaries.toArray(), fitted.predictions.toArray()
-    scored = raw(x, {}, final, "id", x.schema["id"].dataType.simpleString())
+    scored = raw(x, {}, final, columns)
     shared = docs.sparkSession.sparkContext.broadcast(steps)
 
     def calibrate(batches):
         at, value = shared.value
         for b in batches:
             p = np.clip(np.interp(b.column("raw").to_numpy(), at, value), 0, 1)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(p)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], [*b.schema.names[:-1], "score"])
 
-    return out(scored.mapInArrow(calibrate, f"id {x.schema['id'].dataType.simpleString()}, score double"))
+    return out(scored.mapInArrow(calibrate, scored.withColumnRenamed("raw", "score").schema))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, langid, packing, quality, simhash, topk, toxicity, unigram
+from tidemark.llm import chat, forest, langid, linededup, packing, quality, simhash, topk, toxicity, unigram
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """The place of a public tokenizer file, the same on every machine."""
     import public_tokenizers
 
@@ -21,11 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: The chain: junk first, then toxic. The labels table marks these two.
 CATEGORIES = {"junk": "1 - quality", "toxic": "toxic"}
+#: Probability from which a document is called toxic.
+TOXIC_FROM = 0.4
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Junk and toxicity probabilities of every document, learned outside the held-out fifth."""
-    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), CATEGORIES, decide="toxic")
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), CATEGORIES, decide="toxic", threshold=TOXIC_FROM)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), capacity=2048)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=2048)
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +78,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated and nearly repeated lines: what stays, and each line's class."""
+    out = linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=2, min_chars=20)
+    return out.select("doc_id", "n_lines", "n_dropped", "n_links", "line_classes",
+                      F.length("text").cast("bigint").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: what the pieces are and whether they give the text back."""
-    pieces = unigram.load_pieces(_vocabulary("piece_bpe_32k.model"))
+    pieces = unigram.load_pieces(vocabulary("piece_bpe_32k.model"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = unigram.decode(unigram.encode(docs, pieces), pieces)
     low, high = min(pieces.byte_ids), max(pieces.byte_ids)
@@ -99,6 +108,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_topk": op7_topk,
     "op8_quality": op8_quality,
+    "op9_linededup": op9_linededup,
     "op10_unigram": op10_unigram,
 }
 
