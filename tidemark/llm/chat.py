@@ -39,20 +39,19 @@ def root_to_leaf_paths(links: DataFrame) -> DataFrame:
     parent that is null or not a node makes a root. Nodes on a parent cycle,
     or above which there is one, have no root; their paths are left out.
     """
-    nodes = links.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    jump = links.join(nodes, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("up"))
-    jump = stored(jump, "paths-jump")
-    inner = jump.where("up is not null").select(F.col("up").alias("node")).distinct()
-    path = jump.join(inner, "node", "left_anti").select(F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("depth"))
-    limit, reach = max(1, jump.count()), 1
-    while reach <= limit and jump.where("up is not null").limit(1).count():
-        step = jump.where("up is not null")
-        more = path.join(step, "node").select("leaf", F.col("up").alias("node"), (F.col("depth") + reach).alias("depth"))
+    nodes = links.select(F.col("node").alias("up"))
+    jump = stored(links.select("node", F.col("parent").alias("up")).join(nodes, "up", "left_semi"), "paths-jump")
+    inner = jump.select(F.col("up").alias("node")).distinct()
+    path = links.join(inner, "node", "left_anti").select(F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("depth"))
+    limit, reach = links.count(), 1
+    while reach <= limit and jump.limit(1).count():
+        more = path.join(jump, "node").select("leaf", F.col("up").alias("node"), (F.col("depth") + reach).alias("depth"))
         path = stored(path.unionByName(more), "paths-rows")
-        far = step.select(F.col("node").alias("up"), F.col("up").alias("next"))
-        jump = stored(jump.join(far, "up", "left").select("node", F.col("next").alias("up")), "paths-jump")
+        # only nodes that have an ancestor so far up stay in the table
+        far = jump.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        jump = stored(jump.join(far, "up").select("node", F.col("next").alias("up")), "paths-jump")
         reach *= 2
-    endless = jump.where("up is not null").select(F.col("node").alias("leaf"))
+    endless = jump.select(F.col("node").alias("leaf"))
     return path.join(endless, "leaf", "left_anti")
 
 
