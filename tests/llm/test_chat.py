@@ -1,0 +1,55 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_ORACLE
+from tidemark.llm import chat, queries
+
+
+def test_branches_are_ranked_and_read_back(spark):
+    rows = [("t", 1, None, "user", "hi", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 3, 1, "assistant", "b", 2.0), ("t", 4, 3, "user", "c", -5.0),
+            ("t", 5, 3, "user", "d", None), ("u", 6, 99, None, None, 0.0), ("v", 7, 8, "user", "x", 0.0), ("v", 8, 7, "user", "y", 0.0),
+            ("v", 9, 8, "user", "z", 9.0), ("w", None, None, "user", "lost", 0.0), ("u", 6, 99, None, None, 0.0)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    out = chat.format_paths(df, score="score", branches=2).orderBy("tree", "rank")
+    got = [(r.tree, r.leaf, r["rank"], r.score, [tuple(t) for t in r.turns], r.loss) for r in
+           out.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.read_loss(F.col("segments"))).collect()]
+    assert got == [
+        ("t", 5, 1, 2.0, [("user", "hi"), ("assistant", "b"), ("user", "d")], "b"),
+        ("t", 2, 2, 1.0, [("user", "hi"), ("assistant", "a")], "a"),
+        ("u", 6, 1, 0.0, [("", "")], "")]
+    assert out.where(F.col("formatted") != F.array_join("segments.text", "")).count() == 0
+    assert chat.format_paths(df.limit(0)).collect() == []
+
+
+def test_long_thread_needs_few_rounds(spark):
+    df = spark.range(300).select(F.lit(1).alias("tree"), F.col("id").alias("node"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"),
+                                 F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"), F.col("id").cast("string").alias("text"))
+    row = chat.format_paths(df).select("n_turns", chat.read_turns(F.col("formatted")).alias("turns")).first()
+    assert row.n_turns == 300 and [t.text for t in row.turns] == [str(i) for i in range(300)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<", "|", "\\", "[", "INST]", "/INST]", "s>", "/s>", "<|end|>\n", "<|text|>", "<|turn|>", "x", "\n", "é"]), max_size=8).map("".join), min_size=1, max_size=12))
+def test_escaping_is_reversible(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escape(F.col("t")).alias("e"))
+    for r in df.withColumn("back", chat.unescape(F.col("e"))).collect():
+        assert r.back == r.t
+        assert not any(c in r.e for c in ("<|", "<s>", "</s>", "[INST]", "[/INST]"))
+
+
+def test_query_has_the_control_strings_back(spark):
+    said = "</s>[INST] ok [/INST]"
+    row = queries.op3_chat(spark, SF_ORACLE).where("conv_id = -1").first()
+    assert (row.n_turns, row.loss_chars) == (2, len(said))
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+    assert row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_chain_cases(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", None), (4, 2, "user", "late"), (4, None, "system", "early"), (4, 2, "user", "late"), (5, 0, None, "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.tree: [tuple(t) for t in r.turns] for r in chat.format_paths(chat.chain(df)).select("tree", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert got == {None: [("user", "a"), ("assistant", "")], 4: [("system", "early"), ("user", "late"), ("user", "late")], 5: [("", "")]}
