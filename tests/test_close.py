@@ -115,8 +115,8 @@ def test_strategies_agree_on_random_skewed_data(spark):
 def test_priced_forecast_prices(spark):
     quotes = spark.createDataFrame([
         q("A", ts("2024-01-01 10:00:00"), "1", "1", "50"),   # starts 09:00, before the post hour
-        q("A", ts("2024-01-01 11:00:00"), "1", "1", "51"),   # starts 10:00 = hour of the post: first
-        q("A", ts("2024-01-03 12:00:00"), "1", "1", "52"),   # starts 11:00 on end date
+        q("A", ts("2024-01-01 11:00:00"), "1", "1", "51"),   # starts 10:00, before the post at 10:25
+        q("A", ts("2024-01-03 12:00:00"), "1", "1", "52"),   # starts 11:00 on end date: first after the post
         q("A", ts("2024-01-03 13:00:00"), "1", "1", "53"),   # starts 12:00 on end date: last
         q("A", ts("2024-01-03 14:00:00"), "1", "1", "54"),   # starts 13:00: after the span
     ], Q_SCHEMA)
@@ -124,8 +124,8 @@ def test_priced_forecast_prices(spark):
                           ts("2024-01-01 10:25:00"))]).drop("price_start", "price_end", "forecast_result") \
         .withColumn("price_delta_forecast", F.lit(10.0))
     r = forecasts.price_forecasts(f, quotes, d("2024-02-01"), ts("2024-02-01 00:00:00")).first()
-    assert r["price_start"] == Decimal("51") and r["price_end"] == Decimal("53")
-    assert r["price_forecast"] == Decimal("56.1") and r["price_max_real"] is None
+    assert r["price_start"] == Decimal("52") and r["price_end"] == Decimal("53")
+    assert r["price_forecast"] == Decimal("57.2") and r["price_max_real"] is None
     # while the forecast is open (as_of before end date) no end price, span runs to now
     r2 = forecasts.price_forecasts(f, quotes, d("2024-01-02"), ts("2024-01-02 00:00:00")).first()
     assert r2["price_start"] == Decimal("51") and r2["price_end"] is None
@@ -160,3 +160,17 @@ def test_as_of_defaults_to_today(spark, quotes):
     f = fc_frame(spark, [(1, "B", d("2024-01-01"), d("2024-01-03"), 1, Decimal("100"), Decimal("99"), None, None)])
     assert forecasts.close_forecasts(f, quotes).count() == 1
     assert forecasts.active_forecasts(f.withColumn("end_date", F.date_add(F.current_date(), 3))).count() == 1
+
+
+def test_prices_start_at_the_exact_post_time(spark):
+    """A post at 10:40 is priced by the candle of 11:00, not by the one that was open before it."""
+    f = spark.createDataFrame([(1, "A", d("2024-01-02"), d("2024-01-04"), ts("2024-01-02 10:40:00"), "1.5"), (1, "B", d("2024-01-02"), d("2024-01-04"), ts("2024-01-02 10:40:00"), "1.5")],
+                              "analyst_company_id int, ticker string, start_date date, end_date date, date_inserted timestamp_ntz, price_delta_forecast string")
+    f = f.withColumn("price_delta_forecast", F.col("price_delta_forecast").cast("double"))
+    q = spark.createDataFrame([("A", ts("2024-01-02 10:00:00"), "1"), ("A", ts("2024-01-02 11:00:00"), "2"), ("A", ts("2024-01-04 12:00:00"), "3"),
+                               ("B", ts("2024-01-02 10:00:00"), "9")], "ticker string, datetime_start timestamp_ntz, open_price string")
+    q = q.withColumn("open_price", F.col("open_price").cast("decimal(16,6)"))
+    for strategy in ("rollup", "binned"):
+        rows = {r["ticker"]: r for r in forecasts.price_forecasts(f, q, d("2024-02-01"), ts("2024-02-01 00:00:00"), strategy).collect()}
+        assert (rows["A"]["price_start"], rows["A"]["price_end"]) == (2, 3), strategy
+        assert rows["B"]["price_start"] is None and rows["B"]["price_end"] is None

@@ -13,7 +13,9 @@ PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroup
 
 
 def test_contract_keys_match():
-    assert set(se.queries()) == set(se.oracle_sql()) == set(catalog.QUERIES)
+    own = set(catalog.QUERIES)
+    assert own <= set(se.queries()) and own == set(se.oracle_sql()) & own
+    assert set(se.oracle_sql()) <= set(se.queries())
     assert catalog.FLAGSHIP in se.queries()
 
 
@@ -43,7 +45,7 @@ def test_query_matches_oracle_and_plan_guards(spark, duck, name):
     for node in PYTHON_NODES:
         assert node not in plan, (name, node)
     assert "CartesianProduct" not in plan, name
-    # the only nested-loop join is the range join against the broadcast period list
+    # the only nested-loop join puts one row (the span of dates) beside the period list
     if "BroadcastNestedLoopJoin" in plan:
         assert name in ("forecast_metrics", "effectiveness_report"), name
 

@@ -1,11 +1,13 @@
 """DOM-4 / DOM-7 report shape, rendering, sinks and DQ operators."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import d, ts
 from tidemark.operators import quality
-from tidemark.operators.periods import TooManyPeriods, assign_periods
+from tidemark.operators.periods import assign_periods
 from tidemark.plans import effectiveness
 from tidemark.sinks.files import display, write_index_documents, write_parquet
 from tidemark.sources.files import periods_frame
@@ -59,13 +61,14 @@ def test_render_and_display(spark, scored):
     assert [x["line"] for x in shown] == [1, 2, 3, 11, 12]
 
 
-def test_period_bound_is_enforced(spark):
-    with pytest.raises(TooManyPeriods):
-        periods_frame(spark, [(i, "p", None, None, True) for i in range(10_001)])
-    big = spark.range(20).selectExpr("cast(id as int) period_id", "'p' period", "cast(null as date) lo",
-                                     "cast(null as date) hi", "true lo_inclusive")
-    with pytest.raises(TooManyPeriods):
-        assign_periods(spark.range(1).withColumn("d", F.current_date()), big, "d", max_periods=10)
+def test_any_number_of_periods_joins_by_day(spark):
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 5, 9)], "d date")
+    many = [(i, "p", None if i % 2 else dt.date(2024, 1, 5), dt.date(2024, 1, 9) if i % 3 else None, i % 5 > 0) for i in range(10_005)]
+    out = assign_periods(days, periods_frame(spark, many), "d")
+    want = sum(1 for i, _, lo, hi, inc in many for d in (1, 5, 9)
+               if (lo is None or dt.date(2024, 1, d) > lo or (inc and dt.date(2024, 1, d) == lo)) and (hi is None or dt.date(2024, 1, d) <= hi))
+    assert out.count() == want
+    assert assign_periods(days.limit(0), periods_frame(spark, many[:3]), "d").collect() == []
 
 
 def test_sinks(spark, tmp_dir):

@@ -1,4 +1,4 @@
-"""Rows x reporting periods (JON-8): a theta join on a tiny dimension."""
+"""Rows x reporting periods (JON-8) as an equi-join on days."""
 
 from __future__ import annotations
 
@@ -6,28 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_PERIODS = 10_000
+def period_days(periods: DataFrame, first: str, last: str) -> DataFrame:
+    """``periods`` with one row per ``day`` of each, within [``first``, ``last``] of its row.
 
-
-class TooManyPeriods(ValueError):
-    """The period list is too large to be broadcast."""
+    ``periods`` has ``period_id, period, lo, hi, lo_inclusive``; a NULL bound
+    is open.
+    """
+    start = F.when(F.col("lo_inclusive"), F.col("lo")).otherwise(F.date_add("lo", 1))
+    lo = F.greatest(F.col(first), F.coalesce(start, F.col(first)))
+    hi = F.least(F.col(last), F.coalesce("hi", F.col(last)))
+    some = periods.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
+    return some.select("period_id", "period", F.explode(F.sequence("_lo", "_hi")).alias("day"))
 
 
-def assign_periods(df: DataFrame, periods: DataFrame, date_col: str, max_periods: int = MAX_PERIODS) -> DataFrame:
+def assign_periods(df: DataFrame, periods: DataFrame, date_col: str) -> DataFrame:
     """Every row once per period containing ``date_col`` (periods may overlap).
 
-    ``periods`` has ``period_id, period, lo, hi, lo_inclusive``; ``lo`` NULL
-    means open below. The period list is a handful of rows given by the
-    caller, so it is broadcast and the join runs as a broadcast nested loop
-    without shuffling the fact rows.
+    The periods are spelled out as days between the first and the last date
+    of ``df`` and joined on the day, so any number of periods is a hash or
+    sort join. Callers aggregate facts per day first: the join then sees one
+    row per day and group, not the facts.
     """
-    n = periods.count()  # a handful of local rows; proves the broadcast bound
-    if n > max_periods:
-        raise TooManyPeriods(f"{n} periods exceed the broadcast bound of {max_periods}")
-    p = F.broadcast(periods)
-    d = F.col(date_col)
-    lower = (F.col("lo").isNull()
-             | (F.col("lo_inclusive") & (d >= F.col("lo")))
-             | (~F.col("lo_inclusive") & (d > F.col("lo"))))
-    upper = F.col("hi").isNull() | (d <= F.col("hi"))
-    return df.join(p, lower & upper, "inner")
+    span = df.agg(F.min(date_col).alias("_first"), F.max(date_col).alias("_last"))  # one row
+    days = period_days(periods.join(F.broadcast(span), F.lit(True)), "_first", "_last")
+    return df.join(days, df[date_col] == days["day"], "inner").drop("day")

@@ -229,7 +229,7 @@ def priced_cte(as_of: str, now: str, src: str = "known", name: str = "priced") -
   SELECT p.analyst_company_id, p.ticker, p.start_date,
          arg_min(q.open_price, q.datetime_start) AS first_open, arg_max(q.open_price, q.datetime_start) AS last_open
   FROM {src} p JOIN quotes q ON q.ticker = p.ticker
-       AND q.datetime_start >= date_trunc('hour', p.date_inserted) AND q.datetime_start <= {hi}
+       AND q.datetime_start >= p.date_inserted AND q.datetime_start <= {hi}
   GROUP BY p.analyst_company_id, p.ticker, p.start_date),
 {name} AS (
   SELECT k.* EXCLUDE (price_delta_forecast), CAST(k.price_delta_forecast AS DECIMAL(7,3)) AS price_delta_forecast,
@@ -611,7 +611,7 @@ FROM closed WHERE forecast_direction NOT IN (1, 2) OR forecast_result NOT IN (0,
 
 ORACLE["backfilled_end_prices"] = _with(*LIVE, f"""bf AS (
   SELECT l.analyst_company_id, l.ticker, l.start_date, arg_max(q.open_price, q.datetime_start) AS pe
-  FROM live l JOIN quotes q ON q.ticker = l.ticker AND q.datetime_start >= date_trunc('hour', l.date_inserted)
+  FROM live l JOIN quotes q ON q.ticker = l.ticker AND q.datetime_start >= l.date_inserted
        AND q.datetime_start <= CAST(l.end_date AS TIMESTAMP) + INTERVAL 12 HOUR
   WHERE l.price_end IS NULL AND l.end_date <= {AS_OF} AND l.price_start IS NOT NULL AND l.forecast_result IS NULL
   GROUP BY l.analyst_company_id, l.ticker, l.start_date)""") + f"""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import name_head
 from tidemark.operators.dedup import keep_min_value
-from tidemark.operators.topk import ordered_concat, top_k_ranked
+from tidemark.operators.topk import top_k_ranked
 
 TOP_TYPES = 3
 
@@ -17,39 +17,42 @@ def offense_types(codes: DataFrame) -> DataFrame:
     return keep_min_value(codes, "CODE", "NAME").withColumn("crime_type", name_head("NAME"))
 
 
-def incidents(crime: DataFrame, codes: DataFrame) -> DataFrame:
-    """Cleaned incidents joined to their type.
+def coded_incidents(crime: DataFrame) -> DataFrame:
+    """Cleaned incidents with a numeric code.
 
     FLT-2 (SHOOTING fill) is a dead column here (Q16) and is pruned by
-    Catalyst; FLT-1 drops NULL districts before the join. The string code
-    is converted with ``try_cast`` so non-numeric codes drop out instead of
-    failing under ANSI (JON-1). YEAR comes from the date, MONTH from the
-    file (SCL-8, Q28).
+    Catalyst; FLT-1 drops NULL districts. The string code is converted with
+    ``try_cast`` so non-numeric codes drop out instead of failing under ANSI
+    (JON-1). YEAR comes from the date, MONTH from the file (SCL-8, Q28).
     """
-    c = (crime.fillna("N", ["SHOOTING"])
-         .filter(F.col("DISTRICT").isNotNull())
-         .withColumn("YEAR", F.year("OCCURRED_ON_DATE"))
-         .withColumn("CODE", F.col("OFFENSE_CODE").try_cast("int")))
-    return c.join(offense_types(codes), "CODE", "inner")
+    return (crime.fillna("N", ["SHOOTING"])
+            .filter(F.col("DISTRICT").isNotNull())
+            .withColumn("YEAR", F.year("OCCURRED_ON_DATE"))
+            .withColumn("CODE", F.col("OFFENSE_CODE").try_cast("int")))
 
 
-def district_cells(inc: DataFrame) -> DataFrame:
-    """One partial row per (district, year, month, type).
-
-    Both branches of the mart are sums over these cells, so the incident
-    facts are scanned and shuffled once; map-side combining shrinks the
-    shuffle to the number of cells, and a hot district is pre-aggregated in
-    every task before it moves. Positions are summed as ``decimal(20,10)``
-    (exact, sub-millimetre), so the monthly means do not depend on how the
-    rows were partitioned.
+def incidents(crime: DataFrame, codes: DataFrame) -> DataFrame:
+    """JON-1: partial rows of (district, year, month, code), joined to their type.
+
+    The facts are counted and summed per code before the join, combined in
+    every task before they move: neither a frequent code nor a hot district
+    gathers raw incidents. Positions are summed as ``decimal(20,10)`` (exact,
+    sub-millimetre), so the monthly means do not depend on how the rows were
+    partitioned.
     """
     pos = "decimal(20,10)"
-    return inc.groupBy("DISTRICT", "YEAR", "MONTH", "crime_type").agg(
+    per_code = coded_incidents(crime).groupBy("DISTRICT", "YEAR", "MONTH", "CODE").agg(
         F.count("INCIDENT_NUMBER").alias("n_numbered"),
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.col("Lat").cast(pos)).alias("lat_sum"), F.count("Lat").alias("lat_n"),
-        F.sum(F.col("Long").cast(pos)).alias("long_sum"), F.count("Long").alias("long_n"),
-    )
+        F.sum(F.col("Long").cast(pos)).alias("long_sum"), F.count("Long").alias("long_n"))
+    return per_code.join(offense_types(codes), "CODE", "inner")
+
+
+def district_cells(inc: DataFrame) -> DataFrame:
+    """One partial row per (district, year, month, type)."""
+    return inc.groupBy("DISTRICT", "YEAR", "MONTH", "crime_type").agg(
+        *[F.sum(c).alias(c) for c in ("n_numbered", "n_rows", "lat_sum", "lat_n", "long_sum", "long_n")])
 
 
 def monthly_from_cells(cells: DataFrame) -> DataFrame:
@@ -94,16 +97,28 @@ def district_top_types(inc: DataFrame, k: int = TOP_TYPES) -> DataFrame:
 
 
 def district_mart(crime: DataFrame, codes: DataFrame, k: int = TOP_TYPES) -> DataFrame:
-    """DOM-10: one row per district.
+    """DOM-10: one row per district, in one pass over the facts.
 
-    Both branches start from the same cell aggregate, so Spark reuses its
-    exchange and the facts are read once; no ``persist`` is needed.
+    The cells are rolled up to months and to types by grouping sets of one
+    aggregate, the types are ranked, and one more aggregate per district
+    takes its months and its leading types side by side: no join of two
+    branches, so nothing is read or computed twice.
     """
     cells = district_cells(incidents(crime, codes))
-    stats = district_stats(monthly_from_cells(cells))
-    top = top_types_from_cells(cells, k).groupBy("DISTRICT").agg(
-        ordered_concat("crime_type", [-F.col("district_crime_type_count"), F.col("crime_type")])
-        .alias("frequent_crime_types"))
-    return (top.join(stats, "DISTRICT", "inner")
-            .select(F.col("DISTRICT").alias("district"), "crimes_total", "crimes_monthly",
-                    "frequent_crime_types", "Lat", "Long"))
+    sets = [[F.col("DISTRICT"), F.col("YEAR"), F.col("MONTH")], [F.col("DISTRICT"), F.col("crime_type")]]
+    both = cells.groupingSets(sets, "DISTRICT", "YEAR", "MONTH", "crime_type").agg(
+        F.grouping("crime_type").alias("monthly"), F.sum("n_numbered").alias("month_crime_count"),
+        F.sum("n_rows").alias("district_crime_type_count"),
+        F.try_divide(F.sum("lat_sum"), F.sum("lat_n")).cast("double").alias("Lat"),
+        F.try_divide(F.sum("long_sum"), F.sum("long_n")).cast("double").alias("Long"))
+    months, types = F.col("monthly") == 1, F.col("monthly") == 0
+    place = Window.partitionBy("DISTRICT", "monthly").orderBy(F.col("district_crime_type_count").desc())
+    both = both.withColumn("rank", F.rank().over(place))
+    # the k leading types (more on ties) as one text, most frequent first
+    leading = F.when(types & (F.col("rank") <= k), F.struct(
+        (-F.col("district_crime_type_count")).alias("o"), F.col("crime_type").alias("v")))
+    return both.groupBy(F.col("DISTRICT").alias("district")).agg(
+        F.sum(F.when(months, F.col("month_crime_count"))).alias("crimes_total"),
+        F.percentile_approx(F.when(months, F.col("month_crime_count")), 0.5).alias("crimes_monthly"),
+        F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(leading)), lambda x: x.v)).alias("frequent_crime_types"),
+        F.avg(F.when(months, F.col("Lat"))).alias("Lat"), F.avg(F.when(months, F.col("Long"))).alias("Long"))

@@ -1,8 +1,8 @@
 """Effectiveness metrics (DOM-4) and the period report (DOM-7).
 
 One grouped aggregate per period and direction replaces the original's
-sixteen actions per metric set; periods are a broadcast dimension joined
-by range (JON-8), so the whole report is a single plan and a single action.
+sixteen actions per metric set, over daily cells of the forecasts; periods
+are joined to the cells by day (JON-8).
 """
 
 from __future__ import annotations
@@ -23,6 +23,20 @@ TOTAL_METRICS = ["all_forecasts", "ru_forecasts", "other_forecasts"]
 HOME_COUNTRY = "RU"
 
 
+def daily_cells(scored: DataFrame) -> DataFrame:
+    """Counts and sums per (start date, direction, country): what every period adds up.
+
+    At most days x 2 x countries rows, whatever the number of forecasts.
+    """
+    home = F.when(F.col("country_id") == HOME_COUNTRY, F.lit(True)).when(F.col("country_id").isNotNull(), F.lit(False))
+    home = home if "country_id" in scored.columns else F.lit(None).cast("boolean")
+    aggs = [F.count(F.lit(1)).alias("forecasts")]
+    for e in EXIT_NAMES:
+        aggs += [F.count_if(F.col("res" + e) >= 1).alias("success" + e),
+                 F.sum("proc" + e).alias("sum" + e), F.count("proc" + e).alias("n" + e)]
+    return scored.groupBy("start_date", F.col("forecast_direction").alias("direction"), home.alias("home")).agg(*aggs)
+
+
 def forecast_metrics(scored: DataFrame, periods: DataFrame) -> DataFrame:
     """DOM-4 tidy: one row per (period, direction).
 
@@ -30,18 +44,17 @@ def forecast_metrics(scored: DataFrame, periods: DataFrame) -> DataFrame:
     and the mean daily yield over all forecasts of the direction. Empty
     periods keep their rows with zero counts and NULL means (Q4).
     """
-    p = assign_periods(scored, periods, "start_date")
-    aggs = [F.count(F.lit(1)).alias("forecasts"),
+    p = assign_periods(daily_cells(scored), periods, "start_date")
+    aggs = [F.sum("forecasts").alias("forecasts"),
             F.min("start_date").alias("min_start_date"),
             F.max("start_date").alias("max_start_date")]
     for e in EXIT_NAMES:
-        aggs += [F.count_if(F.col("res" + e) >= 1).alias("success" + e),
-                 F.avg("proc" + e).alias("yield" + e)]
-    m = p.groupBy("period_id", F.col("forecast_direction").alias("direction")).agg(*aggs)
+        aggs += [F.sum("success" + e).alias("success" + e),
+                 F.try_divide(F.sum("sum" + e), F.sum("n" + e)).alias("yield" + e)]
+    m = p.groupBy("period_id", "direction").agg(*aggs)
     grid = periods.select("period_id", "period",
                           F.explode(F.array(*[F.lit(d) for d, _ in DIRECTIONS])).alias("direction"))
-    # m has at most (periods x directions) rows, a bound set by the period list
-    out = grid.join(F.broadcast(m), ["period_id", "direction"], "left")
+    out = grid.join(m, ["period_id", "direction"], "left")
     counts = ["forecasts"] + ["success" + e for e in EXIT_NAMES]
     return out.select("period_id", "period", "direction",
                       *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
@@ -60,31 +73,30 @@ def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
     (``render_report`` rounds for display, Q12); an empty period yields
     NULL values instead of an error (Q4).
 
-    One pass: the totals ride along as an extra unbounded period in the same
-    grouped aggregate, and a single ``stack`` unpivots the wide row of each
-    period, so the scored input is read once.
+    The scored forecasts are aggregated once, to daily cells; the totals ride
+    along as an extra unbounded period, and a single ``stack`` unpivots the
+    wide row of each period.
     """
     total = periods.sparkSession.createDataFrame(
         [(TOTAL_PERIOD_ID, "total", None, None, True)], periods.schema)
     per = periods.unionByName(total)
-    p = assign_periods(scored, per, "start_date")
-    rise, fall = F.col("forecast_direction") == 1, F.col("forecast_direction") == 2
-    n_rise, n_fall = F.count_if(rise), F.count_if(fall)
-    aggs = [F.count(F.lit(1)).cast("double").alias("all_forecasts"),
-            F.count_if(F.col("country_id") == HOME_COUNTRY).cast("double").alias("ru_forecasts"),
-            F.count_if(F.col("country_id") != HOME_COUNTRY).cast("double").alias("other_forecasts"),
+    p = assign_periods(daily_cells(scored), per, "start_date")
+    rise, fall = F.col("direction") == 1, F.col("direction") == 2
+    total_of = lambda cond, c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    n_rise, n_fall = total_of(rise, "forecasts"), total_of(fall, "forecasts")
+    aggs = [F.sum("forecasts").cast("double").alias("all_forecasts"),
+            total_of(F.col("home"), "forecasts").cast("double").alias("ru_forecasts"),
+            total_of(~F.col("home"), "forecasts").cast("double").alias("other_forecasts"),
             F.min(F.when(rise, F.col("start_date"))).alias("min_date"),
             F.max(F.when(rise, F.col("start_date"))).alias("max_date"),
             n_rise.cast("double").alias("rise_forecasts"),
             n_fall.cast("double").alias("fall_forecasts")]
     for cond, total_n, d in ((rise, n_rise, "rise"), (fall, n_fall, "fall")):
         for e in EXIT_NAMES:
-            ok = F.count_if(cond & (F.col("res" + e) >= 1))
-            aggs.append(F.try_divide(F.lit(100.0) * ok, total_n).alias(f"{d}_success_pct_{e}"))
-            aggs.append(F.avg(F.when(cond, F.col("proc" + e))).alias(f"{d}_yield_{e}"))
+            aggs.append(F.try_divide(F.lit(100.0) * total_of(cond, "success" + e), total_n).alias(f"{d}_success_pct_{e}"))
+            aggs.append(F.try_divide(F.sum(F.when(cond, F.col("sum" + e))), F.sum(F.when(cond, F.col("n" + e)))).alias(f"{d}_yield_{e}"))
     wide = p.groupBy("period_id").agg(*aggs)
-    # one aggregated row per period: bounded by the period list
-    wide = per.select("period_id", "period").join(F.broadcast(wide), "period_id", "left")
+    wide = per.select("period_id", "period").join(wide, "period_id", "left")
 
     entries = [(i + 1, m, f"`{m}`", "NULL") for i, m in enumerate(TOTAL_METRICS)]
     entries += [(10 + i + 1, m, "NULL", f"`{m}`") for i, m in enumerate(PERIOD_METRICS[:2])]

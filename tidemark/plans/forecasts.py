@@ -32,16 +32,15 @@ def price_forecasts(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date | N
                     now: _dt.datetime | None = None, strategy: str = "rollup") -> DataFrame:
     """DOM-6: add price_start, price_forecast, price_end; evaluation columns NULL.
 
-    Candle span: from the hour of the post to ``end_date`` 12:00, or to
+    Candle span: from the exact time of the post to ``end_date`` 12:00, or to
     ``now`` while the forecast is open (SCL-28). ``price_start`` is the open
-    of the first candle, ``price_end`` the open of the last one, but only
-    once ``end_date <= as_of`` (SCL-29). Forecasts without candles keep
+    of the first candle that starts in it, ``price_end`` the open of the
+    last one, but only once ``end_date <= as_of`` (SCL-29). Forecasts without candles keep
     NULL prices (left join).
     """
     f = forecasts.withColumn("_fkey", _fkey())
-    lo = F.date_trunc("hour", F.col("date_inserted")).cast("timestamp_ntz")
     hi = clamp_span_end(F.col("end_date"), as_of, now)
-    fl = span_aggregate(f, quotes, key="ticker", span_id="_fkey", lo=lo, hi=hi,
+    fl = span_aggregate(f, quotes, key="ticker", span_id="_fkey", lo=F.col("date_inserted"), hi=hi,
                         time_col="datetime_start", measures=first_last_measures(), strategy=strategy)
     ps = F.col("first_v")
     out = f.join(fl, "_fkey", "left").select(
@@ -148,7 +147,7 @@ def backfill_end_prices(forecasts: DataFrame, quotes: DataFrame, as_of: _dt.date
     f = forecasts.withColumn("_fkey", _fkey())
     todo = f.filter(need)
     fl = span_aggregate(todo, quotes, key="ticker", span_id="_fkey",
-                        lo=F.date_trunc("hour", F.col("date_inserted")).cast("timestamp_ntz"),
+                        lo=F.col("date_inserted"),
                         hi=span_end_ts(F.col("end_date")), time_col="datetime_start",
                         measures=first_last_measures(), strategy=strategy)
     out = f.join(fl.select("_fkey", F.col("last_v").alias("_pe")), "_fkey", "left")

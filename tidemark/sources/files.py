@@ -54,12 +54,8 @@ def periods_frame(spark: SparkSession, periods) -> DataFrame:
     """SRC-10: a small reporting-period dimension built in memory.
 
     ``periods`` is a list of ``(period_id, label, lo, hi, lo_inclusive)``;
-    ``lo`` may be None for an open lower bound. The list is tiny and fixed
-    by the caller, so it is safe to broadcast.
+    ``lo`` and ``hi`` may be None for an open bound.
     """
-    from tidemark.operators.periods import MAX_PERIODS, TooManyPeriods
-    if len(periods) > MAX_PERIODS:
-        raise TooManyPeriods(f"{len(periods)} periods exceed the broadcast bound of {MAX_PERIODS}")
     rows = [(int(p[0]), str(p[1]), p[2], p[3], bool(p[4]) if len(p) > 4 else True) for p in periods]
     return spark.createDataFrame(
         rows, "period_id int, period string, lo date, hi date, lo_inclusive boolean")
