@@ -54,9 +54,8 @@ def _dense_spans(strategy):
     and one forecast span per purchase event (1 to 10 days)."""
     def run(spark, sf_dir):
         from pyspark.sql import functions as F
-        from tidemark.operators.materialize import spread
         from tidemark.sources import driver
-        ev = spread(driver.table(spark, sf_dir, "events"))
+        ev = driver.table(spark, sf_dir, "events")
         tk = driver.ticks(ev.withColumn("user_id", F.col("user_id") % 10))
         q = driver.hourly_quotes(tk)
         start = F.to_date("ts")

@@ -1,7 +1,9 @@
-"""Stage materialisation and input spreading."""
+"""Stage materialisation and the shared folder."""
 
-from tidemark.operators.materialize import materialize, spread
-from tidemark.session import checkpoint_dir
+import pytest
+
+from tidemark.operators.materialize import materialize
+from tidemark.session import NoSharedFolder, checkpoint_dir, use_local_folder
 
 
 def test_materialize_reads_back_from_checkpoint_folder(spark):
@@ -19,8 +21,20 @@ def test_checkpoint_folder_is_stable(spark):
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
 
 
-def test_spread_only_thin_inputs(spark):
-    thin = spark.range(0, 1000, numPartitions=1)
-    assert spread(thin, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 1000, numPartitions=6)
-    assert spread(wide, 4) is wide
+def test_no_silent_machine_local_folder(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://cluster:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(Conf)
+        setCheckpointDir = staticmethod(lambda path: pytest.fail(f"a local folder was set: {path}"))
+
+    class Session:
+        sparkContext = Context
+
+    use_local_folder(Session)
+    with pytest.raises(NoSharedFolder):
+        checkpoint_dir(Session)

@@ -89,6 +89,9 @@ def test_quality_reports(spark):
     assert [r["k"] for r in quality.code_violations(df, {"dirn": [1, 2], "res": [0, 1, 2, 3]}).collect()] == [1, 1, 2]
     ref = spark.createDataFrame([("a",)], "t string")
     assert sorted(r["t"] for r in quality.orphans(df, ref, ["t"]).collect()) == ["b", "c"]
+    # a missing reference is no orphan, whatever the other table holds
+    other = spark.createDataFrame([(1,), (None,)], "d int")
+    assert [r["t"] for r in quality.orphans(df, other, {"dirn": "d"}).collect()] == ["c"]
     wide = spark.createDataFrame([("12345.678", "x" * 30)], "v string, name string")
     over = quality.overflow_violations(wide, decimals={"v": "decimal(7,3)"}, lengths={"name": 20}).first()
     assert over["violations"] == ["v:decimal(7,3)", "name:len>20"]

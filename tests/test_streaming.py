@@ -9,7 +9,7 @@ from conftest import SF_SMALL, ts
 from tidemark import schemas
 from tidemark.functions.dates import lit_ts
 from tidemark.plans import posts, quotes as quotes_plan, weblog
-from tidemark.sinks.tables import VersionedTable
+from tidemark.sinks.tables import ChangeTable
 from tidemark.sources import driver, feeds
 from tidemark.streaming import streams
 
@@ -50,30 +50,35 @@ def test_weblog_stream_equals_batch(spark, tmp_dir):
     assert spark.read.parquet(out).count() == len(csv_rows)
 
 
-def test_quotes_stream_upserts_and_replays_idempotently(spark, tmp_dir):
+def test_quotes_stream_replays_and_starts_over(spark, tmp_dir):
     tk = driver.ticks(driver.table(spark, SF_SMALL, "events"))
     q = driver.hourly_quotes(tk)
     src = f"{tmp_dir}/candles"
     _land_text(driver.candle_responses(q), src, 4)
-    table = VersionedTable(spark, f"{tmp_dir}/quotes", schemas.QUOTES, quotes_plan.QUOTE_KEY)
+    table = ChangeTable(spark, f"{tmp_dir}/quotes", schemas.QUOTES, quotes_plan.QUOTE_KEY)
     streams.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
-    stored = table.read()
-    assert len(table.versions()) == 4
+    assert table.changes().select("batch_id").distinct().count() == 4
     cols = ["ticker", "datetime_start", "datetime_end", "open_price", "close_price", "high_price", "low_price", "volume"]
-    assert sorted(map(tuple, stored.select(*cols).collect())) == sorted(map(tuple, q.select(*cols).collect()))
-    # replaying the same files (a second landing of identical responses) updates, never duplicates
-    _land_text(driver.candle_responses(q), f"{src}/again", 1)
-    streams.start_quotes(spark, src + "/again", table, f"{tmp_dir}/ck2", NOW + dt.timedelta(hours=1)).awaitTermination()
-    assert table.read().count() == q.count()
+    want = sorted(map(tuple, q.select(*cols).collect()))
+    assert sorted(map(tuple, table.read().select(*cols).collect())) == want
+    # a second stream whose batch numbers start at 0 again: changed prices arrive, new rows stay
+    more = q.withColumn("close_price", (F.col("close_price") + 1).cast("decimal(16,6)")).withColumn("ticker", F.concat("ticker", F.when(F.col("volume") > 1, "x").otherwise("")))
+    _land_text(driver.candle_responses(more), f"{tmp_dir}/again", 2)
+    later = NOW + dt.timedelta(hours=1)
+    streams.start_quotes(spark, f"{tmp_dir}/again", table, f"{tmp_dir}/ck2", later, stream_id="again").awaitTermination()
+    after = {(r[0], r[1]): tuple(r) for r in q.select(*cols).collect()}
+    after.update({(r[0], r[1]): tuple(r) for r in more.select(*cols).collect()})
+    assert sorted(map(tuple, table.read().select(*cols).collect())) == sorted(after.values()) and len(after) > len(want)
 
 
 def test_posts_stream_equals_batch(spark, tmp_dir):
     ev = driver.table(spark, SF_SMALL, "events")
     src = f"{tmp_dir}/posts"
     _land_text(driver.post_pages(ev), src, 3)
-    fc = VersionedTable(spark, f"{tmp_dir}/forecasts", schemas.FORECASTS, ["analyst_company_id", "ticker", "start_date"])
-    ind = VersionedTable(spark, f"{tmp_dir}/indicators", schemas.INDICATORS, ["indicator_name"])
-    log = VersionedTable(spark, f"{tmp_dir}/parser_log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
+    fc = ChangeTable(spark, f"{tmp_dir}/forecasts", schemas.FORECASTS, ["analyst_company_id", "ticker", "start_date"],
+                     order=["date_inserted", "external_id"])
+    ind = ChangeTable(spark, f"{tmp_dir}/indicators", schemas.INDICATORS, ["indicator_name"])
+    log = ChangeTable(spark, f"{tmp_dir}/parser_log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
     streams.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck", NOW,
                           max_files_per_trigger=1, parser_log=log).awaitTermination()
     from tidemark.sources.files import read_json_lines
@@ -91,22 +96,13 @@ def test_posts_stream_equals_batch(spark, tmp_dir):
     hw = {r["analyst_company_id"]: r["hwm"] for r in last_run(log.read()).collect()}
     newest = {r[0]: r[1] for r in items.selectExpr("analyst_company_id", "substring_index(inserted, '.', 1) AS t")
               .groupBy("analyst_company_id").agg(F.max("t")).collect()}
-    assert sorted(hw) == sorted(newest) and len(log.versions()) == 3
+    assert sorted(hw) == sorted(newest) and log.changes().select("batch_id").distinct().count() == 3
     assert all(hw[k] == dt.datetime.fromisoformat(v) for k, v in newest.items())
-
-
-def test_quotes_stream_into_partitioned_table(spark, tmp_dir):
-    from tidemark.sinks.tables import PartitionedKeyedTable
-    from pyspark.sql.types import DateType, StructField, StructType
-    tk = driver.ticks(driver.table(spark, SF_SMALL, "events"))
-    q = driver.hourly_quotes(tk)
-    src = f"{tmp_dir}/candles"
-    _land_text(driver.candle_responses(q), src, 3)
-    schema = StructType(list(schemas.QUOTES.fields) + [StructField("day", DateType())])
-    table = PartitionedKeyedTable(spark, f"{tmp_dir}/quotes", schema, quotes_plan.QUOTE_KEY, "day")
-    streams.start_quotes(spark, src, table, f"{tmp_dir}/ck", NOW, max_files_per_trigger=1).awaitTermination()
-    cols = ["ticker", "datetime_start", "datetime_end", "open_price", "high_price", "low_price", "volume"]
-    assert sorted(map(tuple, table.read().select(*cols).collect())) == sorted(map(tuple, q.select(*cols).collect()))
+    # the same checkpoint's batches again (a replay after a crash) change nothing, rejected rows included
+    before = sorted(map(repr, fc.read().collect())), sorted(map(repr, spark.read.parquet(f"{tmp_dir}/rejected").collect()))
+    streams.start_posts(spark, src, fc, ind, f"{tmp_dir}/rejected", f"{tmp_dir}/ck-copy", NOW,
+                        max_files_per_trigger=1, parser_log=log).awaitTermination()
+    assert (sorted(map(repr, fc.read().collect())), sorted(map(repr, spark.read.parquet(f"{tmp_dir}/rejected").collect()))) == before
 
 
 def test_console_sink_runs(spark, tmp_dir):

@@ -1,12 +1,11 @@
-"""DOM-8 keyed upsert properties (T3) and the versioned table."""
+"""DOM-8 keyed upsert properties (T3) and the change table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import ts
 from tidemark import schemas
 from tidemark.operators.upsert import DuplicateKeyError, assert_unique, upsert
-from tidemark.sinks.tables import PartitionedKeyedTable, VersionedTable
+from tidemark.sinks.tables import ChangeTable, compact
 
 T0, T1, T2 = ts("2024-01-01 00:00:00"), ts("2024-01-02 00:00:00"), ts("2024-01-03 00:00:00")
 SCHEMA = "k string, v int, ev int, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -46,19 +45,41 @@ def test_duplicate_batch_key_raises(spark):
         assert_unique(batch, ["k"])
 
 
-def test_versioned_table_replay_is_noop(spark, tmp_dir):
-    t = VersionedTable(spark, f"{tmp_dir}/quotes", schemas.QUOTES, ["ticker", "datetime_start"])
+def test_change_table_replay_and_new_streams(spark, tmp_dir):
+    t = ChangeTable(spark, f"{tmp_dir}/quotes", schemas.QUOTES, ["ticker", "datetime_start"])
     assert t.read().count() == 0
-    b = spark.createDataFrame([("A", T0, T1)], "ticker string, datetime_start timestamp_ntz, datetime_end timestamp_ntz") \
-        .withColumn("open_price", F.lit(1).cast(schemas.PRICE))
-    assert t.upsert(b, 1, T1, update=["datetime_end", "open_price"])
-    assert not t.upsert(b, 1, T2, update=["datetime_end", "open_price"])
-    assert t.versions() == [1]
-    r = t.read().first()
-    assert r["created_at"] == T1 and r["updated_at"] == T1 and r["volume"] is None
-    assert t.upsert(b, 2, T2, update=["datetime_end", "open_price"])
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "ticker string, datetime_start timestamp_ntz, volume int")
+
+    def now():
+        return sorted((r["ticker"], r["volume"], r["created_at"], r["updated_at"]) for r in t.read().collect())
+
+    t.append(batch(("A", T0, 1), ("B", T0, 2)), "s", 0, T0)
+    t.append(batch(("B", T0, 3)), "s", 1, T1)
+    first = now()
+    assert first == [("A", 1, T0, T0), ("B", 3, T0, T1)]
+    t.append(batch(("B", T0, 3)), "s", 1, T1)                      # a replay replaces its own partition
+    assert now() == first and t.changes().count() == 3
+    t.append(batch(("A", T0, 9), ("C", T0, 4)), "again", 0, T2)    # a new checkpoint counts from 0 and loses nothing
+    assert now() == [("A", 9, T0, T2), ("B", 3, T0, T1), ("C", 4, T2, T2)]
+    assert ChangeTable(spark, t.root, schemas.QUOTES, t.keys).read().count() == 3      # opening a stored table keeps it
+    small = compact(t, f"{tmp_dir}/small")
+    assert sorted(map(tuple, small.read().collect())) == sorted(map(tuple, t.read().collect())) and small.changes().count() == 3
+    with pytest.raises(DuplicateKeyError):
+        t.append(batch(("D", T0, 1), ("D", T0, 2)), "s", 2, T2)
+
+
+def test_change_table_keeps_the_newest_post(spark, tmp_dir):
+    t = ChangeTable(spark, f"{tmp_dir}/f", schemas.FORECASTS, ["analyst_company_id", "ticker", "start_date"], order=["date_inserted"])
+
+    def batch(at, term):
+        return spark.createDataFrame([(1, "A", T0.date(), at, term)], "analyst_company_id int, ticker string, start_date date, date_inserted timestamp_ntz, external_id string")
+
+    t.append(batch(T1, "new"), "s", 0, T1)
+    t.append(batch(T0, "late"), "s", 1, T2)
     r = t.read().first()
-    assert t.read().count() == 1 and r["created_at"] == T1 and r["updated_at"] == T2
+    assert (r["external_id"], r["created_at"], r["updated_at"]) == ("new", T1, T1)
 
 
 def test_older_record_never_overwrites_newer(spark):
@@ -66,17 +87,3 @@ def test_older_record_never_overwrites_newer(spark):
     batch = spark.createDataFrame([("a", 9, T0), ("b", 2, T0)], "k string, v int, t timestamp_ntz")
     out = rows(upsert(target, batch, ["k"], T2, only_if_newer="t"))
     assert out == [("a", 1, T1, T0, T0), ("b", 2, T0, T2, T2)]
-
-
-def test_partitioned_table_touches_only_batch_partitions(spark, tmp_dir):
-    schema = "k string, v int, day date, created_at timestamp_ntz, updated_at timestamp_ntz"
-    from pyspark.sql.types import _parse_datatype_string
-    t = PartitionedKeyedTable(spark, f"{tmp_dir}/big", _parse_datatype_string(schema), ["k"], "day")
-    day = F.to_date(F.substring("k", 1, 10))
-    b1 = spark.createDataFrame([("2024-01-01-a", 1), ("2024-01-02-b", 2)], "k string, v int")
-    assert t.upsert(b1, 1, T0, day)
-    b2 = spark.createDataFrame([("2024-01-02-b", 3), ("2024-01-02-c", 4)], "k string, v int")
-    assert t.upsert(b2, 2, T1, day)
-    assert not t.upsert(b2, 2, T2, day)          # replay of batch 2
-    out = sorted((r["k"], r["v"], r["created_at"], r["updated_at"]) for r in t.read().collect())
-    assert out == [("2024-01-01-a", 1, T0, T0), ("2024-01-02-b", 3, T0, T1), ("2024-01-02-c", 4, T1, T1)]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import highwater, quality
-from tidemark.operators.materialize import materialize, spread
+from tidemark.operators.materialize import materialize
 from tidemark.plans import districts, effectiveness, forecasts, outcomes, posts, quotes, stocks, weblog
 from tidemark.sources import driver, feeds
 from tidemark.sources.files import periods_frame
@@ -108,7 +108,7 @@ class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str, stored=None):
         self.spark, self.sf_dir = spark, sf_dir
         self.stored = set(self.STORED if stored is None else stored)
-        ev = spread(_t(spark, sf_dir, "events"))
+        ev = _t(spark, sf_dir, "events")
         self.items = feeds.post_items(driver.post_pages(ev))
         self.ticks = driver.ticks(ev)
         self._memo: dict = {}
@@ -291,6 +291,12 @@ def _stored_quotes(c):
             .withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT)))
 
 
+@register("due_forecasts_all")
+def q_due_forecasts_all(spark, sf_dir):
+    _, p = _live(spark, sf_dir)
+    return forecasts.due_forecasts(p, LIVE_AS_OF).select(*KEYS, "end_date", *_dbl("price_start", "price_end"))
+
+
 @register("quote_high_water")
 def q_quote_high_water(spark, sf_dir):
     c, p = _live(spark, sf_dir)
@@ -403,17 +409,59 @@ def q_closed_from_post_time(spark, sf_dir):
 
 @register("upsert_stocks")
 def q_upsert_stocks(spark, sf_dir):
-    """SNK-4: a stored dimension (customers of the first half, loaded earlier)
+    """SNK-4: a stored dimension (the tickers posts named before the second run)
     refreshed from the full instrument list."""
     from tidemark.functions.dates import lit_ts
     inst = feeds.instruments(driver.instrument_lines(_t(spark, sf_dir, "customer")))
-    half = stocks.stock_dimension(inst).filter(F.col("ticker") < "T5")
-    stored = (half.withColumn("stock_name", F.upper("stock_name"))
+    named = Chain(spark, sf_dir).parsed.filter(F.col("date_inserted") < lit_ts(REPLAY_FROM)).select("ticker")
+    before = stocks.stock_dimension(inst).join(named.distinct(), "ticker", "left_semi")
+    stored = (before.withColumn("stock_name", F.upper("stock_name"))
               .withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT)))
     u = stocks.upsert_stocks(stored, inst, NOW)
     return u.select("ticker", "figi", "stock_name", "currency", "lot", "created_at", "updated_at")
 
 
+# --- paths of the pipelines not covered above -------------------------------------
+
+@register("parsed_since_high_water")
+def q_parsed_since_high_water(spark, sf_dir):
+    """FLT-11: a second run reads, per company, only posts after its last run;
+    companies that never ran read all (1970 default)."""
+    c = Chain(spark, sf_dir)
+    first = _runs(c).filter((F.col("run_id") == 1) & (F.col("analyst_company_id") != 3))
+    companies = c.items.select("analyst_company_id").distinct()
+    hwm = highwater.last_run(first, companies)
+    return posts.latest_forecasts(posts.parse_forecasts(c.items, hwm)).select(*KEYS, "end_date", "external_id")
+
+
+@register("rendered_report")
+def q_rendered_report(spark, sf_dir):
+    """DOM-7 / SCL-30: the two-column text report with headings and blank rows."""
+    r = effectiveness.effectiveness_report(Chain(spark, sf_dir).report_input(), periods_frame(spark, PERIODS))
+    return effectiveness.render_report(r.withColumn("value", r6("value")), headings=True).select("line", "parameter", "value")
+
+
+@register("index_documents")
+def q_index_documents(spark, sf_dir):
+    """SNK-8: search documents with exact-match copies, counted by their fields."""
+    from tidemark.functions.dates import lit_ts
+    v = weblog.page_views(driver.weblog_lines(_t(spark, sf_dir, "events")), lit_ts(INGEST_TIME))
+    d = weblog.index_documents(v)
+    return d.groupBy("IP_keyword", "URL_keyword", "page_visited_keyword", "page_params_keyword", "type_keyword",
+                     F.concat_ws(",", "tags_keyword").alias("tags_keyword")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@register("upsert_indicators")
+def q_upsert_indicators(spark, sf_dir):
+    """Q26: names of an earlier run keep their values, new names are added."""
+    from tidemark.functions.dates import lit_ts
+    c = Chain(spark, sf_dir)
+    early = c.parsed.filter(F.col("date_inserted") < lit_ts(REPLAY_FROM))
+    known = (posts.new_indicators(early).withColumn("created_at", lit_ts(LOADED_AT)).withColumn("updated_at", lit_ts(LOADED_AT)))
+    new = (posts.new_indicators(c.parsed, known).withColumn("created_at", lit_ts(NOW)).withColumn("updated_at", lit_ts(NOW)))
+    return known.unionByName(new)
+
+
 # --- weblog --------------------------------------------------------------------
 
 INGEST_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -450,52 +498,70 @@ def _scratch(spark, label):
     return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-streams/{label}-{uuid.uuid4().hex}"
 
 
-LANDED_FILES = 4
-
-
 @register("page_views_stream")
 def q_page_views_stream(spark, sf_dir):
     from tidemark.functions.dates import lit_ts
     from tidemark.streaming import streams
     root = _scratch(spark, "weblog")
     lines = driver.weblog_lines(_t(spark, sf_dir, "events"))
-    streams.land(lines, f"{root}/in", LANDED_FILES, "csv")
-    streams.start_weblog(spark, f"{root}/in", f"{root}/out", f"{root}/ck", max_files_per_trigger=1,
-                           ingest_time=lit_ts(INGEST_TIME)).awaitTermination()
+    streams.land(lines, f"{root}/in", fmt="csv")
+    streams.start_weblog(spark, f"{root}/in", f"{root}/out", f"{root}/ck", ingest_time=lit_ts(INGEST_TIME)).awaitTermination()
     c = weblog.page_view_counts(spark.read.parquet(f"{root}/out"))
     return c.select("page_visited", "page_params", F.col("Status").alias("status"), "views", "first_seen", "last_seen")
 
 
-@register("quotes_stream")
-def q_quotes_stream(spark, sf_dir):
+def _quotes_stream(spark, sf_dir, starts=None):
     from tidemark import schemas
-    from tidemark.sinks.tables import VersionedTable
+    from tidemark.sinks.tables import ChangeTable
     from tidemark.streaming import streams
     root = _scratch(spark, "quotes")
     tk = driver.ticks(_t(spark, sf_dir, "events"))
-    streams.land(driver.candle_responses(driver.hourly_quotes(tk)), f"{root}/in", LANDED_FILES)
-    table = VersionedTable(spark, f"{root}/table", schemas.QUOTES, quotes.QUOTE_KEY)
-    streams.start_quotes(spark, f"{root}/in", table, f"{root}/ck", NOW, max_files_per_trigger=1).awaitTermination()
+    streams.land(driver.candle_responses(driver.hourly_quotes(tk)), f"{root}/in")
+    table = ChangeTable(spark, f"{root}/table", schemas.QUOTES, quotes.QUOTE_KEY)
+    streams.start_quotes(spark, f"{root}/in", table, f"{root}/ck", NOW, starts=starts).awaitTermination()
     return table.read().select("ticker", "datetime_start", "datetime_end",
                                *_dbl("open_price", "close_price", "high_price", "low_price"), "volume")
 
 
-@register("posts_stream")
-def q_posts_stream(spark, sf_dir):
+@register("quotes_stream")
+def q_quotes_stream(spark, sf_dir):
+    return _quotes_stream(spark, sf_dir)
+
+
+@register("quotes_stream_from_starts")
+def q_quotes_stream_from_starts(spark, sf_dir):
+    """STM-5: each ticker from its own start on, other tickers not at all."""
+    c, p = _live(spark, sf_dir)
+    return _quotes_stream(spark, sf_dir, quotes.fetch_starts(_stored_quotes(c), forecasts.active_forecasts(p, LIVE_AS_OF)))
+
+
+def _posts_stream(spark, sf_dir):
     from tidemark import schemas
-    from tidemark.sinks.tables import VersionedTable
+    from tidemark.sinks.tables import ChangeTable
     from tidemark.streaming import streams
     root = _scratch(spark, "posts")
-    streams.land(driver.post_pages(_t(spark, sf_dir, "events")), f"{root}/in", LANDED_FILES)
-    fc = VersionedTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS)
-    ind = VersionedTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
-    streams.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW,
-                          max_files_per_trigger=1).awaitTermination()
+    streams.land(driver.post_pages(_t(spark, sf_dir, "events")), f"{root}/in")
+    fc = ChangeTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS, order=["date_inserted", "external_id"])
+    ind = ChangeTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
+    streams.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW).awaitTermination()
+    return fc, ind, f"{root}/rejected"
+
+
+@register("posts_stream")
+def q_posts_stream(spark, sf_dir):
+    fc, _, _ = _posts_stream(spark, sf_dir)
     return fc.read().select(*KEYS, "end_date", "forecast_direction",
                             F.col("price_delta_forecast").cast("double").alias("price_delta_forecast"),
                             "external_id", "indicator_name", "date_inserted")
 
 
+@register("posts_stream_rejected")
+def q_posts_stream_rejected(spark, sf_dir):
+    """SNK-3: the quarantine that the posts stream writes."""
+    _, _, rejected = _posts_stream(spark, sf_dir)
+    return spark.read.parquet(rejected).select("analyst_company_id", "external_id", "date_inserted", "block_pos", "reason")
+
+
 # --- data quality --------------------------------------------------------------
 
 @register("key_violations")
@@ -528,14 +594,38 @@ def q_orphans(spark, sf_dir):
 
 @register("overflow_violations")
 def q_overflow_violations(spark, sf_dir):
-    p = Chain(spark, sf_dir).priced()
-    v = quality.overflow_violations(p, decimals={"price_delta_forecast": "decimal(7,3)"},
-                                    lengths={"ticker": 20, "external_id": 40})
-    return v.select(*KEYS, F.concat_ws(",", "violations").alias("violations"))
+    """DQ-4 on the parsed values, before any cast. The declared types are
+    narrowed (3,1 and 3 characters) so that the given posts break them."""
+    p = Chain(spark, sf_dir).parsed_all()
+    v = quality.overflow_violations(p, decimals={"price_delta_forecast": "decimal(3,1)"},
+                                    lengths={"ticker": 20, "external_id": 3})
+    return v.select(*KEYS, "block_pos", F.concat_ws(",", "violations").alias("violations"))
 
 
 @register("code_violations")
 def q_code_violations(spark, sf_dir):
-    cl = Chain(spark, sf_dir).closed()
-    return quality.code_violations(cl, {"forecast_direction": [1, 2], "forecast_result": [0, 1, 2, 3]}).select(
-        *KEYS, "forecast_direction", F.col("forecast_result").cast("int").alias("forecast_result"))
+    """DQ-5 on a coded column as it is given: roles other than the two of a dialogue."""
+    c = _t(spark, sf_dir, "conversations")
+    return quality.code_violations(c, {"role": ["user", "assistant"]}).select("conv_id", "turn", "role")
+
+
+@register("declared_key_violations")
+def q_declared_key_violations(spark, sf_dir):
+    """DQ-1 for all five declared keys, over the rows as they arrive: how many
+    key values occur more than once."""
+    c = Chain(spark, sf_dir)
+    parsed = c.parsed_all()
+    inst = feeds.instruments(driver.instrument_lines(_t(spark, sf_dir, "customer")))
+    candles = feeds.quotes_from_candles(driver.candle_responses(c.quotes_plan()))
+    given = {
+        "stocks": (inst, ["ticker"]),
+        "indicators": (parsed, ["indicator_name"]),
+        "stocks_forecasts": (parsed, KEYS),
+        "stocks_quotes": (candles.unionByName(candles), ["ticker", "datetime_start"]),
+        "parser_log": (_runs(c), ["forecast_datetime"]),
+    }
+    out = None
+    for name, (df, keys) in given.items():
+        one = quality.key_violations(df, keys).agg(F.count(F.lit(1)).alias("repeated_keys")).select(F.lit(name).alias("table_name"), "repeated_keys")
+        out = one if out is None else out.unionByName(one)
+    return out

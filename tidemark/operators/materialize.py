@@ -1,4 +1,9 @@
-"""Stage materialisation: cut lineage at stage boundaries."""
+"""Stage materialisation: cut lineage at stage boundaries.
+
+A stage is written when a query that needs it is built, and its files stay
+under the shared folder until that folder's own clean-up: results may be read
+at any time after the call returns.
+"""
 
 from __future__ import annotations
 
@@ -27,23 +32,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{base}/tidemark-stages/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a thinly partitioned input over the cluster before CPU-heavy work.
-
-    When ``df`` arrives in fewer partitions than the cluster's default
-    parallelism (a small or unsplittable file), rows are redistributed
-    round-robin so regex parsing and the like use every core. A large input
-    already has more partitions than cores and is returned unchanged, so at
-    scale this adds no shuffle.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the input as is
-        return df
-    if have >= target:
-        return df
-    return df.repartition(target)

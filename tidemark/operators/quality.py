@@ -29,15 +29,15 @@ def orphans(df: DataFrame, ref: DataFrame, on: Sequence[str] | Mapping[str, str]
     """DQ-3: rows of ``df`` whose reference is missing in ``ref``.
 
     ``on`` is a list of shared column names or a mapping df column -> ref
-    column; NULL references count as orphans only if ``ref`` has no NULL.
+    column. A row with a NULL in its reference refers to nothing and is no
+    orphan, as with a foreign key.
     """
-    if isinstance(on, Mapping):
-        cond = None
-        for a, b in on.items():
-            c = df[a] == ref[b]
-            cond = c if cond is None else cond & c
-        return df.join(ref, cond, "left_anti")
-    return df.join(ref.select(*on).distinct(), list(on), "left_anti")
+    pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
+    named = ref.select(*[F.col(r).alias(f"_ref{i}") for i, r in enumerate(pairs.values())]).distinct()
+    refers, cond = F.lit(True), F.lit(True)
+    for i, c in enumerate(pairs):
+        refers, cond = refers & F.col(c).isNotNull(), cond & (F.col(c) == F.col(f"_ref{i}"))
+    return df.filter(refers).join(named, cond, "left_anti")
 
 
 def overflow_violations(df: DataFrame, decimals: Mapping[str, str] = None,

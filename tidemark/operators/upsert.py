@@ -2,9 +2,9 @@
 
 ``upsert`` is a pure DataFrame function: target rows whose key is not in
 the batch, plus batch rows merged with the target's bookkeeping columns.
-Storage lives in ``tidemark.sinks.tables`` (versioned or partition-scoped
-tables, so a job never reads and overwrites one path); a catalog with
-row-level operations (MERGE) can replace both.
+Streams store their micro-batches as change sets instead
+(``tidemark.sinks.tables``); a catalog with row-level operations (MERGE) can
+replace both.
 """
 
 from __future__ import annotations

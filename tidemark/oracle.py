@@ -479,6 +479,8 @@ SELECT {KEYS}, end_date, CAST(price_start AS DOUBLE) AS price_start, CAST(price_
 FROM live WHERE forecast_result IS NULL AND end_date < {LIVE_AS_OF} AND price_start IS NOT NULL
   AND analyst_company_id = 2"""
 
+ORACLE["due_forecasts_all"] = ORACLE["due_forecasts"].replace("\n  AND analyst_company_id = 2", "")
+
 HW = """hw AS (SELECT ticker, max(datetime_end) AS date_inserted FROM stored
               WHERE ticker IN (SELECT ticker FROM active) GROUP BY ticker),
 starts AS (SELECT a.ticker, coalesce(hw.date_inserted, a.posted) AS fetch_from
@@ -598,15 +600,14 @@ UNION ALL
 SELECT 'forecast.ticker', CAST(analyst_company_id AS VARCHAR) || '|' || ticker || '|' || CAST(start_date AS VARCHAR)
 FROM parsed WHERE ticker NOT IN (SELECT ticker FROM stocks)"""
 
-ORACLE["overflow_violations"] = _with(*CHAIN[:8]) + f"""
-SELECT {KEYS}, concat_ws(',', CASE WHEN length(ticker) > 20 THEN 'ticker:len>20' END,
-                            CASE WHEN length(external_id) > 40 THEN 'external_id:len>40' END) AS violations
-FROM priced WHERE length(ticker) > 20 OR length(external_id) > 40"""
+ORACLE["overflow_violations"] = _with(POSTS, blocks_cte(), parsed_cte()) + f"""
+SELECT {KEYS}, block_pos, concat_ws(',', CASE WHEN TRY_CAST(price_delta_forecast AS DECIMAL(3,1)) IS NULL THEN 'price_delta_forecast:decimal(3,1)' END,
+                            CASE WHEN length(ticker) > 20 THEN 'ticker:len>20' END,
+                            CASE WHEN length(external_id) > 3 THEN 'external_id:len>3' END) AS violations
+FROM parsed_all WHERE TRY_CAST(price_delta_forecast AS DECIMAL(3,1)) IS NULL OR length(ticker) > 20 OR length(external_id) > 3"""
 
-ORACLE["code_violations"] = _with(*CHAIN[:11]) + f"""
-SELECT {KEYS}, CAST(forecast_direction AS INTEGER) AS forecast_direction,
-       CAST(forecast_result AS INTEGER) AS forecast_result
-FROM closed WHERE forecast_direction NOT IN (1, 2) OR forecast_result NOT IN (0, 1, 2, 3)"""
+ORACLE["code_violations"] = """
+SELECT conv_id, turn, role FROM conversations WHERE role NOT IN ('user', 'assistant')"""
 
 
 ORACLE["backfilled_end_prices"] = _with(*LIVE, f"""bf AS (
@@ -635,10 +636,10 @@ SELECT {KEYS}, CAST(forecast_result AS INTEGER) AS forecast_result,
        price_max_date, price_min_date
 FROM closed"""
 
-ORACLE["upsert_stocks"] = _with(STOCKS) + f"""
+ORACLE["upsert_stocks"] = _with(POSTS, blocks_cte(), parsed_cte(), STOCKS) + f"""
 SELECT s.ticker, s.figi, s.stock_name, s.currency, s.lot,
        CASE WHEN old.ticker IS NULL THEN {NOW} ELSE {LOADED_AT} END AS created_at, {NOW} AS updated_at
-FROM stocks s LEFT JOIN (SELECT ticker FROM stocks WHERE ticker < 'T5') old ON s.ticker = old.ticker"""
+FROM stocks s LEFT JOIN (SELECT DISTINCT ticker FROM parsed WHERE date_inserted < {REPLAY_FROM}) old ON s.ticker = old.ticker"""
 
 
 ORACLE["fetch_requests"] = _with(*LIVE, QUOTES10, HW) + f"""
@@ -655,3 +656,57 @@ SELECT {KEYS}, end_date, CAST(forecast_direction AS INTEGER) AS forecast_directi
        CAST(CAST(price_delta_forecast AS DECIMAL(7,3)) AS DOUBLE) AS price_delta_forecast,
        external_id, indicator_name, date_inserted
 FROM parsed"""
+ORACLE["posts_stream_rejected"] = ORACLE["rejected_blocks"]
+ORACLE["quotes_stream_from_starts"] = _with(*LIVE, QUOTES10, HW) + f"""
+SELECT q.ticker, q.datetime_start, q.datetime_end, CAST(q.open_price AS DOUBLE) AS open_price,
+       CAST(q.close_price AS DOUBLE) AS close_price, CAST(q.high_price AS DOUBLE) AS high_price,
+       CAST(q.low_price AS DOUBLE) AS low_price, q.volume
+FROM quotes q JOIN starts s ON q.ticker = s.ticker WHERE q.datetime_start >= s.fetch_from"""
+
+
+# --- paths not covered above -------------------------------------------------------
+
+ORACLE["parsed_since_high_water"] = _with(
+    POSTS, f"""done AS (SELECT analyst_company_id AS company, max(date_inserted) AS hwm FROM posts
+      WHERE date_inserted < {REPLAY_FROM} AND analyst_company_id <> 3 GROUP BY 1),
+fresh AS (SELECT posts.* FROM posts LEFT JOIN done ON company = analyst_company_id
+          WHERE date_inserted > coalesce(hwm, TIMESTAMP '1970-01-01 00:00:00'))""",
+    blocks_cte("fresh"), parsed_cte()) + f"SELECT {KEYS}, end_date, external_id FROM parsed"
+
+ORACLE["upsert_indicators"] = _with(POSTS, blocks_cte(), parsed_cte(), f"""ranked AS (
+  SELECT indicator_name, success_procent, date_inserted < {REPLAY_FROM} AS early,
+         row_number() OVER (PARTITION BY indicator_name, date_inserted < {REPLAY_FROM}
+                            ORDER BY date_inserted DESC, external_id DESC, block_pos ASC) AS rn FROM parsed)""") + f"""
+SELECT indicator_name, arg_max(success_procent, early) AS success_proc,
+       CASE WHEN bool_or(early) THEN {LOADED_AT} ELSE {NOW} END AS created_at,
+       CASE WHEN bool_or(early) THEN {LOADED_AT} ELSE {NOW} END AS updated_at
+FROM ranked WHERE rn = 1 GROUP BY indicator_name"""
+
+ORACLE["index_documents"] = _with(WEBLOG) + """
+SELECT IP AS IP_keyword, CASE WHEN page_visited IS NULL THEN URL END AS URL_keyword,
+       page_visited AS page_visited_keyword, page_params AS page_params_keyword, 'weblog' AS type_keyword,
+       concat_ws(',', CASE WHEN page_visited IS NULL THEN '_grokparsefailure' END,
+                 CASE WHEN time_txt IS NULL THEN '_dissectfailure' END,
+                 CASE WHEN status_code IS NULL AND status_txt <> '' THEN '_convertfailure' END,
+                 CASE WHEN parsed_time IS NULL THEN '_dateparsefailure' END) AS tags_keyword,
+       count(*) AS documents
+FROM pv GROUP BY ALL"""
+
+ORACLE["rendered_report"] = f"""WITH report AS ({ORACLE["effectiveness_report"]})
+SELECT line, metric AS parameter,
+       coalesce(CASE WHEN value_date IS NOT NULL THEN strftime(value_date, '%Y-%m-%d') WHEN value IS NULL THEN NULL
+                WHEN contains(metric, 'success_pct') THEN printf('%.1f', round(value, 1))
+                WHEN contains(metric, 'yield') THEN printf('%.3f', round(value, 3))
+                ELSE CAST(CAST(value AS BIGINT) AS VARCHAR) END, '') AS value
+FROM report
+UNION ALL SELECT line - 1, period, '' FROM report WHERE metric = 'min_date'
+UNION ALL SELECT line - 2, '', '' FROM report WHERE metric = 'min_date' AND line > 11"""
+
+ORACLE["declared_key_violations"] = _with(PX, QUOTES, POSTS, blocks_cte(), parsed_cte(), STOCKS, f"""runs AS (
+  SELECT max(date_inserted) AS forecast_datetime FROM posts
+  GROUP BY analyst_company_id, date_inserted < {REPLAY_FROM})""") + f"""
+SELECT 'stocks' AS table_name, count(*) AS repeated_keys FROM (SELECT ticker FROM inst GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'indicators', count(*) FROM (SELECT indicator_name FROM parsed_all GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'stocks_forecasts', count(*) FROM (SELECT {KEYS} FROM parsed_all GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'stocks_quotes', count(*) FROM quotes
+UNION ALL SELECT 'parser_log', count(*) FROM (SELECT forecast_datetime FROM runs GROUP BY ALL HAVING count(*) > 1)"""

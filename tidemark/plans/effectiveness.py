@@ -63,6 +63,8 @@ def forecast_metrics(scored: DataFrame, periods: DataFrame) -> DataFrame:
 
 
 TOTAL_PERIOD_ID = -1
+# Line of the first metric of period 0.
+FIRST_PERIOD_LINE = 11
 
 
 def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
@@ -112,13 +114,23 @@ def effectiveness_report(scored: DataFrame, periods: DataFrame) -> DataFrame:
                        F.col("value").cast("double").alias("value"), "value_date")
 
 
-def render_report(report: DataFrame) -> DataFrame:
-    """SCL-30 / AGG-13: the two-column text rendering (rounded for display)."""
+def render_report(report: DataFrame, headings: bool = False) -> DataFrame:
+    """SCL-30 / AGG-13: the two-column text rendering (rounded for display).
+
+    With ``headings`` each period has a line with its name before its metrics,
+    and an empty line before that from the second period on.
+    """
     pct = F.col("metric").contains("success_pct")
     text = (F.when(F.col("value_date").isNotNull(), F.date_format("value_date", "yyyy-MM-dd"))
             .when(F.col("value").isNull(), F.lit(None).cast("string"))
             .when(pct, F.format_string("%.1f", F.round("value", 1)))
             .when(F.col("metric").contains("yield"), F.format_string("%.3f", F.round("value", 3)))
             .otherwise(F.col("value").cast("long").cast("string")))
-    return report.select("line", F.concat_ws(" ", "period", "metric").alias("parameter"),
-                         F.coalesce(text, F.lit("")).alias("value"))
+    label = F.col("metric") if headings else F.concat_ws(" ", "period", "metric")
+    out = report.select("line", label.alias("parameter"), F.coalesce(text, F.lit("")).alias("value"))
+    if not headings:
+        return out
+    first = report.filter(F.col("metric") == PERIOD_METRICS[0])  # one row per period, its first line
+    heads = first.select((F.col("line") - 1).alias("line"), F.col("period").alias("parameter"), F.lit("").alias("value"))
+    blanks = first.filter(F.col("line") > FIRST_PERIOD_LINE).select((F.col("line") - 2).alias("line"), F.lit("").alias("parameter"), F.lit("").alias("value"))
+    return out.unionByName(heads).unionByName(blanks)

@@ -19,7 +19,7 @@ TAG_PREFIX = "_dissectfailure"
 TAG_DATE = "_dateparsefailure"
 TAG_CONVERT = "_convertfailure"
 TIME_PREFIX = "["
-KEYWORD_FIELDS = ("IP", "Time", "URL", "page_params", "page_visited", "type")
+KEYWORD_FIELDS = ("IP", "URL", "page_params", "page_visited", "tags", "type")
 
 
 def page_views(lines: DataFrame, ingest_time: Column | None = None) -> DataFrame:
@@ -73,8 +73,12 @@ def page_view_counts(views: DataFrame) -> DataFrame:
 
 def index_documents(views: DataFrame) -> DataFrame:
     """SNK-8 / SCL-12: search documents with exact-match copies of the text
-    fields, kept only up to 256 characters; Status and Time stay as they are."""
-    return views.select("*", *[keyword(c).alias(c + "_keyword") for c in KEYWORD_FIELDS if c in views.columns])
+    fields (of each tag), kept only up to 256 characters; Status and Time stay as they are."""
+    def copy(c: str) -> Column:
+        each = F.filter(F.col(c), lambda t: keyword(t).isNotNull()) if c == "tags" else keyword(c)
+        return each.alias(c + "_keyword")
+
+    return views.select("*", *[copy(c) for c in KEYWORD_FIELDS if c in views.columns])
 
 
 def keyword_fields(docs: DataFrame, fields=("text", "lang", "source")) -> DataFrame:

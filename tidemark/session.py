@@ -49,30 +49,43 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    use_local_folder(spark)
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """No folder is named that driver and executors share."""
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised stages.
 
     A cluster names it in ``spark.checkpoint.dir`` (a shared filesystem such
-    as HDFS or an object store); that value always wins. Only when it is
-    unset (local tests) a fresh temporary folder is created and used. The
-    folder is registered once; an already registered folder is returned
-    unchanged.
+    as HDFS or an object store). A folder set on the context, e.g. by
+    ``use_local_folder`` in tests, is used as it is. Without either this
+    fails: stages in a machine-local folder would be lost to other machines.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
-        return current
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all machines share") from None
+        return named
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all machines share")
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """Give a one-machine session (``local[...]``) without a named folder one
+    of its own, for tests and benchmarks; other sessions stay as they are."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster") and not (
+            sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))

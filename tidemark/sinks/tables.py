@@ -1,11 +1,11 @@
-"""Versioned keyed tables: the storage side of the upsert (DOM-8).
-
-Built-in parquet tables have no row-level MERGE, so every write of a keyed
-table produces a complete new version directory ``<root>/v=<n>``; readers
-take the highest version that carries Spark's ``_SUCCESS`` marker. A job
-never reads and overwrites one path, a failed write leaves the previous
-version current, and re-running a version that already exists is a no-op,
-which makes micro-batch replay idempotent.
+"""Keyed tables as partitioned change sets: the storage side of the upsert (DOM-8).
+
+Every micro-batch is appended as its own partition ``stream_id`` /
+``batch_id``. Writing that partition again replaces exactly it (dynamic
+partition overwrite), so a replay changes nothing, while a new stream or a
+new checkpoint, whose batch numbers start at 0 again, has a partition of its
+own and loses nothing. The current table is the best change of each key.
+A write touches the batch only, never the stored rows.
 """
 
 from __future__ import annotations
@@ -13,119 +13,64 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-from tidemark.operators.upsert import assert_unique, upsert
-
-VERSION_PREFIX = "v="
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str]):
-        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
-
-    def versions(self) -> list[int]:
-        """Complete versions, oldest first (directory listing only)."""
-        fs, p, jvm = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(VERSION_PREFIX):
-                ok = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-                if fs.exists(ok):
-                    out.append(int(name[len(VERSION_PREFIX):]))
-        return sorted(out)
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/{VERSION_PREFIX}{version:012d}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The current (or given) version; an empty table before the first write."""
-        vs = self.versions()
-        if version is None:
-            version = vs[-1] if vs else None
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(version))
-
-    def write(self, df: DataFrame, version: int) -> bool:
-        """Write ``version`` unless it already exists; returns True if written."""
-        if version in self.versions():
-            return False
-        df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(self.path(version))
-        return True
-
-    def upsert(self, batch: DataFrame, version: int, now: _dt.datetime, update: Sequence[str] | None = None,
-               keep: Sequence[str] = (), check_unique: bool = True, only_if_newer: str | None = None) -> bool:
-        """Merge ``batch`` into the current version and store it as ``version``.
-
-        Idempotent: a version that exists already is not written again, so a
-        replayed micro-batch (same ``version``) changes nothing.
-        """
-        if version in self.versions():
-            return False
-        if check_unique:
-            assert_unique(batch, self.keys)
-        current = self.read()
-        merged = upsert(current, batch, self.keys, now, update=update, keep=keep, only_if_newer=only_if_newer)
-        return self.write(merged, version)
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
+from tidemark.functions.dates import lit_ts
+from tidemark.operators.upsert import assert_unique
 
-class PartitionedKeyedTable:
-    """A large keyed table that an upsert touches only partly.
+PARTITION = ["stream_id", "batch_id"]
 
-    Partitioned by ``partition_col`` (e.g. the candle day). An upsert reads
-    only the partitions the batch touches (a semi join the scan can prune
-    on), merges them, stages the merged rows under the checkpoint folder and
-    then dynamically overwrites just those partitions; work grows with the
-    batch, not with the table. A marker per batch id makes a replay a no-op,
-    and re-applying a batch after a crash gives the same rows, because the
-    merge is idempotent.
-    """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], partition_col: str):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.keys, self.partition_col = list(keys), partition_col
+class ChangeTable:
+    """``order`` ranks the changes of a key, the largest is current (default: the latest write)."""
 
-    def _marker(self, batch_id: int) -> str:
-        return f"{self.root}/_batches/{batch_id:012d}"
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], order: Sequence[str] = ()):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.keys, self.order = list(keys), list(order)
+        self.stored = StructType(list(schema.fields)).add("stream_id", StringType()).add("batch_id", LongType())
+        # an empty partitioned write makes the folder, so that reading needs no check
+        empty = spark.createDataFrame([], self.stored)
+        empty.write.mode("append").partitionBy(*PARTITION).parquet(self.root)
 
-    def done(self, batch_id: int) -> bool:
-        fs, p, _ = _fs(self.spark, self._marker(batch_id))
-        return fs.exists(p)
+    def append(self, batch: DataFrame, stream_id: str, batch_id: int, now: _dt.datetime, check_unique: bool = True) -> None:
+        """Store the changes of one micro-batch; columns it lacks are NULL.
 
-    def read(self) -> DataFrame:
-        fs, p, _ = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.root)
-
-    def upsert(self, batch: DataFrame, batch_id: int, now: _dt.datetime, partition_expr,
-               update: Sequence[str] | None = None, keep: Sequence[str] = (),
-               only_if_newer: str | None = None, check_unique: bool = True) -> bool:
-        if self.done(batch_id):
-            return False
+        ``created_at`` and ``updated_at`` are ``now``; the batch must be
+        unique on the keys.
+        """
         if check_unique:
             assert_unique(batch, self.keys)
-        pc = self.partition_col
-        batch = batch.withColumn(pc, partition_expr)
-        touched = batch.select(pc).distinct()
-        current = self.read().join(touched, pc, "left_semi")
-        merged = upsert(current, batch, self.keys + [pc], now, update=update, keep=keep,
-                        only_if_newer=only_if_newer)
-        from tidemark.operators.materialize import materialize
-        staged = materialize(merged.select(*[f.name for f in self.schema.fields]), "upsert")
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(pc).parquet(self.root))
-        fs, p, _ = _fs(self.spark, self._marker(batch_id))
-        fs.create(p).close()
-        return True
+
+        def value(field) -> Column:
+            if field.name in ("created_at", "updated_at"):
+                return lit_ts(now).alias(field.name)
+            have = F.col(field.name) if field.name in batch.columns else F.lit(None)
+            return have.cast(field.dataType).alias(field.name)
+
+        rows = batch.select(*[value(f) for f in self.schema.fields],
+                            F.lit(stream_id).alias("stream_id"), F.lit(batch_id).cast("long").alias("batch_id"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(self.root)
+
+    def changes(self) -> DataFrame:
+        """All stored changes with their stream and batch."""
+        return self.spark.read.schema(self.stored).parquet(self.root)
+
+    def read(self) -> DataFrame:
+        """The current table: one row per key, ``created_at`` from its first change."""
+        latest = [c for c in ("updated_at",) if c in self.schema.names] + ["batch_id", "stream_id"]
+        cols = [f.name for f in self.schema.fields if f.name not in self.keys]
+        best = self.changes().groupBy(*self.keys).agg(
+            F.max_by(F.struct(*cols), F.struct(*self.order, *latest)).alias("r"),
+            *([F.min("created_at").alias("_created")] if "created_at" in cols else []))
+        take = lambda c: F.col("_created" if c == "created_at" else f"r.{c}").alias(c)
+        return best.select(*[F.col(c) if c in self.keys else take(c) for c in self.schema.names])
+
+
+def compact(table: ChangeTable, root: str) -> ChangeTable:
+    """The current rows of ``table`` as the only batch of a new table at ``root``."""
+    out = ChangeTable(table.spark, root, table.schema, table.keys, table.order)
+    rows = table.read().select("*", F.lit("compacted").alias("stream_id"), F.lit(0).cast("long").alias("batch_id"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(out.root)
+    return out

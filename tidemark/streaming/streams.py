@@ -5,8 +5,10 @@ checkpoint is the high-water mark (processed files are never read again).
 Triggers are ``availableNow`` by default: one invocation drains what has
 landed and stops, which is how a scheduler (STM-7) runs it every few
 minutes; pass ``processing_time="10 minutes"`` for a long-running query.
-Keyed outputs go through ``foreachBatch`` into versioned tables whose
-version is the batch id, so a replayed batch is a no-op (STM-6).
+Keyed outputs go through ``foreachBatch`` into change tables, where the
+partition (stream id, batch id) of a replayed batch is replaced by itself
+(STM-6). ``stream_id`` names one checkpoint: a stream that starts over with a
+new checkpoint takes a new id.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from tidemark import schemas
 from tidemark.plans import posts as posts_plan
 from tidemark.plans import quotes as quotes_plan
 from tidemark.plans import weblog as weblog_plan
-from tidemark.sinks.tables import PartitionedKeyedTable, VersionedTable
+from tidemark.sinks.tables import ChangeTable
 from tidemark.sources import feeds
 
 
@@ -69,16 +71,18 @@ def post_items_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
     return feeds.post_items(r.text(source_dir))
 
 
-def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable, indicators: VersionedTable,
-                rejected_dir: str, checkpoint: str, now: _dt.datetime,
+def start_posts(spark: SparkSession, source_dir: str, forecasts: ChangeTable, indicators: ChangeTable,
+                rejected_dir: str, checkpoint: str, now: _dt.datetime, stream_id: str = "posts",
                 processing_time: str | None = None, max_files_per_trigger: int | None = None,
-                parser_log: VersionedTable | None = None) -> StreamingQuery:
+                parser_log: ChangeTable | None = None) -> StreamingQuery:
     """STM-4: parse newly landed post pages, upsert forecasts and new
     indicators per micro-batch, append rejected blocks to a quarantine.
 
-    The parsed columns of a stored forecast are updated by a newer post only
-    (Q11), its evaluation columns never (Q20); only unknown indicator names
-    are inserted (Q26). With ``parser_log`` each micro-batch also records a
+    ``forecasts`` is ordered by the post time, so a stored forecast is changed
+    by a newer post only (Q11); this table holds what was parsed, evaluation
+    results are kept apart and never touched (Q20). Only unknown indicator
+    names are inserted (Q26); a replayed batch replaces its own indicators,
+    so names it brought itself do not count as known. With ``parser_log`` each micro-batch also records a
     run (SNK-7): per company the newest post time and its id, keyed by the
     batch id, which ``operators.highwater.last_run`` reads back.
     """
@@ -94,24 +98,21 @@ def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable,
             blocks.unpersist()
 
     def _post_batch(blocks: DataFrame, batch_id: int) -> None:
-        blocks.filter(F.col("reason").isNotNull()).write.mode("append").parquet(f"{rejected_dir}/batch={batch_id}")
+        blocks.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(
+            f"{rejected_dir}/stream={stream_id}/batch={batch_id}")
         good = blocks.filter(F.col("reason").isNull()).drop("reason")
         start = F.to_date("date_inserted")
         parsed = good.withColumn("start_date", start).withColumn("end_date", F.date_add(start, F.col("term")))
         latest = posts_plan.latest_forecasts(parsed)
-        new_ind = posts_plan.new_indicators(latest, indicators.read())
-        indicators.upsert(new_ind, batch_id, now)
-        fc_cols = [f.name for f in forecasts.schema.fields]
-        b = latest.select(*[F.col(c).cast(forecasts.schema[c].dataType) if c in latest.columns
-                            else F.lit(None).cast(forecasts.schema[c].dataType).alias(c)
-                            for c in fc_cols if c not in ("created_at", "updated_at")])
-        upd = [c for c in latest.columns if c in fc_cols and c not in forecasts.keys]
-        forecasts.upsert(b, batch_id, now, update=upd, only_if_newer="date_inserted")
+        own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+        new_ind = posts_plan.new_indicators(latest, indicators.changes().filter(~own))
+        indicators.append(new_ind, stream_id, batch_id, now)
+        forecasts.append(latest, stream_id, batch_id, now)
         if parser_log is not None:
             from tidemark.operators.highwater import run_record
             rec = run_record(blocks.select("analyst_company_id", "external_id", "date_inserted"),
                              batch_id, now, now)
-            parser_log.upsert(rec, batch_id, now, check_unique=False)
+            parser_log.append(rec, stream_id, batch_id, now, check_unique=False)
 
     w = items.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(w, processing_time).start()
@@ -119,26 +120,26 @@ def start_posts(spark: SparkSession, source_dir: str, forecasts: VersionedTable,
 
 # --- quotes (STM-5, STM-6, SNK-6) ------------------------------------------------------
 
-def start_quotes(spark: SparkSession, source_dir: str, quotes: VersionedTable | PartitionedKeyedTable,
-                 checkpoint: str, now: _dt.datetime, processing_time: str | None = None,
+def start_quotes(spark: SparkSession, source_dir: str, quotes: ChangeTable,
+                 checkpoint: str, now: _dt.datetime, stream_id: str = "quotes",
+                 starts: DataFrame | None = None, processing_time: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """STM-5/6: landed candle responses to typed quotes, de-duplicated and
-    upserted on (ticker, datetime_start) once per micro-batch.
+    stored by (ticker, datetime_start) once per micro-batch.
 
-    With a ``PartitionedKeyedTable`` (partitioned by candle day) a batch
-    rewrites only the days it brings candles for."""
+    ``starts`` (ticker, fetch_from) limits each ticker to candles from its own
+    start on, as ``plans.quotes.fetch_starts`` gives it."""
     r = spark.readStream.schema("value string")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     candles = feeds.quotes_from_candles(r.text(source_dir))
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        if starts is not None:
+            df = quotes_plan.incremental_quotes(df, starts)
         b = quotes_plan.dedup_quote_batch(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if isinstance(quotes, PartitionedKeyedTable):
-                quotes.upsert(b, batch_id, now, F.to_date("datetime_start"), update=quotes_plan.QUOTE_VALUES)
-            else:
-                quotes.upsert(b, batch_id, now, update=quotes_plan.QUOTE_VALUES)
+            quotes.append(b, stream_id, batch_id, now)
         finally:
             b.unpersist()
 
@@ -146,9 +147,9 @@ def start_quotes(spark: SparkSession, source_dir: str, quotes: VersionedTable |
     return _trigger(w, processing_time).start()
 
 
-def land(df: DataFrame, folder: str, files: int, fmt: str = "text") -> str:
-    """Write ``df`` as ``files`` landed files (a feed drop), for replays and tests."""
-    df.repartition(files).write.mode("errorifexists").format(fmt).save(folder)
+def land(df: DataFrame, folder: str, files: int | None = None, fmt: str = "text") -> str:
+    """Write ``df`` as a feed drop, for replays and tests; ``files`` fixes the number of files."""
+    (df.repartition(files) if files else df).write.mode("errorifexists").format(fmt).save(folder)
     return folder
 
 
