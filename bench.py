@@ -26,7 +26,6 @@ HEADLINE = [
     "district_mart",
     "span_extrema",
     "span_extrema_binned",
-    "span_extrema_plain",
     "rise_outcomes",
     "fall_outcomes",
     "effectiveness_report",
@@ -36,7 +35,6 @@ HEADLINE = [
     "priced_forecasts",
     "dense_span_rollup",
     "dense_span_binned",
-    "dense_span_plain",
 ]
 
 
@@ -70,10 +68,8 @@ def _dense_spans(strategy):
 
 EXTRA = {
     "span_extrema_binned": _span_variant("binned"),
-    "span_extrema_plain": _span_variant("plain"),
     "dense_span_rollup": _dense_spans("rollup"),
     "dense_span_binned": _dense_spans("binned"),
-    "dense_span_plain": _dense_spans("plain"),
 }
 
 

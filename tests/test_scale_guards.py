@@ -22,7 +22,7 @@ def test_span_measures_stay_hash_aggregates(spark):
     s = spark.createDataFrame([(1, "A", ts("2024-01-01 00:00:00"), ts("2024-01-03 12:00:00"))],
                               "id int, ticker string, lo timestamp_ntz, hi timestamp_ntz")
     for measures in (extrema_measures(time_col="t"), first_last_measures(time_col="t")):
-        for strategy in ("rollup", "binned", "plain"):
+        for strategy in ("rollup", "binned"):
             out = span_aggregate(s, q, key="ticker", span_id="id", lo=F.col("lo"), hi=F.col("hi"),
                                  time_col="t", measures=measures, strategy=strategy)
             plan = final_plan(out)
@@ -56,6 +56,12 @@ def test_report_is_one_pass_over_its_input(spark):
     assert plan.count("BroadcastNestedLoopJoin") == 1 and "start_date" in plan
 
 
+def test_closing_reads_the_quotes_twice(spark):
+    """Once for the daily roll-up, once for the edge days."""
+    plan = final_plan(catalog.QUERIES["closed_forecasts"](spark, SF_SMALL))
+    assert sum("FileScan parquet" in line and "high_price" in line for line in plan.splitlines()) <= 2
+
+
 def test_candles_open_close_are_hash_aggregated(spark):
     from tidemark.sources import driver
     plan = final_plan(driver.hourly_quotes(driver.ticks(driver.table(spark, SF_SMALL, "events"))))

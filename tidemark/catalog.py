@@ -94,8 +94,8 @@ FLAGSHIP = "effectiveness_report"
 class Chain:
     """Stages of the forecast chain over one set of driver tables.
 
-    The quotes, the parsed forecasts and the closed (evaluated) forecasts,
-    which the original pipeline keeps in tables between its jobs and several
+    The quotes and the parsed, priced and closed (evaluated) forecasts, which
+    the original pipeline keeps in tables between its jobs and several
     later steps read, are written once per chain (``STORED``); the other stages
     stay lazy and Spark reuses their identical exchanges within a plan. A
     query that returns a stage itself gets the lazy plan.
@@ -103,7 +103,7 @@ class Chain:
 
     # Stages written out by default: the tables the original pipeline keeps
     # between its jobs and that several later steps read.
-    STORED = ("quotes", "parsed", "closed")
+    STORED = ("quotes", "parsed", "priced", "closed")
 
     def __init__(self, spark: SparkSession, sf_dir: str, stored=None):
         self.spark, self.sf_dir = spark, sf_dir

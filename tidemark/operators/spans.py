@@ -1,20 +1,18 @@
 """Range joins: aggregate the time-stamped rows of a key inside each span.
 
 Used for forecast life spans over candles (JON-4 extrema, JON-6 first and
-last candle). Three physical strategies give identical rows:
+last candle). Two physical strategies give identical rows:
 
-``plain``
-    equi-join on the key with the range as a residual filter. Simple, but
-    every span meets every row of its key: quadratic on a hot key.
 ``binned``
     spans are exploded to the calendar days they touch and joined on
     (key, day); each span meets only the rows of its own days.
 ``rollup`` (default)
     rows are first reduced to one row per (key, day) holding mergeable
     partial results; days lying wholly inside a span take that roll-up row,
-    only the edge days of a span meet raw rows. Both kinds of right-hand
-    rows go through one join on (key, day, tier), so the span side is read
-    and shuffled once. A hot key-day costs one roll-up row per span-day.
+    only the edge days of a span meet raw rows, and raw rows of other days
+    are left out before they move. Both kinds of right-hand rows go through
+    one join on (key, day, tier). A hot key-day costs one roll-up row per
+    span-day.
 
 Measures are mergeable (max, min, and max_by/min_by over another measure),
 so partial results combine exactly and the strategies agree row for row.
@@ -34,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import explode_rows
 
-STRATEGIES = ("plain", "binned", "rollup")
+STRATEGIES = ("binned", "rollup")
 # Order keys pack (major, minor) into one decimal(38,0): minor lies in
 # [0, MINOR_SPAN) after adding MINOR_OFFSET, so comparing the packed value
 # compares major first and minor second.
@@ -114,25 +112,23 @@ def span_aggregate(
     ev = rows.select(F.col(key), F.col(time_col).alias("_t"), *[m.expr.alias(n) for n, m in measures.items()])
     in_span = F.col("_t").between(F.col("_lo"), F.col("_hi"))
 
-    if strategy == "plain":
-        parts = sp.join(ev, [key]).filter(in_span).select("_id", *names)
+    days = explode_rows(sp, _span_days(F.col("_lo"), F.col("_hi")), "_day")
+    ev_d = ev.withColumn("_day", F.to_date("_t"))
+    if strategy == "binned":
+        parts = days.join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
     else:
-        days = explode_rows(sp, _span_days(F.col("_lo"), F.col("_hi")), "_day")
-        ev_d = ev.withColumn("_day", F.to_date("_t"))
-        if strategy == "binned":
-            parts = days.join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
-        else:
-            lo_day = F.to_date("_lo")
-            whole = (((F.col("_day") > lo_day)
-                      | ((F.col("_day") == lo_day) & (F.col("_lo") == F.to_timestamp_ntz(lo_day))))
-                     & (F.col("_day") < F.to_date("_hi")))
-            days = days.withColumn("_tier", whole.cast("int"))
-            roll = ev_d.groupBy(key, "_day").agg(*merged).select(
-                key, "_day", F.lit(1).alias("_tier"), F.lit(None).cast(ev.schema["_t"].dataType).alias("_t"), *names)
-            raw = ev_d.select(key, "_day", F.lit(0).alias("_tier"), "_t", *names)
-            right = roll.unionByName(raw)
-            parts = (days.join(right, [key, "_day", "_tier"])
-                     .filter((F.col("_tier") == 1) | in_span).select("_id", *names))
+        lo_day = F.to_date("_lo")
+        whole = (((F.col("_day") > lo_day)
+                  | ((F.col("_day") == lo_day) & (F.col("_lo") == F.to_timestamp_ntz(lo_day))))
+                 & (F.col("_day") < F.to_date("_hi")))
+        days = days.withColumn("_tier", whole.cast("int"))
+        edges = days.filter(F.col("_tier") == 0).select(key, "_day").distinct()
+        roll = ev_d.groupBy(key, "_day").agg(*merged).select(
+            key, "_day", F.lit(1).alias("_tier"), F.lit(None).cast(ev.schema["_t"].dataType).alias("_t"), *names)
+        raw = ev_d.join(edges, [key, "_day"], "left_semi").select(key, "_day", F.lit(0).alias("_tier"), "_t", *names)
+        right = roll.unionByName(raw)
+        parts = (days.join(right, [key, "_day", "_tier"])
+                 .filter((F.col("_tier") == 1) | in_span).select("_id", *names))
 
     return parts.groupBy("_id").agg(*merged).withColumnRenamed("_id", span_id)
 
