@@ -31,33 +31,61 @@ NODES = [
 DETAIL = ["district_mart", "span_extrema", "effectiveness_report"]
 
 
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def row(name: str, plan: str) -> str:
+    return f"| {name} | " + " | ".join(str(plan.count(token)) for _, token in NODES) + " |"
+
+
+def table(spark, sf_dir, pushed) -> None:
+    """A row per query, and one per stage that was stored for it before."""
+    stages = []
+    store = catalog.materialize
+
+    def recorded(df, name="stage"):
+        out = store(df, name)
+        stages.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    catalog.materialize = recorded
+    print("| query | " + " | ".join(n for n, _ in NODES) + " |")
+    print("| --- | " + " | ".join("---" for _ in NODES) + " |")
+    seen = set()
+    for name, fn in sorted(catalog.QUERIES.items()):
+        del stages[:]
+        plan = final_plan(fn(spark, sf_dir))
+        print(row(name + ("" if not stages else f" (after {', '.join(n for n, _ in stages)})"), plan))
+        pushed[name] = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan)))
+        for stage, before in stages:
+            if stage not in seen:
+                seen.add(stage)
+                print(row(f"stored stage {stage} (plan before run)", before))
+    catalog.materialize = store
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE final plans)\n")
-    print("Counts of plan nodes in the final executed plan; `reused` exchanges are computed once.")
-    print("Queries over the forecast chain read the stored quotes / parsed / closed-forecast stages")
-    print("(`operators/materialize.py`); those stages ran as their own jobs before the query.\n")
-    print("| query | " + " | ".join(n for n, _ in NODES) + " |")
-    print("| --- | " + " | ".join("---" for _ in NODES) + " |")
+    print("Counts of plan nodes in the final executed plan; `reused` exchanges are computed once. Stages that a")
+    print("query stores first are named with it and have a row of their own where they occur first.\n")
     pushed = {}
-    for name, fn in sorted(catalog.QUERIES.items()):
-        df = fn(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("== Initial Plan ==")[0]
-        counts = [str(plan.count(token)) for _, token in NODES]
-        print(f"| {name} | " + " | ".join(counts) + " |")
-        pushed[name] = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan)))
+    table(spark, sf_dir, pushed)
+    print("\n## Without automatic broadcast joins\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    table(spark, sf_dir, {})
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     print("\n## Filters pushed into parquet scans\n")
     for name, filters in pushed.items():
         if filters:
             print(f"* `{name}`: " + "; ".join(f"`{f}`" for f in filters))
     for name in DETAIL:
-        df = catalog.QUERIES[name](spark, sf_dir)
-        df.collect()
-        tree = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        print(f"\n## Final plan: `{name}`\n\n```\n{tree.strip()}\n```")
+        print(f"\n## Final plan: `{name}`\n\n```\n{final_plan(catalog.QUERIES[name](spark, sf_dir)).strip()}\n```")
     spark.stop()
 
 
