@@ -2,17 +2,20 @@
 
 The tokenizer drops white space and never joins tokens over it, so a text's
 ids are those of its blank-separated parts in order. Each distinct part is
-given to the tokenizer once per task (the table is emptied when it is full)
-and its ids are kept as little-endian unsigned 32-bit bytes.
+given to the tokenizer once and its ids are kept as little-endian unsigned
+32-bit bytes. The table lives as long as the Python worker, which runs many
+tasks, and is emptied when it is full.
 """
 
 from __future__ import annotations
 
 import os
+import sys
 import unicodedata
+from types import ModuleType
 
-#: Distinct parts a task keeps.
-TABLE = 500_000
+#: Distinct parts a worker keeps, some 200 bytes each.
+TABLE = 1_000_000
 #: Blanks for Python that are none for the tokenizer's pattern.
 _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -24,7 +27,10 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        tables = sys.modules.setdefault("_worker_tables", ModuleType("_worker_tables")).__dict__
+        if path not in tables:
+            tables[path] = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = tables[path]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
