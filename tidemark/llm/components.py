@@ -30,8 +30,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     node then points straight at its root. Only per-node minima are grouped
     (combined before the shuffle) and every join has one row per node on one
     side, so a hub with very many neighbours is split like any skewed join.
-    Each round is written to the shared folder. Nodes without an edge to
-    another node are not returned; null ends and loops are ignored.
+    Each round is written to the shared folder. Roots themselves, and nodes
+    without an edge to another node, are not returned; null ends and loops
+    are ignored.
     """
     edges = stored(edges.select("u", "v").where("u <> v").distinct(), "cc-0")
     seen, step = None, 0
