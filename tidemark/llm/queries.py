@@ -80,7 +80,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated and nearly repeated lines: what stays, and its lines' classes."""
-    out = linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=2, min_chars=20, grow=linededup.GROW)
+    out = linededup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=2, min_chars=20, grow=linededup.GROW, copy_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", "n_links", "classes",
                       F.length("text").cast("bigint").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
