@@ -16,6 +16,19 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def banded(a, b, t):
+    """The edit distance of two texts if it is at most t, else None, of any length."""
+    if abs(len(a) - len(b)) > t:
+        return None
+    row = {j: j for j in range(min(len(b), t) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - t), min(len(b), i + t) + 1):
+            new[j] = i if j == 0 else min(row.get(j, t) + 1, new.get(j - 1, t) + 1, row.get(j - 1, t) + (x != b[j - 1]))
+        row = new
+    return row[len(b)] if row[len(b)] <= t else None
+
+
 def groups(nodes, links):
     """node -> smallest node reachable."""
     up = {n: n for n in nodes}
@@ -58,7 +71,7 @@ def near(a, b, t):
     a, b = a[p:], b[p:]
     while a and b and a[-1] == b[-1]:
         a, b = a[:-1], b[:-1]
-    return max(len(a), len(b)) <= t or (len(a) < 400 and edit_distance(a, b) <= t)
+    return banded(a, b, t) is not None
 
 
 def drop_lines(rows, t, least):
