@@ -1,5 +1,7 @@
 """Language identification, unigram pieces, quality and toxicity."""
 
+import itertools
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -164,3 +166,17 @@ def test_chain_feeds_earlier_probabilities(spark):
     assert links[1][0][toxicity.SIZE] > 0  # a higher first probability makes the second category likelier
     got = toxicity.predict(docs, links, ["a", "b"]).collect()
     assert all((r.p_a > 0.5) == (rows[r.doc_id][2] == 1) and (r.p_b > 0.5) == (rows[r.doc_id][3] == 1) for r in got)
+
+
+def test_every_word_of_the_training_rows_is_kept(spark):
+    words = ["".join(x) for x in itertools.product("abcdefghij", repeat=5)][:30_000]
+    rows = [(i, lang, text) for i in range(0, 60, 2) for lang, text in (("en", " ".join(words) + " common"), ("fr", "common"))]
+    rows = [(i + (lang == "fr"), lang, text) for i, lang, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    used = {r.lang: r["count"] for r in docs.where(~folds.held_out("doc_id")).groupBy("lang").count().collect()}
+    model = langid.learn(docs)
+    index, logs = model.tables[0]
+    assert model.langs == ["en", "fr"] and set(index) == {*words, "common"}
+    for w, en, fr in ((words[-1], used["en"], 0), ("common", used["en"], used["fr"])):
+        want = [np.log((en + 0.5) / (used["en"] * 30_001 + 0.5 * 30_002)), np.log((fr + 0.5) / (used["fr"] + 0.5 * 30_002))]
+        assert np.allclose(logs[index[w]], want)

@@ -13,9 +13,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from tidemark.llm import folds
 from tidemark.llm.store import stored
@@ -23,6 +23,7 @@ from tidemark.llm.store import stored
 WORD = re.compile(r"[^\W\d_]+")
 #: Distinct text parts a task keeps scores of.
 TABLE = 400_000
+COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("gram", pa.string()), ("count", pa.int64())])
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -58,15 +59,16 @@ class Model:
     """Log frequencies by n (0: words): gram -> row of a (grams, languages) matrix."""
 
     def __init__(self, rows, longest: int):
-        self.langs = sorted({r["lang"] for r in rows})
-        at = {lang: i for i, lang in enumerate(self.langs)}
+        rows = pa.Table.from_pylist(rows, COUNTS) if isinstance(rows, list) else rows
+        self.langs = sorted(rows["lang"].unique().to_pylist())
         self.longest, self.tables = longest, []
         for n in range(longest + 1):
-            own = [r for r in rows if r["n"] == n]
-            index = {g: i for i, g in enumerate(sorted({r["gram"] for r in own}))}
+            own = rows.filter(pc.equal(rows["n"], n)).combine_chunks()
+            kinds = own["gram"].unique()
+            index = {g: i for i, g in enumerate(kinds.to_pylist())}
             count = np.zeros((len(index), len(self.langs)))
-            for r in own:
-                count[index[r["gram"]], at[r["lang"]]] = r["count"]
+            at = pc.index_in(own["gram"], kinds).to_numpy(), pc.index_in(own["lang"], pa.array(self.langs, pa.string())).to_numpy()
+            count[at] = own["count"].to_numpy()
             smooth = np.log((count + 0.5) / (count.sum(axis=0) + 0.5 * (len(index) + 1)))
             self.tables.append((index, smooth))
 
@@ -83,19 +85,16 @@ class Model:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_rows: int = 20_000, max_words: int = 20_000, max_grams: int = 10_000, longest: int = 4) -> Model:
+          sample_rows: int = 20_000, longest: int = 4) -> Model:
     """Fit on about ``sample_rows`` labelled rows outside the held-out fold.
 
-    The model's size is bounded by ``max_words`` words and ``max_grams``
-    n-grams of each length in each language, the most frequent ones; rarer
-    words are scored like unseen ones.
+    Every word and n-gram of these rows is kept with its count in every
+    language; the sample alone bounds the model's size.
     """
     known = docs.where(~folds.held_out(id_col) & F.col(lang_col).isNotNull())
     known = folds.bounded_sample(known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")), "id", sample_rows)
     counts = stored(gram_counts(known, longest), "langid-counts")
-    order = W.Window.partitionBy("lang", "n").orderBy(F.desc("count"), "gram")
-    kept = counts.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.when(F.col("n") == 0, max_words).otherwise(max_grams))
-    return Model(kept.select("lang", "n", "gram", "count").collect(), longest)
+    return Model(counts.select("lang", "n", "gram", "count").toArrow(), longest)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
