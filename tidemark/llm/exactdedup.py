@@ -35,6 +35,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # many small stores: no disk is set aside for each one's logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
