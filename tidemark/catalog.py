@@ -562,6 +562,118 @@ def q_posts_stream_rejected(spark, sf_dir):
     return spark.read.parquet(rejected).select("analyst_company_id", "external_id", "date_inserted", "block_pos", "reason")
 
 
+SPLIT_DELAY = _dt.timedelta(hours=6)
+
+
+@register("page_view_places")
+def q_page_view_places(spark, sf_dir):
+    """STM-1 / STM-2: three drops of the weblog: the first half of the month,
+    the rest with some lines of before held back until then, and all lines
+    once more. Stored once, late and untimed events, counted by page."""
+    from tidemark.functions.dates import lit_ts
+    from tidemark.streaming import once, streams
+    root = _scratch(spark, "places")
+    ev = _t(spark, sf_dir, "events")
+    second = (F.col("ts") >= lit_ts(STORED_UNTIL)) | (
+        (F.col("ts") < lit_ts(STORED_UNTIL - _dt.timedelta(days=1))) & (F.col("event_id") % 10 == 4))
+    places = once.Places(spark, root)
+    for n, drop in enumerate((ev.filter(~second), ev.filter(second), ev)):
+        streams.land(driver.weblog_lines(drop, faults=True), f"{root}/in/drop={n}", fmt="csv")
+        once.start_split(spark, f"{root}/in", places, f"{root}/ck-split", SPLIT_DELAY, INGEST_TIME).awaitTermination()
+        once.start_once(spark, places, f"{root}/out", f"{root}/ck-once", SPLIT_DELAY).awaitTermination()
+    cols = ["IP", "page_visited", "Status", "event_time"]
+    rows = spark.read.parquet(f"{root}/out").select(F.lit("stored").alias("place"), *cols)
+    for place in ("late", "untimed"):
+        rows = rows.unionByName(places.read(place).select(F.lit(place).alias("place"), *cols))
+    return rows.groupBy("place", "page_visited", F.col("Status").alias("status")).agg(
+        F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"))
+
+
+def _moving_quotes(spark, sf_dir):
+    """Two drops of candle responses: those until STORED_UNTIL, then all of them
+    with another volume. The second begins, per ticker, where the first ended."""
+    from tidemark import schemas
+    from tidemark.functions.dates import lit_ts
+    from tidemark.sinks.tables import ChangeTable
+    from tidemark.streaming import streams
+    root = _scratch(spark, "moving")
+    q = materialize(driver.hourly_quotes(driver.ticks(_t(spark, sf_dir, "events"))), "moving-quotes")
+    table = ChangeTable(spark, f"{root}/table", schemas.QUOTES, quotes.QUOTE_KEY)
+    marks = ChangeTable(spark, f"{root}/marks", schemas.QUOTE_MARKS, ["ticker"], order=["high_water"])
+    used = ChangeTable(spark, f"{root}/used", schemas.BATCH_STARTS, ["ticker"])
+    first = q.filter(F.col("datetime_start") < lit_ts(STORED_UNTIL))
+    for n, drop in enumerate((first, q.withColumn("volume", F.col("volume") + 1000))):
+        streams.land(driver.candle_responses(drop), f"{root}/in/drop={n}")
+        streams.start_quotes(spark, f"{root}/in", table, f"{root}/ck", NOW, marks=marks, used=used).awaitTermination()
+        streams.start_quote_marks(spark, table, marks, f"{root}/ck-marks", NOW).awaitTermination()
+    return table, marks
+
+
+@register("quotes_stream_moving_start")
+def q_quotes_stream_moving_start(spark, sf_dir):
+    """STM-5 with AGG-7: each micro-batch from the marks that the one before left."""
+    table, _ = _moving_quotes(spark, sf_dir)
+    return table.read().select("ticker", "datetime_start", "datetime_end", *_dbl("close_price"), "volume")
+
+
+@register("quote_marks_stream")
+def q_quote_marks_stream(spark, sf_dir):
+    """AGG-7 as a running maximum: the marks after both drops."""
+    _, marks = _moving_quotes(spark, sf_dir)
+    return marks.read().select("ticker", "high_water")
+
+
+def _faulty_posts_stream(spark, sf_dir):
+    from tidemark import schemas
+    from tidemark.sinks.tables import ChangeTable
+    from tidemark.streaming import streams
+    root = _scratch(spark, "faulty")
+    streams.land(driver.post_pages(_t(spark, sf_dir, "events"), faults=True), f"{root}/in")
+    fc = ChangeTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS, order=["date_inserted", "external_id"])
+    ind = ChangeTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
+    log = ChangeTable(spark, f"{root}/log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
+    counts = ChangeTable(spark, f"{root}/counts", schemas.OBSERVED, ["stage", "metric"])
+    streams.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW,
+                        parser_log=log, counts=counts).awaitTermination()
+    return log, counts
+
+
+@register("observed_counts")
+def q_observed_counts(spark, sf_dir):
+    """FLT-15, Q24 and STM-2 counted while the rows pass: pages and responses
+    without rows, forecasts without an outcome, lines without a time."""
+    from tidemark.functions.dates import lit_ts
+    from tidemark.operators import observed
+    ev = _t(spark, sf_dir, "events")
+    items, pages = feeds.observed_post_items(driver.post_pages(ev, faults=True))
+    c = Chain(spark, sf_dir)
+    candles, responses = feeds.observed_quotes(driver.candle_responses(c.quotes))
+    seen = c.closed().select(*KEYS, *forecasts.EVALUATION)
+    everything = c.priced().drop(*forecasts.EVALUATION).join(seen, KEYS, "left")
+    scored, outcome = observed.observe(outcomes.score(everything), "outcomes", {
+        "scored": F.lit(True), "no_outcome": F.col("outcome").isNull()})
+    views, lines = observed.observe(weblog.page_views(driver.weblog_lines(ev, faults=True), lit_ts(INGEST_TIME)), "weblog", {
+        "lines": F.lit(True), "no_time": weblog.untimed(), "no_page": F.col("page_visited").isNull()})
+    for df, label in ((items, "items"), (candles, "candles"), (scored.drop("outcome"), "scored"), (views, "views")):
+        materialize(df, f"observed-{label}")
+    return observed.counts_frame(spark, {"posts": pages, "candles": responses, "outcomes": outcome, "weblog": lines})
+
+
+@register("observed_counts_stream")
+def q_observed_counts_stream(spark, sf_dir):
+    """The same counts kept per micro-batch by the posts stream."""
+    from tidemark.operators import observed
+    _, counts = _faulty_posts_stream(spark, sf_dir)
+    return observed.total_counts(counts)
+
+
+@register("parser_runs_stream")
+def q_parser_runs_stream(spark, sf_dir):
+    """SNK-7: the run records that the posts stream opened and closed."""
+    log, _ = _faulty_posts_stream(spark, sf_dir)
+    return log.read().select("run_id", "analyst_company_id", F.col("end_time").isNotNull().alias("closed"), "forecast_datetime", "external_id")
+
+
 # --- data quality --------------------------------------------------------------
 
 @register("key_violations")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import lit_ts
@@ -31,6 +31,20 @@ def run_record(items: DataFrame, run_id: int, start_time: _dt.datetime, end_time
              "forecast_datetime", "external_id")
 
 
+def open_run(spark: SparkSession, run_id: int, start_time: _dt.datetime) -> DataFrame:
+    """SNK-7, first step: a run that has begun. ``run_record`` of the finished
+    run replaces it, so a run that died in between keeps its NULL end time."""
+    return spark.range(1).select(
+        F.lit(run_id).cast("long").alias("run_id"), F.lit(None).cast("int").alias("analyst_company_id"),
+        lit_ts(start_time).alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"),
+        F.lit(None).cast("timestamp_ntz").alias("forecast_datetime"), F.lit(None).cast("string").alias("external_id"))
+
+
+def open_runs(parser_log: DataFrame) -> DataFrame:
+    """Runs that were begun and not finished: what has to be done again."""
+    return parser_log.filter(F.col("end_time").isNull())
+
+
 def last_run(parser_log: DataFrame, companies: DataFrame | None = None) -> DataFrame:
     """SRT-3 with Q23: per company the run with the newest forecast time.
 

@@ -116,11 +116,12 @@ QUOTES10 = r"""quotes10 AS (
 
 POSTS = r"""pe AS (
   SELECT event_id, ts, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k
-  FROM events WHERE event_type = 'purchase'),
+  FROM events),
 posts AS (
   SELECT CAST(1 + event_id % 3 AS INTEGER) AS analyst_company_id, CAST(event_id AS VARCHAR) AS external_id,
          strftime(ts, '%Y-%m-%dT%H:%M:%S') AS inserted, date_trunc('second', ts) AS date_inserted,
-         'intro' || chr(10) || 'Бумага Co ' || user_id || ' {$T' || user_id || '}' || chr(10)
+         'intro' || chr(10) || 'Бумага Co ' || user_id || ' {$' || CASE WHEN event_id % 37 = 5 THEN 'X' ELSE 'T' END
+         || user_id || '}' || chr(10)
          || CASE WHEN event_id % 2 = 0 THEN 'Потенциал роста ' ELSE 'Потенциал падения ' END
          || CASE WHEN event_id % 11 = 0 THEN replace(CAST((1 + k) / 2 AS VARCHAR), '.', ',')
                  ELSE CAST((1 + k) / 2 AS VARCHAR) END
@@ -208,14 +209,14 @@ STOCKS = r"""inst AS (
          CASE WHEN c_acctbal < 0 THEN 'usd' WHEN c_custkey % 4 = 0 THEN 'rub' ELSE 'usd' END AS currency,
          CAST(1 + c_custkey % 10 AS INTEGER) AS lot,
          CASE WHEN c_custkey % 4 = 0 THEN 'TQBR' ELSE 'SPBXM' END AS class_code, lower(c_mktsegment) AS sector
-  FROM customer WHERE c_custkey % 37 <> 5
+  FROM customer
   UNION ALL
   SELECT 'T' || CAST(c_custkey AS VARCHAR), 'G' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'),
          c_name, CASE WHEN c_custkey % 4 = 0 THEN 'RU' ELSE 'US' END,
          CASE WHEN c_acctbal < 0 THEN 'usd' WHEN c_custkey % 4 = 0 THEN 'rub' ELSE 'usd' END,
          CAST(1 + c_custkey % 10 AS INTEGER), CASE WHEN c_custkey % 4 = 0 THEN 'TQBR' ELSE 'SPBXM' END,
          lower(c_mktsegment)
-  FROM customer WHERE c_custkey % 37 <> 5 AND c_custkey % 50 = 0),
+  FROM customer WHERE c_custkey % 50 = 0),
 stocks AS (
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY figi) AS rn FROM inst)
   WHERE rn = 1)"""
@@ -710,3 +711,49 @@ UNION ALL SELECT 'indicators', count(*) FROM (SELECT indicator_name FROM parsed_
 UNION ALL SELECT 'stocks_forecasts', count(*) FROM (SELECT {KEYS} FROM parsed_all GROUP BY ALL HAVING count(*) > 1)
 UNION ALL SELECT 'stocks_quotes', count(*) FROM quotes
 UNION ALL SELECT 'parser_log', count(*) FROM (SELECT forecast_datetime FROM runs GROUP BY ALL HAVING count(*) > 1)"""
+
+
+# --- streams with state, counts while the data passes ------------------------------
+
+ORACLE["page_view_places"] = _with(WEBLOG.replace(
+    "'[' || strftime(ts, '%d/%b/%Y:%H:%M:%S') AS Time", """'[' || CASE WHEN event_id % 19 = 7 THEN 'no time'
+         ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') END AS Time, ts >= TIMESTAMP '2024-01-20'
+         OR (ts < TIMESTAMP '2024-01-19' AND event_id % 10 = 4) AS second_drop""")) + """,
+d AS (SELECT 1 AS n, * FROM pv WHERE NOT second_drop UNION ALL SELECT 2, * FROM pv WHERE second_drop UNION ALL SELECT 3, * FROM pv),
+m AS (SELECT n + 1 AS n, max(parsed_time) AS newest FROM d GROUP BY n),
+k AS (SELECT d.*, CASE WHEN parsed_time IS NULL THEN 'untimed'
+          WHEN parsed_time < (SELECT max(newest) FROM m WHERE m.n <= d.n) - INTERVAL 6 HOUR THEN 'late' ELSE 'stored' END AS place FROM d),
+r AS (SELECT place, page_visited, status_code, event_time FROM k WHERE place <> 'stored'
+      UNION ALL SELECT place, page_visited, status_code, event_time
+      FROM (SELECT DISTINCT place, IP, Time, URL, Status, page_visited, status_code, event_time FROM k WHERE place = 'stored'))
+SELECT place, page_visited, status_code AS status, count(*) AS events, min(event_time) AS first_seen, max(event_time) AS last_seen
+FROM r GROUP BY ALL"""
+
+ORACLE["quotes_stream_moving_start"] = _with(PX, QUOTES) + """
+SELECT q.ticker, q.datetime_start, q.datetime_end, CAST(q.close_price AS DOUBLE) AS close_price,
+       CASE WHEN q.datetime_start < h.hw THEN q.volume ELSE q.volume + 1000 END AS volume
+FROM quotes q LEFT JOIN (SELECT ticker, max(datetime_end) AS hw FROM quotes
+                         WHERE datetime_start < TIMESTAMP '2024-01-20' GROUP BY ticker) h ON h.ticker = q.ticker"""
+ORACLE["quote_marks_stream"] = _with(PX, QUOTES) + "SELECT ticker, max(datetime_end) AS high_water FROM quotes GROUP BY ticker"
+
+_PAGE_COUNTS = """SELECT 'posts' AS stage, 'documents' AS metric, count(*) AS rows FROM events
+UNION ALL SELECT 'posts', 'unreadable', count(*) FILTER (event_id % 20 = 18) FROM events
+UNION ALL SELECT 'posts', 'no_payload', count(*) FILTER (event_id % 20 = 3) FROM events
+UNION ALL SELECT 'posts', 'no_items', count(*) FILTER (event_id % 20 = 8) FROM events
+UNION ALL SELECT 'posts', 'empty', count(*) FILTER (event_id % 20 = 13) FROM events"""
+ORACLE["observed_counts"] = _with(*CHAIN[:11], WEBLOG) + _PAGE_COUNTS + """
+UNION ALL SELECT 'candles', 'documents', count(DISTINCT (ticker, CAST(datetime_start AS DATE))) FROM quotes
+UNION ALL SELECT 'candles', unnest(['unreadable', 'no_candles', 'empty']), 0
+UNION ALL SELECT 'outcomes', 'scored', count(*) FROM priced
+UNION ALL SELECT 'outcomes', 'no_outcome', (SELECT count(*) FROM priced) - (SELECT count(*) FROM closed)
+UNION ALL SELECT 'weblog', 'lines', count(*) FROM events
+UNION ALL SELECT 'weblog', 'no_time', count(*) FILTER (event_id % 19 = 7) FROM events
+UNION ALL SELECT 'weblog', 'no_page', count(*) FILTER (page_visited IS NULL) FROM pv"""
+_HEALTHY = "pages AS (SELECT * FROM posts WHERE CAST(external_id AS BIGINT) % 20 NOT IN (3, 8, 13, 18))"
+ORACLE["observed_counts_stream"] = _with(POSTS, _HEALTHY, blocks_cte("pages")) + _PAGE_COUNTS + """
+UNION ALL SELECT 'blocks', 'blocks', count(*) FROM blocks
+UNION ALL SELECT 'blocks', 'rejected', count(*) FILTER (reason IS NOT NULL) FROM blocks"""
+ORACLE["parser_runs_stream"] = _with(POSTS, _HEALTHY, blocks_cte("pages")) + """
+SELECT 0::BIGINT AS run_id, analyst_company_id, true AS closed, max(date_inserted) AS forecast_datetime,
+       arg_max(external_id, {'d': date_inserted, 'e': external_id}) AS external_id
+FROM blocks GROUP BY analyst_company_id"""

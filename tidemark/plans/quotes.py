@@ -36,10 +36,24 @@ def fetch_starts(quotes: DataFrame, active: DataFrame) -> DataFrame:
         "ticker", F.coalesce(F.col("date_inserted"), F.col("_posted")).alias("fetch_from"))
 
 
-def incremental_quotes(incoming: DataFrame, starts: DataFrame) -> DataFrame:
-    """STM-5: incoming candles at or after each ticker's fetch start."""
-    return incoming.join(starts, "ticker", "inner").filter(
-        F.col("datetime_start") >= F.col("fetch_from")).drop("fetch_from")
+def incremental_quotes(incoming: DataFrame, starts: DataFrame, others: bool = False) -> DataFrame:
+    """STM-5: incoming candles at or after each ticker's fetch start; those of
+    tickers without a start are left out or, with ``others``, taken whole."""
+    due = F.col("datetime_start") >= F.col("fetch_from")
+    return incoming.join(starts, "ticker", "left" if others else "inner").filter(
+        due | F.col("fetch_from").isNull() if others else due).drop("fetch_from")
+
+
+def moved_starts(marks: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """STM-5 with AGG-7: fetch starts moved up to the stored high-water marks.
+
+    With ``starts`` only its tickers are fetched, each from the later of the
+    two; without, every mark is a start.
+    """
+    m = marks.select("ticker", "high_water")
+    if starts is None:
+        return m.withColumnRenamed("high_water", "fetch_from")
+    return starts.join(m, "ticker", "left").select("ticker", F.greatest("fetch_from", "high_water").alias("fetch_from"))
 
 
 def dedup_quote_batch(batch: DataFrame) -> DataFrame:

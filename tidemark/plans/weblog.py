@@ -57,6 +57,11 @@ def page_views(lines: DataFrame, ingest_time: Column | None = None) -> DataFrame
     )
 
 
+def untimed() -> Column:
+    """STM-2: the event's own time could not be read (``event_time`` is the ingest time)."""
+    return F.array_contains("tags", TAG_DATE)
+
+
 def clean_views(views: DataFrame) -> DataFrame:
     """Q14: the default view without tagged (failed) events."""
     return views.filter(F.size("tags") == 0)

@@ -65,6 +65,14 @@ PARSER_LOG = _struct(
     ("forecast_datetime", TS), ("external_id", S), ("created_at", TS), ("updated_at", TS),
 )
 
+# Newest stored candle end per ticker, and the fetch starts that a batch used.
+QUOTE_MARKS = _struct(("ticker", S), ("high_water", TS), ("created_at", TS), ("updated_at", TS))
+BATCH_STARTS = _struct(("ticker", S), ("fetch_from", TS))
+
+# Counts observed per micro-batch, and the newest event time of each.
+OBSERVED = _struct(("stage", S), ("metric", S), ("rows", L))
+STREAM_MARKS = _struct(("mark_id", S), ("newest", TS))
+
 # Landed JSON shapes of the two feeds.
 UNITS_NANO = _struct(("units", S), ("nano", L))
 
@@ -101,6 +109,11 @@ ASSET = _struct(
 # Weblog lines are read without header handling: four text columns.
 WEBLOG = _struct(("IP", S), ("Time", S), ("URL", S), ("Status", S))
 
+PAGE_VIEWS = _struct(
+    ("IP", S), ("Time", S), ("URL", S), ("page_visited", S), ("page_params", S), ("Status", I),
+    ("event_time", TS), ("type", S), ("tags", T.ArrayType(S)),
+)
+
 OUTCOME = T.StructType([
     T.StructField("res50", I), T.StructField("proc50", D),
     T.StructField("res90", I), T.StructField("proc90", D),

@@ -136,23 +136,27 @@ def candle_responses(quotes: DataFrame) -> DataFrame:
 NL = "\n"
 
 
-def post_pages(events: DataFrame) -> DataFrame:
-    """Landed post pages as JSON text, one page per purchase event.
+def post_pages(events: DataFrame, faults: bool = False) -> DataFrame:
+    """Landed post pages as JSON text, one page per event.
 
     The text holds an intro line and one forecast block of five lines; the
     analyst company is ``1 + event_id % 3``. Seeded variations: every 11th
     post writes its potential with a decimal comma (the block is rejected
     and its five lines are skipped); every 7th post carries a second block
-    on the next ticker with another indicator family.
+    on the next ticker with another indicator family; every 37th post names
+    a ticker that no instrument has.
+
+    ``faults`` adds pages without posts: of each 20 pages one lacks its
+    payload, one its items, one has none, and one is cut off.
     """
-    ev = events.filter(F.col("event_type") == "purchase").select(
-        "event_id", "ts", "user_id", _k().alias("k"))
+    ev = events.select("event_id", "ts", "user_id", _k().alias("k"))
     uid = _s("user_id")
     uid2 = _s(F.col("user_id") + 1)
     delta = _s((F.lit(1) + F.col("k")) / 2)
     delta = F.when(F.col("event_id") % 11 == 0, F.regexp_replace(delta, "[.]", ",")).otherwise(delta)
     block1 = F.concat(
-        F.lit("Бумага Co "), uid, F.lit(" {$T"), uid, F.lit("}" + NL),
+        F.lit("Бумага Co "), uid, F.lit(" {$"), F.when(F.col("event_id") % 37 == 5, F.lit("X")).otherwise(F.lit("T")),
+        uid, F.lit("}" + NL),
         F.when(F.col("event_id") % 2 == 0, F.lit("Потенциал роста ")).otherwise(F.lit("Потенциал падения ")),
         delta, F.lit("%" + NL + "Срок "),
         _s(F.lit(1) + F.col("event_id") % 10), F.lit(" дней" + NL + "В "),
@@ -172,11 +176,16 @@ def post_pages(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("inserted"),
         F.struct(text.alias("text")).alias("content"),
     )
-    page = F.struct(
-        (F.lit(1) + F.col("event_id") % 3).cast("int").alias("analyst_company_id"),
-        F.struct(F.array(item).alias("items"), F.lit(None).cast("string").alias("nextCursor")).alias("payload"),
-    )
-    return ev.select(F.to_json(page).alias("value"))
+    company = (F.lit(1) + F.col("event_id") % 3).cast("int").alias("analyst_company_id")
+    payload = lambda items: F.struct(items.alias("items"), F.lit(None).cast("string").alias("nextCursor")).alias("payload")
+    page = F.to_json(F.struct(company, payload(F.array(item))))
+    if faults:
+        kind, none = F.col("event_id") % 20, F.array(item)
+        page = (F.when(kind == 3, F.to_json(F.struct(company)))
+                .when(kind == 8, F.to_json(F.struct(company, payload(F.when(kind < 0, none)))))
+                .when(kind == 13, F.to_json(F.struct(company, payload(F.slice(none, 1, 0)))))
+                .when(kind == 18, F.substring(page, 1, 10)).otherwise(page))
+    return ev.select(page.alias("value"))
 
 
 def ten_minute_quotes(tk: DataFrame) -> DataFrame:
@@ -203,10 +212,10 @@ def ten_minute_quotes(tk: DataFrame) -> DataFrame:
 def instrument_lines(customer: DataFrame) -> DataFrame:
     """Landed instrument list as JSON lines, from customers.
 
-    Every 37th customer is missing (unknown tickers downstream); every 50th
-    appears twice with a later figi; negative balances have no currency.
+    Every 50th customer appears twice, the second time with a later figi;
+    negative balances have no currency.
     """
-    c = customer.filter(F.col("c_custkey") % 37 != 5)
+    c = customer
     key = _s("c_custkey")
     ru = F.col("c_custkey") % 4 == 0
 
@@ -251,16 +260,22 @@ def asset_lines(part: DataFrame) -> DataFrame:
 
 # --- weblog ----------------------------------------------------------------
 
-def weblog_lines(events: DataFrame) -> DataFrame:
-    """Weblog rows (IP, Time, URL, Status) as text; ``k = 0`` rows are junk."""
-    ev = events.select("user_id", "ts", "event_type", _k().alias("k"))
+def weblog_lines(events: DataFrame, faults: bool = False) -> DataFrame:
+    """Weblog rows (IP, Time, URL, Status) as text; ``k = 0`` rows are junk.
+
+    With ``faults`` every 19th row has a time that cannot be read.
+    """
+    ev = events.select("event_id", "user_id", "ts", "event_type", _k().alias("k"))
+    time = F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
+    if faults:
+        time = F.when(F.col("event_id") % 19 == 7, F.lit("no time")).otherwise(time)
     url = F.when(F.col("k") == 0, F.lit("ReadInput")).otherwise(F.concat(
         F.lit("GET /"), "event_type", F.lit(".php"),
         F.when(F.col("k") % 3 == 0, F.concat(F.lit("?k="), _s("k"))).otherwise(F.lit("")),
         F.lit(" HTTP/1.1")))
     return ev.select(
         F.concat(F.lit("10.0.0."), _s(F.col("user_id") % 256)).alias("IP"),
-        F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")).alias("Time"),
+        F.concat(F.lit("["), time).alias("Time"),
         url.alias("URL"),
         F.concat(F.when(F.col("event_type") == "error", F.lit("500")).otherwise(F.lit("200")),
                  F.lit(" ")).alias("Status"),

@@ -3,13 +3,16 @@ instruments (SRC-7) and nested assets (SRC-8)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import dates, numbers, text
 from tidemark.functions.arrays import explode_rows
+from tidemark.operators.observed import observe
 from tidemark.sources.files import parse_json
 
 POST_PAGE = T.StructType(
@@ -22,13 +25,36 @@ DEFAULT_CURRENCY = "usd"
 CANDLE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+def array_counts(read: Column, path: Mapping[str, Column], array: Column) -> dict[str, Column]:
+    """FLT-15: what to count of documents whose rows come from ``array``: all;
+    those of which nothing could be read (``read`` NULL); for each step of
+    ``path`` to the array those that have the steps before but not this one; and
+    those whose array is empty."""
+    counts, have = {"documents": F.lit(True), "unreadable": read.isNull()}, read.isNotNull()
+    for name, c in path.items():
+        counts[f"no_{name}"] = have & c.isNull()
+        have = have & c.isNotNull()
+    return counts | {"empty": F.size(array) == 0}
+
+
 def post_items(pages: DataFrame) -> DataFrame:
     """SRC-5: one row per post item.
 
     Pages without ``payload`` or ``items`` and empty item lists yield no
     rows (FLT-15): ``explode`` drops NULL and empty arrays.
     """
-    doc = parse_json(pages, POST_PAGE)
+    return _post_rows(parse_json(pages, POST_PAGE))
+
+
+def observed_post_items(pages: DataFrame, stage: str = "posts") -> tuple[DataFrame, Observation]:
+    """``post_items`` with FLT-15's counts of the pages that gave no rows."""
+    doc, seen = observe(parse_json(pages, POST_PAGE), stage, array_counts(
+        F.coalesce(F.col("analyst_company_id").cast("string"), F.col("payload").cast("string")),
+        {"payload": F.col("payload"), "items": F.col("payload.items")}, F.col("payload.items")))
+    return _post_rows(doc), seen
+
+
+def _post_rows(doc: DataFrame) -> DataFrame:
     return explode_rows(doc, F.col("payload.items"), "item", "analyst_company_id").select(
         "analyst_company_id",
         F.col("item.id").alias("external_id"),
@@ -43,7 +69,17 @@ def quotes_from_candles(responses: DataFrame) -> DataFrame:
     Start time from the candle's ``time``; end = start + interval length
     (SCL-9); prices from ``{units, nano}`` (SCL-10).
     """
-    doc = parse_json(responses, schemas.CANDLES_RESPONSE)
+    return _candle_rows(parse_json(responses, schemas.CANDLES_RESPONSE))
+
+
+def observed_quotes(responses: DataFrame, stage: str = "candles") -> tuple[DataFrame, Observation]:
+    """``quotes_from_candles`` with FLT-15's counts of the responses that gave no rows."""
+    doc, seen = observe(parse_json(responses, schemas.CANDLES_RESPONSE), stage, array_counts(
+        F.coalesce("ticker", "interval", F.col("candles").cast("string")), {"candles": F.col("candles")}, F.col("candles")))
+    return _candle_rows(doc), seen
+
+
+def _candle_rows(doc: DataFrame) -> DataFrame:
     c = explode_rows(doc, F.col("candles"), "c", "ticker", "interval")
     start = F.try_to_timestamp(F.col("c.time"), F.lit(CANDLE_TIME_FORMAT)).cast("timestamp_ntz")
     return c.select(
