@@ -70,6 +70,8 @@ EXTRA = {
     "span_extrema_binned": _span_variant("binned"),
     "dense_span_rollup": _dense_spans("rollup"),
     "dense_span_binned": _dense_spans("binned"),
+    "dense_span_dyadic": _dense_spans("dyadic"),
+    "span_extrema_dyadic": _span_variant("dyadic"),
 }
 
 

@@ -22,7 +22,7 @@ def test_span_measures_stay_hash_aggregates(spark):
     s = spark.createDataFrame([(1, "A", ts("2024-01-01 00:00:00"), ts("2024-01-03 12:00:00"))],
                               "id int, ticker string, lo timestamp_ntz, hi timestamp_ntz")
     for measures in (extrema_measures(time_col="t"), first_last_measures(time_col="t")):
-        for strategy in ("rollup", "binned"):
+        for strategy in ("rollup", "binned", "dyadic"):
             out = span_aggregate(s, q, key="ticker", span_id="id", lo=F.col("lo"), hi=F.col("hi"),
                                  time_col="t", measures=measures, strategy=strategy)
             plan = final_plan(out)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import highwater, quality
-from tidemark.operators.materialize import materialize
+from tidemark.operators.materialize import materialize, materialize_by_key
 from tidemark.plans import districts, effectiveness, forecasts, outcomes, posts, quotes, stocks, weblog
 from tidemark.sources import driver, feeds
 from tidemark.sources.files import periods_frame
@@ -39,6 +39,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return driver.table(spark, sf_dir, name)
 
 
+def _scratch(spark, label):
+    import uuid
+    from tidemark.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-streams/{label}-{uuid.uuid4().hex}"
+
+
 # --- incident mart -----------------------------------------------------------
 
 def _crime_inputs(spark, sf_dir):
@@ -62,6 +68,41 @@ def q_district_top_types(spark, sf_dir):
         F.col("DISTRICT").alias("district"), "crime_type", "district_crime_type_count", "rank")
 
 
+def _landed_incidents(spark, sf_dir):
+    """The incidents and codes as landed CSV, with one line cut off after its second field."""
+    from tidemark import schemas
+    from tidemark.sources import files
+    from tidemark.streaming.streams import land
+    root = _scratch(spark, "incidents")
+    crime, codes = _crime_inputs(spark, sf_dir)
+    given = {"OCCURRED_ON_DATE": F.date_format("OCCURRED_ON_DATE", "yyyy-MM-dd HH:mm:ss")}
+    cols = [given.get(c, F.col(c) if c in crime.columns else F.lit(None).cast("string")).alias(c) for c in schemas.CRIME.fieldNames()]
+    crime.select(*cols).write.option("header", True).csv(f"{root}/incidents")
+    cut = crime.agg(F.concat(F.min("INCIDENT_NUMBER"), F.lit(",00001")).alias("cut"))
+    header = F.lit(",".join(schemas.CRIME.fieldNames()))
+    land(cut.select(F.explode(F.array(header, F.col("cut"))).alias("value")), f"{root}/cut")
+    codes.write.option("header", True).csv(f"{root}/codes")
+    good, rejected, seen = files.land_incidents(spark, f"{root}/incidents", f"{root}/cut")
+    return good, rejected, seen, files.read_offense_codes(spark, f"{root}/codes")
+
+
+@register("district_mart_csv")
+def q_district_mart_csv(spark, sf_dir):
+    """SRC-1 / SRC-2 to DOM-10: the mart from landed CSV files."""
+    good, _, _, codes = _landed_incidents(spark, sf_dir)
+    m = districts.district_mart(good, codes)
+    return m.select("district", "crimes_total", "crimes_monthly", "frequent_crime_types", r6("Lat"), r6("Long"))
+
+
+@register("rejected_incident_lines")
+def q_rejected_incident_lines(spark, sf_dir):
+    """SRC-1: the lines that are no incident, as they came, beside how many lines there were."""
+    _, rejected, seen, _ = _landed_incidents(spark, sf_dir)
+    n = seen.get
+    return rejected.select(F.col("INCIDENT_NUMBER").alias("incident_number"), "line", F.lit(n["lines"]).cast("long").alias("lines"),
+                           F.lit(n["rejected"]).cast("long").alias("rejected_lines"), F.lit(n["no_date"]).cast("long").alias("undated"))
+
+
 @register("district_monthly")
 def q_district_monthly(spark, sf_dir):
     crime, codes = _crime_inputs(spark, sf_dir)
@@ -105,10 +146,12 @@ class Chain:
     # between its jobs and that several later steps read.
     STORED = ("quotes", "parsed", "priced", "closed")
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stored=None):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored=None, quotes_by_key: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.stored = set(self.STORED if stored is None else stored)
-        ev = _t(spark, sf_dir, "events")
+        self.quotes_by_key = quotes_by_key
+        # the given event file has one row group; what lands as posts and ticks is dealt over all tasks
+        ev = driver.spread(_t(spark, sf_dir, "events"), "event_id")
         self.items = feeds.post_items(driver.post_pages(ev))
         self.ticks = driver.ticks(ev)
         self._memo: dict = {}
@@ -117,6 +160,9 @@ class Chain:
         if name not in self._memo:
             label = name if isinstance(name, str) else name[0]
             df = build()
+            if label == "quotes" and self.quotes_by_key:
+                self._memo[name] = materialize_by_key(df, label, quotes.QUOTE_KEY)
+                return self._memo[name]
             self._memo[name] = materialize(df, label) if label in self.stored else df
         return self._memo[name]
 
@@ -230,6 +276,27 @@ def q_span_extrema(spark, sf_dir):
     return ex.select(*KEYS, *_dbl("price_max_real", "price_min_real"), "price_max_date", "price_min_date")
 
 
+@register("span_extrema_dyadic")
+def q_span_extrema_dyadic(spark, sf_dir):
+    """The same from cells of several sizes."""
+    c = Chain(spark, sf_dir)
+    ex = forecasts.span_extrema(forecasts.due_forecasts(c.priced(), AS_OF), c.quotes, "dyadic")
+    return ex.select(*KEYS, *_dbl("price_max_real", "price_min_real"), "price_max_date", "price_min_date")
+
+
+@register("long_span_extrema")
+def q_long_span_extrema(spark, sf_dir):
+    """JON-4 over long periods: per event the extrema of its ticker from two
+    years before its time to up to 30 days after it."""
+    from tidemark.operators.spans import extrema_measures, span_aggregate
+    ev = driver.spread(_t(spark, sf_dir, "events"), "event_id")
+    day = F.expr("INTERVAL 1 DAY")
+    spans = ev.select("event_id", F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("ticker"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+    ex = span_aggregate(spans, driver.hourly_quotes(driver.ticks(ev)), key="ticker", span_id="event_id", lo=F.col("ts") - 731 * day,
+                        hi=F.col("ts") + (F.col("event_id") % 31).cast("int") * day, time_col="datetime_end", measures=extrema_measures(), strategy="dyadic")
+    return ex.select("event_id", *_dbl("max_p", "min_p"), F.col("max_t").alias("max_time"), F.col("min_t").alias("min_time"))
+
+
 @register("closed_forecasts")
 def q_closed_forecasts(spark, sf_dir):
     cl = Chain(spark, sf_dir).closed_plan()
@@ -266,8 +333,8 @@ def q_effectiveness_report(spark, sf_dir):
     return r.select("line", "period", "metric", r6("value"), "value_date")
 
 
-def _live(spark, sf_dir):
-    c = Chain(spark, sf_dir)
+def _live(spark, sf_dir, quotes_by_key=False):
+    c = Chain(spark, sf_dir, quotes_by_key=quotes_by_key)
     return c, c.priced(LIVE_AS_OF, LIVE_NOW)
 
 
@@ -317,8 +384,8 @@ def q_incremental_quotes(spark, sf_dir):
 
 @register("upsert_quotes")
 def q_upsert_quotes(spark, sf_dir):
-    c, p = _live(spark, sf_dir)
-    u = quotes.upsert_quotes(_stored_quotes(c), _increment(c, p), LIVE_NOW)
+    c, p = _live(spark, sf_dir, quotes_by_key=True)
+    u = quotes.upsert_quotes(_stored_quotes(c), _increment(c, p), LIVE_NOW, stored_by_key=True)
     return u.select("ticker", "datetime_start", "datetime_end",
                     *_dbl("open_price", "close_price", "high_price", "low_price"), "volume",
                     "created_at", "updated_at")
@@ -492,12 +559,6 @@ def q_keyword_fields(spark, sf_dir):
 # --- streaming twins (STM-1..6): land the adapter output, drain it with
 # availableNow in several micro-batches, return the final table -----------------
 
-def _scratch(spark, label):
-    import uuid
-    from tidemark.session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-streams/{label}-{uuid.uuid4().hex}"
-
-
 @register("page_views_stream")
 def q_page_views_stream(spark, sf_dir):
     from tidemark.functions.dates import lit_ts
@@ -721,6 +782,34 @@ def q_code_violations(spark, sf_dir):
     return quality.code_violations(c, {"role": ["user", "assistant"]}).select("conv_id", "turn", "role")
 
 
+@register("forecast_code_violations")
+def q_forecast_code_violations(spark, sf_dir):
+    """DQ-5 on closed forecasts, some of them given a direction or a result that no code list has."""
+    c = Chain(spark, sf_dir)
+    post = F.col("external_id").cast("long")
+    seeded = c.closed().withColumn("forecast_direction", F.when(post % 23 == 1, F.lit(3)).otherwise(F.col("forecast_direction"))) \
+        .withColumn("forecast_result", F.when(post % 29 == 2, F.lit(-1)).otherwise(F.col("forecast_result").cast("int")))
+    return quality.code_violations(seeded, quality.FORECAST_CODES).select(*KEYS, "forecast_direction", "forecast_result")
+
+
+@register("first_closed_forecasts")
+def q_first_closed_forecasts(spark, sf_dir):
+    """DUP-2: of the closed forecasts of a ticker and day, the one with the smallest post id."""
+    from tidemark.operators.dedup import first_by_id
+    f = first_by_id(Chain(spark, sf_dir).closed(), ["ticker", "start_date"], "external_id")
+    return f.select("ticker", "start_date", "analyst_company_id", "external_id", F.col("forecast_result").cast("int").alias("forecast_result"))
+
+
+@register("forecast_indicator_ids")
+def q_forecast_indicator_ids(spark, sf_dir):
+    """JON-9: forecasts with the id of their indicator, none where the indicators
+    known before the second run lack it."""
+    from tidemark.functions.dates import lit_ts
+    c = Chain(spark, sf_dir)
+    known = posts.new_indicators(c.parsed.filter((F.col("date_inserted") < lit_ts(REPLAY_FROM)) & (F.col("indicator_name") != "RSI4")))
+    return posts.with_indicator_ids(c.parsed, known).select(*KEYS, "indicator_name", "indicator_id")
+
+
 @register("declared_key_violations")
 def q_declared_key_violations(spark, sf_dir):
     """DQ-1 for all five declared keys, over the rows as they arrive: how many

@@ -58,9 +58,9 @@ def regex_group(s: Column | str, pattern: str, group: int = 1) -> Column:
     ``(?s)`` lets ``.`` cross carriage returns like a line-based matcher does;
     callers pass single lines, so no newline is ever inside.
     """
-    s = _c(s)
-    full = "(?s)^" + pattern
-    return F.when(s.rlike(full), F.regexp_extract(s, full, group))
+    # one evaluation of the pattern: the anchored match is the only one, or there is none
+    found = F.regexp_extract_all(_c(s), F.lit("(?s)^" + pattern), F.lit(group))
+    return F.try_element_at(found, F.lit(1))
 
 
 def trim_ws(s: Column | str) -> Column:

@@ -25,6 +25,12 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column], larg
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best." + c).alias(c) for c in rest])
 
 
+def first_by_id(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """DUP-2 / SRT-2: the row with the smallest id per key, as a work list in id
+    order would take it. Numeric ids given as text count as numbers."""
+    return keep_best(df, keys, [F.col(id_col).try_cast("long"), F.col(id_col)], largest=False)
+
+
 def keep_min_value(df: DataFrame, key: str, value: str) -> DataFrame:
     """DUP-1 made deterministic: one row per ``key`` holding ``min(value)``."""
     return df.groupBy(key).agg(F.min(value).alias(value))

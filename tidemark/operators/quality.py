@@ -64,6 +64,10 @@ def code_violations(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame
     return df.filter(cond)
 
 
+# The codes of a stored forecast (0: result not computed yet).
+FORECAST_CODES = {"forecast_direction": (1, 2), "forecast_result": (0, 1, 2, 3)}
+
+
 def mixed_candle_lengths(quotes: DataFrame, key: str = "ticker") -> DataFrame:
     """Q18: keys whose stored candles have more than one length
     (``datetime_end - datetime_start``), e.g. hourly and 10-minute candles

@@ -1,7 +1,7 @@
 """Range joins: aggregate the time-stamped rows of a key inside each span.
 
 Used for forecast life spans over candles (JON-4 extrema, JON-6 first and
-last candle). Two physical strategies give identical rows:
+last candle). Three physical strategies give identical rows:
 
 ``binned``
     spans are exploded to the calendar days they touch and joined on
@@ -13,6 +13,14 @@ last candle). Two physical strategies give identical rows:
     are left out before they move. Both kinds of right-hand rows go through
     one join on (key, day, tier). A hot key-day costs one roll-up row per
     span-day.
+``dyadic``
+    for long spans and for days that hold very many rows. Rows are reduced
+    to cells of several sizes: parts of a day (``DAY_PARTS``), days, and
+    blocks of 2, 4, 8, ... days. A span takes the fewest cells that fill
+    it, about 2 log2(days) blocks and some parts of its edge days, and meets raw
+    rows only in the smallest cells that its ends cut. Cells and raw rows go
+    through one join on (key, tier, cell), so that the rows of one key and
+    day are spread over its parts.
 
 Measures are mergeable (max, min, and max_by/min_by over another measure),
 so partial results combine exactly and the strategies agree row for row.
@@ -32,7 +40,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import explode_rows
 
-STRATEGIES = ("binned", "rollup")
+STRATEGIES = ("binned", "rollup", "dyadic")
+# Cells of a day, coarse to fine, each number a multiple of the one before;
+# a span has at most twice as many cells of a size as fit in the next larger one.
+DAY_PARTS = (4, 32)
+# Sizes of day blocks: 1, 2, 4, ... days; spans beyond the largest take several of it.
+BLOCK_SIZES = 14
+DAY_MICROS = 86_400_000_000
+# Tier of raw rows; day blocks of 2^k days have tier k, day parts FIRST_PART + their place in DAY_PARTS.
+RAW, FIRST_PART = -1, 100
 # Order keys pack (major, minor) into one decimal(38,0): minor lies in
 # [0, MINOR_SPAN) after adding MINOR_OFFSET, so comparing the packed value
 # compares major first and minor second.
@@ -87,6 +103,62 @@ def _span_days(lo: Column, hi: Column) -> Column:
     return F.when(hi_d >= lo_d, F.sequence(lo_d, hi_d)).otherwise(F.array().cast("array<date>"))
 
 
+def _floor_div(x: Column, n: int) -> Column:
+    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("long") if n & (n - 1) else F.shiftright(x, n.bit_length() - 1)
+
+
+def _ceil_div(x: Column, n: int) -> Column:
+    return -_floor_div(-x, n)
+
+
+def span_cells(lo: Column, hi: Column) -> Column:
+    """The cells (tier, cell) that a span ``lo <= time <= hi`` is made of; none if ``hi < lo``."""
+    a, b = micros(lo), micros(hi) + 1
+    cell = lambda tier, c: F.struct(F.lit(tier).alias("_tier"), c.cast("long").alias("_cell"))
+    none = F.array().cast("array<struct<_tier: int, _cell: bigint>>")
+
+    def run(tier, start, stop):
+        return F.when(start < stop, F.transform(F.sequence(start, F.greatest(stop - 1, start)), lambda c: cell(tier, c))).otherwise(none)
+
+    first, last = _ceil_div(a, DAY_MICROS), _floor_div(b, DAY_MICROS)
+    parts = []
+    for k in range(BLOCK_SIZES - 1):
+        # blocks of this size that no larger one of the span holds: an odd first one, and an odd last one
+        low, high = _ceil_div(first, 1 << k), _floor_div(last, 1 << k)
+        parts += [F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), cell(k, low)),
+                  F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), cell(k, high - 1))]
+    top = BLOCK_SIZES - 1
+    lists = [F.array_compact(F.array(*parts)), run(top, _ceil_div(first, 1 << top), _floor_div(last, 1 << top))]
+    per_day = 1
+    for j, n in enumerate(DAY_PARTS):
+        low, high = _ceil_div(a, DAY_MICROS // n), _floor_div(b, DAY_MICROS // n)
+        ratio, inner = n // per_day, first < last
+        lists += [run(FIRST_PART + j, low, F.when(inner, first * ratio).otherwise(high)),
+                  F.when(inner, run(FIRST_PART + j, last * ratio, high)).otherwise(none)]
+        first, last, per_day = low, high, n
+    unit = DAY_MICROS // per_day
+    cut = F.array_compact(F.array(F.when(first * unit > a, cell(RAW, first - 1)), F.when(last * unit < b, cell(RAW, last))))
+    return F.when(a < b, F.concat(*lists, F.array_distinct(cut))).otherwise(none)
+
+
+def row_cells(ev: DataFrame, key: str, merged: list[Column], names: list[str]) -> DataFrame:
+    """(key, _tier, _cell, _t, measures): raw rows (key, _t, measures) by their smallest
+    cell, and the merged cells of all sizes, each size reduced from the one below."""
+    cols = [key, "_tier", "_cell", "_t", *names]
+    no_time = F.lit(None).cast(ev.schema["_t"].dataType).alias("_t")
+    fine = ev.withColumn("_cell", _floor_div(micros("_t"), DAY_MICROS // DAY_PARTS[-1]))
+    out = fine.withColumn("_tier", F.lit(RAW)).select(*cols)
+    below = fine
+    for j in range(len(DAY_PARTS) - 1, -1, -1):
+        step = DAY_PARTS[j + 1] // DAY_PARTS[j] if j + 1 < len(DAY_PARTS) else 1
+        below = below.groupBy(key, _floor_div(F.col("_cell"), step).alias("_cell")).agg(*merged)
+        out = out.unionByName(below.select(key, F.lit(FIRST_PART + j).alias("_tier"), "_cell", no_time, *names))
+    days = below.groupBy(key, _floor_div(F.col("_cell"), DAY_PARTS[0]).alias("_day")).agg(*merged)
+    sizes = days.withColumn("_tier", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SIZES - 1))))
+    blocks = sizes.withColumn("_cell", F.expr("shiftright(_day, _tier)")).groupBy(key, "_tier", "_cell").agg(*merged)
+    return out.unionByName(blocks.select(key, "_tier", "_cell", no_time, *names))
+
+
 def span_aggregate(
     spans: DataFrame,
     rows: DataFrame,
@@ -112,6 +184,14 @@ def span_aggregate(
     ev = rows.select(F.col(key), F.col(time_col).alias("_t"), *[m.expr.alias(n) for n, m in measures.items()])
     in_span = F.col("_t").between(F.col("_lo"), F.col("_hi"))
 
+    if strategy == "dyadic":
+        pieces = explode_rows(sp, span_cells(F.col("_lo"), F.col("_hi")), "_c").select(
+            "_id", key, "_lo", "_hi", "_c._tier", "_c._cell")
+        cells = row_cells(ev.filter(F.col(key).isNotNull() & F.col("_t").isNotNull()), key, merged, names)
+        parts = (pieces.join(cells, [key, "_tier", "_cell"])
+                 .filter((F.col("_tier") != RAW) | in_span).select("_id", *names))
+        return parts.groupBy("_id").agg(*merged).withColumnRenamed("_id", span_id)
+
     days = explode_rows(sp, _span_days(F.col("_lo"), F.col("_hi")), "_day")
     ev_d = ev.withColumn("_day", F.to_date("_t"))
     if strategy == "binned":

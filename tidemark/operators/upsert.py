@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import lit_ts
@@ -34,7 +34,7 @@ def assert_unique(batch: DataFrame, keys: Sequence[str]) -> None:
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.datetime,
            update: Sequence[str] | None = None, keep: Sequence[str] = (),
-           only_if_newer: str | None = None) -> DataFrame:
+           only_if_newer: str | None = None, stored_by_key: bool = False) -> DataFrame:
     """Insert new keys, update matched ones.
 
     * ``update``: columns the batch overwrites on a match (default: all
@@ -49,26 +49,44 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
       changed only when the batch value is not older than the stored one,
       so a late, older record never overwrites a newer one (Q11).
 
+    * ``stored_by_key``: the target is stored bucketed by ``keys``
+      (``materialize_by_key``) and holds each key once. It is then read once, where it lies,
+      beside the shuffled batch. Without, the target is read twice
+      but never moves as long as the batch's keys are few.
+
     Target columns missing from the batch stay as they are on a match and
-    are NULL for new rows. The batch must be unique on ``keys``.
+    are NULL for new rows. The batch must be unique on ``keys``, which must not be NULL.
     """
     keys = list(keys)
     cols = target.columns
     batch_cols = set(batch.columns)
     update = [c for c in (update or [c for c in batch.columns if c not in keys]) if c not in keep]
+    b = batch.alias("b")
+    if stored_by_key:
+        mark = F.lit(True)
+        both = (target.withColumn("_stored", mark).alias("t").join(batch.withColumn("_given", mark).alias("b"), [F.col("t." + k) == F.col("b." + k) for k in keys], "full"))
+        matched, given = F.col("t._stored").isNotNull(), F.col("b._given").isNotNull()
+        new = _values(target, keys, cols, batch_cols, update, matched, only_if_newer, now)
+        return both.select(*[F.when(given, v).otherwise(F.col("t." + c)).alias(c) for c, v in zip(cols, new)])
     # The batch is small next to the target. Both target passes are joins
     # against the batch keys only (semi and anti), which AQE can broadcast
     # while the target streams through without a shuffle; the batch is then
     # left-joined to just the matched target rows.
     bk = batch.select(*keys)
     hit = target.join(bk, keys, "left_semi").alias("t")
-    b = batch.alias("b")
     on = [F.col("t." + k).eqNullSafe(F.col("b." + k)) for k in keys]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
     merged = b.join(hit, cond, "left")
     matched = F.col("t." + keys[0]).isNotNull() if keys else F.lit(False)
+    out = _values(target, keys, cols, batch_cols, update, matched, only_if_newer, now)
+    untouched = target.join(bk, keys, "left_anti")
+    return untouched.select(*cols).unionByName(merged.select(*[v.alias(c) for c, v in zip(cols, out)]))
+
+
+def _values(target: DataFrame, keys, cols, batch_cols, update, matched: Column, only_if_newer: str | None, now: _dt.datetime) -> list[Column]:
+    """The columns of a batch row (``b``) beside the stored row of its key (``t``), if there is one."""
     stale = F.lit(False)
     if only_if_newer:
         stale = matched & (F.col("b." + only_if_newer) < F.col("t." + only_if_newer))
@@ -76,18 +94,15 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: _dt.da
     out = []
     for c in cols:
         if c in keys:
-            out.append(F.col("b." + c).alias(c))
+            out.append(F.col("b." + c))
         elif c == "created_at":
-            out.append(F.when(matched, F.col("t.created_at")).otherwise(now_c).alias(c))
+            out.append(F.when(matched, F.col("t.created_at")).otherwise(now_c))
         elif c == "updated_at":
-            out.append(F.when(stale, F.col("t.updated_at")).otherwise(now_c).alias(c))
+            out.append(F.when(stale, F.col("t.updated_at")).otherwise(now_c))
         elif c in update and c in batch_cols:
-            out.append(F.when(stale, F.col("t." + c))
-                       .otherwise(F.col("b." + c).cast(target.schema[c].dataType)).alias(c))
+            out.append(F.when(stale, F.col("t." + c)).otherwise(F.col("b." + c).cast(target.schema[c].dataType)))
         elif c in batch_cols:
-            out.append(F.when(matched, F.col("t." + c)).otherwise(F.col("b." + c))
-                       .cast(target.schema[c].dataType).alias(c))
+            out.append(F.when(matched, F.col("t." + c)).otherwise(F.col("b." + c)).cast(target.schema[c].dataType))
         else:
-            out.append(F.col("t." + c).alias(c))
-    untouched = target.join(bk, keys, "left_anti")
-    return untouched.select(*cols).unionByName(merged.select(*out))
+            out.append(F.col("t." + c))
+    return out

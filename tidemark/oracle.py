@@ -757,3 +757,34 @@ ORACLE["parser_runs_stream"] = _with(POSTS, _HEALTHY, blocks_cte("pages")) + """
 SELECT 0::BIGINT AS run_id, analyst_company_id, true AS closed, max(date_inserted) AS forecast_datetime,
        arg_max(external_id, {'d': date_inserted, 'e': external_id}) AS external_id
 FROM blocks GROUP BY analyst_company_id"""
+
+
+# --- landed CSV, long spans, code lists, first by id, indicator ids -------------------
+
+ORACLE["district_mart_csv"] = ORACLE["district_mart"]
+ORACLE["rejected_incident_lines"] = """
+SELECT min(n) AS incident_number, min(n) || ',00001' AS line, count(*) + 1 AS lines, 1::BIGINT AS rejected_lines,
+       count(*) FILTER (l_shipdate IS NULL) AS undated
+FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS n, l_shipdate
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+ORACLE["span_extrema_dyadic"] = ORACLE["span_extrema"]
+ORACLE["long_span_extrema"] = _with(PX, QUOTES) + """
+SELECT e.event_id, CAST(max(q.high_price) AS DOUBLE) AS max_p, CAST(min(q.low_price) AS DOUBLE) AS min_p,
+       arg_max(q.datetime_end, {'p': q.high_price, 'o': -epoch_us(q.datetime_end)}) AS max_time,
+       arg_min(q.datetime_end, {'p': q.low_price, 'o': epoch_us(q.datetime_end)}) AS min_time
+FROM events e JOIN quotes q ON q.ticker = 'T' || e.user_id AND q.datetime_end >= e.ts - INTERVAL 731 DAY
+     AND q.datetime_end <= e.ts + to_days(CAST(e.event_id % 31 AS INTEGER))
+GROUP BY e.event_id"""
+ORACLE["forecast_code_violations"] = _with(*CHAIN[:11]) + f"""
+SELECT * FROM (
+  SELECT {KEYS}, CASE WHEN CAST(external_id AS BIGINT) % 23 = 1 THEN 3 ELSE CAST(forecast_direction AS INTEGER) END AS forecast_direction,
+         CASE WHEN CAST(external_id AS BIGINT) % 29 = 2 THEN -1 ELSE CAST(forecast_result AS INTEGER) END AS forecast_result
+  FROM closed) WHERE forecast_direction NOT IN (1, 2) OR forecast_result NOT BETWEEN 0 AND 3"""
+ORACLE["first_closed_forecasts"] = _with(*CHAIN[:11]) + """
+SELECT ticker, start_date, analyst_company_id, external_id, CAST(forecast_result AS INTEGER) AS forecast_result
+FROM closed QUALIFY row_number() OVER (PARTITION BY ticker, start_date ORDER BY CAST(external_id AS BIGINT)) = 1"""
+ORACLE["forecast_indicator_ids"] = _with(POSTS, blocks_cte(), parsed_cte()) + f"""
+SELECT {KEYS}, indicator_name, CASE WHEN indicator_name <> 'RSI4' AND indicator_name IN (
+           SELECT indicator_name FROM parsed WHERE date_inserted < {REPLAY_FROM})
+       THEN CAST('0x' || substr(md5(indicator_name), 1, 15) AS BIGINT) END AS indicator_id
+FROM parsed"""

@@ -32,21 +32,22 @@ def coded_incidents(crime: DataFrame) -> DataFrame:
 
 
 def incidents(crime: DataFrame, codes: DataFrame) -> DataFrame:
-    """JON-1: partial rows of (district, year, month, code), joined to their type.
-
-    The facts are counted and summed per code before the join, combined in
-    every task before they move: neither a frequent code nor a hot district
-    gathers raw incidents. Positions are summed as ``decimal(20,10)`` (exact,
-    sub-millimetre), so the monthly means do not depend on how the rows were
-    partitioned.
+    """JON-1: one row per incident with its type and what is added up of it.
+
+    The types join first, so that the facts are combined straight to (district,
+    year, month, type) in every task before they move; there are far fewer types than codes.
+    Spark broadcasts the types when they measure under its threshold, else the join
+    is a shuffle whose hot codes it splits. Positions are summed as
+    ``decimal(20,10)`` (exact, sub-millimetre), so the monthly means do not
+    depend on how the rows were partitioned.
     """
     pos = "decimal(20,10)"
-    per_code = coded_incidents(crime).groupBy("DISTRICT", "YEAR", "MONTH", "CODE").agg(
-        F.count("INCIDENT_NUMBER").alias("n_numbered"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.col("Lat").cast(pos)).alias("lat_sum"), F.count("Lat").alias("lat_n"),
-        F.sum(F.col("Long").cast(pos)).alias("long_sum"), F.count("Long").alias("long_n"))
-    return per_code.join(offense_types(codes), "CODE", "inner")
+    one = lambda c: F.col(c).isNotNull().cast("long")
+    facts = coded_incidents(crime).select(
+        "DISTRICT", "YEAR", "MONTH", "CODE", one("INCIDENT_NUMBER").alias("n_numbered"), F.lit(1).cast("long").alias("n_rows"),
+        F.col("Lat").cast(pos).alias("lat_sum"), one("Lat").alias("lat_n"),
+        F.col("Long").cast(pos).alias("long_sum"), one("Long").alias("long_n"))
+    return facts.join(offense_types(codes), "CODE", "inner")
 
 
 def district_cells(inc: DataFrame) -> DataFrame:

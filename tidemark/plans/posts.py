@@ -1,11 +1,11 @@
 """Post texts to forecasts (DOM-5), indicators (JON-10, DUP-5) and the
 known/unknown ticker split (JON-7).
 
-Parsing runs entirely in JVM expressions: the text is split into lines, the
-candidate block starts are folded with ``aggregate`` (a block that fails
-consumes its five lines, one that parses consumes one), and the kept blocks
-are exploded and read with anchored regular expressions. Whole texts are
-processed; nothing is truncated.
+Parsing runs entirely in JVM expressions: the text is split into lines, each
+candidate block is read once with anchored regular expressions, the parsed
+blocks are folded with ``aggregate`` (a block that fails consumes its five
+lines, one that parses consumes one), and the kept ones are exploded. Whole
+texts are processed; nothing is truncated.
 """
 
 from __future__ import annotations
@@ -34,58 +34,70 @@ INDICATOR_PATTERN = r".*индикатора (.*)"
 EPOCH = _dt.datetime(1970, 1, 1)
 
 
-def block_fields(lines: Column, pos: Column) -> dict[str, Column]:
-    """Fields of the block whose marker line is ``lines[pos]`` (0-based).
+_BLOCK = ("struct<block_pos: int, company: string, ticker: string, forecast_direction: int, price_delta_forecast: double, "
+          "success_procent: int, term: int, indicator_name: string, reason: string>")
 
-    ``reason`` is NULL for a good block, else the first failing check in
-    the order the format is read (Q15: failures are reported, not fatal).
-    """
+
+def _found(lines: Column, pos: Column) -> Column:
+    """What the patterns find in the block whose marker line is ``lines[pos]`` (0-based)."""
     def line(j: int) -> Column:
         return F.try_element_at(lines, pos + F.lit(1 + j))
 
     sec, pot, term, pct, ind = (line(j) for j in range(BLOCK_LINES))
-    company = regex_group(sec, SECURITY_PATTERN, 1)
-    ticker = regex_group(sec, SECURITY_PATTERN, 2)
     rise = pot.contains(RISE_MARKER)
-    raw_delta = F.when(rise, regex_group(pot, RISE_PATTERN)).otherwise(regex_group(pot, FALL_PATTERN))
-    delta_abs = trim_ws(raw_delta).try_cast("double")
-    percent = trim_ws(regex_group(pct, PERCENT_PATTERN)).try_cast("int")
-    term_days = regex_group(term, TERM_PATTERN).try_cast("int")
-    indicator = trim_ws(regex_group(ind, INDICATOR_PATTERN))
+    delta = F.when(rise, regex_group(pot, RISE_PATTERN)).otherwise(regex_group(pot, FALL_PATTERN))
+    return F.struct(
+        pos.alias("block_pos"),
+        (pos + F.lit(BLOCK_LINES) > F.size(lines)).alias("short"),
+        regex_group(sec, SECURITY_PATTERN, 1).alias("company"),
+        regex_group(sec, SECURITY_PATTERN, 2).alias("ticker"),
+        F.coalesce(rise, F.lit(False)).alias("rise"),
+        delta.alias("raw_delta"),
+        trim_ws(delta).try_cast("double").alias("delta"),
+        trim_ws(regex_group(pct, PERCENT_PATTERN)).try_cast("int").alias("percent"),
+        regex_group(term, TERM_PATTERN).try_cast("int").alias("term"),
+        trim_ws(regex_group(ind, INDICATOR_PATTERN)).alias("indicator"))
+
+
+def _typed(f: Column) -> Column:
+    """The block of what was found. ``reason`` is NULL for a good one, else the
+    first failing check in the order the format is read (Q15: failures are
+    reported, not fatal)."""
     reason = (
-        F.when(pos + F.lit(BLOCK_LINES) > F.size(lines), F.lit("short_block"))
-        .when(company.isNull(), F.lit("no_security"))
-        .when(raw_delta.isNull(), F.lit("no_potential"))
-        .when(delta_abs.isNull(), F.lit("bad_potential"))
-        .when(percent.isNull(), F.lit("bad_percent"))
-        .when(term_days.isNull(), F.lit("bad_term"))
-        .when(indicator.isNull(), F.lit("bad_indicator"))
+        F.when(f.short, F.lit("short_block"))
+        .when(f.company.isNull(), F.lit("no_security"))
+        .when(f.raw_delta.isNull(), F.lit("no_potential"))
+        .when(f.delta.isNull(), F.lit("bad_potential"))
+        .when(f.percent.isNull(), F.lit("bad_percent"))
+        .when(f.term.isNull(), F.lit("bad_term"))
+        .when(f.indicator.isNull(), F.lit("bad_indicator"))
     )
-    return {
-        "company": company,
-        "ticker": ticker,
-        "forecast_direction": F.when(rise, F.lit(1)).otherwise(F.lit(2)),
-        "price_delta_forecast": F.when(rise, delta_abs).otherwise(-delta_abs),
-        "success_procent": percent,
-        "term": term_days,
-        "indicator_name": indicator,
-        "reason": reason,
-    }
-
-
-def _kept_starts(lines: Column) -> Column:
+    return F.struct(
+        f.block_pos.alias("block_pos"), f.company.alias("company"), f.ticker.alias("ticker"),
+        F.when(f.rise, F.lit(1)).otherwise(F.lit(2)).alias("forecast_direction"),
+        F.when(f.rise, f.delta).otherwise(-f.delta).alias("price_delta_forecast"),
+        f.percent.alias("success_procent"), f.term.alias("term"), f.indicator.alias("indicator_name"),
+        reason.alias("reason"))
+
+
+def _read_blocks(lines: Column) -> Column:
+    """The blocks that a sequential reader visits, as an array.
+
+    Every line with the marker is parsed once; the fold then keeps a parsed
+    block if the blocks before it did not consume its line.
+    """
     n = F.size(lines)
     starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
                       lambda i: F.coalesce(F.try_element_at(lines, i + 1).contains(MARKER), F.lit(False)))
-    init = F.struct(F.lit(0).alias("nxt"), F.array().cast("array<int>").alias("keep"))
+    parsed = F.transform(F.transform(starts, lambda i: _found(lines, i)), _typed)
+    init = F.struct(F.lit(0).alias("nxt"), F.array().cast(f"array<{_BLOCK}>").alias("keep"))
 
-    def step(acc: Column, i: Column) -> Column:
-        ok = block_fields(lines, i)["reason"].isNull()
-        taken = F.struct(F.when(ok, i + 1).otherwise(i + BLOCK_LINES).alias("nxt"),
-                         F.array_append(acc.getField("keep"), i).alias("keep"))
-        return F.when(i >= acc.getField("nxt"), taken).otherwise(acc)
+    def step(acc: Column, b: Column) -> Column:
+        taken = F.struct((b.block_pos + F.when(b.reason.isNull(), F.lit(1)).otherwise(F.lit(BLOCK_LINES))).alias("nxt"),
+                         F.array_append(acc.getField("keep"), b.cast(_BLOCK)).alias("keep"))
+        return F.when(b.block_pos >= acc.getField("nxt"), taken).otherwise(acc)
 
-    return F.aggregate(starts, init, step, lambda acc: acc.getField("keep"))
+    return F.aggregate(parsed, init, step, lambda acc: acc.getField("keep"))
 
 
 def blocks(items: DataFrame, hwm: _dt.datetime | DataFrame | None = None) -> DataFrame:
@@ -105,11 +117,8 @@ def blocks(items: DataFrame, hwm: _dt.datetime | DataFrame | None = None) -> Dat
     else:
         p = p.filter(F.col("date_inserted") > lit_ts(hwm or EPOCH))
     p = p.withColumn("lines", F.split(F.col("text"), "\n"))
-    kept = explode_rows(p, _kept_starts(F.col("lines")), "block_pos",
-                        "analyst_company_id", "external_id", "date_inserted", "lines")
-    fields = block_fields(F.col("lines"), F.col("block_pos"))
-    return kept.select("analyst_company_id", "external_id", "date_inserted", "block_pos",
-                       *[c.alias(n) for n, c in fields.items()])
+    return explode_rows(p, _read_blocks(F.col("lines")), "b", "analyst_company_id", "external_id", "date_inserted").select(
+        "analyst_company_id", "external_id", "date_inserted", "b.*")
 
 
 def parse_forecasts(items: DataFrame, hwm=None) -> DataFrame:
@@ -147,6 +156,19 @@ def new_indicators(forecasts: DataFrame, known: DataFrame | None = None) -> Data
     return best.select("indicator_name", F.col("success_procent").alias("success_proc"))
 
 
+def indicator_ids(indicators: DataFrame) -> DataFrame:
+    """JON-9: indicators with a number of their own, the first 60 bits of the
+    name's MD5: the same on every run and machine, without a counter.
+    ``operators.quality.key_violations`` on it shows two names of one number."""
+    return indicators.withColumn("indicator_id", F.conv(F.substring(F.md5("indicator_name"), 1, 15), 16, 10).cast("long"))
+
+
+def with_indicator_ids(forecasts: DataFrame, indicators: DataFrame) -> DataFrame:
+    """JON-9: each forecast with the id of its indicator; unknown names have none."""
+    ids = indicator_ids(indicators).select("indicator_name", "indicator_id")
+    return forecasts.join(ids, "indicator_name", "left")
+
+
 def known_tickers(forecasts: DataFrame, stocks: DataFrame) -> DataFrame:
     """JON-7 flow side: forecasts whose ticker is in the stock dimension."""
     return forecasts.join(stocks.select("ticker"), "ticker", "left_semi")

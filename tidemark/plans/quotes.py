@@ -62,14 +62,14 @@ def dedup_quote_batch(batch: DataFrame) -> DataFrame:
     return keep_best(batch, QUOTE_KEY, [-micros("datetime_end"), F.col("volume")])
 
 
-def upsert_quotes(stored: DataFrame, batch: DataFrame, now: _dt.datetime) -> DataFrame:
+def upsert_quotes(stored: DataFrame, batch: DataFrame, now: _dt.datetime, stored_by_key: bool = False) -> DataFrame:
     """SNK-6: de-duplicate the batch, then upsert on (ticker, datetime_start).
 
     A 10-minute candle and an hourly candle starting at the same full hour
     share a key (Q18): the newer write wins, and the candle length stays
     visible as ``datetime_end - datetime_start``.
     """
-    return upsert(stored, dedup_quote_batch(batch), QUOTE_KEY, now, update=QUOTE_VALUES)
+    return upsert(stored, dedup_quote_batch(batch), QUOTE_KEY, now, update=QUOTE_VALUES, stored_by_key=stored_by_key)
 
 
 def fetch_requests(starts: DataFrame, stocks: DataFrame, now: _dt.datetime,

@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """The rows dealt over ``parts`` tasks (default: the session's shuffle width), whatever files they come in."""
+    return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _s(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("string")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators.materialize import materialize
+from tidemark.operators.observed import observe
 
 
 def read_crime(spark: SparkSession, path: str) -> DataFrame:
@@ -17,6 +20,36 @@ def read_crime(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CRIME).option("header", True).csv(path)
 
 
+def read_incident_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """SRC-1 with every line accounted for: the typed columns and ``rejected``,
+    the text of a line that has not the declared number of fields (else NULL).
+
+    Fields are read as text and cast one by one: a value that does not fit is
+    NULL in a good line (an undated incident keeps its place, Q28).
+    """
+    text = schemas.CRIME.fieldNames()
+    lines = T.StructType([T.StructField(c, T.StringType()) for c in (*text, "rejected")])
+    rows = (spark.read.schema(lines).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "rejected").csv(list(paths)))
+    typed = [(F.substring(f.name, 1, 10) if f.dataType == T.DateType() else F.col(f.name)).try_cast(f.dataType).alias(f.name)
+             for f in schemas.CRIME.fields]
+    return rows.select(*typed, "rejected")
+
+
+def land_incidents(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame, Observation]:
+    """SRC-1 in one pass over the files: good incidents, rejected lines
+    (INCIDENT_NUMBER as far as it was read, line), and how many of each there were.
+
+    The parsed lines are stored once; both results read the stored table.
+    """
+    lines, seen = observe(read_incident_lines(spark, *paths), "incidents", {
+        "lines": F.lit(True), "rejected": F.col("rejected").isNotNull(),
+        "no_date": F.col("rejected").isNull() & F.col("OCCURRED_ON_DATE").isNull()})
+    stored = materialize(lines, "incidents")
+    good = stored.filter(F.col("rejected").isNull()).drop("rejected")
+    return good, stored.filter(F.col("rejected").isNotNull()).select("INCIDENT_NUMBER", F.col("rejected").alias("line")), seen
+
+
 def read_offense_codes(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2: header CSV lookup of offense codes."""
     return spark.read.schema(schemas.OFFENSE_CODES).option("header", True).csv(path)
