@@ -27,8 +27,10 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column], larg
 
 def first_by_id(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """DUP-2 / SRT-2: the row with the smallest id per key, as a work list in id
-    order would take it. Numeric ids given as text count as numbers."""
-    return keep_best(df, keys, [F.col(id_col).try_cast("long"), F.col(id_col)], largest=False)
+    order would take it. Numeric ids given as text count as numbers and come
+    first, then other text; NULL ids come last."""
+    number = F.col(id_col).try_cast("long")
+    return keep_best(df, keys, [F.col(id_col).isNull(), number.isNull(), number, F.col(id_col)], largest=False)
 
 
 def keep_min_value(df: DataFrame, key: str, value: str) -> DataFrame:
