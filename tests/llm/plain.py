@@ -74,20 +74,27 @@ def near(a, b, t):
     return banded(a, b, t) is not None
 
 
-def drop_lines(rows, t, least):
-    """(id, text) rows -> {id: text of the kept lines}; ids are unique."""
+def drop_lines(rows, t, least, grow=(), copies=None):
+    """(id, text) rows -> {id: text of the kept lines}; ids are unique.
+
+    ``grow`` (lowest length, edits) allows more edits by the length of the shorter
+    line; equal lines are one class from ``copies`` characters on.
+    """
+    copies = least if copies is None else copies
     lines = [(i, n, x.strip(" ")) for i, text in sorted(rows) if text is not None for n, x in enumerate(text.split("\n"))]
     kinds = sorted({x for _, _, x in lines if len(x) >= least}, key=lambda x: (len(x), x))
     links = []
     for k, a in enumerate(kinds):
+        own = max([t, *(e for low, e in grow if len(a) >= low)])
+        # two texts within that many edits share one of one more parts, so most pairs need no table
+        size = len(a) // (own + 1)
+        parts = [a[s : s + size] for s in range(0, size * own + 1, size)]
         for b in kinds[k + 1 :]:
-            if len(b) - len(a) > t:
+            if len(b) - len(a) > own:
                 break
-            # two texts within t edits share one of t + 1 parts, so most pairs need no table
-            size = len(a) // (t + 1)
-            if any(a[s : s + size] in b for s in range(0, size * t + 1, size)) and near(a, b, t):
+            if any(p in b for p in parts) and near(a, b, own):
                 links.append((a, b))
-    cls = groups(kinds, links)
+    cls = groups({x for _, _, x in lines if x and len(x) >= min(copies, least)}, links)
     first, out = {}, defaultdict(list)
     for i, n, x in lines:
         if x in cls:

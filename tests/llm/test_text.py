@@ -180,3 +180,19 @@ def test_every_word_of_the_training_rows_is_kept(spark):
     for w, en, fr in ((words[-1], used["en"], 0), ("common", used["en"], used["fr"])):
         want = [np.log((en + 0.5) / (used["en"] * 30_001 + 0.5 * 30_002)), np.log((fr + 0.5) / (used["fr"] + 0.5 * 30_002))]
         assert np.allclose(logs[index[w]], want)
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, f"hello world number {i}", "en") for i in range(20)] + [(20 + i, f"bonjour le monde {i}", "fr") for i in range(20)]
+    rows += [(100, "½ ² ⁵", None), (101, "Ⅷ 123 _", None), (102, "hello²", None), (103, "²bonjour½le", None)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100] == got[101] == ("und", 0.0)
+    assert got[102][0] == "en" and got[103][0] == "fr"
+    assert langid.words_of("a²b ½ c_d") == ["a", "b", "c", "d"]
+
+
+def test_decoding_in_the_same_pass(spark):
+    pieces = unigram.load_pieces(queries.vocabulary("piece_bpe_32k.model"))
+    df = spark.createDataFrame([(1, "Hello  wörld \u2581x\n"), (2, None), (3, "")], "doc_id long, text string")
+    two = unigram.decode(unigram.encode(df, pieces), pieces).orderBy("doc_id").collect()
+    assert unigram.encode(df, pieces, decoded_col="decoded").orderBy("doc_id").collect() == two

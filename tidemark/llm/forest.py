@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors
-from tidemark.llm.store import stored
+from tidemark.llm.store import Shared, stored
 
 #: Rows of one leaf that one task takes; a fuller leaf is dealt over several.
 TASK_ROWS = 20_000
@@ -135,25 +135,26 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     drawn = cls if n <= sample_rows else cls.where(F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / n))
     sample = np.array([r["vec"] for r in drawn.select("vec").orderBy("vec").collect()], np.float64).reshape(-1, d)
     forest = Forest(sample, trees, leaf_rows, seed)
-    shared = spark.sparkContext.broadcast((forest, visits_for(forest, sample, k, target_recall, probes, seed)))
+    shared = Shared(table, (forest, visits_for(forest, sample, k, target_recall, probes, seed)))
 
     def matrix(column) -> np.ndarray:
         flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
     def index(batches):
+        own, _ = shared.get()
         for b in batches:
             x = matrix(b.column("vec"))
-            leaf = shared.value[0].route(x)
+            leaf = own.route(x)
             for t in range(trees):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf[:, t]), b.column("vec"), b.column("ids")],
                                                  ["tree", "leaf", "vec", "ids"])
 
     def visit(batches):
+        own, visits = shared.get()
         for b in batches:
-            forest, visits = shared.value
             for name, q in zip(b.column("query_id").to_pylist(), matrix(b.column("vec"))):
-                at = forest.leaves(q, visits)
+                at = own.leaves(q, visits)
                 yield pa.RecordBatch.from_pydict({
                     "tree": pa.array([t for t, _ in at], pa.int32()), "leaf": pa.array([x for _, x in at], pa.int32()),
                     "query_id": pa.array([name] * len(at), pa.int64()), "q": pa.array([q] * len(at), pa.list_(pa.float64()))})

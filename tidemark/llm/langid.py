@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import folds
-from tidemark.llm.store import stored
+from tidemark.llm.store import Shared, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Distinct text parts a task keeps scores of.
@@ -26,6 +26,14 @@ TABLE = 400_000
 COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("gram", pa.string()), ("count", pa.int64())])
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters; numerals like a half or a Roman eight are no letters."""
+    found = WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
+
+
 def grams(word: str, n: int) -> list[str]:
     w = f"^{word}$"
     return [w[i : i + n] for i in range(len(w) - n + 1)]
@@ -38,7 +46,7 @@ def gram_counts(docs: DataFrame, longest: int) -> DataFrame:
         for b in batches:
             words = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
+                words.setdefault(lang, Counter()).update(words_of((text or "").lower()))
             for lang, own in words.items():
                 for n in range(longest + 1):
                     many = own if n == 0 else Counter()
@@ -101,10 +109,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(id, lang_pred, score) of every whole text; ``score`` is the posterior of the
     predicted language under equal priors."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs, model)
 
     def each(batches):
-        model, known = shared.value, {}
+        model, known = shared.get(), {}
         none = np.zeros(len(model.langs))
         for b in batches:
             langs, scores = [], []
@@ -115,7 +123,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     known.clear()
                 for p in parts:
                     if p not in known:
-                        words = WORD.findall(p)
+                        words = words_of(p)
                         known[p] = sum((model.word(w) for w in words), none) if words else None
                 rows = [(known[p], c) for p, c in parts.items() if known[p] is not None]
                 if rows and model.langs:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import folds
-from tidemark.llm.store import stored
+from tidemark.llm.store import Shared, stored
 
 _CLASSES = {
     "upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "stop": b".,;:?", "symbol": b"!#$%&*+<=>@[]^_`{|}~\\/",
@@ -85,10 +85,10 @@ def normal_equations(rows: DataFrame, features: Features, tasks: int = 32) -> di
     At most ``tasks`` partitions (of a few numbers per row) add up their rows
     first, so what is shuffled and returned is bounded by the features' number.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(features)
+    shared = Shared(rows, features)
 
     def add(batches):
-        f, sums = shared.value, {}
+        f, sums = shared.get(), {}
         for b in batches:
             z, y, fold = f(_matrix(b.column("x"))), b.column("y").to_numpy(zero_copy_only=False), b.column("fold").to_numpy()
             for k in np.unique(fold):
@@ -149,10 +149,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unseen = {k: _ridge(whole - a, penalty) if len(sums) > 1 else final for k, a in sums.items()}
 
     def raw(rows: DataFrame, weights: dict, own: np.ndarray, kept: tuple[str, ...]) -> DataFrame:
-        shared = rows.sparkSession.sparkContext.broadcast((features, weights, own))
+        shared = Shared(rows, (features, weights, own))
 
         def each(batches):
-            f, by_fold, one = shared.value
+            f, by_fold, one = shared.get()
             for b in batches:
                 z = f(_matrix(b.column("x")))
                 w = np.array([by_fold.get(k, one) for k in b.column("fold").to_pylist()]) if "fold" in b.schema.names else one
@@ -167,10 +167,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     fitted = IsotonicRegression(weightCol="weight").fit(vector.transform(seen))
     steps = fitted.boundaries.toArray(), fitted.predictions.toArray()
     scored = raw(x, {}, final, columns)
-    shared = docs.sparkSession.sparkContext.broadcast(steps)
+    shared = Shared(docs, steps)
 
     def calibrate(batches):
-        at, value = shared.value
+        at, value = shared.get()
         for b in batches:
             p = np.clip(np.interp(b.column("raw").to_numpy(), at, value), 0, 1)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], [*b.schema.names[:-1], "score"])

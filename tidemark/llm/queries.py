@@ -90,7 +90,7 @@ def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: what the pieces are and whether they give the text back."""
     pieces = unigram.load_pieces(vocabulary("piece_bpe_32k.model"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = unigram.decode(unigram.encode(docs, pieces), pieces)
+    out = unigram.encode(docs, pieces, decoded_col="decoded")
     low, high = min(pieces.byte_ids), max(pieces.byte_ids)
     return out.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"),

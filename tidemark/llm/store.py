@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from tidemark.session import checkpoint_dir
@@ -23,3 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def parallelism(df: DataFrame) -> int:
     """The session's shuffle width: tasks to aim for when a number must be given."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Shared:
+    """A bounded value for all tasks. It travels by value, with the code of its
+    class: a plain broadcast would need the package on every worker."""
+
+    def __init__(self, df: DataFrame, value: Any):
+        self.data = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> Any:
+        """The value, built anew: once per task."""
+        return pickle.loads(self.data.value)

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.store import Shared
+
 MARK = "▁"
 #: Below the least piece's log score: what one uncovered character costs.
 UNKNOWN = 10.0
@@ -177,7 +179,7 @@ class Coder:
     def decode(self, ids: list[int]) -> str:
         """Pieces and bytes put together, marks as blanks, without the one before the text."""
         table = self.bytes
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -199,40 +201,42 @@ def load_pieces(path: str) -> Pieces:
     return Pieces([sp.id_to_piece(i) for i in range(n)], scores.tolist(), normal, byte_ids)
 
 
-def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with ``out_col`` array<int>: the pieces of the whole text.
+def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with ``out_col`` array<int>: the pieces of the whole text; with
+    ``decoded_col`` also the text that these pieces decode to, in the same pass.
 
     Defined cases: a null or empty text has no pieces; a U+2581 in a text is
     read as a blank; repeated rows are encoded alike; an empty table stays
-    empty. Other columns pass through unread; an existing ``out_col`` is
-    replaced.
+    empty. Other columns pass through unread; existing ``out_col`` and
+    ``decoded_col`` are replaced.
     """
-    src = docs.drop(out_col) if out_col in docs.columns else docs
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    at = src.columns.index(text_col)
+    new = [out_col, *([decoded_col] if decoded_col else [])]
+    src = docs.drop(*[c for c in new if c in docs.columns])
+    shared, at = Shared(docs, pieces), src.columns.index(text_col)
 
     def each(batches):
-        coder = Coder(shared.value)
+        coder = Coder(shared.get())
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
                 data = coder.encode([t or "" for t in part.column(at).to_pylist()])
                 ends = np.cumsum([0] + [len(d) // 4 for d in data]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(data), "<i4")))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, out_col])
+                out = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(data), "<i4")))]
+                if decoded_col:
+                    out.append(pa.array([coder.decode(np.frombuffer(d, "<i4").tolist()) for d in data], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*part.schema.names, *new])
 
-    schema = src.select("*", F.lit(None).cast("array<int>").alias(out_col)).schema
-    return src.mapInArrow(each, schema)
+    kinds = zip(new, ("array<int>", "string"))
+    return src.mapInArrow(each, src.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in kinds]).schema)
 
 
 def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` with ``out_col`` string: the text of the pieces (null for null ids)."""
     src = docs.drop(out_col) if out_col in docs.columns else docs
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    at = src.columns.index(ids_col)
+    shared, at = Shared(docs, pieces), src.columns.index(ids_col)
 
     def each(batches):
-        coder = Coder(shared.value)
+        coder = Coder(shared.get())
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
