@@ -20,20 +20,25 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic (operator 1)."""
-    out = toxicity.classify(docs, _labels(spark, sf_dir), queries.CATEGORIES, decide="toxic", threshold=queries.TOXIC_FROM, keep=tuple(docs.columns))
-    return out.where("predicted = 0").select(*docs.columns)
+    # names of their own, so that no column of the documents meets one of the classifier's
+    own = {c: f"in_{k}" for k, c in enumerate(docs.columns)}
+    rows, labels = docs.toDF(*own.values()), _labels(spark, sf_dir).withColumnRenamed("doc_id", own["doc_id"])
+    out = toxicity.classify(rows, labels, queries.CATEGORIES, decide="toxic", threshold=queries.TOXIC_FROM,
+                            id_col=own["doc_id"], text_col=own["text"], keep=tuple(own.values()))
+    return out.where("predicted = 0").select(*[F.col(x).alias(c) for c, x in own.items()])
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.3 (operator 8)."""
+    # the score needs these columns only, whatever else the documents have
     rows = docs.withColumn("_row", linededup.row_id("doc_id", "text"))
-    good = quality.score(rows, _labels(spark, sf_dir), threshold=0.3, keep=("_row",)).where("predicted = 1")
+    good = quality.score(rows.select("doc_id", "text", "_row"), _labels(spark, sf_dir), threshold=0.3, keep=("_row",)).where("predicted = 1")
     return rows.join(good.select("_row").distinct(), "_row", "left_semi").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that occur, equal or nearly so, before (operator 9)."""
-    out = linededup.deduplicate(docs, max_edits=2, min_chars=20)
+    """Documents without lines that occur, equal or nearly so, before (operator 9), by the query's own rules."""
+    out = linededup.deduplicate(docs, max_edits=2, min_chars=20, grow=linededup.GROW, copy_chars=1)
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
