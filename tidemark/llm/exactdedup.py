@@ -128,7 +128,8 @@ class ExactDedup:
         Of rows with equal normalised texts the one with the largest id is
         kept, of those with that id the one with the last place.
         """
-        named = self.landed().join(self.heads.read(), "digest")
+        # stored heads leave both sides of the join plain shuffles, which Spark splits where a digest has many rows
+        named = self.landed().join(stored(self.heads.read(), "exact-heads"), "digest")
         own = F.struct("id", "file", "row")
         rows = stored(named.select("id", "digest", "file", "row", F.col("head.id").alias("keep_id"), F.col("size").alias("group_size"),
                                    (own.eqNullSafe(F.col("head"))).alias("kept")), "exact-rows")
