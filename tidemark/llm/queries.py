@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: The chain: junk first, then toxic. The labels table marks these two.
 CATEGORIES = {"junk": "1 - quality", "toxic": "toxic"}
 #: Probability from which a document is called toxic.
-TOXIC_FROM = 0.1
+TOXIC_FROM = 0.4
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
