@@ -53,3 +53,20 @@ def test_chain_cases(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.tree: [tuple(t) for t in r.turns] for r in chat.format_paths(chat.chain(df)).select("tree", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
     assert got == {None: [("user", "a"), ("assistant", "")], 4: [("system", "early"), ("user", "late"), ("user", "late")], 5: [("", "")]}
+
+
+def test_long_texts_and_extra_columns_of_clashing_names(spark):
+    """Extra columns named as the operator's own are not read; a very long text comes back whole."""
+    long = "[INST] word </s> " * 20_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), (2, 0, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    odd = ["tree", "node", "parent", "leaf", "rank", "score", "depth", "at", "up", "m", "n_turns", "formatted", "segments"]
+    talks = df.select("*", *[F.lit("odd").alias(c) for c in odd])
+    out = chat.format_paths(chat.chain(talks))
+    got = {r.tree: ([tuple(t) for t in r.turns], r.loss) for r in
+           out.select("tree", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss")).collect()}
+    assert got == {1: ([("user", long), ("assistant", long)], long), 2: ([("assistant", "x")], "x")}
+
+    tree = spark.createDataFrame([("t", 1, None, "user", "hi"), ("t", 2, 1, "assistant", "a")], "tree string, node long, parent long, role string, text string")
+    wide = tree.select("*", *[F.lit("odd").alias(c) for c in odd if c not in tree.columns])
+    assert chat.format_paths(wide).collect() == chat.format_paths(tree).collect() != []
