@@ -71,8 +71,8 @@ def format_paths(messages: DataFrame, tree: str = "tree", node: str = "node", pa
 
     Defined cases: null role or text counts as empty; rows with a null node
     are ignored, rows that repeat a node count once (the smallest by tree,
-    parent, role, text); an empty table gives no rows. Only the named columns
-    are read.
+    parent, role, text); an empty table gives no rows. Texts of any length are
+    formatted whole. Only the named columns are read, whatever others are called.
     """
     msgs = messages.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(F.struct(
         F.col(tree).alias("tree"), F.col(parent).alias("parent"),
