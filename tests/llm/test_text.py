@@ -162,12 +162,59 @@ def test_chain_feeds_earlier_probabilities(spark):
     rows = [(i, f"{w} filler{i % 3}", a, b) for i in range(240) for w, a, b in [words[i % 3]]]
     docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(i, a, b) for i, _, a, b in rows], "doc_id long, a int, b int")
-    links = toxicity.fit(docs, labels, {"a": "a", "b": "b"}, max_iter=20)
+    links, _ = toxicity.fit(docs, labels, {"a": "a", "b": "b"}, max_iter=20)
     assert links[1][0][toxicity.SIZE] > 0  # a higher first probability makes the second category likelier
     got = toxicity.predict(docs, links, ["a", "b"]).collect()
     assert all((r.p_a > 0.5) == (rows[r.doc_id][2] == 1) and (r.p_b > 0.5) == (rows[r.doc_id][3] == 1) for r in got)
 
 
+def test_links_are_fitted_out_of_fold(spark):
+    """Each part's model is the one of least penalised loss for the rows of the other folds alone."""
+    rng = np.random.default_rng(5)
+    rows = [(int(f), float(y), sorted({0, *(rng.integers(1, 30, 6) + 9 * y).astype(int).tolist()})) for f, y in zip(rng.integers(0, 3, 120), rng.integers(0, 2, 120))]
+    packed = [(f, y, bytearray(toxicity.packed(np.array(ix, int)))) for f, y, ix in [*rows, (1, 1.0, [])]]
+    assert [toxicity.unpacked(bytes(x)).tolist() for _, _, x in packed] == [*[ix for _, _, ix in rows], []]
+    df = spark.createDataFrame(packed, "fold int, y0 double, ix binary")
+    got = toxicity._fit_link(df, 0, [toxicity.WHOLE, 0, 1, 2], {}, 1e-2, 200, 1)
+    assert set(got) == {toxicity.WHOLE, 0, 1, 2}
+    for part, (w, constant) in got.items():
+        own = [(set(ix), y) for f, y, ix in [*rows, (1, 1.0, [])] if f != part]
+        x, y = np.array([[i in ix for i in range(40)] for ix, _ in own], float), np.array([y for _, y in own])
+        off = 1 / (1 + np.exp(-(x @ w[:40] + constant))) - y
+        assert abs(x.T @ off / len(y) + 1e-2 * w[:40]).max() < 2e-3 and abs(off.mean()) < 2e-3 and not w[40:].any()
+
+
+def test_products_read_in_parts_are_the_same(monkeypatch):
+    rng = np.random.default_rng(6)
+    sets = [np.sort(rng.choice(20, n, replace=False)) for n in (0, 5, 20, 0, 3, 1, 0)]
+    ends, beside, w = np.concatenate(([0], np.cumsum([len(x) for x in sets]))), rng.random((7, 2)), rng.random(22)
+    dense = np.array([[i in x for i in range(20)] for x in sets], float)
+    for read in (1, 4, 1000):
+        monkeypatch.setattr(toxicity, "READ", read)
+        rows = toxicity.Rows(np.concatenate(sets), ends, beside, 20)
+        assert np.allclose(rows.times(w), np.hstack([dense, beside]) @ w)
+        assert np.allclose(rows.summed(w[:7]), np.hstack([dense, beside]).T @ w[:7])
+    none = toxicity.Rows(np.empty(0, int), np.array([0, 0]), np.zeros((1, 0)), 20)
+    assert none.times(np.ones(20)).tolist() == [0.0] and not none.summed(np.ones(1)).any()
+
+
+@pytest.mark.parametrize("beta", [0.5, 1.0, 2.0])
+def test_threshold_is_where_f_is_best(beta):
+    p, y = np.array([0.1, 0.2, 0.2, 0.6, 0.8, 0.9]), np.array([0, 0, 1, 1, 0, 1.0])
+    best = toxicity.best_threshold(p, y, beta)
+    f = lambda t: (1 + beta**2) * y[p >= t].sum() / max(1, (p >= t).sum() + beta**2 * y.sum())
+    assert f(best) == pytest.approx(max(f(t) for t in np.linspace(0, 1, 101))) and best not in p
+    assert toxicity.best_threshold(p, np.zeros(6)) == 0.5 and toxicity.best_threshold(np.array([0.3, 0.3]), np.array([0, 1.0])) == 0.3
+
+
+def test_learned_threshold_with_odd_rows(spark, cases):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(8)], "doc_id long, quality int, toxic int")
+    chain = {"poor": "1 - quality", "toxic": "toxic"}
+    got = toxicity.classify(cases, labels, chain, decide="toxic", threshold=None, min_rows=1).collect()
+    assert len(got) == len(CASES) and all(r.predicted in (0, 1) and 0 <= r.score <= 1 for r in got)
+    assert {r.predicted for r in toxicity.classify(cases, labels.limit(0), chain, decide="toxic", threshold=None).collect()} == {0}
+
+
 def test_every_word_of_the_training_rows_is_kept(spark):
     words = ["".join(x) for x in itertools.product("abcdefghij", repeat=5)][:30_000]
     rows = [(i, lang, text) for i in range(0, 60, 2) for lang, text in (("en", " ".join(words) + " common"), ("fr", "common"))]
