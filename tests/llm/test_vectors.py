@@ -43,12 +43,36 @@ def test_topk_lists_stop_early_and_stay_exact():
     q = np.floor(256 * rng.standard_normal((9, 8)))
     exact = q @ x.T
     for reached in (-np.inf, np.sort(exact, axis=1)[:, -6]):
-        at, row, score = topk.read_lists(x, q, np.broadcast_to(reached, 9).astype(float), 6)
+        at, row, score, _ = topk.read_lists(x, q, np.broadcast_to(reached, 9).astype(float), 6)
         assert (exact[at, row] == score).all()
         for i in range(9):
             assert set(np.argsort(-exact[i])[:6]) <= set(row[at == i])
 
 
+def test_topk_lists_are_not_read_whole_where_bounds_close(monkeypatch):
+    """Few rows stand out: what lies deeper in the lists is never used, whatever it is."""
+    rng = np.random.default_rng(4)
+    x = np.floor(20 * rng.random((1000, 6)))
+    x[:8] += 500 + 10 * np.arange(8)[:, None]
+    q = np.floor(1 + 50 * rng.random((5, 6)))
+    exact = q @ x.T
+    for steps, few in ((16, 1 / 32), (1000, 1 / 32), (16, 0.0), (16, 1.0)):
+        monkeypatch.setattr(topk, "STEPS", steps)
+        monkeypatch.setattr(topk, "FEW", few)
+        at, row, score, depth = topk.read_lists(x, q, np.full(5, -np.inf), 6)
+        assert depth <= (1.0 if few == 0.0 else 0.1) and (exact[at, row] == score).all()
+        for i in range(5):
+            assert set(np.argsort(-exact[i])[:6]) <= set(row[at == i])
+    # mixed signs and zero weights
+    q = np.array([[1.0, -1, 0, 3, -2, 0], [0.0] * 6, [-1.0] * 6])
+    for few in (0.0, 1 / 32, 1.0):
+        monkeypatch.setattr(topk, "FEW", few)
+        at, row, score, _ = topk.read_lists(x, q, np.full(3, -np.inf), 6)
+        assert ((q @ x.T)[at, row] == score).all() and (np.bincount(at) >= 6).all()
+        for i in range(3):
+            assert np.sort(score[at == i])[-6:].tolist() == np.sort(x @ q[i])[-6:].tolist()
+
+
 def test_forest_recall_and_scores(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
     at, x = {i: n for n, (i, _) in enumerate(rows)}, np.array([v for _, v in rows], float)

@@ -4,8 +4,9 @@ Each component is a list of (row, value) sorted by value. A query reads every
 list from its good end (largest first for a positive weight, smallest first
 for a negative one), to the same depth. What is not read yet is bounded by the
 list's frontier from above and by its far end from below; rows whose upper
-bound is below the k-th best lower bound cannot qualify. Reading stops when
-few rows are left that could, and their scores are resolved.
+bound is below the k-th best lower bound cannot qualify and are closed, seen
+or not. The lists are read on until all components of the rows still open
+are read: their scores are final then. No row is looked up aside.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tidemark.llm import vectors
 
 #: Rows of a block of lists; queries of a block; rows whose lists are read together.
 BLOCK_ROWS, BLOCK_QUERIES, LIST_ROWS, READ_QUERIES = 16384, 4096, 2048, 256
-#: Depths at which bounds are compared, as shares of a list.
-DEPTHS = (0.25, 0.5, 0.75, 1.0)
+#: Steps in which a list is read; share of (query, row) pairs from which down the open ones are followed one by one.
+STEPS, FEW = 16, 1 / 32
 
 
 def _keep_best(q, score, first, at, keep):
@@ -36,32 +37,52 @@ def _keep_best(q, score, first, at, keep):
 
 
 def read_lists(x: np.ndarray, queries: np.ndarray, threshold: np.ndarray, keep: int):
-    """(query, row, score) of all rows that can be among a query's ``keep`` best, given what is known to be reached.
+    """(query, row, score, depth) of all rows that can be among a query's ``keep`` best, given what is known to be reached.
 
-    All numbers are whole and far below 2**53, so doubles are exact.
+    ``depth`` is the share of every list that was read. Only components read
+    so far are used of any row. While many (query, row) pairs are open, the
+    bounds of the rows that some query has open are matrix products; few open
+    pairs are followed one by one, until all their components are read or the
+    bounds close them. All numbers are whole and far below 2**53, so doubles are exact.
     """
     n, d = x.shape
     order = np.argsort(x, axis=0, kind="stable")
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(n)[:, None].repeat(d, 1), axis=0)
     by_value = np.take_along_axis(x, order, axis=0)
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    for share in DEPTHS:
-        t = max(1, ceil(n * share))
-        top, bottom = rank >= n - t, rank < t
-        upper = up @ np.where(top, x, by_value[n - t]).T + down @ np.where(bottom, x, by_value[t - 1]).T
-        if t == n:
-            lower = upper
-        else:
-            lower = up @ np.where(top, x, by_value[0]).T + down @ np.where(bottom, x, by_value[-1]).T
-        if n >= keep:
-            threshold = np.maximum(threshold, np.partition(lower, n - keep, axis=1)[:, n - keep])
-        open_pairs = upper >= threshold[:, None]
-        if t == n or open_pairs.sum() <= 4 * keep * len(queries):
-            break
-    q, row = np.nonzero(open_pairs)
-    score = upper[q, row] if t == n else np.einsum("ij,ij->i", queries[q], x[row])
-    return q, row, score
+    up, down, step = np.maximum(queries, 0), np.minimum(queries, 0), max(1, ceil(n / STEPS))
+    rows, open_pairs, t = np.arange(n), np.ones((len(queries), n), bool), 0
+    while not t or t < n and open_pairs.sum() > len(queries) * n * FEW:
+        t = min(n, t + step)
+        top, bottom, values = rank[rows] >= n - t, rank[rows] < t, x[rows]
+        upper = up @ np.where(top, values, by_value[n - t]).T + down @ np.where(bottom, values, by_value[t - 1]).T
+        lower = up @ np.where(top, values, by_value[0]).T + down @ np.where(bottom, values, by_value[-1]).T
+        if len(rows) >= keep:
+            reached = np.where(open_pairs, lower, -np.inf)
+            threshold = np.maximum(threshold, np.partition(reached, len(rows) - keep, axis=1)[:, len(rows) - keep])
+        open_pairs &= upper >= threshold[:, None]
+        some = open_pairs.any(axis=0)
+        rows, open_pairs, lower = rows[some], open_pairs[:, some], lower[:, some]
+    q, at = np.nonzero(open_pairs)
+    row = rows[at]
+    if t == n:
+        return q, row, lower[q, at], 1.0
+    while True:
+        w, values = queries[q], x[row]
+        read = np.where(w > 0, rank[row] >= n - t, rank[row] < t) | (w == 0)
+        upper = (w * np.where(read, values, np.where(w > 0, by_value[n - t], by_value[t - 1]))).sum(axis=1)
+        lower = (w * np.where(read, values, np.where(w > 0, by_value[0], by_value[-1]))).sum(axis=1)
+        # closed rows are below the threshold already, so open ones alone can raise it
+        held = _keep_best(q, lower, row, row, keep)
+        full = np.bincount(held[0], minlength=len(queries)) >= keep
+        least = np.full(len(queries), np.inf)
+        np.minimum.at(least, held[0], held[1])
+        threshold = np.where(full, np.maximum(threshold, least), threshold)
+        ok = upper >= threshold[q]
+        q, row, lower, read = q[ok], row[ok], lower[ok], read[ok]
+        if read.all():
+            return q, row, lower, t / n
+        t = min(n, t + step)
 
 
 def top_inner_products(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -103,7 +124,7 @@ def top_inner_products(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame
                     low = np.full(len(part), np.inf)
                     np.minimum.at(low, held[0], held[1])
                     reached[full] = low[full]
-                q, row, score = read_lists(x[b : b + LIST_ROWS], part, reached, keep)
+                q, row, score, _ = read_lists(x[b : b + LIST_ROWS], part, reached, keep)
                 held = _keep_best(*(np.concatenate(p) for p in zip(held, (q, score, first[row + b], row + b))), keep)
             found.append(pa.table([names[held[0] + a], held[1].astype(np.int64), ids.take(pa.array(held[3]))], schema=schema))
         return pa.concat_tables(found)
