@@ -55,11 +55,13 @@ def read_lists(x: np.ndarray, queries: np.ndarray, threshold: np.ndarray, keep:
     while not t or t < n and open_pairs.sum() > len(queries) * n * FEW:
         t = min(n, t + step)
         top, bottom, values = rank[rows] >= n - t, rank[rows] < t, x[rows]
-        upper = up @ np.where(top, values, by_value[n - t]).T + down @ np.where(bottom, values, by_value[t - 1]).T
         lower = up @ np.where(top, values, by_value[0]).T + down @ np.where(bottom, values, by_value[-1]).T
         if len(rows) >= keep:
             reached = np.where(open_pairs, lower, -np.inf)
             threshold = np.maximum(threshold, np.partition(reached, len(rows) - keep, axis=1)[:, len(rows) - keep])
+        if t < n and (up @ by_value[n - t] + down @ by_value[t - 1] >= threshold).all():
+            continue  # rows not seen yet can still qualify for every query: no end in sight
+        upper = up @ np.where(top, values, by_value[n - t]).T + down @ np.where(bottom, values, by_value[t - 1]).T
         open_pairs &= upper >= threshold[:, None]
         some = open_pairs.any(axis=0)
         rows, open_pairs, lower = rows[some], open_pairs[:, some], lower[:, some]
