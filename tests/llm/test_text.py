@@ -142,6 +142,22 @@ def test_statistics_are_of_whole_texts():
     assert x["digit"] == pytest.approx(2 / 25)
 
 
+def test_sums_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(int(i % 3), float(i % 2), rng.random(len(quality.STATISTICS)).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "fold long, y double, x array<float>").repartition(7)
+    d = len(quality.STATISTICS)
+    features = quality.Features([0.5] * d, [0.3] * d, 8, 4.0, 1)
+    one = quality.normal_equations(df, features, 90)
+    monkeypatch.setattr(quality, "TASK_ROWS", 20)
+    many = quality.normal_equations(df, features, 90)
+    z = features(np.array([x for _, _, x in rows], np.float32).astype(float))
+    for f in range(3):
+        own = np.arange(90) % 3 == f
+        want = z[own].T @ np.column_stack((z[own], (np.arange(90) % 2)[own]))
+        assert np.allclose(one[f], want) and np.allclose(many[f], want)
+
+
 def test_classifier_cases(spark, cases):
     labels = spark.createDataFrame([(i, y, 0, "x") for i, y in [(1, 0), (2, 1), (3, 0), (4, 1), (6, None), (None, 1), (99, 1), (3, 1), (7, 1)]],
                                    "doc_id long, quality int, toxic int, text string")

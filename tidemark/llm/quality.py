@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import operator
 import zlib
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,10 @@ def document_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str
     return src.mapInArrow(each, src.drop("_text").select("*", F.lit(None).cast("array<float>").alias("x")).schema)
 
 
+#: Training rows that one task adds up.
+TASK_ROWS = 65_536
+
+
 class Features:
     """sqrt(2 / n) cos(Wz + b) of standardised statistics z, and a constant."""
 
@@ -79,11 +84,12 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
-def normal_equations(rows: DataFrame, features: Features, tasks: int = 32) -> dict[int, np.ndarray]:
+def normal_equations(rows: DataFrame, features: Features, n_rows: int) -> dict[int, np.ndarray]:
     """``rows`` (fold, y, x) -> by fold, Z'Z with Z'y as last column.
 
-    At most ``tasks`` partitions (of a few numbers per row) add up their rows
-    first, so what is shuffled and returned is bounded by the features' number.
+    Tasks of about TASK_ROWS of the ``n_rows`` rows add up their rows first, so
+    their number grows with the rows and what they send stays small beside
+    them; what is returned is bounded by the features' number.
     """
     shared = Shared(rows, features)
 
@@ -102,7 +108,7 @@ def normal_equations(rows: DataFrame, features: Features, tasks: int = 32) -> di
         a = _matrix(group["a"].combine_chunks()).sum(axis=0)
         return pa.table({"fold": group["fold"][:1], "i": group["i"][:1], "a": pa.array([a], pa.list_(pa.float64()))})
 
-    part = rows.select("fold", "y", "x").coalesce(tasks).mapInArrow(add, "fold bigint, i int, a array<double>")
+    part = rows.select("fold", "y", "x").coalesce(max(1, ceil(n_rows / TASK_ROWS))).mapInArrow(add, "fold bigint, i int, a array<double>")
     got = part.groupBy("fold", "i").applyInArrow(total, "fold bigint, i int, a array<double>").collect()
     out = {}
     for r in sorted(got, key=lambda r: (r["fold"], r["i"])):
@@ -143,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not spread["n"]:
         return out(x.withColumn("score", F.lit(0.5)))
     features = Features([spread[f"avg{i}"] for i in range(d)], [spread[f"stddev_pop{i}"] or 1.0 for i in range(d)], n_features, width, seed)
-    sums = normal_equations(train, features)
+    sums = normal_equations(train, features, spread["n"])
     whole = sum(sums.values())
     final = _ridge(whole, penalty)
     unseen = {k: _ridge(whole - a, penalty) if len(sums) > 1 else final for k, a in sums.items()}
