@@ -128,3 +128,16 @@ def test_post_feed_json(spark):
     df = spark.createDataFrame([(p,) for p in pages], "value string")
     it = feeds.post_items(df).collect()
     assert [(r["external_id"], r["inserted"]) for r in it] == [("9", "2024-01-01T00:00:00.5Z")]
+
+
+def test_posts_stay_where_they_are_beside_the_last_runs(spark):
+    """One last run a company: by an exchange all posts of a company would meet in one task."""
+    rows = [(c, f"p{c}", "2024-03-01T10:00:00.0", block("SBER")) for c in (1, 2)]
+    hwm = spark.createDataFrame([(1, ts("2024-03-02 00:00:00"))], "analyst_company_id int, hwm timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = posts.blocks(items(spark, rows), hwm)
+        assert [r["external_id"] for r in out.collect()] == ["p2"]
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

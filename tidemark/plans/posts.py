@@ -110,7 +110,8 @@ def blocks(items: DataFrame, hwm: _dt.datetime | DataFrame | None = None) -> Dat
     """
     p = items.withColumn("date_inserted", iso_seconds("inserted"))
     if isinstance(hwm, DataFrame):
-        p = (p.join(hwm.select("analyst_company_id", F.col("hwm").alias("_hwm")),
+        # one row a company: by an exchange the posts of a company would all meet in one task
+        p = (p.join(F.broadcast(hwm.select("analyst_company_id", F.col("hwm").alias("_hwm"))),
                     "analyst_company_id", "left")
              .filter(F.col("date_inserted") > F.coalesce(F.col("_hwm"), lit_ts(EPOCH)))
              .drop("_hwm"))
