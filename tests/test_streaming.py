@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, ts
@@ -113,3 +114,20 @@ def test_console_sink_runs(spark, tmp_dir):
     q = streams.start_console(streams.weblog_events(spark, src), rows=5)
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 1
+
+
+@pytest.mark.parametrize("make", ["_posts_stream", "_faulty_posts_stream"])
+def test_posts_land_from_all_tasks(spark, monkeypatch, make):
+    """The events of one file are dealt out before their pages are written."""
+    from tidemark import catalog
+
+    class Seen(Exception):
+        pass
+
+    def land(df, folder, **more):
+        raise Seen(df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(streams, "land", land)
+    with pytest.raises(Seen) as seen:
+        getattr(catalog, make)(spark, SF_SMALL)
+    assert seen.value.args[0] == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -601,7 +601,7 @@ def _posts_stream(spark, sf_dir):
     from tidemark.sinks.tables import ChangeTable
     from tidemark.streaming import streams
     root = _scratch(spark, "posts")
-    streams.land(driver.post_pages(_t(spark, sf_dir, "events")), f"{root}/in")
+    streams.land(driver.post_pages(driver.spread(_t(spark, sf_dir, "events"), "event_id")), f"{root}/in")
     fc = ChangeTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS, order=["date_inserted", "external_id"])
     ind = ChangeTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
     streams.start_posts(spark, f"{root}/in", fc, ind, f"{root}/rejected", f"{root}/ck", NOW).awaitTermination()
@@ -689,7 +689,7 @@ def _faulty_posts_stream(spark, sf_dir):
     from tidemark.sinks.tables import ChangeTable
     from tidemark.streaming import streams
     root = _scratch(spark, "faulty")
-    streams.land(driver.post_pages(_t(spark, sf_dir, "events"), faults=True), f"{root}/in")
+    streams.land(driver.post_pages(driver.spread(_t(spark, sf_dir, "events"), "event_id"), faults=True), f"{root}/in")
     fc = ChangeTable(spark, f"{root}/forecasts", schemas.FORECASTS, KEYS, order=["date_inserted", "external_id"])
     ind = ChangeTable(spark, f"{root}/indicators", schemas.INDICATORS, ["indicator_name"])
     log = ChangeTable(spark, f"{root}/log", schemas.PARSER_LOG, ["run_id", "analyst_company_id"])
