@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
@@ -96,3 +98,41 @@ def test_a_hot_day_is_spread(spark):
     assert len(n) == 16 and n[-1] <= 3 * n[8]
     by_day = rows.repartition(16, "k", F.to_date("_t")).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     assert by_day.agg(F.max("n")).first()[0] >= 10000     # what one cell a day does
+
+
+@pytest.mark.parametrize("strategy", spans.STRATEGIES)
+def test_exploded_spans_are_not_broadcast(spark, strategy):
+    """Spark takes a few spans of years to be small, whatever number of pieces they have."""
+    s = spark.createDataFrame([(1, "a", BASE, BASE + dt.timedelta(days=700))], "id int, k string, a timestamp_ntz, b timestamp_ntz")
+    r = spark.createDataFrame([("a", BASE, 1), ("a", BASE + dt.timedelta(days=3), 2)], "k string, t timestamp_ntz, v int")
+    out = spans.span_aggregate(s, r, key="k", span_id="id", lo=F.col("a"), hi=F.col("b"), time_col="t", measures=measures(), strategy=strategy)
+    out.collect()
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_spans_over_few_rows_take_the_cells_of_the_rows(spark):
+    s = spark.createDataFrame([(1, "a", BASE - dt.timedelta(days=900, minutes=7), BASE + dt.timedelta(days=900, minutes=11)),
+                               (2, "none", BASE, BASE)], "_id int, k string, _lo timestamp_ntz, _hi timestamp_ntz")
+    r = spark.createDataFrame([("a", BASE + dt.timedelta(hours=5)), ("a", BASE + dt.timedelta(days=3, hours=5))], "k string, _t timestamp_ntz")
+    cut = spans.within_rows(s, r, "k")
+    assert [(x._id, x._lo, x._hi) for x in cut.collect()] == [(1, BASE, BASE + dt.timedelta(days=4, microseconds=-1))]
+    assert cut.select(F.size(spans.span_cells(F.col("_lo"), F.col("_hi")))).first()[0] <= 4
+
+
+@pytest.mark.parametrize("strategy", spans.STRATEGIES)
+def test_extrema_read_from_their_keys(spark, strategy):
+    """Prices and times come back exactly: negative and null prices, ties, times before 1970."""
+    rng = random.Random(3)
+    prices = [None, "-5.000001", "-0.000001", "0", "0.000001", "9999999999.999999", "-9999999999.999999", "7.5", "7.5"]
+    price = lambda: (lambda p: p and Decimal(p))(rng.choice(prices))
+    rows = [(k, ts("1969-12-25 00:00:00") + dt.timedelta(seconds=rng.randrange(14 * 86400), microseconds=rng.randrange(10**6)), price(), price())
+            for k in "abc" for _ in range(40)] + [("null", ts("1970-01-01 00:00:00"), None, None)]
+    r = spark.createDataFrame(rows, "k string, datetime_end timestamp_ntz, high_price decimal(16,6), low_price decimal(16,6)")
+    begin = ts("1969-12-24 00:00:00")
+    sp = [(i, k, begin + dt.timedelta(minutes=rng.randrange(15000)), begin + dt.timedelta(minutes=rng.randrange(30000))) for i, k in enumerate("abc" * 10)]
+    s = spark.createDataFrame([*sp, (99, "null", begin, begin + dt.timedelta(days=30))], "id int, k string, a timestamp_ntz, b timestamp_ntz")
+    given = dict(key="k", span_id="id", lo=F.col("a"), hi=F.col("b"), strategy=strategy)
+    cols = ["id", "max_p", "max_t", "min_p", "min_t"]
+    want = spans.span_aggregate(s, r, time_col="datetime_end", measures=spans.extrema_measures(), **given).select(*cols)
+    got = spans.span_extrema(s, r, **given)
+    assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -288,12 +288,14 @@ def q_span_extrema_dyadic(spark, sf_dir):
 def q_long_span_extrema(spark, sf_dir):
     """JON-4 over long periods: per event the extrema of its ticker from two
     years before its time to up to 30 days after it."""
-    from tidemark.operators.spans import extrema_measures, span_aggregate
+    from tidemark.operators import spans as span_ops
     ev = driver.spread(_t(spark, sf_dir, "events"), "event_id")
     day = F.expr("INTERVAL 1 DAY")
     spans = ev.select("event_id", F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("ticker"), F.col("ts").cast("timestamp_ntz").alias("ts"))
-    ex = span_aggregate(spans, driver.hourly_quotes(driver.ticks(ev)), key="ticker", span_id="event_id", lo=F.col("ts") - 731 * day,
-                        hi=F.col("ts") + (F.col("event_id") % 31).cast("int") * day, time_col="datetime_end", measures=extrema_measures(), strategy="dyadic")
+    # the quotes are read several times, as rows and for cells
+    candles = materialize(driver.hourly_quotes(driver.ticks(ev)), "quotes")
+    ex = span_ops.span_extrema(spans, candles, key="ticker", span_id="event_id", lo=F.col("ts") - 731 * day,
+                               hi=F.col("ts") + (F.col("event_id") % 31).cast("int") * day, strategy="dyadic")
     return ex.select("event_id", *_dbl("max_p", "min_p"), F.col("max_t").alias("max_time"), F.col("min_t").alias("min_time"))
 
 

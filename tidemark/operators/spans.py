@@ -9,8 +9,7 @@ last candle). Three physical strategies give identical rows:
 ``rollup`` (default)
     rows are first reduced to one row per (key, day) holding mergeable
     partial results; days lying wholly inside a span take that roll-up row,
-    only the edge days of a span meet raw rows, and raw rows of other days
-    are left out before they move. Both kinds of right-hand rows go through
+    only the edge days of a span meet raw rows. Both kinds of right-hand rows go through
     one join on (key, day, tier). A hot key-day costs one roll-up row per
     span-day.
 ``dyadic``
@@ -37,6 +36,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, TimestampNTZType
 
 from tidemark.functions.arrays import explode_rows
 
@@ -85,6 +85,20 @@ def order_key(major: Column, minor: Column) -> Column:
             + (minor.cast(d) + F.lit(Decimal(MINOR_OFFSET)).cast(d))).cast(d)
 
 
+def unpacked(k: Column) -> tuple[Column, Column]:
+    """(major, minor) of an ``order_key``: a decimal and a long."""
+    span = F.lit(Decimal(MINOR_SPAN)).cast("decimal(38,0)")
+    minor = F.pmod(k, span)
+    major = F.call_function("div", k - minor, span).cast("decimal(18,0)")
+    return major, (minor - F.lit(Decimal(MINOR_OFFSET)).cast("decimal(38,0)")).cast("long")
+
+
+def from_micros(us: Column) -> Column:
+    """The zone-less timestamp that ``micros`` makes ``us`` of."""
+    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=(us.cast("decimal(24,0)") * F.lit(Decimal("0.000001"))).cast("decimal(18,6)"))
+
+
 def _merge(name: str, m: Measure) -> Column:
     c = F.col(name)
     if m.agg == "max":
@@ -143,20 +157,37 @@ def span_cells(lo: Column, hi: Column) -> Column:
 
 def row_cells(ev: DataFrame, key: str, merged: list[Column], names: list[str]) -> DataFrame:
     """(key, _tier, _cell, _t, measures): raw rows (key, _t, measures) by their smallest
-    cell, and the merged cells of all sizes, each size reduced from the one below."""
+    cell, and the merged cells of all sizes.
+
+    Rows are first merged to the smallest cells, which spreads a hot day. Of
+    these a key has at most ``DAY_PARTS[-1]`` a day, so all larger ones are
+    merged where the key's cells lie, without another exchange.
+    """
     cols = [key, "_tier", "_cell", "_t", *names]
-    no_time = F.lit(None).cast(ev.schema["_t"].dataType).alias("_t")
     fine = ev.withColumn("_cell", _floor_div(micros("_t"), DAY_MICROS // DAY_PARTS[-1]))
-    out = fine.withColumn("_tier", F.lit(RAW)).select(*cols)
-    below = fine
-    for j in range(len(DAY_PARTS) - 1, -1, -1):
-        step = DAY_PARTS[j + 1] // DAY_PARTS[j] if j + 1 < len(DAY_PARTS) else 1
-        below = below.groupBy(key, _floor_div(F.col("_cell"), step).alias("_cell")).agg(*merged)
-        out = out.unionByName(below.select(key, F.lit(FIRST_PART + j).alias("_tier"), "_cell", no_time, *names))
-    days = below.groupBy(key, _floor_div(F.col("_cell"), DAY_PARTS[0]).alias("_day")).agg(*merged)
-    sizes = days.withColumn("_tier", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SIZES - 1))))
-    blocks = sizes.withColumn("_cell", F.expr("shiftright(_day, _tier)")).groupBy(key, "_tier", "_cell").agg(*merged)
-    return out.unionByName(blocks.select(key, "_tier", "_cell", no_time, *names))
+    raw = fine.withColumn("_tier", F.lit(RAW)).select(*cols)
+    small = F.col("_cell")
+    cell = lambda tier, c: F.struct(F.lit(tier).alias("_tier"), c.cast("long").alias("_cell"))
+    sizes = [cell(FIRST_PART + j, _floor_div(small, DAY_PARTS[-1] // n)) for j, n in enumerate(DAY_PARTS)]
+    sizes += [cell(k, F.shiftright(_floor_div(small, DAY_PARTS[-1]), k)) for k in range(BLOCK_SIZES)]
+    # the exchange by key alone serves the groups of all sizes
+    by_key = fine.groupBy(key, "_cell").agg(*merged).repartition(key)
+    parts = by_key.select(key, F.explode(F.array(*sizes)).alias("_c"), *names)
+    cells = parts.groupBy(key, F.col("_c._tier").alias("_tier"), F.col("_c._cell").alias("_cell")).agg(*merged)
+    return raw.unionByName(cells.withColumn("_t", F.lit(None).cast(ev.schema["_t"].dataType)).select(*cols))
+
+
+def within_rows(sp: DataFrame, ev: DataFrame, key: str) -> DataFrame:
+    """Spans (key, _lo, _hi) cut to the days from their key's first to its last row (key, _t).
+
+    A span keeps all its rows. What it loses are cells without rows: a span of
+    years over a month of rows takes the cells of a month. Spans of keys without rows are absent.
+    """
+    ends = ev.groupBy(key).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    last = F.to_timestamp_ntz(F.date_add(F.to_date("_last"), 1)) - F.expr("INTERVAL 1 MICROSECOND")
+    return sp.hint("merge").join(ends, key).select(
+        *[c for c in sp.columns if c not in ("_lo", "_hi")],
+        F.greatest("_lo", F.to_timestamp_ntz(F.to_date("_first"))).alias("_lo"), F.least("_hi", last).alias("_hi"))
 
 
 def span_aggregate(
@@ -185,29 +216,35 @@ def span_aggregate(
     in_span = F.col("_t").between(F.col("_lo"), F.col("_hi"))
 
     if strategy == "dyadic":
+        ev = ev.filter(F.col(key).isNotNull() & F.col("_t").isNotNull())
+        sp = within_rows(sp.filter(F.col("_lo").isNotNull() & F.col("_hi").isNotNull()), ev, key)
+        raw = F.col("_c._tier") == RAW
         pieces = explode_rows(sp, span_cells(F.col("_lo"), F.col("_hi")), "_c").select(
-            "_id", key, "_lo", "_hi", "_c._tier", "_c._cell")
-        cells = row_cells(ev.filter(F.col(key).isNotNull() & F.col("_t").isNotNull()), key, merged, names)
-        parts = (pieces.join(cells, [key, "_tier", "_cell"])
+            "_id", key, F.when(raw, F.col("_lo")).alias("_lo"), F.when(raw, F.col("_hi")).alias("_hi"), "_c._tier", "_c._cell")
+        # Spark takes exploded spans to be as small as the spans: without the hint it broadcasts them
+        parts = (pieces.hint("merge").join(row_cells(ev, key, merged, names), [key, "_tier", "_cell"])
                  .filter((F.col("_tier") != RAW) | in_span).select("_id", *names))
         return parts.groupBy("_id").agg(*merged).withColumnRenamed("_id", span_id)
 
+    # Spark takes exploded spans to be as small as the spans: without the hint it broadcasts them
     days = explode_rows(sp, _span_days(F.col("_lo"), F.col("_hi")), "_day")
     ev_d = ev.withColumn("_day", F.to_date("_t"))
     if strategy == "binned":
-        parts = days.join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
+        parts = days.hint("merge").join(ev_d, [key, "_day"]).filter(in_span).select("_id", *names)
     else:
         lo_day = F.to_date("_lo")
         whole = (((F.col("_day") > lo_day)
                   | ((F.col("_day") == lo_day) & (F.col("_lo") == F.to_timestamp_ntz(lo_day))))
                  & (F.col("_day") < F.to_date("_hi")))
         days = days.withColumn("_tier", whole.cast("int"))
-        edges = days.filter(F.col("_tier") == 0).select(key, "_day").distinct()
         roll = ev_d.groupBy(key, "_day").agg(*merged).select(
             key, "_day", F.lit(1).alias("_tier"), F.lit(None).cast(ev.schema["_t"].dataType).alias("_t"), *names)
-        raw = ev_d.join(edges, [key, "_day"], "left_semi").select(key, "_day", F.lit(0).alias("_tier"), "_t", *names)
+        # raw rows move once, into the join: to leave out those of days inside spans would move them twice
+        raw = ev_d.select(key, "_day", F.lit(0).alias("_tier"), "_t", *names)
         right = roll.unionByName(raw)
-        parts = (days.join(right, [key, "_day", "_tier"])
+        edge = F.col("_tier") == 0
+        days = days.select("_id", key, "_day", "_tier", *[F.when(edge, F.col(c)).alias(c) for c in ("_lo", "_hi")])
+        parts = (days.hint("merge").join(right, [key, "_day", "_tier"])
                  .filter((F.col("_tier") == 1) | in_span).select("_id", *names))
 
     return parts.groupBy("_id").agg(*merged).withColumnRenamed("_id", span_id)
@@ -234,6 +271,29 @@ def extrema_measures(high: str = "high_price", low: str = "low_price", time_col:
     }
 
 
+def span_extrema(spans: DataFrame, rows: DataFrame, *, key: str, span_id: str, lo: Column, hi: Column, strategy: str = "rollup",
+                 high: str = "high_price", low: str = "low_price", time_col: str = "datetime_end", price_scale: int = 6) -> DataFrame:
+    """(span_id, max_p, max_t, min_p, min_t) of ``extrema_measures`` per span.
+
+    The packed order keys hold price and time, so only the two keys are moved
+    and merged, and the four values are read from them at the end. Prices of a type that
+    the keys do not hold exactly are merged as they are.
+    """
+    measures = extrema_measures(high, low, time_col, price_scale)
+    types = [rows.schema[c].dataType for c in (high, low)]
+    exact = (all(isinstance(t, DecimalType) and t.scale <= price_scale and t.precision - t.scale + price_scale <= 17 for t in types)
+             and isinstance(rows.schema[time_col].dataType, TimestampNTZType))
+    if exact:
+        measures = {k: measures[k] for k in ("max_k", "min_k")}
+    out = span_aggregate(spans, rows, key=key, span_id=span_id, lo=lo, hi=hi, time_col=time_col, measures=measures, strategy=strategy)
+    if not exact:
+        return out.select(span_id, "max_p", "max_t", "min_p", "min_t")
+    found = [(unpacked(F.col(k))) for k in ("max_k", "min_k")]
+    price = lambda x, t: (x[0] * F.lit(Decimal(1).scaleb(-price_scale))).cast(t)
+    return out.select(span_id, price(found[0], types[0]).alias("max_p"), from_micros(-found[0][1]).alias("max_t"),
+                      price(found[1], types[1]).alias("min_p"), from_micros(found[1][1]).alias("min_t"))
+
+
 def first_last_measures(value: str = "open_price", time_col: str = "datetime_start") -> dict[str, Measure]:
     """SRT-4 / JON-6: value of the earliest and of the latest row
     (``first_v``, ``last_v``); times are unique per key in a keyed table."""

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.dates import clamp_span_end, lit_date, span_end_ts
 from tidemark.functions.numbers import pct_delta, target_price
-from tidemark.operators.spans import extrema_measures, first_last_measures, span_aggregate
+from tidemark.operators import spans
+from tidemark.operators.spans import first_last_measures, span_aggregate
 
 KEY = ["analyst_company_id", "ticker", "start_date"]
 EVALUATION = ["price_max_real", "price_max_date", "price_min_real", "price_min_date",
@@ -94,9 +95,8 @@ def span_extrema(forecasts: DataFrame, quotes: DataFrame, strategy: str = "rollu
     """
     lo = F.col("date_inserted") if from_post_time else F.to_timestamp_ntz(F.col("start_date"))
     f = forecasts.select(*KEY, "end_date", lo.alias("_lo")).withColumn("_fkey", _fkey())
-    ex = span_aggregate(f, quotes, key="ticker", span_id="_fkey",
-                        lo=F.col("_lo"), hi=span_end_ts(F.col("end_date")),
-                        time_col="datetime_end", measures=extrema_measures(), strategy=strategy)
+    ex = spans.span_extrema(f, quotes, key="ticker", span_id="_fkey",
+                            lo=F.col("_lo"), hi=span_end_ts(F.col("end_date")), strategy=strategy)
     return ex.select(
         *[F.col("_fkey." + k).alias(k) for k in KEY],
         F.col("max_p").alias("price_max_real"), F.col("max_t").alias("price_max_date"),
