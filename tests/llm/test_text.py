@@ -259,3 +259,20 @@ def test_decoding_in_the_same_pass(spark):
     df = spark.createDataFrame([(1, "Hello  wörld \u2581x\n"), (2, None), (3, "")], "doc_id long, text string")
     two = unigram.decode(unigram.encode(df, pieces), pieces).orderBy("doc_id").collect()
     assert unigram.encode(df, pieces, decoded_col="decoded").orderBy("doc_id").collect() == two
+
+
+def test_toxicity_learns_from_all_rows_in_groups(spark):
+    """More rows than a task holds: none is left out, and the groups' models together tell the words apart."""
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 3 == 0 else 'good'} filler{i % 5}") for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    rows, groups = toxicity._train_rows(docs, labels, "doc_id", "text", {"toxic": "toxic"}, 60, 3)
+    known = labels.where(~folds.held_out("doc_id")).count()
+    assert rows.count() == known and groups == -(-known // 60) > 1
+    got = toxicity.classify(docs, labels, {"toxic": "toxic"}, decide="toxic", threshold=None, task_rows=60).collect()
+    assert all(r.predicted == (r.doc_id % 3 == 0) for r in got)
+
+
+def test_threshold_of_counted_rows():
+    p, y = np.array([0.1, 0.2, 0.2, 0.6, 0.8, 0.9]), np.array([0, 0, 1, 1, 0, 1.0])
+    counted = toxicity.best_threshold(np.array([0.2, 0.9, 0.6, 0.1, 0.8]), np.array([1.0, 1, 1, 0, 0]), rows=np.array([2, 1, 1, 1, 1]))
+    assert counted == toxicity.best_threshold(p, y)

@@ -65,14 +65,16 @@ def unpacked(gaps: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(gaps), "<i4"), dtype=np.int32)
 
 
-def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, sample_rows: int, n_folds: int) -> DataFrame:
-    """(fold, y0, y1, ..., ix: packed features) of about ``sample_rows`` labelled rows outside the held-out fold."""
+def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, task_rows: int, n_folds: int) -> tuple[DataFrame, int]:
+    """(grp, fold, y0, y1, ..., ix: packed features) of all labelled rows outside the held-out fold, and how many groups of about ``task_rows`` they are in."""
     y = [F.expr(e).cast("double").alias(f"y{i}") for i, e in enumerate(categories.values())]
     known = labels.select(F.col(id_col).alias("id"), *y).dropna()
-    known = folds.bounded_sample(known.where(~folds.held_out("id")), "id", sample_rows)
+    known = known.where(~folds.held_out("id"))
+    groups = max(1, -(-known.count() // task_rows))
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id")
     src = src.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(n_folds)).cast("int"))
-    src = src.select("fold", *[f"y{i}" for i in range(len(y))], "text")
+    src = src.withColumn("grp", F.pmod(F.xxhash64(F.lit("group"), "id"), F.lit(groups)).cast("int"))
+    src = src.select("grp", "fold", *[f"y{i}" for i in range(len(y))], "text")
 
     def each(batches):
         words = Words()
@@ -80,7 +82,7 @@ def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             ix = pa.array([packed(words(t)) for t in b.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ix], [*b.schema.names[:-1], "ix"])
 
-    return src.mapInArrow(each, ", ".join(["fold int", *[f"y{i} double" for i in range(len(y))], "ix binary"]))
+    return src.mapInArrow(each, ", ".join(["grp int", "fold int", *[f"y{i} double" for i in range(len(y))], "ix binary"])), groups
 
 
 class Rows:
@@ -168,11 +170,13 @@ def _probabilities(links: list[tuple[np.ndarray, float]], at: np.ndarray, ends:
     return out
 
 
-def _fit_link(rows: DataFrame, k: int, parts: list[int], earlier: dict, penalty: float, max_iter: int, min_rows: int) -> dict[int, tuple[np.ndarray, float]]:
-    """``rows`` (fold, y, ix) -> link ``k`` by part: fitted to the rows of all other folds, or to all rows for part WHOLE.
+def _fit_link(rows: DataFrame, k: int, parts: list[int], earlier: dict, penalty: float, max_iter: int, min_rows: int,
+              groups: int = 1) -> dict[int, tuple[np.ndarray, float]]:
+    """``rows`` (grp, fold, y, ix) -> link ``k`` by part: fitted to the rows of all other folds, or to all rows for part WHOLE.
 
     ``earlier`` has by fold the links before it that have not seen the fold.
-    A part is one task's work: it holds the bounded sample at most.
+    A part's rows of one group are one task's work; the part's model is the
+    mean of those of its groups, taken by Spark. One group needs no ``grp``.
     """
     shared = Shared(rows, earlier)
 
@@ -190,44 +194,55 @@ def _fit_link(rows: DataFrame, k: int, parts: list[int], earlier: dict, penalty:
         # Features of few rows say little and would explain single rows away.
         # The rest is numbered anew, so that the model is no wider than needed.
         number = np.full(SIZE, -1, np.int32)
-        used = np.flatnonzero(np.bincount(at, minlength=SIZE) >= min_rows).astype(np.int32)
+        used = np.flatnonzero(np.bincount(at, minlength=SIZE) >= -(-min_rows // groups)).astype(np.int32)
         number[used] = np.arange(len(used), dtype=np.int32)
         own = number[at]
         ends = np.concatenate(([0], np.cumsum(own >= 0)))[ends]
         w, constant = logistic(Rows(own[own >= 0], ends, beside, len(used)), y, penalty, max_iter)
-        return pa.table({"part": group["part"][:1], "at": pa.array([used], pa.list_(pa.int32())),
-                         "weights": pa.array([w], pa.list_(pa.float64())), "constant": pa.array([constant])})
+        if groups > 1 and abs(constant) == 30.0 and not w.any():  # one value here says less than one value everywhere
+            constant = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
+        places = np.concatenate(([-1], used, SIZE + np.arange(k))).astype(np.int32)
+        return pa.table({"part": pa.array(np.full(len(places), group["part"][0].as_py(), np.int32)), "at": pa.array(places),
+                         "weight": pa.array(np.concatenate(([constant], w)))})
 
     wanted = F.filter(F.array(*[F.lit(p) for p in parts]), lambda p: p != F.col("fold"))
-    dealt = rows.select(F.explode(wanted).alias("part"), "fold", F.col(f"y{k}").alias("y"), "ix")
-    found, out = dealt.groupBy("part").applyInArrow(each, "part int, at array<int>, weights array<double>, constant double").toArrow(), {}
-    for part, at, own, constant in zip(*[found[c] for c in ("part", "at", "weights", "constant")]):
-        weights, at, own = np.zeros(SIZE + k), at.values.to_numpy(), own.values.to_numpy()
-        weights[at], weights[SIZE:] = own[: len(at)], own[len(at) :]
-        out[part.as_py()] = weights, constant.as_py()
+    grp = F.col("grp") if groups > 1 else F.lit(0).alias("grp")
+    dealt = rows.select(F.explode(wanted).alias("part"), grp, "fold", F.col(f"y{k}").alias("y"), "ix")
+    models = dealt.groupBy("part", "grp").applyInArrow(each, "part int, at int, weight double")
+    # no more rows than places of a model, whatever the number of groups
+    found = models.groupBy("part", "at").agg(F.sum("weight").alias("weight"), F.count("*").alias("models")).toArrow()
+    part, at, weight, n = (found[c].to_numpy() for c in ("part", "at", "weight", "models"))
+    out = {}
+    for p in np.unique(part).tolist():
+        own, weights = part == p, np.zeros(SIZE + k + 1)
+        weights[at[own]] = weight[own] / n[own & (at == -1)][0]  # place -1: the constant, once a model
+        out[p] = weights[:-1], float(weights[-1])
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict, id_col: str = "doc_id", text_col: str = "text",
-        sample_rows: int = 20_000, n_folds: int = 3, penalty: float = 1e-4, max_iter: int = 40, min_rows: int = 6,
+        task_rows: int = 20_000, n_folds: int = 3, penalty: float = 1e-4, max_iter: int = 40, min_rows: int = 6,
         decide: str | None = None) -> tuple[list[tuple[np.ndarray, float]], float] | None:
     """((weights, constant) of each link, threshold); the last weights of a link are those of the earlier probabilities.
 
     With ``decide``, ``threshold`` is where the out-of-fold probabilities of
     that category tell its rows from the others best (see ``best_threshold``); else 0.5.
 
-    One job a link: the model of all rows and those of the folds are fitted
-    next to each other, each in one task, which holds at most about
-    ``sample_rows`` rows. A feature counts from ``min_rows`` rows of its
-    model's own on. None if there are no labelled rows.
+    All labelled rows outside the held-out fold are learned from. One job a
+    link: the model of all rows and those of the folds are fitted next to each
+    other. Beyond ``task_rows`` rows they are dealt into groups of about that
+    size, each fitted by one task, and a model is the mean of its groups'
+    (parameter averaging). A feature counts from ``min_rows`` rows of its
+    model's own on, or its group's share of them. None if there are no labelled rows.
     """
     n = len(categories)
-    rows = stored(_train_rows(docs, labels, id_col, text_col, categories, sample_rows, n_folds), "toxicity-train")
+    rows, groups = _train_rows(docs, labels, id_col, text_col, categories, task_rows, n_folds)
+    rows = stored(rows, "toxicity-train")
     links, unseen = [], {f: [] for f in range(n_folds)}
     for k in range(n):
         # without a threshold to find, nothing needs the last link's models of folds
         parts = [WHOLE, *range(n_folds)] if decide or k + 1 < n else [WHOLE]
-        found = _fit_link(rows, k, parts, unseen, penalty, max_iter, min_rows)
+        found = _fit_link(rows, k, parts, unseen, penalty, max_iter, min_rows, groups)
         if not found:
             return None
         links.append(found[WHOLE])
@@ -245,21 +260,25 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, id_col: str = "doc
             p = [_probabilities(by_fold[f], ix, np.array([0, len(ix)]))[0, k] for f, ix in zip(b.column("fold").to_pylist(), sets)]
             yield pa.RecordBatch.from_arrays([pa.array(p, pa.float64()), b.column("y")], ["p", "y"])
 
-    # two numbers for each row of the bounded sample
-    told = rows.select("fold", F.col(f"y{k}").alias("y"), "ix").mapInArrow(each, "p double, y double").toArrow()
-    return links, best_threshold(told["p"].to_numpy(), told["y"].to_numpy())
+    told = rows.select("fold", F.col(f"y{k}").alias("y"), "ix").mapInArrow(each, "p double, y double")
+    # at most 100,001 probabilities reach the driver, whatever the number of rows
+    p = F.col("p") if groups == 1 else F.round("p", 5)
+    told = told.groupBy(p.alias("p")).agg(F.sum("y").alias("y"), F.count("*").alias("n")).toArrow()
+    return links, best_threshold(told["p"].to_numpy(), told["y"].to_numpy(), rows=told["n"].to_numpy())
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray, beta: float = 0.5) -> float:
+def best_threshold(p: np.ndarray, y: np.ndarray, beta: float = 0.5, rows: np.ndarray | None = None) -> float:
     """Where F-beta of ``p`` >= threshold is largest, between two neighbouring probabilities; 0.5 if ``y`` has one value only.
 
+    With ``rows``, each probability stands for that many rows, ``y`` of which are of the category.
     At 0.5 precision weighs more than recall: a clean row called toxic is the worse mistake of a filter.
     """
-    if len(np.unique(y)) < 2:
+    rows = np.ones(len(p)) if rows is None else rows
+    if y.sum() in (0, rows.sum()):
         return 0.5
     order = np.argsort(-p, kind="stable")
-    p, hits = p[order], np.cumsum(y[order])
-    score = (1 + beta**2) * hits / (np.arange(1, len(p) + 1) + beta**2 * hits[-1])
+    p, hits, n = p[order], np.cumsum(y[order]), np.cumsum(rows[order])
+    score = (1 + beta**2) * hits / (n + beta**2 * hits[-1])
     score[:-1][p[:-1] == p[1:]] = -1.0  # equal probabilities fall on one side
     at = int(np.argmax(score))
     return float((p[at] + p[at + 1]) / 2 if at + 1 < len(p) else p[at])
