@@ -200,6 +200,24 @@ def test_links_are_fitted_out_of_fold(spark):
         assert abs(x.T @ off / len(y) + 1e-2 * w[:40]).max() < 2e-3 and abs(off.mean()) < 2e-3 and not w[40:].any()
 
 
+def test_training_moves_features_and_no_texts(spark):
+    """Features meet the labels in the fit alone, with repeated ids, labels of no document and several groups."""
+    docs = spark.createDataFrame([(i, f"{'good' if i % 2 else 'bad'} word{i % 7}") for i in [*range(1, 90), 5, 6]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(1, 80), 7, 8, *range(200, 240)]], "doc_id int, a int")
+    rows, known, groups = toxicity._train_rows(docs, labels, "doc_id", "text", {"a": "a"}, 30, 3)
+    assert groups > 1 and rows.columns == ["grp", "key", "fold", "ix"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and "BroadcastHashJoin" not in x]
+    rows, known = toxicity.stored(rows, "test"), toxicity.stored(known, "test")
+    joined = rows.join(known.drop("grp"), "key")
+    assert joined.count() > known.join(docs.select("doc_id").distinct(), known["key"] == docs["doc_id"]).count() / 2
+    parts = [toxicity.WHOLE, 0, 1, 2]
+    apart = toxicity._fit_link(rows, 0, parts, {}, 1e-2, 60, 1, groups, known)
+    whole = toxicity._fit_link(joined, 0, parts, {}, 1e-2, 60, 1, groups)
+    assert set(apart) == set(whole) == set(parts)
+    assert all(np.allclose(apart[p][0], whole[p][0], atol=1e-3) and abs(apart[p][1] - whole[p][1]) < 1e-3 for p in parts)
+
+
 def test_products_read_in_parts_are_the_same(monkeypatch):
     rng = np.random.default_rng(6)
     sets = [np.sort(rng.choice(20, n, replace=False)) for n in (0, 5, 20, 0, 3, 1, 0)]

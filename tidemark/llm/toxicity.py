@@ -18,71 +18,96 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import folds
+from tidemark.llm.filters import marked
 from tidemark.llm.store import Shared, stored
 
 #: Hashes of word features, counts told apart (1, 2, 3 and more), distinct words a task keeps features of.
-WIDTH, LEVELS, TABLE = 1 << 17, 3, 500_000
+WIDTH, LEVELS, TABLE = 1 << 17, 3, 100_000
 SIZE = WIDTH * LEVELS
 #: Features that a product reads at a time; the part of the training rows that is all of them.
-READ, WHOLE = 1 << 20, -1
+READ, WHOLE = 1 << 16, -1
 #: Letters of a word's beginnings; a stem with changing ends is found by them.
 BEGINNINGS = range(4, 9)
+#: A beginning is hashed behind its length, of which this is the hash.
+BEGUN = [(n, zlib.crc32(str(n).encode())) for n in BEGINNINGS]
 
 
 def word_features(word: str) -> list[int]:
     """Hashes of a lower-cased word without outer punctuation, and of its beginnings."""
     w = word.strip(".,;:!?\"'()[]{}*#$%&|-_/\\")
-    return [zlib.crc32(w.encode()) % WIDTH] + [zlib.crc32(f"{n}{w[:n]}".encode()) % WIDTH for n in BEGINNINGS if len(w) > n] if w else []
+    return [zlib.crc32(w.encode()) % WIDTH] + [zlib.crc32(w[:n].encode(), begun) % WIDTH for n, begun in BEGUN if len(w) > n] if w else []
+
+
+class Known(dict):
+    """word -> its features, as bytes: a fifth of the memory of lists."""
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = out = array("i", word_features(word)).tobytes()
+        return out
 
 
 class Words:
     """The features of whole texts: each hash that occurs at least once, twice, three times."""
 
     def __init__(self):
-        self.known: dict[str, bytes] = {}  # numbers as bytes: a fifth of the memory of lists
+        self.known = Known()
+        self.often, self.last = np.zeros(WIDTH, np.int64), np.empty(WIDTH, np.int64)
 
     def __call__(self, text: str | None) -> np.ndarray:
         known = self.known
         if len(known) > TABLE:
             known.clear()
         words = Counter((text or "").lower().split())
-        for w in words:
-            if w not in known:
-                known[w] = array("i", word_features(w)).tobytes()
         own = [known[w] for w in words]
         at = np.frombuffer(b"".join(own), np.int32)
-        at, where = np.unique(at, return_inverse=True)
-        often = np.bincount(where, np.repeat(list(words.values()), [len(x) // 4 for x in own]), len(at)) if len(at) else at
-        return np.concatenate([at[often > n] + n * WIDTH for n in range(LEVELS)])
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        np.add.at(self.often, at, np.repeat(np.fromiter(words.values(), np.int64, len(own)), sizes))
+        places = np.arange(len(at))
+        self.last[at] = places
+        at = np.sort(at[self.last[at] == places])  # each once
+        often = self.often[at]
+        self.often[at] = 0
+        return np.concatenate([at[often > n] + np.int32(n * WIDTH) for n in range(LEVELS)])
 
 
 def packed(ix: np.ndarray) -> bytes:
-    """Ascending numbers as compressed gaps, about a third of their size."""
-    return zlib.compress(np.diff(ix, prepend=0).astype("<i4").tobytes(), 1)
+    """Ascending numbers as compressed gaps, a quarter to a third of their size: first all lowest bytes, then all second ones, ..."""
+    return zlib.compress(np.diff(ix, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpacked(gaps: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(gaps), "<i4"), dtype=np.int32)
+    return np.cumsum(np.frombuffer(zlib.decompress(gaps), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel(), dtype=np.int32)
 
 
-def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, task_rows: int, n_folds: int) -> tuple[DataFrame, int]:
-    """(grp, fold, y0, y1, ..., ix: packed features) of all labelled rows outside the held-out fold, and how many groups of about ``task_rows`` they are in."""
+def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, task_rows: int, n_folds: int) -> tuple[DataFrame, DataFrame, int]:
+    """All labelled rows outside the held-out fold: (grp, key, fold, ix: packed features) of the documents, with few others,
+    (grp, key, y0, y1, ...) of the labels, and how many groups of about ``task_rows`` they are in."""
     y = [F.expr(e).cast("double").alias(f"y{i}") for i, e in enumerate(categories.values())]
     known = labels.select(F.col(id_col).alias("id"), *y).dropna()
     known = known.where(~folds.held_out("id"))
     groups = max(1, -(-known.count() // task_rows))
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id")
-    src = src.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(n_folds)).cast("int"))
-    src = src.withColumn("grp", F.pmod(F.xxhash64(F.lit("group"), "id"), F.lit(groups)).cast("int"))
-    src = src.select("grp", "fold", *[f"y{i}" for i in range(len(y))], "text")
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(~folds.held_out("id"))
+    key = F.col("id").cast(src.select("id").union(known.select("id")).schema["id"].dataType).alias("key")
+    src, known = src.select(key, "text"), known.select(key, *[f"y{i}" for i in range(len(y))])
+    # texts stay where they are; what meets the labels are the features of few other rows than those that have labels
+    h = F.xxhash64("key").alias("h")
+    src = marked(src.select("*", h), known.select(h)).where("marked").select("key", "text")
 
     def each(batches):
         words = Words()
         for b in batches:
             ix = pa.array([packed(words(t)) for t in b.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], ix], [*b.schema.names[:-1], "ix"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), ix], ["key", "ix"])
+
+    grp = F.pmod(F.xxhash64(F.lit("group"), "key"), F.lit(groups)).cast("int").alias("grp")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(n_folds)).cast("int").alias("fold")
+    src = src.mapInArrow(each, src.select("key", F.lit(b"").alias("ix")).schema)
+    return src.select(grp, "key", fold, "ix"), known.select(grp, "*"), groups
+
 
-    return src.mapInArrow(each, ", ".join(["grp int", "fold int", *[f"y{i} double" for i in range(len(y))], "ix binary"])), groups
+def _cuts(ends: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Where to cut rows that end at ``ends``, so that there are about READ features at a time; also cut at ``more``."""
+    return np.unique(np.concatenate((np.searchsorted(ends[1:], np.arange(READ, ends[-1], READ)) + 1, [0, len(ends) - 1], *more)))
 
 
 class Rows:
@@ -90,7 +115,7 @@ class Rows:
 
     def __init__(self, at: np.ndarray, ends: np.ndarray, beside: np.ndarray, width: int):
         self.at, self.ends, self.beside, self.width = at, ends, beside, width
-        self.cuts = np.unique(np.concatenate(([0], np.searchsorted(ends[1:], np.arange(READ, ends[-1], READ)) + 1, [len(ends) - 1])))
+        self.cuts = _cuts(ends)
 
     def _reads(self):
         for a, b in zip(self.cuts[:-1], self.cuts[1:]):
@@ -99,22 +124,29 @@ class Rows:
     def times(self, w: np.ndarray) -> np.ndarray:
         out = self.beside @ w[self.width :]
         for a, b, at, ends in self._reads():
-            out[a:b] += np.diff(np.concatenate(([0.0], np.cumsum(w[at])))[ends])
+            if len(at):
+                full = np.flatnonzero(np.diff(ends))  # of a row without features reduceat would give the next feature
+                out[a + full] += np.add.reduceat(np.take(w, at), ends[full])
         return out
 
     def summed(self, by_row: np.ndarray) -> np.ndarray:
         out = np.zeros(self.width)
         for a, b, at, ends in self._reads():
-            out += np.bincount(at, np.repeat(by_row[a:b], np.diff(ends)), self.width)
+            np.add.at(out, at, np.repeat(by_row[a:b], np.diff(ends)))
         return np.concatenate((out, self.beside.T @ by_row))
 
 
-def _minimum(loss, x: np.ndarray, max_iter: int, memory: int = 10, tolerance: float = 1e-7) -> np.ndarray:
-    """Where a smooth convex ``loss`` (value, slope) is least: limited-memory quasi-Newton steps, halved until the loss falls enough."""
-    value, slope = loss(x)
+def _minimum(score, value, slope, x: np.ndarray, max_iter: int, memory: int = 10, tolerance: float = 1e-7) -> np.ndarray:
+    """Where a smooth convex ``value(x, z)`` of ``x`` and its linear ``z = score(x)`` is least, ``slope(x, z)`` being its slope.
+
+    Limited-memory quasi-Newton steps, halved until the value falls enough;
+    along a step ``z`` moves straight on, so each step needs one score.
+    """
+    z = score(x)
+    now, down = value(x, z), slope(x, z)
     past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(max_iter):
-        way, kept = -slope, []
+        way, kept = -down, []
         for s, y in reversed(past):
             kept.append(s @ way / (s @ y))
             way = way - kept[-1] * y
@@ -123,20 +155,23 @@ def _minimum(loss, x: np.ndarray, max_iter: int, memory: int = 10, tolerance: fl
             way = way * (s @ y / (y @ y))
         for (s, y), c in zip(past, reversed(kept)):
             way = way + (c - y @ way / (s @ y)) * s
-        fall, step = slope @ way, 1.0 if past else 1.0 / max(1.0, np.linalg.norm(slope))
+        fall, step = down @ way, 1.0 if past else 1.0 / max(1.0, np.linalg.norm(down))
         if not fall < 0:
             break
+        z_way = score(way)
         while True:
-            new = x + step * way
-            new_value, new_slope = loss(new)
-            if new_value <= value + 1e-4 * step * fall or step < 1e-12:
+            new, new_z = x + step * way, z + step * z_way
+            new_value = value(new, new_z)
+            if new_value <= now + 1e-4 * step * fall or step < 1e-12:
                 break
             step /= 2
-        s, y = new - x, new_slope - slope
+        if not new_value < now:
+            break
+        new_down, done = slope(new, new_z), now - new_value <= tolerance * max(1.0, abs(now))
+        s, y = new - x, new_down - down
         if s @ y > 1e-14:
             past = [*past, (s, y)][-memory:]
-        done = value - new_value <= tolerance * max(1.0, abs(value))
-        x, value, slope = (new, new_value, new_slope) if new_value < value else (x, value, slope)
+        x, z, now, down = new, new_z, new_value, new_down
         if done:
             break
     return x
@@ -148,16 +183,19 @@ def logistic(rows: Rows, y: np.ndarray, penalty: float, max_iter: int) -> tuple[
     if mean in (0.0, 1.0):
         return np.zeros(rows.width + rows.beside.shape[1]), 30.0 if mean else -30.0
 
-    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
-        w = x[:-1]
-        z = rows.times(w) + x[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        off = (p - y) / m
-        return (np.logaddexp(0, z) - y * z).mean() + penalty / 2 * (w @ w), np.append(rows.summed(off) + penalty * w, off.sum())
+    def score(x: np.ndarray) -> np.ndarray:
+        return rows.times(x[:-1]) + x[-1]
+
+    def value(x: np.ndarray, z: np.ndarray) -> float:
+        return (np.logaddexp(0, z) - y * z).mean() + penalty / 2 * (x[:-1] @ x[:-1])
+
+    def slope(x: np.ndarray, z: np.ndarray) -> np.ndarray:
+        off = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / m
+        return np.append(rows.summed(off) + penalty * x[:-1], off.sum())
 
     begin = np.zeros(rows.width + rows.beside.shape[1] + 1)
     begin[-1] = np.log(mean / (1 - mean))
-    x = _minimum(loss, begin, max_iter)
+    x = _minimum(score, value, slope, begin, max_iter)
     return x[:-1], float(x[-1])
 
 
@@ -171,44 +209,77 @@ def _probabilities(links: list[tuple[np.ndarray, float]], at: np.ndarray, ends:
 
 
 def _fit_link(rows: DataFrame, k: int, parts: list[int], earlier: dict, penalty: float, max_iter: int, min_rows: int,
-              groups: int = 1) -> dict[int, tuple[np.ndarray, float]]:
+              groups: int = 1, labels: DataFrame | None = None) -> dict[int, tuple[np.ndarray, float]]:
     """``rows`` (grp, fold, y, ix) -> link ``k`` by part: fitted to the rows of all other folds, or to all rows for part WHOLE.
 
     ``earlier`` has by fold the links before it that have not seen the fold.
-    A part's rows of one group are one task's work; the part's model is the
-    mean of those of its groups, taken by Spark. One group needs no ``grp``.
+    The rows of one group move once, to one task, which fits all parts to them
+    one after the other; a part's model is the mean of those of its groups,
+    taken by Spark. One group needs no ``grp``. A task holds the rows of a
+    group packed, the numbers of one part's features and few more. With
+    ``labels`` (grp, key, y) the rows have ``key`` for y, and meet it there.
     """
     shared = Shared(rows, earlier)
 
     def each(group: pa.Table) -> pa.Table:
-        group = group.sort_by("fold")  # rows of a fold share their earlier links
-        fold, y, by_fold = group["fold"].to_numpy(), group["y"].to_numpy(), shared.get()
-        sets = [unpacked(x.as_buffer()) for x in group["ix"]]
-        at, ends = np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets])))
-        del sets
-        beside = np.full((len(y), k), 0.5)
-        for f in np.unique(fold):
-            a, b = np.searchsorted(fold, [f, f + 1])
-            if f in by_fold:
-                beside[a:b] = _probabilities(by_fold[f], at[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+        if not len(group):  # labels of no document
+            return pa.table({"part": pa.array([], pa.int32()), "at": pa.array([], pa.int32()), "weight": pa.array([], pa.float64())})
+        group = group.sort_by("fold").combine_chunks()  # rows of a fold share their earlier links
+        fold, y, by_fold, packs = group["fold"].to_numpy(), group["y"].to_numpy(), shared.get(), group["ix"]
+        sets = lambda a, b: [unpacked(x.as_buffer()) for x in packs.slice(a, b - a)]
+        present = np.unique(fold).tolist()
+        places = {f: np.searchsorted(fold, [f, f + 1]) for f in present}
+        seen, sizes = {f: np.zeros(SIZE, np.int32) for f in present}, np.empty(len(y), np.int64)
+        for f, (a, b) in places.items():
+            for i in range(a, b):
+                ix = unpacked(packs[i].as_buffer())
+                seen[f][ix] += 1
+                sizes[i] = len(ix)
         # Features of few rows say little and would explain single rows away.
-        # The rest is numbered anew, so that the model is no wider than needed.
-        number = np.full(SIZE, -1, np.int32)
-        used = np.flatnonzero(np.bincount(at, minlength=SIZE) >= -(-min_rows // groups)).astype(np.int32)
-        number[used] = np.arange(len(used), dtype=np.int32)
-        own = number[at]
-        ends = np.concatenate(([0], np.cumsum(own >= 0)))[ends]
-        w, constant = logistic(Rows(own[own >= 0], ends, beside, len(used)), y, penalty, max_iter)
-        if groups > 1 and abs(constant) == 30.0 and not w.any():  # one value here says less than one value everywhere
-            constant = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-        places = np.concatenate(([-1], used, SIZE + np.arange(k))).astype(np.int32)
-        return pa.table({"part": pa.array(np.full(len(places), group["part"][0].as_py(), np.int32)), "at": pa.array(places),
-                         "weight": pa.array(np.concatenate(([constant], w)))})
-
-    wanted = F.filter(F.array(*[F.lit(p) for p in parts]), lambda p: p != F.col("fold"))
-    grp = F.col("grp") if groups > 1 else F.lit(0).alias("grp")
-    dealt = rows.select(F.explode(wanted).alias("part"), grp, "fold", F.col(f"y{k}").alias("y"), "ix")
-    models = dealt.groupBy("part", "grp").applyInArrow(each, "part int, at int, weight double")
+        least, total = -(-min_rows // groups), sum(seen.values())
+        enough = total >= least
+        at, beside = np.empty(int(total[enough].sum()), np.int32), np.full((len(y), k), 0.5)
+        cuts = _cuts(np.concatenate(([0], np.cumsum(sizes))), *places.values())
+        done, kept = 0, np.empty(len(y), np.int64)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            ix, ends = np.concatenate(sets(a, b)), np.concatenate(([0], np.cumsum(sizes[a:b])))
+            if fold[a] in by_fold:
+                beside[a:b] = _probabilities(by_fold[fold[a]], ix, ends)
+            keep = enough[ix]
+            kept[a:b] = np.diff(np.concatenate(([0], np.cumsum(keep)))[ends])
+            ix = ix[keep]
+            at[done : done + len(ix)] = ix
+            done += len(ix)
+        ends, out = np.concatenate(([0], np.cumsum(kept))), []
+        for p in parts:
+            # the rows of the other folds; their features are numbered anew, so that the model is no wider than needed
+            taken = [places[f] for f in present if f != p]
+            if not taken:
+                continue
+            used = np.flatnonzero(total - seen.get(p, 0) >= least).astype(np.int32)
+            number = np.full(SIZE, -1, np.int32)
+            number[used] = np.arange(len(used), dtype=np.int32)
+            own = np.concatenate([np.take(number, at[ends[a] : ends[b]]) for a, b in taken])
+            own_ends = np.concatenate(([0], np.cumsum(np.concatenate([kept[a:b] for a, b in taken]))))
+            own_y, own_beside = (np.concatenate([x[a:b] for a, b in taken]) for x in (y, beside))
+            own_ends = np.concatenate(([0], np.cumsum(own >= 0)))[own_ends]
+            own = own[own >= 0]
+            w, constant = logistic(Rows(own, own_ends, own_beside, len(used)), own_y, penalty, max_iter)
+            if groups > 1 and abs(constant) == 30.0 and not w.any():  # one value here says less than one value everywhere
+                constant = float(np.log((own_y.sum() + 0.5) / (len(own_y) - own_y.sum() + 0.5)))
+            where = np.concatenate(([-1], used, SIZE + np.arange(k))).astype(np.int32)
+            out.append(pa.table({"part": np.full(len(where), p, np.int32), "at": where, "weight": np.concatenate(([constant], w))}))
+        return pa.concat_tables(out)
+
+    def met(own: pa.Table, known: pa.Table) -> pa.Table:
+        at = pa.table({"key": own["key"], "at": np.arange(len(own))}).join(known.select(["key", "y"]), "key", join_type="inner", use_threads=False)
+        return each(own.take(at["at"]).append_column("y", at["y"]).select(["fold", "y", "ix"]))
+
+    grp, y, model = F.col("grp") if groups > 1 else F.lit(0).alias("grp"), F.col(f"y{k}").alias("y"), "part int, at int, weight double"
+    if labels is None:
+        models = rows.select(grp, "fold", y, "ix").groupBy("grp").applyInArrow(each, model)
+    else:
+        models = rows.groupBy("grp").cogroup(labels.select("grp", "key", y).groupBy("grp")).applyInArrow(met, model)
     # no more rows than places of a model, whatever the number of groups
     found = models.groupBy("part", "at").agg(F.sum("weight").alias("weight"), F.count("*").alias("models")).toArrow()
     part, at, weight, n = (found[c].to_numpy() for c in ("part", "at", "weight", "models"))
@@ -229,20 +300,20 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, id_col: str = "doc
     that category tell its rows from the others best (see ``best_threshold``); else 0.5.
 
     All labelled rows outside the held-out fold are learned from. One job a
-    link: the model of all rows and those of the folds are fitted next to each
-    other. Beyond ``task_rows`` rows they are dealt into groups of about that
-    size, each fitted by one task, and a model is the mean of its groups'
+    link: it fits the model of all rows and those of the folds. Beyond
+    ``task_rows`` rows they are dealt into groups of about that size, each one
+    task's work, and a model is the mean of its groups'
     (parameter averaging). A feature counts from ``min_rows`` rows of its
     model's own on, or its group's share of them. None if there are no labelled rows.
     """
     n = len(categories)
-    rows, groups = _train_rows(docs, labels, id_col, text_col, categories, task_rows, n_folds)
+    rows, known, groups = _train_rows(docs, labels, id_col, text_col, categories, task_rows, n_folds)
     rows = stored(rows, "toxicity-train")
     links, unseen = [], {f: [] for f in range(n_folds)}
     for k in range(n):
         # without a threshold to find, nothing needs the last link's models of folds
         parts = [WHOLE, *range(n_folds)] if decide or k + 1 < n else [WHOLE]
-        found = _fit_link(rows, k, parts, unseen, penalty, max_iter, min_rows, groups)
+        found = _fit_link(rows, k, parts, unseen, penalty, max_iter, min_rows, groups, known)
         if not found:
             return None
         links.append(found[WHOLE])
@@ -256,11 +327,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, id_col: str = "doc
     def each(batches):
         by_fold = shared.get()
         for b in batches:
-            sets = [unpacked(x) for x in b.column("ix").to_pylist()]
-            p = [_probabilities(by_fold[f], ix, np.array([0, len(ix)]))[0, k] for f, ix in zip(b.column("fold").to_pylist(), sets)]
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.float64()), b.column("y")], ["p", "y"])
-
-    told = rows.select("fold", F.col(f"y{k}").alias("y"), "ix").mapInArrow(each, "p double, y double")
+            fold, packs, p = b.column("fold").to_numpy(), b.column("ix"), np.empty(b.num_rows)
+            for f in np.unique(fold):
+                own = np.flatnonzero(fold == f)
+                for some in np.array_split(own, -(-len(own) // 500)):
+                    sets = [unpacked(packs[i].as_buffer()) for i in some.tolist()]
+                    p[some] = _probabilities(by_fold[f], np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))))[:, k]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(p, pa.float64())], ["key", "p"])
+
+    told = rows.select("key", "fold", "ix").mapInArrow(each, rows.select("key", F.lit(0.0).alias("p")).schema).join(known, "key")
+    told = told.select("p", F.col(f"y{k}").alias("y"))
     # at most 100,001 probabilities reach the driver, whatever the number of rows
     p = F.col("p") if groups == 1 else F.round("p", 5)
     told = told.groupBy(p.alias("p")).agg(F.sum("y").alias("y"), F.count("*").alias("n")).toArrow()
