@@ -35,7 +35,10 @@ BEGUN = [(n, zlib.crc32(str(n).encode())) for n in BEGINNINGS]
 def word_features(word: str) -> list[int]:
     """Hashes of a lower-cased word without outer punctuation, and of its beginnings."""
     w = word.strip(".,;:!?\"'()[]{}*#$%&|-_/\\")
-    return [zlib.crc32(w.encode()) % WIDTH] + [zlib.crc32(w[:n].encode(), begun) % WIDTH for n, begun in BEGUN if len(w) > n] if w else []
+    if w.isascii():  # a letter is a byte
+        b = w.encode()
+        return [zlib.crc32(b) % WIDTH] + [zlib.crc32(b[:n], begun) % WIDTH for n, begun in BEGUN if len(b) > n] if b else []
+    return [zlib.crc32(w.encode()) % WIDTH] + [zlib.crc32(w[:n].encode(), begun) % WIDTH for n, begun in BEGUN if len(w) > n]
 
 
 class Known(dict):
@@ -51,7 +54,7 @@ class Words:
 
     def __init__(self):
         self.known = Known()
-        self.often, self.last = np.zeros(WIDTH, np.int64), np.empty(WIDTH, np.int64)
+        self.often, self.last = np.zeros(WIDTH, np.int32), np.empty(WIDTH, np.int32)
 
     def __call__(self, text: str | None) -> np.ndarray:
         known = self.known
@@ -61,8 +64,8 @@ class Words:
         own = [known[w] for w in words]
         at = np.frombuffer(b"".join(own), np.int32)
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        np.add.at(self.often, at, np.repeat(np.fromiter(words.values(), np.int64, len(own)), sizes))
-        places = np.arange(len(at))
+        np.add.at(self.often, at, np.repeat(np.fromiter(words.values(), np.int32, len(own)), sizes))
+        places = np.arange(len(at), dtype=np.int32)
         self.last[at] = places
         at = np.sort(at[self.last[at] == places])  # each once
         often = self.often[at]
@@ -373,7 +376,8 @@ def predict(docs: DataFrame, links, names: list[str], text_col: str = "text", ke
         for b in batches:
             p = np.zeros((b.num_rows, n))
             for i, text in enumerate(b.column("_text").to_pylist()):
-                own = w[:, words(text)].sum(axis=1)
+                ix = words(text)
+                own = [np.take(x, ix).sum() for x in w]
                 for k in range(n):
                     z = own[k] + constant[k] + w[k, SIZE : SIZE + k] @ p[i, :k]
                     p[i, k] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
