@@ -204,7 +204,8 @@ def test_training_moves_features_and_no_texts(spark):
     """Features meet the labels in the fit alone, with repeated ids, labels of no document and several groups."""
     docs = spark.createDataFrame([(i, f"{'good' if i % 2 else 'bad'} word{i % 7}") for i in [*range(1, 90), 5, 6]], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in [*range(1, 80), 7, 8, *range(200, 240)]], "doc_id int, a int")
-    rows, known, groups = toxicity._train_rows(docs, labels, "doc_id", "text", {"a": "a"}, 30, 3)
+    rows, groups = toxicity._train_rows(docs, labels, "doc_id", "text", {"a": "a"}, 30, 3)
+    known = toxicity._label_rows(docs, labels, "doc_id", {"a": "a"}).select(toxicity._group(groups), "*")
     assert groups > 1 and rows.columns == ["grp", "key", "fold", "ix"]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "Join" in x and "BroadcastHashJoin" not in x]

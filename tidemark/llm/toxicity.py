@@ -14,7 +14,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import folds
@@ -82,16 +82,24 @@ def unpacked(gaps: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(gaps), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel(), dtype=np.int32)
 
 
-def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, task_rows: int, n_folds: int) -> tuple[DataFrame, DataFrame, int]:
-    """All labelled rows outside the held-out fold: (grp, key, fold, ix: packed features) of the documents, with few others,
-    (grp, key, y0, y1, ...) of the labels, and how many groups of about ``task_rows`` they are in."""
+def _label_rows(docs: DataFrame, labels: DataFrame, id_col: str, categories: dict) -> DataFrame:
+    """(key, y0, y1, ...) of all labels outside the held-out fold; ``key`` is the id in the type that it has in both tables together."""
     y = [F.expr(e).cast("double").alias(f"y{i}") for i, e in enumerate(categories.values())]
     known = labels.select(F.col(id_col).alias("id"), *y).dropna()
-    known = known.where(~folds.held_out("id"))
+    kind = docs.select(id_col).union(labels.select(id_col)).schema[id_col].dataType
+    return known.where(~folds.held_out("id")).select(F.col("id").cast(kind).alias("key"), *[f"y{i}" for i in range(len(y))])
+
+
+def _group(groups: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("group"), "key"), F.lit(groups)).cast("int").alias("grp")
+
+
+def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict, task_rows: int, n_folds: int) -> tuple[DataFrame, int]:
+    """(grp, key, fold, ix: packed features) of all documents with labels outside the held-out fold, and of few others;
+    how many groups of about ``task_rows`` labels they are in."""
+    known = _label_rows(docs, labels, id_col, categories)
     groups = max(1, -(-known.count() // task_rows))
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(~folds.held_out("id"))
-    key = F.col("id").cast(src.select("id").union(known.select("id")).schema["id"].dataType).alias("key")
-    src, known = src.select(key, "text"), known.select(key, *[f"y{i}" for i in range(len(y))])
+    src = docs.where(~folds.held_out(id_col)).select(F.col(id_col).cast(known.schema["key"].dataType).alias("key"), F.col(text_col).cast("string").alias("text"))
     # texts stay where they are; what meets the labels are the features of few other rows than those that have labels
     h = F.xxhash64("key").alias("h")
     src = marked(src.select("*", h), known.select(h)).where("marked").select("key", "text")
@@ -102,10 +110,9 @@ def _train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             ix = pa.array([packed(words(t)) for t in b.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("key"), ix], ["key", "ix"])
 
-    grp = F.pmod(F.xxhash64(F.lit("group"), "key"), F.lit(groups)).cast("int").alias("grp")
     fold = F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(n_folds)).cast("int").alias("fold")
     src = src.mapInArrow(each, src.select("key", F.lit(b"").alias("ix")).schema)
-    return src.select(grp, "key", fold, "ix"), known.select(grp, "*"), groups
+    return src.select(_group(groups), "key", fold, "ix"), groups
 
 
 def _cuts(ends: np.ndarray, *more: np.ndarray) -> np.ndarray:
@@ -310,7 +317,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, id_col: str = "doc
     model's own on, or its group's share of them. None if there are no labelled rows.
     """
     n = len(categories)
-    rows, known, groups = _train_rows(docs, labels, id_col, text_col, categories, task_rows, n_folds)
+    rows, groups = _train_rows(docs, labels, id_col, text_col, categories, task_rows, n_folds)
+    known = _label_rows(docs, labels, id_col, categories).select(_group(groups), "*")
     rows = stored(rows, "toxicity-train")
     links, unseen = [], {f: [] for f in range(n_folds)}
     for k in range(n):
